@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import lines, mixing, packing
+from tessera.llm import htmltext, lines, mixing, packing, quality, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op6_mixing": mixing.op6_mixing,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_line_dedup": lines.op8_line_dedup,
+    "op9_html_extraction": htmltext.op9_html_extraction,
+    "op10_quality_classifier": quality.op10_quality_classifier,
 }
 SQL = {"op8_line_dedup": lines.OP8_SQL}
