@@ -21,6 +21,7 @@ broken by doc_id, piece and start; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -37,52 +38,108 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PART = 100_000
 ROUNDS = 4
-_encoders: dict[str, tuple] = {}
-_MEMORY = 1 << 19  # chunks whose ids a worker remembers
+_MEMORY = 400_000  # chunks whose ids a worker remembers
+_GROUP = 4000  # chunks encoded as one string
+#: 1: ASCII letters, 2: ASCII punctuation but the apostrophe. The vocabulary's pre-tokeniser always
+#: cuts between the two, so chunks are cut there as well and "word" and "word," share an entry.
+_KIND = np.zeros(256, np.uint8)
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = 2
+_encoders: dict[str, Encoder] = {}
 
 
-def _encoder(path: str):
-    if path not in _encoders:
-        import os
+class Encoder:
+    """Ids of chunks by way of a memory of chunks seen before."""
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _encoders[path] = (Tokenizer.from_file(path), {})
-    return _encoders[path]
+        self.engine = Tokenizer.from_file(path)
+        self.special = [t.content.encode() for t in self.engine.get_added_tokens_decoder().values()]
+        # a byte-level vocabulary writes each byte as one character, so a token's length in bytes is known
+        vocabulary = self.engine.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.width[i] = len(token.removesuffix("</w>"))
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def chunks(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        starts, ends, rows = words(data, offsets)
+        if len(data) < 2 or any(t in raw for t in self.special):
+            return starts, ends, rows
+        kind = _KIND[data]
+        cut = np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        cut = cut[~edge[cut]]
+        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+        return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: list[int]) -> None:
+        """Encode new chunks: many as one string, cut again where their lengths say. A group whose
+        lengths don't add up (normalisation changed one) is encoded chunk by chunk."""
+        length = ends - starts
+        spaced = np.full(int(length.sum()) + len(length), 32, np.uint8)
+        to = np.cumsum(length + 1) - length - 1
+        spaced[ragged(to, length)] = data[ragged(starts, length)]
+        spaced = spaced.tobytes()
+        found: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        firsts = range(0, len(length), _GROUP)
+        bounds = np.append(to, len(spaced))
+        texts = [spaced[bounds[a] : bounds[min(a + _GROUP, len(length))]].decode("utf-8", "replace") for a in firsts]
+        for a, e in zip(firsts, self.engine.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            reached, due = np.cumsum(self.width[ids]), np.cumsum(length[a : a + _GROUP])
+            stop = np.searchsorted(reached, due)
+            if len(ids) and reached[-1] == due[-1] and (reached[stop] == due).all():
+                sizes.append(np.diff(stop + 1, prepend=0))
+                found.append(ids)
+            else:
+                each = self.engine.encode_batch_fast([spaced[x : x + n].decode("utf-8", "replace") for x, n in zip(to[a : a + _GROUP].tolist(), length[a : a + _GROUP].tolist())], add_special_tokens=False)
+                sizes.append(np.array([len(x.ids) for x in each], np.int64))
+                found += [np.array(x.ids, np.uint32) for x in each]
+        size = np.concatenate(sizes)
+        self.slots.update(zip(keys, range(len(self.sizes), len(self.sizes) + len(keys))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(size) - size])
+        self.sizes = np.concatenate([self.sizes, size])
+        self.flat = np.concatenate([self.flat, *found])
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows behind each other, each row closed by END_ID, and the rows' offsets in them."""
+        starts, ends, rows = self.chunks(data, offsets)
+        n = len(offsets) - 1
+        distinct, at, inverse = np.unique(Hasher(data).spans(starts, ends), return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        if len(self.slots) > _MEMORY:
+            self.forget()
+        slot = np.array([self.slots.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            self.learn(data, starts[at[new]], ends[at[new]], [keys[i] for i in new.tolist()])
+            slot[new] = np.arange(len(self.sizes) - len(new), len(self.sizes))
+        slot = slot[inverse] if len(starts) else slot[:0]
+        length = self.sizes[slot]
+        ids = self.flat[ragged(self.starts[slot], length)]
+        stops = np.cumsum(np.bincount(rows, weights=length, minlength=n).astype(np.int64) + 1)
+        out = np.full(len(ids) + n, END_ID, np.uint32)
+        body = np.ones(len(out), bool)
+        body[stops - 1] = False
+        out[body] = ids
+        return out, np.concatenate([[0], stops])
 
 
 def token_ids(data: np.ndarray, offsets: np.ndarray, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows behind each other, each row closed by END_ID, and the rows' offsets in them."""
-    engine, known = _encoder(tokenizer)
-    starts, ends, rows = words(data, offsets)
-    n = len(offsets) - 1
-    hashes = Hasher(data).spans(starts, ends)
-    distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    keys = distinct.tolist()
-    missing = [i for i, k in enumerate(keys) if k not in known]
-    if missing:
-        if len(known) > _MEMORY:
-            known.clear()
-            missing = list(range(len(keys)))
-        raw = data.tobytes()
-        first = at[missing]
-        chunks = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        for i, e in zip(missing, engine.encode_batch_fast(chunks, add_special_tokens=False)):
-            known[keys[i]] = np.array(e.ids, np.uint32)
-    lists = [known[k] for k in keys]
-    sizes = np.array([len(x) for x in lists], np.int64)
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
-    bases = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    length = sizes[inverse] if len(inverse) else np.zeros(0, np.int64)
-    ids = flat[ragged(bases[inverse], length)] if len(inverse) else flat
-    per_row = np.bincount(rows, weights=length, minlength=n).astype(np.int64)
-    out = np.full(len(ids) + n, END_ID, np.uint32)
-    stops = np.cumsum(per_row + 1)
-    body = np.ones(len(out), bool)
-    body[stops - 1] = False
-    out[body] = ids
-    return out, np.concatenate([[0], stops])
+    if tokenizer not in _encoders:
+        _encoders[tokenizer] = Encoder(tokenizer)
+    return _encoders[tokenizer].ids(data, offsets)
 
 
 _PIECES = "doc_id long, copy long, piece int, start long, length long, ids_crc32 long"
