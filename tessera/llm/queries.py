@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import htmltext, lines, mixing, packing, quality, toxicity
+from tessera.llm import htmltext, lines, mixing, packing, quality, toxicity, webp
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_webp_media": webp.op3_webp_media,
     "op6_mixing": mixing.op6_mixing,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_line_dedup": lines.op8_line_dedup,
