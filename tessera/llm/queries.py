@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import htmltext, lines, mixing, packing, quality, toxicity, webp
+from tessera.llm import htmltext, lines, mixing, packing, quality, simhash, toxicity, webp
 
 QUERIES = {
+    "op1_document_fingerprints": simhash.op1_document_fingerprints,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_webp_media": webp.op3_webp_media,
     "op6_mixing": mixing.op6_mixing,
