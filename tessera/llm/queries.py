@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import htmltext, jaccard, lines, mixing, packing, quality, simhash, toxicity, webp
+from tessera.llm import htmltext, jaccard, lines, mixing, packing, quality, simhash, suffix, toxicity, webp
 
 QUERIES = {
     "op1_document_fingerprints": simhash.op1_document_fingerprints,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_webp_media": webp.op3_webp_media,
+    "op4_suffix_array_dedup": suffix.op4_suffix_array_dedup,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_mixing": mixing.op6_mixing,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
