@@ -90,17 +90,21 @@ def followers(docs: DataFrame) -> DataFrame:
 
 def edited_texts(docs: DataFrame, order: DataFrame) -> DataFrame:
     """doc_id, text and edited: the last quarter replaced by the beginning of the next document."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    named = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     wanted = order.select(F.col("doc_id").alias("_to"), F.col("next_id").alias("_from"), "need")
-    heads = texts.join(wanted, texts["doc_id"] == F.col("_from")).select("_to", F.substring("text", F.lit(1), F.col("need")).alias("head"))
+    # both joins deal the texts by doc_id alike, so they share one exchange
+    heads = named.join(wanted.hint("merge"), named["doc_id"] == F.col("_from")).select("_to", F.substring("text", F.lit(1), F.col("need")).alias("head"))
     heads = heads.groupBy("_to").agg(F.min("head").alias("head"))
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter), F.substring("head", F.lit(1), quarter))
-    return texts.join(heads, texts["doc_id"] == F.col("_to"), "left").select("doc_id", "text", F.when(F.col("head").isNull(), F.col("text")).otherwise(edited).alias("edited"))
+    again = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    changed = again.join(heads.hint("merge"), again["doc_id"] == F.col("_to")).select("doc_id", "text", edited.alias("edited"))
+    alone = docs.filter(F.col("doc_id").isNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("edited", F.col("text"))
+    return changed.unionByName(alone)
 
 
 def op1_document_fingerprints(spark, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     order = materialize(followers(docs), "following")
     both = edited_texts(docs, order)
     stack = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("body_key"), F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body")))))
