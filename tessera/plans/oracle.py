@@ -198,8 +198,8 @@ n AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS non_unique_company_number_ro
 SELECT *, enriched_rows + unmatched_rows AS total_rows FROM e, u, o, n""",
     "q_determinism": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL}, t AS (SELECT org_name, company_number, total FROM top) SELECT * FROM t EXCEPT SELECT * FROM t",
     "q_disjoint": f"{_MATCH} SELECT org_name FROM enriched INTERSECT SELECT org_name FROM unmatched",
-    "q_resume_pending": "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
-    "q_resume_counters": "WITH d AS (SELECT DISTINCT o_custkey AS k FROM orders), n AS (SELECT count(*) AS total_rows, count(d.k) AS processed, count(*) - count(d.k) AS unprocessed FROM customer LEFT JOIN d ON d.k = c_custkey) SELECT *, CAST(ceil(unprocessed / 250.0) AS BIGINT) AS batches, greatest(0, total_rows - processed) AS remaining FROM n",
+    "q_resume_pending": "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
+    "q_resume_counters": "WITH d AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'), n AS (SELECT count(*) AS total_rows, count(d.k) AS processed, count(*) - count(d.k) AS unprocessed FROM customer LEFT JOIN d ON d.k = c_custkey) SELECT *, CAST(ceil(unprocessed / 250.0) AS BIGINT) AS batches, greatest(0, total_rows - processed) AS remaining FROM n",
     "q_batches": "WITH n AS (SELECT c_custkey, c_name, (row_number() OVER (ORDER BY c_name, c_custkey) - 1) // 250 + 1 AS batch FROM customer) SELECT * FROM n WHERE batch >= 2 AND batch < 7",
     "q_keep_first": "SELECT event_id, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1",
     "q_latest_snapshot": "SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) = 1",

@@ -241,8 +241,8 @@ def q_disjoint(spark, d):
 
 
 def _done(spark, d):
-    """Customers with an order count as processed."""
-    return _table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers with a finished order count as processed."""
+    return _table(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
 
 
 def q_resume_pending(spark, d):
