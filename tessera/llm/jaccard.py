@@ -1,21 +1,22 @@
-"""N-gram Jaccard join: which documents' shingle sets overlap by `NUMBER` / `OF` or more.
+"""N-gram Jaccard join: which documents' shingle sets overlap by a rule's share or more.
 
 Documents and n-grams form a sparse incidence matrix; overlaps are its product with its transpose.
 The product is never taken whole:
 
 1. Documents with equal sets are one row of the matrix (its id: a hash of the set).
 2. Size-derived bounds choose the blocks. Two sets that link have sizes within the ratio, and at
-   most K = 3/17 of the smaller size in elements that only one of them has. Sizes are classed
+   most K = (1 - t) / t of the smaller size, t being the share, in elements that only one of them has. Sizes are classed
    geometrically; a class fixes K, and each set's hashes are cut by value into T > K + 1 parts.
    A linked pair differs in at most K parts, so it agrees in one: its content hash brings the pair
    into one block. Should a set have so many empty parts that all agreeing ones could be empty
    (more than T - K - 1), it also enters the blocks of its empty parts; two such sets still meet.
-3. In a block the first row is multiplied with all others, not all pairs with each other, and the
-   products are counted by n-gram: overlap counts accumulate over the shared columns, pairs below
-   the bound are discarded. Components of these links are formed.
-4. Blocks whose rows are then not all in one component are multiplied in full across components,
-   so no link between components is lost, and a block of thousands of near copies costs one
-   product per row.
+3. In a block the row that most blocks have is multiplied with all others, not all pairs with each
+   other, and the products are counted by n-gram: overlap counts accumulate over the shared
+   columns, pairs below the bound are discarded. Components of these links are formed.
+4. Blocks that are then not within one component get a second such row; blocks that still aren't
+   are multiplied in full across their components, where a bound from parity bitmaps discards
+   pairs before anything is emitted. So no link between components is lost, and a block of
+   thousands of near copies costs few products per row.
 
 Rows that thousands of others are compared with are spread over several tasks (`CHUNK` rows each).
 
@@ -27,6 +28,7 @@ own that may link; an empty table gives an empty one; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,14 +40,24 @@ from tessera.llm._tables import materialize, read, ship, shuffle_width, whole_te
 from tessera.llm._text import LOWER, U64, Hasher, mix, pieces, words
 from tessera.llm.components import components
 
-WIDTH = 4
-#: Linked: OF * overlap >= NUMBER * union.
-NUMBER, OF = 85, 100
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Linked: shingles of `width` words with of * overlap >= number * union."""
+
+    width: int = 5
+    number: int = 80
+    of: int = 100
+
+
+#: The rule that the query's contract states; stages take Rule()'s five words and 0.8.
+CONTRACT = Rule(4, 85, 100)
 CHUNK = 128
-_RATIO = 1.5  # of neighbouring size classes; above OF / NUMBER
+_RATIO = 1.5  # of neighbouring size classes; rules below 1 / _RATIO take wider ones
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every row behind each other, and the rows' offsets."""
     n = len(offsets) - 1
     starts, ends, rows = words(data, offsets)
@@ -85,30 +97,39 @@ def set_ids(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _class_tops(largest: int) -> np.ndarray:
-    """The largest size of each class: 1, 2, 3, 4, 6, 9, ..."""
+def parity_bits(value: np.ndarray, finer: int) -> bytes:
+    """One bit for each residue of the hashes modulo a power of two, some `1 << finer` times their
+    number: how many hashes have it, modulo 2. Two sizes compare after folding the larger one."""
+    size = 1 << min(max(9, int(len(value)).bit_length() + finer), 20)
+    odd = np.bincount((value & U64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _class_tops(largest: int, rule: Rule) -> np.ndarray:
+    """The largest size of each class: 1, 2, 3, 4, 6, 9, ... A set's partners are in its own class
+    and the two beside it."""
     tops = [1]
     while tops[-1] < largest:
-        tops.append(max(tops[-1] + 1, int(tops[-1] * _RATIO)))
+        tops.append(max(tops[-1] * rule.of // rule.number, tops[-1] + 1, int(tops[-1] * _RATIO)))
     return np.array(tops, np.int64)
 
 
-def signatures(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(value: np.ndarray, bounds: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Block keys and the rows they belong to."""
     size = np.diff(bounds)
     if not len(value):
         return np.zeros(0, U64), np.zeros(0, np.int64)
-    tops = _class_tops(int(size.max()) + 1)
+    tops = _class_tops(int(size.max()) + 1, rule)
     own = np.searchsorted(tops, size)
     keys, owners = [], []
     for down in (0, 1):  # a row joins its own class, and the one below where its partners can be there
         group = own - down
         yes = (size > 0) & (group >= 0)
-        yes[yes] &= NUMBER * size[yes] <= OF * tops[group[yes]]
+        yes[yes] &= rule.number * size[yes] <= rule.of * tops[group[yes]]
         rows = np.flatnonzero(yes)
         if not len(rows):
             continue
-        differ = ((OF - NUMBER) * tops[group[rows]]) // NUMBER  # K: union - overlap <= (1 - t) / t * smaller size
+        differ = ((rule.of - rule.number) * tops[group[rows]]) // rule.number  # K: union - overlap <= (1 - t) / t * smaller size
         parts = differ + 2 + differ // 16
         n = size[rows]
         at = np.repeat(bounds[:-1][rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -130,27 +151,27 @@ def signatures(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
+def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n_shingles, set_id for every row."""
     ship(docs.sparkSession)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "body"):
-            value, bounds = shingle_sets(data, offsets)
+            value, bounds = shingle_sets(data, offsets, rule.width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds)), pa.array(set_ids(value, bounds))], ["doc_id", "n_shingles", "set_id"])
 
     return whole_texts(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(look, "doc_id long, n_shingles long, set_id long")
 
 
-def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
+def _blocks(docs: DataFrame, buckets: int, rule: Rule) -> DataFrame:
     """Blocks of at least two different rows, as (block, members): members are sorted set ids."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in pieces(batches, "body", 8 << 20):
-            value, bounds = shingle_sets(data, offsets)
+            value, bounds = shingle_sets(data, offsets, rule.width)
             ids = set_ids(value, bounds)
             _, one_each = np.unique(ids, return_index=True)
-            key, row = signatures(value, bounds)
+            key, row = signatures(value, bounds, rule)
             kept = np.zeros(len(ids), bool)
             kept[one_each] = True
             key, row = key[kept[row]], row[kept[row]]
@@ -158,15 +179,13 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             key, row, edge = key[order], row[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(edge))
-            local = [np.unique(row[edge[b] : edge[b + 1]], return_inverse=True) for b in used]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array([key[edge[b] : edge[b + 1]].tobytes() for b in used], pa.binary()), pa.array([x[1].astype(np.uint32).tobytes() for x in local], pa.binary()), pa.array([ids[x[0]].tobytes() for x in local], pa.binary())],
-                ["bucket", "keys", "at", "ids"],
-            )
+            low, high, owner = key.astype(np.uint32), (key >> U64(32)).astype(np.uint16), ids[row]  # the bucket stands for the upper bits
+            cut = lambda x: pa.array([x[edge[b] : edge[b + 1]].tobytes() for b in used], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), cut(low), cut(high), cut(owner)], ["bucket", "low", "high", "ids"])
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        key = np.concatenate([np.frombuffer(x, U64) for x in rows["keys"]])
-        ids = np.concatenate([np.frombuffer(i, np.int64)[np.frombuffer(a, np.uint32)] for i, a in zip(rows["ids"], rows["at"])])
+        load = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows[c]])
+        key, ids = load("high", np.uint16).astype(U64) << U64(32) | load("low", np.uint32), load("ids", np.int64)
         order = np.argsort(key, kind="stable")
         key, ids = key[order], ids[order]
         shared = np.zeros(len(key), bool)
@@ -184,31 +203,92 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
         return pd.DataFrame({"members": sorted(found)})
 
     bodies = whole_texts(docs)
-    met = bodies.mapInArrow(emit, "bucket int, keys binary, at binary, ids binary").groupBy("bucket").applyInPandas(meet, "members binary")
+    met = bodies.mapInArrow(emit, "bucket int, low binary, high binary, ids binary").groupBy("bucket").applyInPandas(meet, "members binary")
     return materialize(met, "blocks").dropDuplicates(["members"])
 
 
-def _pairs_of(blocks: DataFrame) -> DataFrame:
-    """(a, b): the first row of each block with each other row."""
+def _members(blocks: DataFrame) -> DataFrame:
+    """(block, node): the blocks' rows one by one."""
 
-    def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = set()
-            for m in batch.column(0).to_pylist():
+            for block, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.frombuffer(m, np.int64)
-                seen.update((int(ids[0]), int(b)) for b in ids[1:])
-            pairs = sorted(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.string()), pa.array(ids)], ["block", "node"])
+
+    return blocks.select(F.md5("members").alias("block"), "members").mapInArrow(unpack, "block string, node long")
+
+
+def _heads(placed: DataFrame) -> DataFrame:
+    """(a, b): in each block that isn't within one component, the row most blocks have, of the
+    components but that of the block's very first row, with all rows of other components. Near
+    copies of one original share most with it, so it tends to lead."""
+    best = F.struct("popular", "node", "label")
+    lead = placed.groupBy("block").agg(F.max(best).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("block", "lead")
+    open_ = placed.join(lead, "block")
+    second = open_.filter(F.col("label") != F.col("lead.label")).groupBy("block").agg(F.max(best).alias("second")).select(F.col("block").alias("in_block"), "second")
+    met = open_.join(second, F.col("block") == F.col("in_block")).filter(F.col("label") != F.col("second.label"))
+    return met.select(F.col("second.node").alias("a"), F.col("node").alias("b"))
 
-    return blocks.select("members").mapInArrow(star, "a long, b long").distinct()
 
+def _first_heads(placed: DataFrame) -> DataFrame:
+    lead = placed.groupBy("block").agg(F.max(F.struct("popular", "node")).alias("lead"))
+    return placed.join(lead, "block").filter(F.col("node") != F.col("lead.node")).select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
 
-def _products(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+def _likely(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sizes and parity bitmaps allow a link; few others than links do."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy() for i in (2, 3))
+            small, large = np.minimum(n, m), np.maximum(n, m)
+            fits = rule.number * large <= rule.of * small
+            for i in np.flatnonzero(fits).tolist():
+                x, y = (np.frombuffer(batch.column(k)[i].as_py(), U64) for k in (4, 5))
+                least = min(len(x), len(y))
+                x, y = (np.bitwise_xor.reduce(v.reshape(-1, least), 0) for v in (x, y))
+                fits[i] = rule.number * int(np.bitwise_count(x ^ y).sum()) <= (rule.of - rule.number) * small[i]
+            yield batch.select([0, 1]).filter(pa.array(fits))
+
+    side = lambda c: sets.select(F.col("set_id").alias(c), F.col("size").alias(f"{c}_size"), F.col("bits").alias(f"{c}_bits"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_size", "b_size", "a_bits", "b_bits")
+    return both.mapInArrow(compare, "a long, b long")
+
+
+def _across(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): all pairs across the components of a block whose parity bitmaps allow a link. The
+    bitmaps' distance is never above the number of n-grams that only one set has, so the bound is
+    safe; the comparison is one blocked product inside the task, and only what passes is emitted."""
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["block", "node"], ignore_index=True)
+        label, node, size, packed = (rows[c].to_numpy() for c in ("label", "node", "size", "bits"))
+        edge = np.append(np.flatnonzero(rows["block"].ne(rows["block"].shift())), len(rows))
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first, end in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            least = min(map(len, packed[first:end]))
+            bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, U64).reshape(-1, least // 8), 0) for x in packed[first:end]])
+            for i in range(first, end - 1):
+                far = np.bitwise_count(bits[i + 1 - first :] ^ bits[i - first]).sum(1)
+                small, large = np.minimum(size[i], size[i + 1 : end]), np.maximum(size[i], size[i + 1 : end])
+                hit = np.flatnonzero((label[i + 1 : end] != label[i]) & (rule.number * large <= rule.of * small) & (rule.number * far <= (rule.of - rule.number) * small))
+                out_a.append(np.full(len(hit), node[i]))
+                out_b.append(node[i + 1 + hit])
+        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+    mixed = placed.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("block")
+    described = placed.join(mixed, "block").join(sets.select(F.col("set_id").alias("node"), "size", F.col("coarse").alias("bits")), "node")
+    many = F.pmod(F.xxhash64("block"), F.lit(8 * shuffle_width(placed.sparkSession))).alias("part")  # several blocks a call
+    return described.select(many, "block", "node", "label", "size", "bits").groupBy("part").applyInPandas(compare, "a long, b long")
+
+
+def _products(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose overlap reaches the bound. sets: set_id, shingles (packed hashes)."""
     spread = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     dealt = pairs.join(spread, "a").select("a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.col("b").alias("set_id"), F.lit(1).alias("side"))
     heads = spread.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("a").alias("set_id"), F.lit(0).alias("side"))
-    rows = dealt.unionByName(heads).join(sets, "set_id")
+    rows = dealt.unionByName(heads).hint("merge").join(sets.select("set_id", "shingles"), "set_id")  # grows with the corpus: never broadcast
 
     def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         head = rows.loc[rows["side"] == 0, "shingles"]
@@ -217,75 +297,62 @@ def _products(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         row = np.frombuffer(head.iloc[0], U64)
         ids, size = rows["set_id"].to_numpy(), rows["shingles"].str.len().to_numpy() // 8
-        fits = (NUMBER * size <= OF * len(row)) & (NUMBER * len(row) <= OF * size)
+        fits = (rule.number * size <= rule.of * len(row)) & (rule.number * len(row) <= rule.of * size)
         columns = np.frombuffer(b"".join(rows["shingles"]), U64)
         at = np.minimum(np.searchsorted(row, columns), len(row) - 1)
         overlap = np.add.reduceat((row[at] == columns).astype(np.int64), np.cumsum(size) - size)
-        linked = fits & (OF * overlap >= NUMBER * (size + len(row) - overlap))
+        linked = fits & (rule.of * overlap >= rule.number * (size + len(row) - overlap))
         return pd.DataFrame({"a": np.full(int(linked.sum()), key[0]), "b": ids[linked]})
 
     return rows.select("a", "chunk", "side", "set_id", "shingles").groupBy("a", "chunk").applyInPandas(multiply, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """set_id, shingles of the wanted set ids, each computed from one document that has it."""
     one = known.join(wanted.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "body"):
-            value, bounds = shingle_sets(data, offsets)
+            value, bounds = shingle_sets(data, offsets, rule.width)
             ids, due = set_ids(value, bounds), np.asarray(batch.column(0))
             rows = np.flatnonzero(ids == due)
-            yield pa.RecordBatch.from_arrays([pa.array(due[rows]), pa.array([value[bounds[i] : bounds[i + 1]].tobytes() for i in rows], pa.binary())], ["set_id", "shingles"])
+            cut = [value[bounds[i] : bounds[i + 1]] for i in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(due[rows]), pa.array([len(x) for x in cut], pa.int64()), pa.array([parity_bits(x, 0) for x in cut], pa.binary()), pa.array([parity_bits(x, 2) for x in cut], pa.binary()), pa.array([x.tobytes() for x in cut], pa.binary())], ["set_id", "size", "coarse", "bits", "shingles"])
 
-    texts = docs.select("doc_id", "text").join(one, "doc_id")
-    return whole_texts(texts, "set_id").mapInArrow(look, "set_id long, shingles binary")
+    texts = docs.select("doc_id", "text").join(one.hint("merge"), "doc_id")  # grows with the corpus: never broadcast
+    return whole_texts(texts, "set_id").mapInArrow(look, "set_id long, size long, coarse binary, bits binary, shingles binary")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, set_id, component_id for every row of docs."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = materialize(document_sets(docs), "document-sets")
-    blocks = materialize(_blocks(docs, 4 * shuffle_width(spark)), "distinct-blocks")
-    pairs = materialize(_pairs_of(blocks), "pairs")
-    if pairs.isEmpty():
-        merged = known.select(F.col("set_id").alias("node"), F.col("set_id").alias("label")).filter("1 = 0")
-    else:
-        wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-        sets = materialize(_sets_of(docs, known, wanted), "sets")
-        links = materialize(_products(pairs, sets), "links")
-        merged = components(links)
-        # blocks that are not within one component: multiply across components what is still untried
-        placed = _members(blocks).join(merged, "node", "left").select("block", "node", F.coalesce("label", "node").alias("label"))
-        open_ = placed.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("block")
-        placed = materialize(placed.join(open_, "block"), "open-blocks")
-        x, y = placed.alias("x"), placed.alias("y")
-        more = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.node") < F.col("y.node")))
-        more = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        more = materialize(more, "more-pairs")
-        if not more.isEmpty():
-            found = materialize(_products(more, sets), "more-links")
-            if not found.isEmpty():
-                merged = components(links.unionByName(found))
+    known = materialize(document_sets(docs, rule), "document-sets")
+    members = materialize(_members(_blocks(docs, 4 * shuffle_width(spark), rule)), "block-members")
+    popular = members.groupBy("node").agg(F.count(F.lit(1)).alias("popular"))
+    rows = materialize(members.join(popular, "node"), "block-rows")
+    sets = materialize(_sets_of(docs, known, rows.select(F.col("node").alias("set_id")), rule), "sets")
+    merged = rows.select("node", F.col("node").alias("label")).filter("1 = 0")
+    tried = links = None
+    for step in ("first", "second", "across"):
+        placed = rows.join(merged, "node", "left").select("block", "node", "popular", F.coalesce("label", "node").alias("label"))
+        pairs = _first_heads(placed) if step == "first" else _heads(placed) if step == "second" else _across(placed, sets, rule)
+        pairs = pairs.withColumns({"low": F.least("a", "b"), "high": F.greatest("a", "b")}).dropDuplicates(["low", "high"])
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["low", "high"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue  # nothing untried across components in this step; the next looks wider
+        tried = pairs.select("low", "high") if tried is None else tried.unionByName(pairs.select("low", "high"))
+        likely = materialize(_likely(pairs.select("a", "b"), sets, rule), "likely")
+        found = materialize(_products(likely, sets, rule), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            merged = components(links)
     grouped = known.join(merged, known["set_id"] == merged["node"], "left").select("doc_id", "n_shingles", "set_id", F.coalesce("label", "set_id").alias("label"))
     least = grouped.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = grouped.join(least, "label", "left")
     return out.select("doc_id", "n_shingles", "set_id", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _members(blocks: DataFrame) -> DataFrame:
-    """(block, node): the blocks' rows one by one."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.frombuffer(m, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.string()), pa.array(ids)], ["block", "node"])
-
-    return blocks.select(F.md5("members").alias("block"), "members").mapInArrow(unpack, "block string, node long")
-
-
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links)."""
-    return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"), CONTRACT).select("doc_id", "n_shingles", "component_id")
