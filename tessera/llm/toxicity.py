@@ -1,12 +1,14 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the hashes of its words, of neighbouring pairs and of pairs with one word
-between them, each present or not, in `1 << BITS` coordinates. FTRL-proximal keeps a learning
+between them, each present or not, in `1 << BITS` coordinates. A longer word is also counted by its
+stems (first `STEMS` bytes): languages that compound hide a word behind endings that no sample has. FTRL-proximal keeps a learning
 rate for each coordinate and its L1 term leaves almost all weights at exactly zero; the rest, a
-few thousand (index, weight) pairs at most, travel to the executors inside the task closure.
+few thousand (index, weight) pairs at most, travel to the executors inside the task closure. A logistic curve fitted across two halves of the
+sample makes the score a probability.
 
-At most `MOST_LABELLED` labelled documents teach (see _labels); the driver receives 32-bit word
-hashes of these only. Scoring is one map over whole texts: no shuffle, and only coordinates with
+At most `MOST_LABELLED` labelled documents teach (see _labels); the driver receives the
+coordinates of these only. Scoring is one map over whole texts: no shuffle, and only coordinates with
 a weight are made distinct per document.
 
 Defined results: null and empty texts have the score of the bias alone; without labelled documents
@@ -31,27 +33,28 @@ MOST_LABELLED = 5000
 BITS = 22
 TOXIC_FROM = 0.5
 #: FTRL-proximal: learning rate, its smoothing, L1, L2, passes over the sample.
-ALPHA, BETA, L1, L2, PASSES = 0.2, 1.0, 2.0, 1.0, 4
+ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 4.0, 1.0, 6
+STEMS = (4, 5, 6)
 #: Bytes that belong to no word: ASCII other than letters and digits.
 GAP = np.zeros(256, bool)
 GAP[:128] = True
 GAP[48:58] = GAP[65:91] = GAP[97:123] = False
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of all lower-cased words, and the words' rows."""
+def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates of words, stems, pairs and skip-pairs, lower-cased, and their rows."""
     starts, ends, rows = words(data, offsets, GAP)
-    return (Hasher(LOWER[data]).spans(starts, ends) >> U64(32)).astype(np.uint32), rows
-
-
-def features(hashes: np.ndarray, rows: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates of words, pairs and skip-pairs, and their rows; pairs don't cross rows."""
-    h = hashes.astype(U64)
-    keys, owners = [h * U64(0x9E3779B97F4A7C15)], [rows]
+    hasher = Hasher(LOWER[data])
+    h = hasher.spans(starts, ends)
+    keys, owners = [h], [rows]
+    for n in STEMS:
+        long_ = np.flatnonzero(ends - starts > n)
+        keys.append(hasher.spans(starts[long_], starts[long_] + n) * U64(0x27D4EB2F165667C5))
+        owners.append(rows[long_])
     for gap, salt in ((1, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9)):
         if len(h) > gap:
             same = rows[gap:] == rows[:-gap]
-            keys.append((((h[:-gap] << U64(32)) | h[gap:]) * U64(salt))[same])
+            keys.append(((mix(h[:-gap]) + h[gap:]) * U64(salt))[same])
             owners.append(rows[gap:][same])
     return (mix(np.concatenate(keys)) >> U64(64 - bits)).astype(np.int64), np.concatenate(owners)
 
@@ -78,28 +81,50 @@ def ftrl(samples: list[np.ndarray], labels: np.ndarray, bits: int = BITS, passes
     return kept, w[kept], -bias_z / ((BETA + bias_n**0.5) / ALPHA)
 
 
-def teach(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[np.ndarray, np.ndarray, float] | None:
+def fit(samples: list[np.ndarray], labels: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """Indices and weights, slope and shift of the score's logistic curve. The curve is fitted to
+    sums of weights that were learned without the document: each half scores the other one."""
+    sums = np.zeros(len(samples))
+    for half in (0, 1):
+        rest = [i for i in range(len(samples)) if i % 2 != half]
+        index, value, bias = ftrl([samples[i] for i in rest], labels[rest], bits)
+        dense = np.zeros(1 << bits)
+        dense[index] = value
+        for i in range(half, len(samples), 2):
+            sums[i] = dense[samples[i]].sum() + bias
+    index, value, bias = ftrl(samples, labels, bits)
+    slope, shift = 1.0, 0.0
+    for _ in range(100):  # Newton's method, damped
+        p = 1 / (1 + np.exp(-np.clip(slope * sums + shift, -35, 35)))
+        g = np.array([((labels - p) * sums).sum(), (labels - p).sum()]) - 0.1 * np.array([slope - 1, shift])
+        s = p * (1 - p)
+        h = np.array([[(s * sums * sums).sum(), (s * sums).sum()], [(s * sums).sum(), s.sum()]]) + np.eye(2) * 0.1
+        move = np.clip(np.linalg.solve(h, g), -0.5, 0.5)
+        slope, shift = max(0.05, slope + move[0]), shift + move[1]
+    return index, value, slope, slope * bias + shift
+
+
+def teach(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[np.ndarray, np.ndarray, float, float] | None:
     ship(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "body"):
-            h, row = word_hashes(data, offsets)
-            edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            cut = [h[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.binary())], ["doc_id", "label", "words"])
+            x, row = features(data, offsets)
+            pair = np.unique(row << BITS | x)
+            edges = np.searchsorted(pair, np.arange(batch.num_rows + 1) << BITS)
+            x = (pair & ((1 << BITS) - 1)).astype(np.uint32)
+            cut = [x[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.binary())], ["doc_id", "label", "features"])
 
     sample = whole_texts(teaching_sample(docs, labels, "toxic", most), "doc_id", "label")
-    got = sorted(sample.mapInArrow(rows, "doc_id long, label int, words binary").collect())
+    got = sorted(sample.mapInArrow(rows, "doc_id long, label int, features binary").collect())
     if not got:
         return None
-    samples = []
-    for r in got:
-        h = np.frombuffer(r["words"], np.uint32)
-        samples.append(np.unique(features(h, np.zeros(len(h), np.int64))[0]))
-    return ftrl(samples, np.array([r["label"] for r in got], np.float64))
+    samples = [np.frombuffer(r["features"], np.uint32).astype(np.int64) for r in got]
+    return fit(samples, np.array([r["label"] for r in got], np.float64))
 
 
-def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, keep: list[str]) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float, float] | None, keep: list[str]) -> DataFrame:
     """The columns of docs named in keep, with `score`."""
     ship(docs.sparkSession)
 
@@ -110,15 +135,15 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]
             if model is None:
                 score = total
             else:
-                index, value, bias = model
+                index, value, slope, shift = model
                 if dense is None:
                     dense = np.zeros(1 << BITS, np.float32)
                     dense[index] = value
-                x, row = features(*word_hashes(data, offsets))
+                x, row = features(data, offsets)
                 hit = np.flatnonzero(dense[x])
                 pair = np.unique(row[hit] << BITS | x[hit])
                 np.add.at(total, pair >> BITS, dense[pair & ((1 << BITS) - 1)])
-                score = 1 / (1 + np.exp(-np.clip(total + bias, -35, 35)))
+                score = 1 / (1 + np.exp(-np.clip(slope * total + shift, -35, 35)))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], [*batch.schema.names[:-1], "score"])
 
