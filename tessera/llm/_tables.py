@@ -11,11 +11,17 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of an Arrow batch on its way to or from a Python worker; Spark's own bound is in rows first.
+BATCH_BYTES = 4 << 20
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on executors; a no-op where PYTHONPATH already provides it."""
+    """Bound the session's Arrow batches by bytes, as texts may be long, and make this package
+    importable on executors (where PYTHONPATH doesn't already)."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(limit, "0")) <= BATCH_BYTES:
+        spark.conf.set(limit, BATCH_BYTES)
     root = str(_PACKAGE.parent)
     if root in [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]:
         return

@@ -26,7 +26,7 @@ LOWER[65:91] += 32
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
+    x *= U64(0xBF58476D1CE4E5B9)
     x ^= x >> U64(27)
     x *= U64(0x94D049BB133111EB)
     x ^= x >> U64(31)
@@ -50,7 +50,11 @@ class Hasher:
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, U64)
-        np.cumsum((data.astype(U64) + U64(1)) * _power_table(_P, n), out=self.sums[1:])
+        terms = self.sums[1:]  # in place: a batch's arrays are eight times its bytes
+        terms[:] = data
+        terms += U64(1)
+        terms *= _power_table(_P, n)
+        np.cumsum(terms, out=terms)
         self.inverse = _power_table(_P_INVERSE, n + 1)
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -62,7 +66,9 @@ class Hasher:
         n = len(self.sums) - width
         if n <= 0:
             return np.zeros(0, U64)
-        return mix((self.sums[width:] - self.sums[:n]) * self.inverse[:n])
+        value = self.sums[width:] - self.sums[:n]
+        value *= self.inverse[:n]
+        return mix(value)
 
 
 def body_of(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:

@@ -162,3 +162,13 @@ def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
 
 def op9_html_extraction(spark, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+#: For pages whose article is one element without boilerplate in it, as the driver's are.
+OP9_SQL = r"""
+WITH article AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1), '</?(?:p|h1)[^>]*(?:>|$)') AS blocks FROM pages
+), bare AS (
+  SELECT page_id, url, list_transform(blocks, lambda b: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '</?[a-z!][^>]*(?:>|$)|</?$', '', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM article
+), joined AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10)) AS text FROM bare)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined
+"""

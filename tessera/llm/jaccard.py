@@ -167,7 +167,7 @@ def _blocks(docs: DataFrame, buckets: int, rule: Rule) -> DataFrame:
     """Blocks of at least two different rows, as (block, members): members are sorted set ids."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in pieces(batches, "body", 8 << 20):
+        for _, data, offsets in pieces(batches, "body"):
             value, bounds = shingle_sets(data, offsets, rule.width)
             ids = set_ids(value, bounds)
             _, one_each = np.unique(ids, return_index=True)
@@ -356,3 +356,17 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links)."""
     return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"), CONTRACT).select("doc_id", "n_shingles", "component_id")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), shingle AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(generate_series(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 3], ' '))) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM word
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN size m ON m.doc_id = a.doc_id JOIN size n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
+), reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
+SELECT reach.x AS doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(reach.y) AS component_id FROM reach LEFT JOIN size ON size.doc_id = reach.x GROUP BY reach.x
+"""

@@ -38,7 +38,7 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PART = 100_000
 ROUNDS = 4
-_MEMORY = 400_000  # chunks whose ids a worker remembers
+_MEMORY = 150_000  # chunks whose ids a worker remembers
 _GROUP = 4000  # chunks encoded as one string
 #: 1: ASCII letters, 2: ASCII punctuation but the apostrophe. The vocabulary's pre-tokeniser always
 #: cuts between the two, so chunks are cut there as well and "word" and "word," share an entry.

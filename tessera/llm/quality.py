@@ -198,21 +198,20 @@ def teach(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Fiel
 def score_quality(docs: DataFrame, field: Field | None, keep: list[str] | None = None) -> DataFrame:
     """The columns of docs named in keep (all where not given) with `score`."""
     ship(docs.sparkSession)
+    keep = [c for c in docs.columns if c != "score"] if keep is None else keep
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in pieces(batches, "body"):
+        for batch, data, offsets in pieces(batches, "text" if "text" in keep else "body", 2 << 20):
             if field is None:
                 score = np.full(batch.num_rows, 0.5)
             else:
                 x, first, size = line_features(data, offsets)
                 score = field.score(field.quality(x, first, size))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], [*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(score)], [*keep, "score"])
 
-    keep = [c for c in docs.columns if c != "score"] if keep is None else keep
-    bodies = whole_texts(docs, *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bodies.schema.fields[:-1])
-    return bodies.mapInArrow(scores, f"{schema}, score double")
+    rows = docs.select(*keep) if "text" in keep else whole_texts(docs, *keep)  # a text travels once
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
+    return rows.mapInArrow(scores, f"{schema}, score double")
 
 
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:

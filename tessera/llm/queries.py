@@ -16,4 +16,4 @@ QUERIES = {
     "op9_html_extraction": htmltext.op9_html_extraction,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
-SQL = {"op8_line_dedup": lines.OP8_SQL}
+SQL = {"op5_jaccard_join": jaccard.OP5_SQL, "op8_line_dedup": lines.OP8_SQL, "op9_html_extraction": htmltext.OP9_SQL}
