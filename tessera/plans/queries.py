@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import names, values
 from tessera.operators import audit, links, matching, register, registry, resume, scoring, shortlist
-from tessera.plans import views
+from tessera.plans import steps, views
 from tessera.sources import profiles
 from tessera.streaming import microbatch
 
@@ -51,6 +51,11 @@ def _unmatched(spark, d):
     return matching.unmatched(_best(spark, d))
 
 
+def _matched(spark, d):
+    """All outputs of the match step over one stored ranking."""
+    return steps.match(_orgs(spark, d), _clean(spark, d))
+
+
 def _employees(spark, d):
     return views.view(spark, d, views.EMPLOYEES)
 
@@ -227,7 +232,8 @@ def q_search(spark, d):
 
 
 def q_audit(spark, d):
-    return audit.metrics(_enriched(spark, d), _unmatched(spark, d))
+    m = _matched(spark, d)
+    return audit.metrics(m.enriched, m.unmatched)
 
 
 def q_determinism(spark, d):
@@ -237,7 +243,8 @@ def q_determinism(spark, d):
 
 
 def q_disjoint(spark, d):
-    return _enriched(spark, d).select("org_name").intersect(_unmatched(spark, d).select("org_name"))
+    m = _matched(spark, d)
+    return m.enriched.select("org_name").intersect(m.unmatched.select("org_name"))
 
 
 def _done(spark, d):
