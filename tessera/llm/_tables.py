@@ -19,9 +19,7 @@ _PACKAGE = Path(__file__).resolve().parent.parent
 def ship(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by bytes, as texts may be long, and make this package
     importable on executors (where PYTHONPATH doesn't already)."""
-    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(spark.conf.get(limit, "0")) <= BATCH_BYTES:
-        spark.conf.set(limit, BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = str(_PACKAGE.parent)
     if root in [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]:
         return
