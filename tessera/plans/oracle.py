@@ -151,6 +151,10 @@ _FIT = "role_fit_bucket IN ('strong', 'possible')"
 _BANDS = "CASE " + " ".join(f"WHEN n <= {top} THEN '{b}'" for top, b in values.SIZE_BANDS) + " ELSE 'mega' END"
 _PART_KIND = "CASE WHEN p_size % 7 = 0 THEN '' ELSE p_type END"
 
+_PLAIN = lambda x: f"replace(replace({x}, '&amp;', '&'), '&quot;', '\"')"
+_ANCHORS = rf"""found AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS origin, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*href="[^"]+"[^>]*>.*?</a>')) AS x FROM pages),
+anchor AS (SELECT page_id, origin || {_PLAIN('regexp_extract(x, \'href="([^"]+)"\', 1)')} AS href, trim(regexp_replace({_PLAIN("regexp_replace(x, '<[^>]*>', '', 'g')")}, '\s+', ' ', 'g')) AS text FROM found)"""
+
 SQL: dict[str, str] = {
     "q_register_rollup": f"WITH {_REG} SELECT * FROM org",
     "q_register_stats": f"""WITH reg_v AS ({_P['reg_v']}), flag AS (SELECT *, route = 'Skilled Worker' AS s, lower(rating) LIKE '%a rating%' AS a FROM reg_v)
@@ -205,6 +209,8 @@ SELECT *, enriched_rows + unmatched_rows AS total_rows FROM e, u, o, n""",
     "q_latest_snapshot": "SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) = 1",
     "q_text_table": f"SELECT p_brand AS brand, {_PART_KIND} AS kind, '' AS remark, count(*) AS n_rows FROM part GROUP BY 1, 2, 3",
     "q_stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "q_links": """WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\\s[^>]*href="[^"]+"[^>]*>.*?</a>') AS found FROM pages), l AS (SELECT page_id, unnest(found) AS x FROM a),
-t AS (SELECT page_id, trim(regexp_replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&'), '&quot;', '"'), '\\s+', ' ', 'g')) AS text FROM l) SELECT page_id AS key, count(*) AS n_links, min(text) AS first_text, max(text) AS last_text FROM t GROUP BY page_id""",
+    "q_links": f"WITH {_ANCHORS} SELECT page_id AS key, count(*) AS n_links, min(text) AS first_text, max(text) AS last_text FROM anchor GROUP BY page_id",
+    "q_best_link": f"""WITH {_ANCHORS}, said AS (SELECT page_id, lower(href || ' ' || text) AS x FROM anchor WHERE regexp_matches(href, '(?i)/[a-z]')),
+scored AS (SELECT page_id, CASE WHEN contains(x, 'the') THEN 2 ELSE 0 END + CASE WHEN contains(x, 'on') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'en') THEN 1 ELSE 0 END AS score FROM said),
+top AS (SELECT page_id, score, count(*) AS n_tied, max(score) OVER (PARTITION BY page_id) AS best FROM scored GROUP BY page_id, score) SELECT page_id, score, n_tied FROM top WHERE score = best""",
 }

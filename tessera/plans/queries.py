@@ -19,109 +19,109 @@ LOCATIONS = [
 ]
 
 
-def _table(spark, d, name):
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _rows(spark, d):
+def _rows(spark: SparkSession, d: str) -> DataFrame:
     return register.coerce(views.view(spark, d, views.REGISTER), dict(zip(register.SHORT, register.SHORT)), "pos")
 
 
-def _orgs(spark, d):
+def _orgs(spark: SparkSession, d: str) -> DataFrame:
     return register.register(_rows(spark, d)).drop("pos")
 
 
-def _clean(spark, d, strict=True):
+def _clean(spark: SparkSession, d: str, strict: bool = True) -> DataFrame:
     return registry.clean(views.view(spark, d, views.REGISTRY), views.REGISTRY_COLUMNS, strict)
 
 
-def _top(spark, d):
+def _top(spark: SparkSession, d: str) -> DataFrame:
     return matching.ranked(matching.scored_candidates(_orgs(spark, d), _clean(spark, d)))
 
 
-def _best(spark, d):
+def _best(spark: SparkSession, d: str) -> DataFrame:
     return matching.best(_orgs(spark, d), _top(spark, d))
 
 
-def _enriched(spark, d):
+def _enriched(spark: SparkSession, d: str) -> DataFrame:
     return matching.enriched(_best(spark, d), _clean(spark, d))
 
 
-def _unmatched(spark, d):
+def _unmatched(spark: SparkSession, d: str) -> DataFrame:
     return matching.unmatched(_best(spark, d))
 
 
-def _matched(spark, d):
+def _matched(spark: SparkSession, d: str) -> steps.Matched:
     """All outputs of the match step over one stored ranking."""
     return steps.match(_orgs(spark, d), _clean(spark, d))
 
 
-def _employees(spark, d):
+def _employees(spark: SparkSession, d: str) -> DataFrame:
     return views.view(spark, d, views.EMPLOYEES)
 
 
-def _scored(spark, d, profile=profiles.TECH):
+def _scored(spark: SparkSession, d: str, profile: scoring.Profile = profiles.TECH) -> DataFrame:
     return scoring.scored(_enriched(spark, d), profile, F.lit(AS_OF).cast("date"), scoring.employee_lookup(_employees(spark, d)))
 
 
-def _slim(df):
+def _slim(df: DataFrame) -> DataFrame:
     return df.select("org_name", "ch_company_number", "match_score", "employee_count", "sic_tech_score", "is_active_score", "company_age_score", "company_type_score", "name_keyword_score", "role_fit_score", "role_fit_bucket")
 
 
 # -- register -----------------------------------------------------------------------------------
 
 
-def q_register_rollup(spark, d):
+def q_register_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _orgs(spark, d).orderBy("org_norm")
 
 
-def q_register_stats(spark, d):
+def q_register_stats(spark: SparkSession, d: str) -> DataFrame:
     return register.stats(_rows(spark, d))
 
 
-def q_top_towns(spark, d):
+def q_top_towns(spark: SparkSession, d: str) -> DataFrame:
     return register.top_values(register.eligible(_rows(spark, d)), "town")
 
 
-def q_eligible(spark, d):
+def q_eligible(spark: SparkSession, d: str) -> DataFrame:
     return register.eligible(_rows(spark, d))
 
 
-def q_normalise(spark, d):
+def q_normalise(spark: SparkSession, d: str) -> DataFrame:
     return _rows(spark, d).select("pos", "name", names.normalise(F.col("name")).alias("norm"), names.sort_key(F.col("name")).alias("sort_key"))
 
 
-def q_normalise_documents(spark, d):
+def q_normalise_documents(spark: SparkSession, d: str) -> DataFrame:
     n = names.normalise(F.col("text"))
     return _table(spark, d, "documents").select("doc_id", F.length(n).cast("long").alias("n_norm"), F.md5(n).alias("norm_md5"))
 
 
-def q_variants(spark, d):
+def q_variants(spark: SparkSession, d: str) -> DataFrame:
     return matching.query_variants(_rows(spark, d).select(F.col("name").alias("org_name")).distinct()).select("org_name", F.col("variant_index").cast("long").alias("variant_index"), "variant")
 
 
 # -- registry -----------------------------------------------------------------------------------
 
 
-def q_registry_clean(spark, d):
+def q_registry_clean(spark: SparkSession, d: str) -> DataFrame:
     return _clean(spark, d)
 
 
-def q_token_index(spark, d):
+def q_token_index(spark: SparkSession, d: str) -> DataFrame:
     return registry.token_index(_clean(spark, d))
 
 
-def q_restricted_index(spark, d):
+def q_restricted_index(spark: SparkSession, d: str) -> DataFrame:
     wanted = _rows(spark, d).select(F.explode(names.tokens(F.col("name"))).alias("token")).distinct()
     return registry.restrict_index(registry.token_index(_clean(spark, d)), wanted)
 
 
-def q_uri_check(spark, d):
+def q_uri_check(spark: SparkSession, d: str) -> DataFrame:
     c = _clean(spark, d, strict=False)
     return c.groupBy(registry.uri_matches(F.col("uri"), F.col("company_number")).alias("fits")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def q_similarity(spark, d):
+def q_similarity(spark: SparkSession, d: str) -> DataFrame:
     a = _orgs(spark, d).select("org_norm").distinct()
     pairs = a.withColumn("word", F.explode(F.split("org_norm", " "))).join(registry.with_title_keys(_clean(spark, d)).select("title_norm").distinct().withColumn("word", F.explode(F.split("title_norm", " "))), "word")
     return matching.name_similarities(pairs)
@@ -130,28 +130,28 @@ def q_similarity(spark, d):
 # -- matching -----------------------------------------------------------------------------------
 
 
-def q_block_candidates(spark, d):
+def q_block_candidates(spark: SparkSession, d: str) -> DataFrame:
     return matching.candidates(matching.query_variants(_orgs(spark, d)), registry.with_title_keys(_clean(spark, d)))
 
 
-def q_match_top3(spark, d):
+def q_match_top3(spark: SparkSession, d: str) -> DataFrame:
     out = _top(spark, d)
     return out.select("org_name", F.col("rank").alias("cand_rank"), "company_number", "variant", "hits", "total", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", matching.confidence(F.col("total")).alias("confidence"))
 
 
-def q_candidate_rows(spark, d):
+def q_candidate_rows(spark: SparkSession, d: str) -> DataFrame:
     return matching.candidate_rows(_top(spark, d)).withColumnRenamed("rank", "cand_rank").orderBy("org_name", "cand_rank")
 
 
-def q_enriched(spark, d):
+def q_enriched(spark: SparkSession, d: str) -> DataFrame:
     return _enriched(spark, d)
 
 
-def q_unmatched(spark, d):
+def q_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return _unmatched(spark, d)
 
 
-def q_profile_errors(spark, d):
+def q_profile_errors(spark: SparkSession, d: str) -> DataFrame:
     """Profiles of every third company are withheld, by their status."""
     kept = _clean(spark, d).filter(F.col("company_status") == "active")
     return matching.profile_errors(_best(spark, d), kept)
@@ -160,47 +160,47 @@ def q_profile_errors(spark, d):
 # -- scoring ------------------------------------------------------------------------------------
 
 
-def _by_company(spark, d):
+def _by_company(spark: SparkSession, d: str) -> DataFrame:
     return _clean(spark, d)
 
 
-def q_sic_score(spark, d):
+def q_sic_score(spark: SparkSession, d: str) -> DataFrame:
     codes = values.sic_list(F.col("sic_codes"))
     return _by_company(spark, d).select("company_number", "sic_codes", scoring.sic_score(codes, profiles.TECH).alias("tech_score"), scoring.sic_score(codes, profiles.CARE).alias("care_score"))
 
 
-def q_age_score(spark, d):
+def q_age_score(spark: SparkSession, d: str) -> DataFrame:
     return _by_company(spark, d).select("company_number", "date_of_creation", scoring.age_score(F.col("date_of_creation"), F.lit(AS_OF).cast("date"), profiles.TECH).alias("age_score"))
 
 
-def q_type_status_score(spark, d):
+def q_type_status_score(spark: SparkSession, d: str) -> DataFrame:
     return _by_company(spark, d).select("company_number", scoring.type_score(F.col("company_type"), profiles.TECH).alias("type_score"), scoring.status_score(F.col("company_status"), profiles.TECH).alias("status_score"))
 
 
-def q_keyword_score(spark, d):
+def q_keyword_score(spark: SparkSession, d: str) -> DataFrame:
     return _by_company(spark, d).select("company_number", scoring.keyword_score(F.col("company_name"), profiles.TECH).alias("tech_score"), scoring.keyword_score(F.col("company_name"), profiles.CARE).alias("care_score"))
 
 
-def q_scored(spark, d):
+def q_scored(spark: SparkSession, d: str) -> DataFrame:
     return scoring.order_scored(_slim(_scored(spark, d)))
 
 
-def q_scored_care(spark, d):
+def q_scored_care(spark: SparkSession, d: str) -> DataFrame:
     return _slim(_scored(spark, d, profiles.CARE))
 
 
-def q_employee_join(spark, d):
+def q_employee_join(spark: SparkSession, d: str) -> DataFrame:
     rows = _clean(spark, d).select(F.col("company_number").alias("ch_company_number"))
     return scoring.attach_employees(rows, scoring.employee_lookup(_employees(spark, d)))
 
 
-def q_employee_conflicts(spark, d):
+def q_employee_conflicts(spark: SparkSession, d: str) -> DataFrame:
     """Counts by nation and customer segment as if they were one company's versions."""
     c = _table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("company_number"), F.col("c_mktsegment").alias("employee_count"))
     return scoring.employee_conflicts(c)
 
 
-def q_size_bands(spark, d):
+def q_size_bands(spark: SparkSession, d: str) -> DataFrame:
     n = values.positive_int(F.col("employee_count"))
     return _employees(spark, d).groupBy(values.size_band(n).alias("band")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(n).alias("employees"))
 
@@ -208,91 +208,91 @@ def q_size_bands(spark, d):
 # -- shortlist ----------------------------------------------------------------------------------
 
 
-def q_shortlist(spark, d):
+def q_shortlist(spark: SparkSession, d: str) -> DataFrame:
     return shortlist.explain(shortlist.shortlist(_scored(spark, d)))
 
 
-def q_shortlist_size(spark, d):
+def q_shortlist_size(spark: SparkSession, d: str) -> DataFrame:
     return _slim(shortlist.shortlist(_scored(spark, d), 0.35, 1000))
 
 
-def q_shortlist_size_unknown(spark, d):
+def q_shortlist_size_unknown(spark: SparkSession, d: str) -> DataFrame:
     return _slim(shortlist.shortlist(_scored(spark, d), 0.35, 1000, True))
 
 
-def q_shortlist_geo(spark, d):
+def q_shortlist_geo(spark: SparkSession, d: str) -> DataFrame:
     return _slim(shortlist.shortlist(_scored(spark, d), 0.35, place=shortlist.geo_filter(" Northern ", ["ec12"], LOCATIONS)))
 
 
-def q_search(spark, d):
+def q_search(spark: SparkSession, d: str) -> DataFrame:
     return _slim(shortlist.search(_scored(spark, d), keyword="software", sector="62", region="nation_1"))
 
 
 # -- audit, resume, shapes ----------------------------------------------------------------------
 
 
-def q_audit(spark, d):
+def q_audit(spark: SparkSession, d: str) -> DataFrame:
     m = _matched(spark, d)
     return audit.metrics(m.enriched, m.unmatched)
 
 
-def q_determinism(spark, d):
+def q_determinism(spark: SparkSession, d: str) -> DataFrame:
     a, b = _top(spark, d), _top(spark, d)
     c = ["org_name", "company_number", "total"]
     return audit.differences(a.select(*c), b.select(*c))
 
 
-def q_disjoint(spark, d):
+def q_disjoint(spark: SparkSession, d: str) -> DataFrame:
     m = _matched(spark, d)
     return m.enriched.select("org_name").intersect(m.unmatched.select("org_name"))
 
 
-def _done(spark, d):
+def _done(spark: SparkSession, d: str) -> DataFrame:
     """Customers with a finished order count as processed."""
     return _table(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
 
 
-def q_resume_pending(spark, d):
+def q_resume_pending(spark: SparkSession, d: str) -> DataFrame:
     done = resume.processed(_done(spark, d), _table(spark, d, "customer").filter(F.col("c_acctbal") < 0).select("c_custkey"), key="c_custkey")
     return resume.pending(_table(spark, d, "customer"), done, "c_custkey")
 
 
-def q_resume_counters(spark, d):
+def q_resume_counters(spark: SparkSession, d: str) -> DataFrame:
     return resume.counters(_table(spark, d, "customer"), _done(spark, d), 250, "c_custkey")
 
 
-def q_batches(spark, d):
+def q_batches(spark: SparkSession, d: str) -> DataFrame:
     rows = resume.batches(_table(spark, d, "customer").select("c_custkey", "c_name"), ["c_name", "c_custkey"], 250, start=2, count=5)
     return rows.select("c_custkey", "c_name", F.col("batch"))
 
 
-def q_keep_first(spark, d):
+def q_keep_first(spark: SparkSession, d: str) -> DataFrame:
     e = _table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
     return resume.keep_first(e, ["user_id", "event_type"], [F.col("event_id")])
 
 
-def q_latest_snapshot(spark, d):
+def q_latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
     e = _table(spark, d, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", "event_type")
     return resume.latest(e, "user_id", "day", "event_id")
 
 
-def q_links(spark, d):
+def q_links(spark: SparkSession, d: str) -> DataFrame:
     return links.extract_links(_table(spark, d, "pages"), "page_id", "url", "html").groupBy("key").agg(F.count(F.lit(1)).alias("n_links"), F.min("text").alias("first_text"), F.max("text").alias("last_text"))
 
 
-def q_best_link(spark, d):
+def q_best_link(spark: SparkSession, d: str) -> DataFrame:
     found = links.extract_links(_table(spark, d, "pages"), "page_id", "url", "html")
     return links.best_links(found, r"(?i)/[a-z]", {"the": 2, "on": 1, "en": 1}).select(F.col("key").alias("page_id"), F.col("score").cast("long").alias("score"), "n_tied")
 
 
-def q_text_table(spark, d):
+def q_text_table(spark: SparkSession, d: str) -> DataFrame:
     """Missing-value cells, coerced to a fixed set of columns."""
     s = _table(spark, d, "part").select(F.when(F.col("p_size") % 7 == 0, "N/A").otherwise(F.col("p_type")).alias("kind"), F.col("p_brand").alias("brand"))
     s = s.select(values.na_to_blank(F.col("kind")).alias("kind"), "brand")
     return resume.coerce(s, ("brand", "kind", "remark")).groupBy("brand", "kind", "remark").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def q_stream_windows(spark, d):
+def q_stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """The windowed counts that arrivals() keeps, over the stored events."""
     e = _table(spark, d, "events")
     return microbatch.arrivals(e, window="1 day").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n")
