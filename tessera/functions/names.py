@@ -63,8 +63,9 @@ def split_parts(name: Column) -> Column:
     return F.filter(F.transform(F.split(name, r"(?U)\s+[-/|]\s+"), strip), lambda x: x != "")
 
 
-def variants(name: Column) -> Column:
-    """Up to five query variants, different in normalised form; the whole name first. Blank: none."""
+def variant_pairs(name: Column) -> Column:
+    """Everything that may be asked for a name, as structs of text `v` and normalised form `n`: the
+    whole name, then trading name, what comes before it, bracketed names and delimited parts."""
     whole = strip(F.coalesce(name, F.lit("")))
     traded = trading_name(name)
     extra = F.concat(
@@ -73,9 +74,19 @@ def variants(name: Column) -> Column:
         F.filter(split_parts(name), lambda x: x != whole),
     )
     pairs = F.filter(F.transform(extra, lambda v: F.struct(v.alias("v"), normalise(v).alias("n"))), lambda p: p["n"] != "")
-    all_ = F.concat(F.array(F.struct(whole.alias("v"), normalise(name).alias("n"))), pairs)
-    unique = F.filter(F.transform(all_, lambda p, i: F.struct(p["v"].alias("v"), p["n"].alias("n"), i.alias("i"))), lambda p: F.array_position(F.transform(all_, lambda q: q["n"]), p["n"]) == p["i"] + 1)
-    return F.when(whole == "", F.array().cast("array<string>")).otherwise(F.slice(F.transform(unique, lambda p: p["v"]), 1, MAX_VARIANTS))
+    return F.concat(F.array(F.struct(whole.alias("v"), normalise(name).alias("n"))), pairs)
+
+
+def distinct_variants(pairs: Column) -> Column:
+    """At most five texts of variant_pairs(), the first of each normalised form; blank names: none.
+    The argument is used several times, so it should be a column and no expression."""
+    unique = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["n"]), p["n"]) == i + 1)
+    return F.when(pairs[0]["v"] == "", F.array().cast("array<string>")).otherwise(F.slice(F.transform(unique, lambda p: p["v"]), 1, MAX_VARIANTS))
+
+
+def variants(name: Column) -> Column:
+    """Up to five query variants, different in normalised form; the whole name first. Blank: none."""
+    return distinct_variants(variant_pairs(name))
 
 
 def clean_variants(found: Column, name: Column) -> Column:

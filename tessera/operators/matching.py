@@ -23,8 +23,9 @@ LOCALITY, REGION, ACTIVE = 0.08, 0.05, 0.05
 
 def query_variants(orgs: DataFrame) -> DataFrame:
     """(org_name, variant_index, variant) of register rows (org_name)."""
-    found = names.clean_variants(names.variants(F.col("org_name")), F.col("org_name"))
-    return orgs.select("org_name", F.posexplode(found).alias("variant_index", "variant"))
+    paired = orgs.select("org_name", names.variant_pairs(F.col("org_name")).alias("pairs"))
+    found = paired.select("org_name", names.distinct_variants(F.col("pairs")).alias("found"))
+    return found.select("org_name", F.posexplode(names.clean_variants(F.col("found"), F.col("org_name"))).alias("variant_index", "variant"))
 
 
 def candidates(variants: DataFrame, companies: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
