@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_table(base: int, n: int) -> np.ndarray:
     got = _powers.get(base)
     if got is None or len(got) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 16)
         got = np.full(size, base, U64)
         got[0] = 1
         got = np.cumprod(got, dtype=U64)
@@ -84,8 +84,9 @@ def body_of(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], name: str, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut batches into runs of rows with about `limit` bytes of text (a longer text is a run of its own)."""
+def pieces(batches: Iterator[pa.RecordBatch], name: str, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut batches into runs of rows with about `limit` bytes of text (a longer text is a run of its
+    own). All arrays of a run are multiples of it, so the limit bounds a worker's memory."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -96,11 +97,8 @@ def pieces(batches: Iterator[pa.RecordBatch], name: str, limit: int = 4 << 20) -
             stop = min(max(stop, row + 1), batch.num_rows)
             yield batch.slice(row, stop - row), data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
             row = stop
-
-
-def row_of(offsets: np.ndarray) -> np.ndarray:
-    """For each byte, its row."""
-    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    _powers.clear()
+    pa.default_memory_pool().release_unused()  # an idle worker keeps nothing
 
 
 def words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

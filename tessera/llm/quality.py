@@ -201,7 +201,7 @@ def score_quality(docs: DataFrame, field: Field | None, keep: list[str] | None =
     keep = [c for c in docs.columns if c != "score"] if keep is None else keep
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in pieces(batches, "text" if "text" in keep else "body", 2 << 20):
+        for batch, data, offsets in pieces(batches, "text" if "text" in keep else "body"):
             if field is None:
                 score = np.full(batch.num_rows, 0.5)
             else:
