@@ -212,5 +212,5 @@ SELECT *, enriched_rows + unmatched_rows AS total_rows FROM e, u, o, n""",
     "q_links": f"WITH {_ANCHORS} SELECT page_id AS key, count(*) AS n_links, min(text) AS first_text, max(text) AS last_text FROM anchor GROUP BY page_id",
     "q_best_link": f"""WITH {_ANCHORS}, said AS (SELECT page_id, lower(href || ' ' || text) AS x FROM anchor WHERE regexp_matches(href, '(?i)/[a-z]')),
 scored AS (SELECT page_id, CASE WHEN contains(x, 'the') THEN 2 ELSE 0 END + CASE WHEN contains(x, 'on') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'en') THEN 1 ELSE 0 END AS score FROM said),
-top AS (SELECT page_id, score, count(*) AS n_tied, max(score) OVER (PARTITION BY page_id) AS best FROM scored GROUP BY page_id, score) SELECT page_id, score, n_tied FROM top WHERE score = best""",
+top AS (SELECT page_id, score, count(*) AS n_tied, max(score) OVER (PARTITION BY page_id) AS best FROM scored GROUP BY page_id, score) SELECT page_id, CAST(score AS BIGINT) AS score, n_tied FROM top WHERE score = best""",
 }

@@ -136,11 +136,11 @@ def q_block_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 def q_match_top3(spark: SparkSession, d: str) -> DataFrame:
     out = _top(spark, d)
-    return out.select("org_name", F.col("rank").alias("cand_rank"), "company_number", "variant", "hits", "total", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", matching.confidence(F.col("total")).alias("confidence"))
+    return out.select("org_name", F.col("rank").cast("long").alias("cand_rank"), "company_number", "variant", "hits", "total", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", matching.confidence(F.col("total")).alias("confidence"))
 
 
 def q_candidate_rows(spark: SparkSession, d: str) -> DataFrame:
-    return matching.candidate_rows(_top(spark, d)).withColumnRenamed("rank", "cand_rank").orderBy("org_name", "cand_rank")
+    return matching.candidate_rows(_top(spark, d)).withColumn("rank", F.col("rank").cast("long")).withColumnRenamed("rank", "cand_rank").orderBy("org_name", "cand_rank")
 
 
 def q_enriched(spark: SparkSession, d: str) -> DataFrame:
