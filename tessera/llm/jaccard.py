@@ -248,7 +248,7 @@ def _likely(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 x, y = (np.frombuffer(batch.column(k)[i].as_py(), U64) for k in (4, 5))
                 least = min(len(x), len(y))
                 x, y = (np.bitwise_xor.reduce(v.reshape(-1, least), 0) for v in (x, y))
-                fits[i] = rule.number * int(np.bitwise_count(x ^ y).sum()) <= (rule.of - rule.number) * small[i]
+                fits[i] = (rule.of + rule.number) * int(np.bitwise_count(x ^ y).sum()) <= (rule.of - rule.number) * (small[i] + large[i])
             yield batch.select([0, 1]).filter(pa.array(fits))
 
     side = lambda c: sets.select(F.col("set_id").alias(c), F.col("size").alias(f"{c}_size"), F.col("bits").alias(f"{c}_bits"))
@@ -272,7 +272,7 @@ def _across(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             for i in range(first, end - 1):
                 far = np.bitwise_count(bits[i + 1 - first :] ^ bits[i - first]).sum(1)
                 small, large = np.minimum(size[i], size[i + 1 : end]), np.maximum(size[i], size[i + 1 : end])
-                hit = np.flatnonzero((label[i + 1 : end] != label[i]) & (rule.number * large <= rule.of * small) & (rule.number * far <= (rule.of - rule.number) * small))
+                hit = np.flatnonzero((label[i + 1 : end] != label[i]) & (rule.number * large <= rule.of * small) & ((rule.of + rule.number) * far <= (rule.of - rule.number) * (small + large)))
                 out_a.append(np.full(len(hit), node[i]))
                 out_b.append(node[i + 1 + hit])
         return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
@@ -317,7 +317,7 @@ def _sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, rule: Rule) -
             ids, due = set_ids(value, bounds), np.asarray(batch.column(0))
             rows = np.flatnonzero(ids == due)
             cut = [value[bounds[i] : bounds[i + 1]] for i in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(due[rows]), pa.array([len(x) for x in cut], pa.int64()), pa.array([parity_bits(x, 0) for x in cut], pa.binary()), pa.array([parity_bits(x, 2) for x in cut], pa.binary()), pa.array([x.tobytes() for x in cut], pa.binary())], ["set_id", "size", "coarse", "bits", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(due[rows]), pa.array([len(x) for x in cut], pa.int64()), pa.array([parity_bits(x, 1) for x in cut], pa.binary()), pa.array([parity_bits(x, 2) for x in cut], pa.binary()), pa.array([x.tobytes() for x in cut], pa.binary())], ["set_id", "size", "coarse", "bits", "shingles"])
 
     texts = docs.select("doc_id", "text").join(one.hint("merge"), "doc_id")  # grows with the corpus: never broadcast
     return whole_texts(texts, "set_id").mapInArrow(look, "set_id long, size long, coarse binary, bits binary, shingles binary")
