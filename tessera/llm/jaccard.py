@@ -283,12 +283,14 @@ def _across(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return described.select(many, "block", "node", "label", "size", "bits").groupBy("part").applyInPandas(compare, "a long, b long")
 
 
-def _products(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose overlap reaches the bound. sets: set_id, shingles (packed hashes)."""
+def _products(pairs: DataFrame, sets: DataFrame, rule: Rule, most: bool) -> DataFrame:
+    """The pairs (a, b) whose overlap reaches the bound. sets: set_id, shingles (packed hashes).
+    most: the pairs need most of the sets, so these are dealt out; else AQE goes by measured sizes."""
     spread = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     dealt = pairs.join(spread, "a").select("a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.col("b").alias("set_id"), F.lit(1).alias("side"))
     heads = spread.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("a").alias("set_id"), F.lit(0).alias("side"))
-    rows = dealt.unionByName(heads).hint("merge").join(sets.select("set_id", "shingles"), "set_id")  # grows with the corpus: never broadcast
+    wanted = dealt.unionByName(heads)
+    rows = (wanted.hint("merge") if most else wanted).join(sets.select("set_id", "shingles"), "set_id")
 
     def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         head = rows.loc[rows["side"] == 0, "shingles"]
@@ -343,7 +345,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             continue  # nothing untried across components in this step; the next looks wider
         tried = pairs.select("low", "high") if tried is None else tried.unionByName(pairs.select("low", "high"))
         likely = materialize(_likely(pairs.select("a", "b"), sets, rule), "likely")
-        found = materialize(_products(likely, sets, rule), "links")
+        found = materialize(_products(likely, sets, rule, step == "first"), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             merged = components(links)
