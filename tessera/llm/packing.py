@@ -38,7 +38,7 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PART = 100_000
 ROUNDS = 4
-_MEMORY = 150_000  # chunks whose ids a worker remembers
+_MEMORY = 300_000  # chunks whose ids a worker remembers
 _GROUP = 4000  # chunks encoded as one string
 #: 1: ASCII letters, 2: ASCII punctuation but the apostrophe. The vocabulary's pre-tokeniser always
 #: cuts between the two, so chunks are cut there as well and "word" and "word," share an entry.
@@ -150,7 +150,7 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Data
     ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in pieces(batches, "body"):
+        for batch, data, offsets in pieces(batches, "body", 2 << 20):
             ids, bounds = token_ids(data, offsets, tokenizer)
             doc_ids, copies = batch.column(0), batch.column(1)
             length = np.diff(bounds)
