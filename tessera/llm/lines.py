@@ -6,6 +6,10 @@ that two places share is certain to share a fingerprint. Windows are joined on t
 and extended over their whole width; matched windows that overlap merge into maximal runs, which
 extends a match both ways. All occurrences but the first, in order of doc_id and line, go.
 
+With `alone` a line of at least that many words, or of `ALONE_BYTES` bytes, is a match by itself, so
+that a passage of one line between other neighbours and a document of one line take part. It is off
+in op8, as OP8_SQL states runs of two lines and no others, and in the pipeline, whose test does.
+
 Only hashes are shuffled: one row per window, pre-aggregated per class. A class that a third of
 all documents share is one partially aggregated row on one side of the join and a splittable
 shuffle on the other.
@@ -23,39 +27,47 @@ from pyspark.sql import functions as F
 from tessera.llm._tables import materialize, read
 
 WINDOW = 2
+#: For `alone`: words, or bytes where a language has no spaces, from which one line is a passage.
+ALONE, ALONE_BYTES = 50, 300
 
 
-def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """One row per window: two 64-bit keys of its lines, its fingerprint and its lines' numbers."""
+def _windows(docs: DataFrame, window: int, alone: int | None) -> DataFrame:
+    """One row per window, or line that is long enough by itself: two 64-bit keys of its lines, its
+    fingerprint and its lines' numbers."""
     lines = F.filter(
         F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line"))),
         lambda x: F.trim(x["line"]) != "",
     )
-    rows = docs.select("doc_id", F.xxhash64("text").alias("body_key"), lines.alias("lines")).filter(F.size("lines") >= window)
-    rows = rows.select("doc_id", "body_key", F.col("lines.at").alias("at"), F.transform("lines", lambda x: F.xxhash64(x["line"])).alias("h"), F.transform("lines", lambda x: F.xxhash64(F.lit("second"), x["line"])).alias("g"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("body_key"), lines.alias("lines")).filter(F.size("lines") >= (window if alone is None else 1))
+    long_ = F.lit(False) if alone is None else F.transform("lines", lambda x: (F.octet_length(x["line"]) >= ALONE_BYTES) | (F.size(F.split(F.trim(x["line"]), r"\s+")) >= alone))
+    rows = rows.select("doc_id", "body_key", F.col("lines.at").alias("at"), F.transform("lines", lambda x: F.xxhash64(x["line"])).alias("h"), F.transform("lines", lambda x: F.xxhash64(F.lit("second"), x["line"])).alias("g"), long_.alias("long"))
     cut = lambda c, i: F.slice(c, i + 1, window)
-    every = F.transform(
-        F.sequence(F.lit(0), F.size("h") - window),
-        lambda i: F.struct(i.alias("ordinal"), F.array_min(cut("h", i)).alias("fingerprint"), F.xxhash64(cut("h", i)).alias("key"), F.xxhash64(cut("g", i)).alias("check"), cut("at", i).alias("at")),
-    )
+    run = lambda i, cut: F.struct(i.alias("ordinal"), F.array_min(cut("h", i)).alias("fingerprint"), F.xxhash64(cut("h", i)).alias("key"), F.xxhash64(cut("g", i)).alias("check"), cut("at", i).alias("at"))
+    if alone is None:
+        every = F.transform(F.sequence(F.lit(0), F.size("h") - window), lambda i: run(i, cut))
+    else:
+        one = lambda c, i: F.slice(c, i + 1, 1)
+        places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get("long", i))
+        starts = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: i <= F.size("h") - window)
+        every = F.concat(F.transform(starts, lambda i: run(i, cut)), F.transform(places, lambda i: run(i, one)))
     return rows.select("doc_id", "body_key", F.inline(every))
 
 
-def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_lines(docs: DataFrame, window: int = WINDOW, alone: int | None = None) -> DataFrame:
     """doc_id, body_key and the sorted numbers of the lines that belong to later repeated runs."""
     key = ["fingerprint", "key", "check"]
     place = F.struct("doc_id", "body_key", "ordinal")
-    found = _windows(docs, window)
+    found = _windows(docs, window, alone)
     classes = found.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last"))
     classes = materialize(classes.filter(F.col("first") < F.col("last")).drop("last"), "line-classes")
     later = found.join(classes, key).filter(F.struct(F.col("doc_id"), F.col("body_key"), F.col("ordinal")) > F.col("first"))
     return later.groupBy("doc_id", "body_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("gone"))
 
 
-def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, window: int = WINDOW, alone: int | None = None) -> DataFrame:
     """docs with `text` freed of later repeated runs, and `lines_total`, `lines_removed` beside it."""
     names = [c for c in docs.columns if c not in ("lines_total", "lines_removed")]
-    gone = repeated_lines(docs, window).select(F.col("doc_id").alias("_gone_id"), F.col("body_key").alias("_gone_key"), "gone")
+    gone = repeated_lines(docs, window, alone).select(F.col("doc_id").alias("_gone_id"), F.col("body_key").alias("_gone_key"), "gone")
     marked = docs.select(*names).join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_key")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")

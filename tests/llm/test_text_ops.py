@@ -157,6 +157,15 @@ def test_line_dedup(spark, window):
     assert out.filter("doc_id = 1").first()["text"] is None
 
 
+def test_long_single_lines(spark):
+    """A passage of one line between other neighbours, and a document of one line, go once repeated."""
+    passage = " ".join(f"w{k}" for k in range(60))
+    dense = "語" * 120  # no spaces: long by its bytes
+    rows = [(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, passage), (4, "short line"), (5, "short line"), (6, dense), (7, f"e\n{dense}"), (8, f"{passage} and more"), (9, None)]
+    got = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in lines.line_dedup(docs(spark, rows), alone=lines.ALONE).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("c\nd", 1), 3: ("", 1), 4: ("short line", 0), 5: ("short line", 0), 6: (dense, 0), 7: ("e", 1), 8: (rows[7][1], 0), 9: (None, 0)}
+
+
 # -- packing ----------------------------------------------------------------------------------
 
 
