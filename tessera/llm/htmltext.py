@@ -3,11 +3,16 @@
 Markup is stripped to lines: every block-level tag ends a line, inline tags don't, and elements
 that are boilerplate by their nature (menus, footers, side bars, adverts, notices, forms, scripts,
 styles, reader comments) leave nothing. Container borders leave `WINDOW` empty lines. Text lengths
-are summed over a sliding window of `WINDOW` lines; where the sum surges from nothing a block of
-text begins, where it dives to nothing the block ends, and everything between the two is kept,
-however short a line is. With an `article` or `main` element the lines outside it have no length,
-so all blocks found are the article's; without one, lines that are mostly link text have no
-length and the block with the most text is kept.
+are summed over a sliding window of `WINDOW` lines, lines outside articles that are mostly link text
+having none; where the sum surges from nothing a block of text begins, where it dives to nothing the
+block ends. A block is dense if its largest sum reaches `DENSE` characters or `SHARE` of the page's
+largest. Kept are all dense blocks, whatever lies between two of them, and a heading's block right
+before one; within a block everything is, however short a line is.
+
+Blocks of `article` or `main` elements are kept whole, and silence the lines outside them only if
+the largest such element holds at least as much text as the dense blocks outside: teaser cards
+beside a text don't. Where the text outside is longer than all of theirs, they are teasers and
+their blocks need to be dense as well.
 
 Pages are independent: one map, no shuffle, memory bounded by one Arrow batch.
 
@@ -19,6 +24,7 @@ gives an empty one; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -29,9 +35,11 @@ from tessera.llm._tables import read, ship
 
 WINDOW = 3
 LINK_SHARE = 0.6
+DENSE, SHARE = 86, 0.25
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</?\Z", re.S)
 _MARK = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text that no tag inside can end.
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
@@ -57,23 +65,22 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def strip_markup(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines as (text, characters of link text, inside an article), and whether any article has text."""
-    lines: list[tuple[str, int, bool]] = []
+def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
+    """Lines as (text, characters of link text, number of the outermost article or 0, in a heading)."""
+    lines: list[tuple[str, int, int, bool]] = []
     parts: list[str] = []
     linked = at = depth = links = 0
-    skip, nested, any_article = "", 0, False
+    skip, nested, article, heading = "", 0, 0, False
 
     def end_line(border: bool = False) -> None:
-        nonlocal linked, any_article
+        nonlocal linked
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, linked, depth > 0))
-            any_article |= depth > 0
+            lines.append((text, linked, article if depth else 0, heading))
         linked = 0
         if border:
-            lines.extend([("", 0, depth > 0)] * WINDOW)
+            lines.extend([("", 0, 0, False)] * WINDOW)
 
     for m in _TOKEN.finditer(html):
         if m.start() < at:
@@ -114,34 +121,60 @@ def strip_markup(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
         elif name not in INLINE:
             container = name in ("article", "main", "body", "section", "div", "table")
             end_line()
+            if name in HEADINGS:
+                heading = not closing
             if name in ("article", "main"):
                 end_line(border=True)
+                article += not closing and not depth
                 depth = max(0, depth + (-1 if closing else 1))
             if container and not depth:
                 end_line(border=True)
     if not skip and at < len(html):
         parts.append(html[at:])
     end_line()
-    return lines, any_article
+    return lines
 
 
-def main_text(html: str | None) -> str:
-    lines, any_article = strip_markup(html or "")
-    if any_article:
-        size = [len(t) if inside else 0 for t, _, inside in lines]
-    else:
-        size = [0 if link > LINK_SHARE * len(t) else len(t) for t, link, _ in lines]
-    blocks, start, total = [], -1, 0
+def _blocks(size: list[int]) -> list[tuple[int, int, int]]:
+    """(start, end, largest window sum) of each block."""
+    blocks, start, total, most = [], -1, 0, 0
     for i, n in enumerate([*size, *[0] * WINDOW]):
         total += n - (size[i - WINDOW] if i >= WINDOW else 0)  # text in lines i - WINDOW + 1 to i
+        most = max(most, total)
         if total and start < 0:
             start = i  # surge
         elif not total and start >= 0:
-            blocks.append((start, i - WINDOW + 1))  # dive
-            start = -1
-    if not any_article and blocks:
-        blocks = [max(blocks, key=lambda b: (sum(size[b[0] : b[1]]), -b[0]))]
-    return "\n".join(lines[i][0] for a, b in blocks for i in range(a, b) if size[i])
+            blocks.append((start, i - WINDOW + 1, most))  # dive
+            start, most = -1, 0
+    return blocks
+
+
+def _chosen(lines: list[tuple[str, int, int, bool]], size: list[int], whole: bool) -> list[tuple[int, int]]:
+    """The blocks that are text; whole: those of articles are so without being dense."""
+    blocks = _blocks(size)
+    least = min(DENSE, SHARE * max((most for *_, most in blocks), default=0))
+    keep = [most >= least or (whole and lines[a][2] > 0) for a, _, most in blocks]
+    dense = [k for k, x in enumerate(keep) if x]
+    for k in range(dense[0], dense[-1]) if dense else ():
+        keep[k] = True
+    for k in range(len(blocks) - 2, -1, -1):
+        a, b, _ = blocks[k]
+        keep[k] |= keep[k + 1] and all(lines[i][3] for i in range(a, b) if size[i])
+    return [(a, b) for (a, b, _), x in zip(blocks, keep) if x]
+
+
+def main_text(html: str | None) -> str:
+    lines = strip_markup(html or "")
+    size = [0 if not article and link > LINK_SHARE * len(t) else len(t) for t, link, article, _ in lines]
+    outer = [0 if article else n for n, (_, _, article, _) in zip(size, lines)]
+    held = Counter[int]()
+    for t, _, article, _ in lines:
+        held[article] += len(t) if article else 0
+    outside = sum(sum(outer[a:b]) for a, b in _chosen(lines, outer, False))
+    if 0 < outside <= max(held.values(), default=0):
+        size = [n if article else 0 for n, (_, _, article, _) in zip(size, lines)]
+    whole = outside <= sum(held.values())
+    return "\n".join(lines[i][0] for a, b in _chosen(lines, size, whole) for i in range(a, b) if size[i])
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:

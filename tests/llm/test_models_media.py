@@ -245,6 +245,20 @@ def test_main_text():
     assert [htmltext.main_text(x) for x in (None, "", "<p", "just text", "<article><p>cut off <a hre")] == ["", "", "", "just text", "cut off"]
 
 
+def test_main_text_of_several_blocks():
+    first, second, third = ("one two three four five six seven eight nine ten. " * n for n in (6, 9, 4))
+    parts = [first.strip(), second.strip(), "Yes.", third.strip()]
+    menu = "<div><a href=1>Home</a> <a href=2>About us</a></div>"
+    page = f"<body>{menu}<div><h1>Title</h1></div>" + "".join(f"<div><section><p>{p}</p></section></div>" for p in parts) + "<div>(c) us</div>"
+    assert htmltext.main_text(page) == "\n".join(["Title", *parts])
+    cards = "".join(f"<article><h3><a href={k}>Card {k}</a></h3><p>Short teaser {k}</p></article>" for k in range(20))
+    beside = htmltext.main_text(f"<body><div id=content><p>{first}</p><p>{second}</p></div>{cards}")
+    assert beside.startswith("\n".join(parts[:2]))  # many small articles don't silence the text beside them
+    assert htmltext.main_text(f"<body><div>{third}</div><article><p>{second}</p><div>x</div><div>y</div></article>") == f"{parts[1]}\nx\ny"
+    posts = "<article><p>ok</p></article>" + f"<article><p>{second}</p></article>" + "<article><p>thanks</p></article>"
+    assert htmltext.main_text(f"<body>{posts}<div>{third}</div>") == f"ok\n{parts[1]}\nthanks"
+
+
 @needs_tables
 def test_pages_hold_their_documents(spark):
     got = htmltext.op9_html_extraction(spark, SF).collect()
