@@ -2,7 +2,8 @@
 
 Markup is stripped to lines: every block-level tag ends a line, inline tags don't, and elements
 that are boilerplate by their nature (menus, footers, side bars, adverts, notices, forms, scripts,
-styles, reader comments) leave nothing. Container borders leave `WINDOW` empty lines. Text lengths
+styles, reader comments) leave nothing: by their tag, the attribute `hidden`, `display: none` in their
+style, or a class, id, role or label of a container that is boilerplate as a whole name. Container borders leave `WINDOW` empty lines. Text lengths
 are summed over a sliding window of `WINDOW` lines, lines outside articles that are mostly link text
 having none; where the sum surges from nothing a block of text begins, where it dives to nothing the
 block ends. A block is dense if its largest sum reaches `DENSE` characters or `SHARE` of the page's
@@ -37,7 +38,8 @@ WINDOW = 3
 LINK_SHARE = 0.6
 DENSE, SHARE = 86, 0.25
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</?\Z", re.S)
-_MARK = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,24 +47,43 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 SKIPPED = frozenset("head nav footer aside form menu dialog button select option svg canvas object template datalist audio video".split()) | RAW
 WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors banner cookie cookies consent notice notices alert gdpr popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs toc pager pagination footer comment comments disqus discussion replies respond share sharing social related recommended newsletter subscribe subscription signup login search widget promo promotion toolbar skip complementary contentinfo masthead topbar".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors banner cookie cookies consent notice notices alert gdpr popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs toc pager pagination footer comment comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login search widget promo promotion toolbar skip complementary contentinfo masthead topbar".split()
 )
 
 
+#: Elements that a class or id may mark as boilerplate; headings, paragraphs and inline text are none.
+CONTAINERS = frozenset("article center dd details div dl fieldset figure header li main ol section table tbody td tr ul".split())
+#: What a boilerplate word may be joined with in one name: cookie-notice, site-footer, ad-slot-2.
+AROUND = frozenset("area article articles bar block body bottom box button buttons card col column container content entry global group icons inner item items left link links list main media nav outer page panel post posts right row section site slot top unit user wrap wrapper zone".split())
+ROLES = frozenset("navigation complementary contentinfo search banner dialog alert alertdialog menu menubar toolbar".split())
+
+
+def _marked(token: str, words: frozenset[str]) -> bool:
+    """Whether a whole class or id is made of boilerplate words and what may stand around them."""
+    parts = {x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if len(x) > 1}
+    return not words.isdisjoint(parts) and parts <= words | AROUND
+
+
 def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     if name in SKIPPED:
         return True
     if name == "header":
         return not in_article
-    if name in ("html", "body", "article", "main") and not ("comment" in attributes.lower() and name == "article"):
+    if not attributes or name in ("html", "body", "main"):
         return False
-    if attributes:
-        for m in _MARK.finditer(attributes):
-            parts = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1] or m[2] or m[3] or "").lower())
-            if not WORDS.isdisjoint(parts) or (not in_article and "header" in parts):
-                return True
-        return bool(re.search(r"\bhidden\b|display\s*:\s*none", attributes, re.I))
-    return False
+    given: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if name == "article":  # a reader's comment may be one
+        return any(_marked(x, frozenset(("comment", "comments"))) for x in given.get("class", "").split())
+    if "hidden" in given or _NONE.search(given.get("style", "")):
+        return True
+    if name not in CONTAINERS:
+        return False
+    names = given.get("class", "").split() + ([] if name == "section" else given.get("id", "").split())  # a section's id is its anchor
+    if not ROLES.isdisjoint(given.get("role", "").lower().split()) or any(_marked(x, WORDS) for x in [*names, given.get("aria-label", "")]):
+        return True
+    return not in_article and any(x.lower() in ("header", "site-header") for x in names)
 
 
 def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:

@@ -245,6 +245,23 @@ def test_main_text():
     assert [htmltext.main_text(x) for x in (None, "", "<p", "just text", "<article><p>cut off <a hre")] == ["", "", "", "just text", "cut off"]
 
 
+@pytest.mark.parametrize(
+    "kept",
+    [
+        '<div style="overflow:hidden">{}</div>', '<div class="overflow-hidden">{}</div>', '<div aria-hidden="false">{}</div>', '<a href="/hidden-gems">{}</a>', '<a href="?id=search">{}</a>', '<section id="discussion">{}</section>',
+        '<section id="search">{}</section>', '<h2 id="related-work">{}</h2>', '<p class="ad-hoc">{}</p>', '<div class="ad-hoc">{}</div>', '<div class="no-sidebar">{}</div>', '<div data-class="ad" title="display: none">{}</div>', '<p data-note="x hidden">{}</p>',
+    ],
+)
+def test_text_that_only_looks_like_boilerplate(kept):
+    assert htmltext.main_text(f"<article><p>one</p>{kept.format('two')}<p>three</p></article>").split() == ["one", "two", "three"]
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'HIDDEN=""', 'style="color:red; display : none"', "class='post cookie-notice'", "class=siteFooter", "id=sidebar", "id='ad-slot-2'", "role=navigation", 'aria-label="Cookie consent"'])
+def test_marked_boilerplate(attributes):
+    assert htmltext.main_text(f"<article><p>one</p><div {attributes}>two</div><p>three</p></article>").split() == ["one", "three"]
+    assert htmltext.main_text("<article><p>one</p></article><article class='comment'>no</article>") == "one"
+
+
 def test_main_text_of_several_blocks():
     first, second, third = ("one two three four five six seven eight nine ten. " * n for n in (6, 9, 4))
     parts = [first.strip(), second.strip(), "Yes.", third.strip()]
