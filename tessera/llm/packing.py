@@ -6,10 +6,12 @@ gathered by numpy. Documents longer than the capacity, and only they, are cut.
 
 Packing: pieces go to `parts` partitions by a hash of doc_id. Best-fit decreasing packs each
 (open bins are kept by free space, so a piece costs O(1)), and dual-feasible functions give a
-lower bound on its bins. A partition that meets its bound is certified and done. The others give
-up the pieces of every bin that isn't full; these are dealt anew, to half as many partitions each
-round, and packed again, until the bound is met, one partition is left or `ROUNDS` are over. A
-round's result is kept only where it has fewer bins, so exchanging never costs sequences.
+lower bound on its bins. A partition that meets its bound is certified and done. The others are
+packed in slightly disturbed orders, too, and where that doesn't help give up every bin that isn't
+full; these bins are dealt anew, whole, to as few groups as hold them, and each group packs its
+pieces again, in descending and in disturbed orders. A group's new packing is taken only where it
+has fewer bins than were dealt to it, so exchanging never costs sequences. This goes on, with one partition too, until all bounds are met, or `ROUNDS` are over and
+the last one shrank no gap; what is left then stays uncertified.
 
 Only (doc_id, piece, length) rows are shuffled, 24 bytes a piece. Partitions hold some
 `PIECES_PER_PART` pieces however large the corpus is.
@@ -38,6 +40,8 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PART = 100_000
 ROUNDS = 4
+#: Pieces placed in a group and round while it misses its bound, and the most orders tried.
+WORK, TRIES = 1_000_000, 256
 _MEMORY = 300_000  # chunks whose ids a worker remembers
 _GROUP = 4000  # chunks encoded as one string
 #: 1: ASCII letters, 2: ASCII punctuation but the apostrophe. The vocabulary's pre-tokeniser always
@@ -202,11 +206,26 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return np.array(bins, np.int64), np.array(offsets, np.int64)
 
 
-_PACKED = "doc_id long, copy long, piece int, start long, length long, ids_crc32 long, part int, bin long, offset long, settled boolean"
+def repack(lengths: np.ndarray, bins: np.ndarray, offsets: np.ndarray, capacity: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """A packing of lengths, sorted in descending order, in fewer bins than given; else the given one."""
+    rng, most, least = np.random.default_rng(seed), int(bins.max()) + 1, lower_bound(lengths, capacity)
+    for k in range(min(TRIES, 2 + WORK // len(lengths))):
+        if most <= least:
+            break
+        order = np.argsort(-lengths * rng.uniform(0.9, 1, len(lengths)), kind="stable") if k else np.arange(len(lengths))
+        b, o = best_fit(lengths[order], capacity)
+        if b.max() + 1 < most:
+            most, bins, offsets = int(b.max()) + 1, np.empty_like(b), np.empty_like(o)
+            bins[order], offsets[order] = b, o
+    return bins, offsets
+
 
+_PACKED = "doc_id long, copy long, piece int, start long, length long, ids_crc32 long, part int, bin long, offset long, settled boolean, gap long"
 
-def _pack_round(rows: DataFrame, parts: int, seed: int, capacity: int, last: bool) -> DataFrame:
-    """Pack each of `parts` partitions; `settled` marks what stays: certified partitions and full bins."""
+
+def _pack_round(rows: DataFrame, parts: int, k: int, capacity: int) -> DataFrame:
+    """Pack each of `parts` partitions, from the second round on those of whole bins; `settled` marks
+    what stays: certified partitions and full bins. gap: bins of the partition above its bound."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]
@@ -215,31 +234,33 @@ def _pack_round(rows: DataFrame, parts: int, seed: int, capacity: int, last: boo
         for part, rows in pd.concat(got).groupby("part", sort=True):
             rows = rows.sort_values(["length", "doc_id", "piece", "start", "copy"], ascending=[False, True, True, True, True], ignore_index=True)
             size = rows["length"].to_numpy()
-            rows["bin"], rows["offset"] = best_fit(size, capacity)
+            bins = (rows.groupby(["home", "bin"], sort=False).ngroup().to_numpy(), rows["offset"].to_numpy()) if k else best_fit(size, capacity)
+            rows["bin"], rows["offset"] = repack(size, *bins, capacity, k)
             used = np.bincount(rows["bin"].to_numpy(), weights=size)
-            certified = last or len(used) <= lower_bound(size, capacity)
-            rows["settled"] = certified | (used[rows["bin"].to_numpy()] == capacity)
-            yield rows[["doc_id", "copy", "piece", "start", "length", "ids_crc32", "part", "bin", "offset", "settled"]]
+            rows["gap"] = len(used) - lower_bound(size, capacity)
+            rows["settled"] = (rows["gap"] <= 0) | (used[rows["bin"].to_numpy()] == capacity)
+            yield rows[["doc_id", "copy", "piece", "start", "length", "ids_crc32", "part", "bin", "offset", "settled", "gap"]]
 
-    part = F.pmod(F.xxhash64("doc_id", "copy", "piece", F.lit(seed)), F.lit(parts)).cast("int")
-    return rows.withColumn("part", part).repartition(parts, "part").mapInPandas(pack, _PACKED)
+    dealt = F.xxhash64("home", "bin", F.lit(k)) if k else F.xxhash64("doc_id", "copy", "piece", F.lit(k))
+    return rows.withColumn("part", F.pmod(dealt, F.lit(parts)).cast("int")).repartition(parts, "part").mapInPandas(pack, _PACKED)
 
 
 def pack(pieces_: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, per_part: int = PIECES_PER_PART) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece."""
     parts = max(1, -(-pieces_.count() // per_part))
-    done, rest = [], pieces_
-    for k in range(rounds):
-        last = parts == 1 or k == rounds - 1
-        packed = materialize(_pack_round(rest, parts, k, capacity, last), "packing-round")
-        number = F.col("bin") * F.lit(1 << 22) + F.col("part") * F.lit(8) + F.lit(k)
-        done.append(packed.filter("settled").select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset"))
-        if last:
-            break
-        rest = packed.filter("not settled").select("doc_id", "copy", "piece", "start", "length", "ids_crc32")
-        if rest.isEmpty():
+    done, rest, last_gap = [], pieces_, None
+    for k in range(256):  # the round's number is a byte of sequence_id
+        packed = materialize(_pack_round(rest, parts, k, capacity), "packing-round")
+        number = F.col("bin") * F.lit(1 << 32) + F.col("part") * F.lit(1 << 8) + F.lit(k)
+        numbered = packed.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset", "settled")
+        left = packed.filter("not settled")
+        groups = left.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("gap")).agg(F.sum("n").alias("n"), F.sum("gap").alias("gap")).first()
+        if not groups["n"] or k == 255 or (k + 1 >= rounds and last_gap is not None and groups["gap"] >= last_gap) or rounds <= 1:
+            done.append(numbered.drop("settled"))
             break
-        parts = max(1, min(parts // 2, -(-rest.count() // per_part)))
+        done.append(numbered.filter("settled").drop("settled"))
+        rest = left.select("doc_id", "copy", "piece", "start", "length", "ids_crc32", F.col("part").alias("home"), "bin", "offset")
+        parts, last_gap = -(-groups["n"] // per_part), groups["gap"]
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

@@ -215,6 +215,30 @@ def test_packing(spark):
     assert packing.pack_documents(empty(spark), packing.default_tokenizer()).count() == 0
 
 
+def test_exchange_never_costs_and_closes_gaps(spark):
+    rng = np.random.default_rng(24)
+    size = np.sort(rng.integers(15, 60, 40))[::-1]
+    bins, offsets = packing.best_fit(size, 100)
+    assert bins.max() + 1 > packing.lower_bound(size, 100)
+    rows = [(i, 0, 0, 0, int(n), 0) for i, n in enumerate(size)]
+    pieces = spark.createDataFrame(rows, "doc_id long, copy long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(pieces, 100).toPandas()  # one partition with a gap is exchanged, too
+    assert got["sequence_id"].nunique() == packing.lower_bound(size, 100) and len(got) == len(rows)
+    used = {}
+    for rounds in (1, 2, 5):
+        got = packing.pack(pieces, 100, rounds=rounds, per_part=7).toPandas()
+        assert sorted(got["doc_id"]) == list(range(40))
+        for _, x in got.sort_values("offset").groupby("sequence_id"):
+            assert x["length"].sum() <= 100 and x["offset"].tolist() == [0, *x["length"].cumsum()[:-1]]
+        used[rounds] = got["sequence_id"].nunique()
+    assert used[1] >= used[2] >= used[5]
+    for seed in range(50):  # nothing is taken that has more bins than before
+        size = np.sort(np.random.default_rng(seed).integers(1, 100, 30))[::-1]
+        good, at = packing.best_fit(size, 100)
+        b, o = packing.repack(size, good, at, 100, seed)
+        assert b.max() <= good.max() and np.bincount(b, weights=size).max() <= 100
+
+
 # -- fingerprints -----------------------------------------------------------------------------
 
 
