@@ -1,10 +1,9 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by exact grouping of windows of line hashes.
 
-A document is its sequence of non-blank lines. Every window of `window` consecutive lines
-selects the line with the smallest hash as its fingerprint, so a run of at least `window` lines
-that two places share is certain to share a fingerprint. Windows are joined on that fingerprint
-and extended over their whole width; matched windows that overlap merge into maximal runs, which
-extends a match both ways. All occurrences but the first, in order of doc_id and line, go.
+A document is its sequence of non-blank lines. Every window of `window` consecutive lines is
+emitted, none selected as winnowing would, and windows are grouped by two hashes of all their lines;
+the smallest line hash is a grouping column beside. Matched windows that overlap merge into maximal
+runs. All occurrences but the first, in order of doc_id and line, go.
 
 With `alone` a line of at least that many words, or of `ALONE_BYTES` bytes, is a match by itself, so
 that a passage of one line between other neighbours and a document of one line take part. It is off
