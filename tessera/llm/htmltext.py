@@ -3,8 +3,9 @@
 Markup is stripped to lines: every block-level tag ends a line, inline tags don't, and elements
 that are boilerplate by their nature (menus, footers, side bars, adverts, notices, forms, scripts,
 styles, reader comments) leave nothing: by their tag, the attribute `hidden`, `display: none` in their
-style, or a class, id, role or label of a container that is boilerplate as a whole name. Container borders leave `WINDOW` empty lines. Text lengths
-are summed over a sliding window of `WINDOW` lines, lines outside articles that are mostly link text
+style, or a class, id, role or label of a container that is boilerplate as a whole name. What is
+left out ends where HTML ends it, with or without an end tag. Container borders leave `WINDOW` empty
+lines. Text lengths are summed over a sliding window of `WINDOW` lines, lines outside articles that are mostly link text
 having none; where the sum surges from nothing a block of text begins, where it dives to nothing the
 block ends. A block is dense if its largest sum reaches `DENSE` characters or `SHARE` of the page's
 largest. Kept are all dense blocks, whatever lies between two of them, and a heading's block right
@@ -13,7 +14,8 @@ before one; within a block everything is, however short a line is.
 Blocks of `article` or `main` elements are kept whole, and silence the lines outside them only if
 the largest such element holds at least as much text as the dense blocks outside: teaser cards
 beside a text don't. Where the text outside is longer than all of theirs, they are teasers and
-their blocks need to be dense as well.
+their blocks need to be dense as well. Each line is one block of the page; blocks are joined by an
+empty line.
 
 Pages are independent: one map, no shuffle, memory bounded by one Arrow batch.
 
@@ -51,10 +53,21 @@ WORDS = frozenset(
 )
 
 
-#: Elements that a class or id may mark as boilerplate; headings, paragraphs and inline text are none.
-CONTAINERS = frozenset("article center dd details div dl fieldset figure header li main ol section table tbody td tr ul".split())
+#: Elements that a class or id may mark as boilerplate (a paragraph only by its class); headings and
+#: inline text are none.
+CONTAINERS = frozenset("article center dd details div dl fieldset figure header li main ol p section table tbody td tr ul".split())
 #: What a boilerplate word may be joined with in one name: cookie-notice, site-footer, ad-slot-2.
 AROUND = frozenset("area article articles bar block body bottom box button buttons card col column container content entry global group icons inner item items left link links list main media nav outer page panel post posts right row section site slot top unit user wrap wrapper zone".split())
+#: Elements whose end tag may be left out: the start tags that end them, the end tags that do, and
+#: the elements inside which neither does.
+_CLOSERS = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+_ROWS, _LISTS, _TABLE = frozenset(("tr", "tbody", "thead", "tfoot")), frozenset(("ul", "ol", "menu")), frozenset(("table",))
+_ITEM = (frozenset(("dt", "dd")), frozenset(("dl",)), frozenset(("dl",)))
+_CELL = (_ROWS | {"td", "th"}, _ROWS | _TABLE, _TABLE)
+IMPLIED = {
+    "p": (_CLOSERS, (_CLOSERS - {"p"}) | {"body", "html", "li", "td", "th", "dd"}, frozenset()),
+    "li": (frozenset(("li",)), _LISTS, _LISTS), "dt": _ITEM, "dd": _ITEM, "td": _CELL, "th": _CELL, "tr": (_ROWS, _TABLE | {"tbody", "thead", "tfoot"}, _TABLE),
+}
 ROLES = frozenset("navigation complementary contentinfo search banner dialog alert alertdialog menu menubar toolbar".split())
 
 
@@ -80,7 +93,7 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if name not in CONTAINERS:
         return False
-    names = given.get("class", "").split() + ([] if name == "section" else given.get("id", "").split())  # a section's id is its anchor
+    names = given.get("class", "").split() + ([] if name in ("section", "p") else given.get("id", "").split())  # a section's or paragraph's id is its anchor
     if not ROLES.isdisjoint(given.get("role", "").lower().split()) or any(_marked(x, WORDS) for x in [*names, given.get("aria-label", "")]):
         return True
     return not in_article and any(x.lower() in ("header", "site-header") for x in names)
@@ -91,7 +104,7 @@ def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
     lines: list[tuple[str, int, int, bool]] = []
     parts: list[str] = []
     linked = at = depth = links = 0
-    skip, nested, article, heading = "", 0, 0, False
+    skip, nested, fenced, article, heading = "", 0, 0, 0, False
 
     def end_line(border: bool = False) -> None:
         nonlocal linked
@@ -114,16 +127,20 @@ def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
             continue
         name, closing = m[2].lower(), bool(m[1])
         if skip:
-            if name == skip:
+            starts, ends, fences = IMPLIED.get(skip, (frozenset(), frozenset(), frozenset()))
+            if not fenced and nested == 1 and name in (ends if closing else starts):
+                skip = ""  # ended by this tag, which counts by itself
+            elif name == skip and not fenced:
                 nested += -1 if closing else not m[3].endswith("/")
                 if nested <= 0:
                     skip = ""
-            elif name in ("article", "main") and not closing and skip not in RAW and not _boilerplate(name, m[3], False):
+                    continue
+            elif name in fences:
+                fenced = max(0, fenced + (-1 if closing else 1))
+            elif name in ("article", "main") and skip not in RAW and (depth > 0 if closing else not _boilerplate(name, m[3], False)):
                 skip = ""
             if skip:
                 continue
-            if closing:
-                continue
         if name == "br":
             parts.append(" ")
         elif name in VOID:
@@ -136,7 +153,7 @@ def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
                 end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
             elif not m[3].endswith("/"):
-                skip, nested = name, 1
+                skip, nested, fenced = name, 1, 0
         elif name == "a":
             links = max(0, links + (-1 if closing else 1))
         elif name not in INLINE:
@@ -195,7 +212,7 @@ def main_text(html: str | None) -> str:
     if 0 < outside <= max(held.values(), default=0):
         size = [n if article else 0 for n, (_, _, article, _) in zip(size, lines)]
     whole = outside <= sum(held.values())
-    return "\n".join(lines[i][0] for a, b in _chosen(lines, size, whole) for i in range(a, b) if size[i])
+    return "\n\n".join(lines[i][0] for a, b in _chosen(lines, size, whole) for i in range(a, b) if size[i])
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
@@ -223,6 +240,6 @@ OP9_SQL = r"""
 WITH article AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1), '</?(?:p|h1)[^>]*(?:>|$)') AS blocks FROM pages
 ), bare AS (
   SELECT page_id, url, list_transform(blocks, lambda b: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '</?[a-z!][^>]*(?:>|$)|</?$', '', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM article
-), joined AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10)) AS text FROM bare)
+), joined AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10) || chr(10)) AS text FROM bare)
 SELECT page_id, url, text, length(text) AS n_chars FROM joined
 """

@@ -239,9 +239,9 @@ def test_main_text():
     page = """<!DOCTYPE html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body><header>top</header><nav><a href=x>menu</a></nav>
     <div class="cookie-notice">we use</div><article><h1>Head &amp; Shoulders</h1><p>One  <b>bo</b>ld.<br>Two<p>x&lt;y &#233;</p><!-- no --><div class='ad'>buy</div><aside>side</aside><p></p><p></p><p></p><p>short</p>
     <form>f</form><section class="comments"><p>bad</p></section></article><div id="sidebar"><p>more</p></div><footer>&copy;</footer></body>"""
-    assert htmltext.main_text(page) == "Head & Shoulders\nOne bold. Two\nx<y é\nshort"
+    assert htmltext.main_text(page) == "Head & Shoulders\n\nOne bold. Two\n\nx<y é\n\nshort"
     plain = "<body><div><a href=1>a</a> <a href=2>b</a></div><div><h2>T</h2><p>long enough text here</p><p>b</p></div><div><p>tiny</p></div><div class=footer>z"
-    assert htmltext.main_text(plain) == "T\nlong enough text here\nb"
+    assert htmltext.main_text(plain) == "T\n\nlong enough text here\n\nb"
     assert [htmltext.main_text(x) for x in (None, "", "<p", "just text", "<article><p>cut off <a hre")] == ["", "", "", "just text", "cut off"]
 
 
@@ -267,20 +267,43 @@ def test_main_text_of_several_blocks():
     parts = [first.strip(), second.strip(), "Yes.", third.strip()]
     menu = "<div><a href=1>Home</a> <a href=2>About us</a></div>"
     page = f"<body>{menu}<div><h1>Title</h1></div>" + "".join(f"<div><section><p>{p}</p></section></div>" for p in parts) + "<div>(c) us</div>"
-    assert htmltext.main_text(page) == "\n".join(["Title", *parts])
+    assert htmltext.main_text(page) == "\n\n".join(["Title", *parts])
     cards = "".join(f"<article><h3><a href={k}>Card {k}</a></h3><p>Short teaser {k}</p></article>" for k in range(20))
     beside = htmltext.main_text(f"<body><div id=content><p>{first}</p><p>{second}</p></div>{cards}")
-    assert beside.startswith("\n".join(parts[:2]))  # many small articles don't silence the text beside them
-    assert htmltext.main_text(f"<body><div>{third}</div><article><p>{second}</p><div>x</div><div>y</div></article>") == f"{parts[1]}\nx\ny"
+    assert beside.startswith("\n\n".join(parts[:2]))  # many small articles don't silence the text beside them
+    assert htmltext.main_text(f"<body><div>{third}</div><article><p>{second}</p><div>x</div><div>y</div></article>") == f"{parts[1]}\n\nx\n\ny"
     posts = "<article><p>ok</p></article>" + f"<article><p>{second}</p></article>" + "<article><p>thanks</p></article>"
-    assert htmltext.main_text(f"<body>{posts}<div>{third}</div>") == f"ok\n{parts[1]}\nthanks"
+    assert htmltext.main_text(f"<body>{posts}<div>{third}</div>") == f"ok\n\n{parts[1]}\n\nthanks"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<p class="notice">no<p>two</p>', '<p class="notice">no <b>way</b><div>two</div>', '<ul><li class="share">no<ul><li>no</ul><li>two</ul>', '<ul><li class="share">no</ul><p>two', '<dl><dt>two<dd class="ad">no</dl>',
+        '<table><tr><td class="ad">no<table><tr><td>no</table><td>two</table>', '<table><tr class="ad"><td>no<tr><td>two</table>', '<div><p class="advert">no</div><p>two', '<div class="ad">no<div>no</div></div>two', '<span class="market-share">two</span>', '<p title="the hidden valley">two</p>',
+    ],
+)
+def test_implied_ends(page):
+    assert htmltext.main_text(f"<article><p>one</p>{page}<p>three</p></article>") == "one\n\ntwo\n\nthree"
+    assert htmltext.main_text(f"<article><p>one</p>{page}</article>") == "one\n\ntwo"
+
+
+def test_blocks_and_borders(spark):
+    assert htmltext.main_text("<article><h1>T</h1><p>one</p><p>two</p></article>") == "T\n\none\n\ntwo"
+    assert htmltext.main_text("<article><p>one<div class=ad>never closed</article><footer>f</footer>") == "one"
+    long_ = "<article>" + "<p>word and word</p>" * 50_000
+    rows = [(1, "u", long_), (1, "u", long_), (2, None, None), (3, "v", ""), (4, "v", "   ")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit(0))
+    got = sorted((r["page_id"], r["n_chars"]) for r in htmltext.extract(pages, ["page_id", "url"]).collect())
+    assert got == [(1, 50_000 * 15 - 2), (1, 50_000 * 15 - 2), (2, 0), (3, 0), (4, 0)]
+    assert htmltext.extract(pages.filter("page_id < 0"), ["page_id"]).count() == 0
 
 
 @needs_tables
 def test_pages_hold_their_documents(spark):
     got = htmltext.op9_html_extraction(spark, SF).collect()
-    texts = {"\n".join(" ".join(x.split()) for x in t.split("\n") if x.strip()) for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()}
-    assert sum(r["text"].split("\n", 1)[-1] in texts for r in got) == len(got) and all(r["n_chars"] == len(r["text"]) for r in got)
+    texts = {"\n\n".join(" ".join(x.split()) for x in t.split("\n") if x.strip()) for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()}
+    assert sum(r["text"].split("\n\n", 1)[-1] in texts for r in got) == len(got) and all(r["n_chars"] == len(r["text"]) for r in got)
 
 
 # -- mixing -----------------------------------------------------------------------------------
