@@ -1,81 +1,95 @@
-"""Line dedup by exact grouping of windows of line hashes.
+"""Line dedup by winnowing over line hashes.
 
-A document is its sequence of non-blank lines. Every window of `window` consecutive lines is
-emitted, none selected as winnowing would, and windows are grouped by two hashes of all their lines;
-the smallest line hash is a grouping column beside. Matched windows that overlap merge into maximal
-runs. All occurrences but the first, in order of doc_id and line, go.
+A document is its sequence of non-blank lines. In every window of `window` consecutive lines the
+one with the least hash (of several the last) is selected; these minima are the document's
+fingerprints. Two documents that share a run of `window` lines or more have a fingerprint in it in
+common, so only selected positions are dealt by hash, and those whose fingerprint occurs nowhere
+else go no further. From each shared position the match is extended to both sides: to every
+window of which it is the minimum, compared by two 64-bit hashes of all its lines. A run that goes on
+beyond a window has the next fingerprint there, so overlapping windows merge into maximal runs. All
+occurrences but the first, in order of doc_id and line, go.
 
-With `alone` a line of at least that many words, or of `ALONE_BYTES` bytes, is a match by itself, so
-that a passage of one line between other neighbours and a document of one line take part. It is off
-in op8, as OP8_SQL states runs of two lines and no others, and in the pipeline, whose test does.
+A line of at least `ALONE` words, or of `ALONE_BYTES` bytes, is a window by itself and its own
+fingerprint, so that a passage of one line between other neighbours and a document of one line
+take part.
 
-Only hashes are shuffled: one row per window, pre-aggregated per class. A class that a third of
-all documents share is one partially aggregated row on one side of the join and a splittable
-shuffle on the other.
+Only hashes are shuffled: one row per fingerprint, pre-aggregated per hash. A line that a third of
+all documents share is one partially aggregated row on one side of a join and a splittable
+shuffle on the other; what survives the first join is written, so no aggregation hangs on it.
 
 Defined results: a null text is an empty one and keeps its null; blank lines never start or join
-a match and stay; a document whose rows are repeated counts once; documents without a repeated
-run come back unchanged; an empty table gives an empty table; other columns pass through.
+a match and stay; a document whose rows are repeated counts once, and documents without doc_id
+come before all others, in order of a hash of their text; documents without a repeated run come
+back unchanged; an empty table gives an empty table; other columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm._tables import materialize, read
 
 WINDOW = 2
-#: For `alone`: words, or bytes where a language has no spaces, from which one line is a passage.
+#: Words, or bytes where a language has no spaces, from which one line is a passage.
 ALONE, ALONE_BYTES = 50, 300
 
 
-def _windows(docs: DataFrame, window: int, alone: int | None) -> DataFrame:
-    """One row per window, or line that is long enough by itself: two 64-bit keys of its lines, its
-    fingerprint and its lines' numbers."""
+def _is_long(line: Column, alone: int) -> Column:
+    return (F.octet_length(line) >= ALONE_BYTES) | (F.size(F.split(F.trim(line), r"[\x20\x09-\x0D]+")) >= alone)
+
+
+def selected(docs: DataFrame, window: int, alone: int | None) -> DataFrame:
+    """One row per fingerprint: doc_id, body_key, its hash, its position among the non-blank lines, and
+    `windows`, those that it is the minimum of: first position, two keys, line numbers."""
     lines = F.filter(
         F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line"))),
         lambda x: F.trim(x["line"]) != "",
     )
     rows = docs.select("doc_id", F.xxhash64("text").alias("body_key"), lines.alias("lines")).filter(F.size("lines") >= (window if alone is None else 1))
-    long_ = F.lit(False) if alone is None else F.transform("lines", lambda x: (F.octet_length(x["line"]) >= ALONE_BYTES) | (F.size(F.split(F.trim(x["line"]), r"\s+")) >= alone))
-    rows = rows.select("doc_id", "body_key", F.col("lines.at").alias("at"), F.transform("lines", lambda x: F.xxhash64(x["line"])).alias("h"), F.transform("lines", lambda x: F.xxhash64(F.lit("second"), x["line"])).alias("g"), long_.alias("long"))
-    cut = lambda c, i: F.slice(c, i + 1, window)
-    run = lambda i, cut: F.struct(i.alias("ordinal"), F.array_min(cut("h", i)).alias("fingerprint"), F.xxhash64(cut("h", i)).alias("key"), F.xxhash64(cut("g", i)).alias("check"), cut("at", i).alias("at"))
-    if alone is None:
-        every = F.transform(F.sequence(F.lit(0), F.size("h") - window), lambda i: run(i, cut))
-    else:
-        one = lambda c, i: F.slice(c, i + 1, 1)
-        places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get("long", i))
-        starts = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: i <= F.size("h") - window)
-        every = F.concat(F.transform(starts, lambda i: run(i, cut)), F.transform(places, lambda i: run(i, one)))
-    return rows.select("doc_id", "body_key", F.inline(every))
-
-
-def repeated_lines(docs: DataFrame, window: int = WINDOW, alone: int | None = None) -> DataFrame:
+    places = F.array().cast("array<int>") if alone is None else F.filter(F.transform("lines", lambda x, i: F.when(_is_long(x["line"], alone), i)), lambda i: i.isNotNull())
+    rows = rows.select(
+        "doc_id", "body_key", F.col("lines.at").alias("at"), F.transform("lines", lambda x: F.xxhash64(x["line"])).alias("h"),
+        F.transform("lines", lambda x: F.xxhash64(F.lit("second"), x["line"])).alias("g"), places.alias("places"),
+    )
+    starts = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: i <= F.size("h") - window)
+    cut = lambda c, i, n: F.slice(c, i + 1, n)
+    least = lambda x: F.size(x) - F.array_position(F.reverse(x), F.array_min(x)).cast("int")  # noqa: E731  # the last of equal minima
+    rows = rows.withColumn("minima", F.transform(starts, lambda i: i + least(cut("h", i, window))))
+    run = lambda i, n: F.struct(i.alias("start"), F.xxhash64(cut("h", i, n)).alias("key"), F.xxhash64(cut("g", i, n)).alias("check"), cut("at", i, n).alias("at"))
+    around = lambda p: F.filter(F.sequence(F.greatest(F.lit(0), p - (window - 1)), F.least(p, F.size("minima") - 1)), lambda i: F.get("minima", i) == p)
+    found = F.transform(F.array_distinct("minima"), lambda p: F.struct(F.get("h", p).alias("fingerprint"), p.alias("position"), F.transform(around(p), lambda i: run(i, window)).alias("windows")))
+    single = F.transform("places", lambda p: F.struct(F.xxhash64(F.lit("alone"), F.get("h", p)).alias("fingerprint"), p.alias("position"), F.array(run(p, 1)).alias("windows")))
+    return rows.select("doc_id", "body_key", F.inline(found if alone is None else F.concat(found, single)))
+
+
+def repeated_lines(docs: DataFrame, window: int = WINDOW, alone: int | None = ALONE) -> DataFrame:
     """doc_id, body_key and the sorted numbers of the lines that belong to later repeated runs."""
-    key = ["fingerprint", "key", "check"]
-    place = F.struct("doc_id", "body_key", "ordinal")
-    found = _windows(docs, window, alone)
-    classes = found.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    classes = materialize(classes.filter(F.col("first") < F.col("last")).drop("last"), "line-classes")
-    later = found.join(classes, key).filter(F.struct(F.col("doc_id"), F.col("body_key"), F.col("ordinal")) > F.col("first"))
+    found = selected(docs, window, alone)
+    place = F.struct("doc_id", "body_key", "position")
+    shared = found.groupBy("fingerprint").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(F.col("first") < F.col("last")).select("fingerprint")
+    matched = found.join(shared, "fingerprint").select("doc_id", "body_key", F.inline("windows"))
+    matched = materialize(matched, "line-windows")
+    here = F.struct("doc_id", "body_key", "start")
+    classes = matched.groupBy("key", "check").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter(F.col("first") < F.col("last")).drop("last")
+    later = matched.join(classes, ["key", "check"]).filter(here > F.col("first"))
     return later.groupBy("doc_id", "body_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("gone"))
 
 
-def line_dedup(docs: DataFrame, window: int = WINDOW, alone: int | None = None) -> DataFrame:
-    """docs with `text` freed of later repeated runs, and `lines_total`, `lines_removed` beside it."""
+def line_dedup(docs: DataFrame, window: int = WINDOW, alone: int | None = ALONE) -> DataFrame:
+    """docs with `text` freed of later repeated runs, and `lines_total`, `lines_removed` beside it.
+    alone None: runs of `window` lines only."""
     names = [c for c in docs.columns if c not in ("lines_total", "lines_removed")]
-    gone = repeated_lines(docs, window, alone).select(F.col("doc_id").alias("_gone_id"), F.col("body_key").alias("_gone_key"), "gone")
-    marked = docs.select(*names).join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_key")), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
-    out = marked.withColumns({
-        "lines_total": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
-        "lines_removed": F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")),
-        "text": F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept),
-    })
-    return out.select(*names, "lines_total", "lines_removed")
+    rows = docs.select(F.struct(*names).alias("row"))  # one name of ours, so that none of theirs clashes
+    gone = repeated_lines(docs, window, alone).select(F.col("doc_id").alias("gone_id"), F.col("body_key").alias("gone_key"), "gone")
+    marked = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("row.text") == F.col("gone_key")), "left")
+    marked = marked.select("row", "gone", F.split("row.text", "\n", -1).alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
+    total = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
+    kept = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names]
+    return marked.select(*kept, total.alias("lines_total"), removed.alias("lines_removed"))
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
@@ -91,7 +105,7 @@ def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
     )
 
 
-OP8_SQL = """
+OP8_SQL = r"""
 WITH cut AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), line AS (
@@ -102,9 +116,13 @@ WITH cut AS (
 ), ranked AS (
   SELECT doc_id, nr, next_nr, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, nr) AS nth
   FROM solid WHERE next_nr IS NOT NULL
+), alone AS (
+  SELECT doc_id, nr, row_number() OVER (PARTITION BY line ORDER BY doc_id, nr) AS nth
+  FROM solid WHERE strlen(line) >= 300 OR len(regexp_split_to_array(trim(line, ' '), '[\x20\x09-\x0D]+')) >= 50
 ), gone AS (
   SELECT DISTINCT doc_id, nr FROM (
-    SELECT doc_id, nr FROM ranked WHERE nth > 1 UNION ALL SELECT doc_id, next_nr FROM ranked WHERE nth > 1)
+    SELECT doc_id, nr FROM ranked WHERE nth > 1 UNION ALL SELECT doc_id, next_nr FROM ranked WHERE nth > 1
+    UNION ALL SELECT doc_id, nr FROM alone WHERE nth > 1)
 ), kept AS (
   SELECT line.doc_id, count(*) AS n_lines, count(gone.nr) AS n_removed,
          coalesce(string_agg(line, chr(10) ORDER BY line.nr) FILTER (WHERE gone.nr IS NULL), '') AS text

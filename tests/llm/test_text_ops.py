@@ -133,36 +133,54 @@ def test_jaccard_edges(spark):
 # -- lines ------------------------------------------------------------------------------------
 
 
-def brute_lines(rows, window=2):
+def brute_lines(rows, window=2, alone=lines.ALONE):
     seen, out = set(), {}
-    for i, t in sorted(rows, key=lambda r: r[0]):
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         all_ = (t or "").split("\n")
         solid = [k for k, x in enumerate(all_) if x.strip(" ")]
+        runs = [solid[k : k + window] for k in range(len(solid) - window + 1)]
+        runs += [[k] for k in solid if alone and (len(all_[k].encode()) >= lines.ALONE_BYTES or len(re.split(r"[\x20\x09-\x0D]+", all_[k].strip(" "))) >= alone)]
         gone = set()
-        for k in range(len(solid) - window + 1):
-            w = tuple(all_[p] for p in solid[k : k + window])
+        for at in sorted(set(map(tuple, runs))):
+            w = tuple(all_[p] for p in at)
             if w in seen:
-                gone.update(solid[k : k + window])
+                gone.update(at)
             seen.add(w)
         out[i] = ("\n".join(x for k, x in enumerate(all_) if k not in gone), len(gone))
     return out
 
 
-@pytest.mark.parametrize("window", [2, 3])
+@pytest.mark.parametrize("window", [1, 2, 3, 5])
 def test_line_dedup(spark, window):
-    got = {r["doc_id"]: (r["text"] or "", r["lines_removed"]) for r in lines.line_dedup(docs(spark), window).collect()}
-    assert got == brute_lines(EDGE, window)
-    out = lines.line_dedup(docs(spark), window)
-    assert out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and lines.line_dedup(empty(spark)).count() == 0
+    rng = np.random.default_rng(window)
+    rows = EDGE + [(100 + k, "\n".join(f"l{x}" for x in rng.integers(0, 9, rng.integers(0, 25)))) for k in range(80)]
+    rows += [(None, "l1\nl2\nl3\nl4\nl5\nl6"), (300, "l1\nl2\n\nl3\nl4\nl5\nl6"), (300, "l1\nl2\n\nl3\nl4\nl5\nl6")]
+    clashing = docs(spark, rows).withColumns({c: F.lit("clash") for c in ("gone", "_gone_id", "row", "lines", "at", "key", "fingerprint")})
+    for alone in (None, lines.ALONE):
+        out = lines.line_dedup(clashing, window, alone)
+        got = [(r["doc_id"], (r["text"] or "", r["lines_removed"])) for r in out.collect()]
+        assert dict(got) == brute_lines(rows[:-1], window, alone) and len(got) == len(rows)
+    assert out.columns == [c for c in clashing.columns if c != "lines_removed"] + ["lines_total", "lines_removed"] and lines.line_dedup(empty(spark)).count() == 0
     assert out.filter("doc_id = 1").first()["text"] is None
 
 
+def test_winnowing_selects_minima(spark):
+    """Fewer fingerprints than windows, each window under exactly one, and shared runs share one."""
+    rng = np.random.default_rng(0)
+    d = docs(spark, [(k, "\n".join(f"l{x}" for x in rng.integers(0, 50, 400))) for k in range(20)])
+    for window in (2, 3, 8):
+        got = lines.selected(d, window, None).collect()
+        starts = [w["start"] for r in got if r["doc_id"] == 7 for w in r["windows"]]
+        assert sorted(starts) == list(range(400 - window + 1)) and len(got) < 20 * 401 * 2.4 / (window + 1)
+        assert all(w["start"] <= r["position"] < w["start"] + window for r in got for w in r["windows"])
+
+
 def test_long_single_lines(spark):
     """A passage of one line between other neighbours, and a document of one line, go once repeated."""
     passage = " ".join(f"w{k}" for k in range(60))
     dense = "語" * 120  # no spaces: long by its bytes
     rows = [(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, passage), (4, "short line"), (5, "short line"), (6, dense), (7, f"e\n{dense}"), (8, f"{passage} and more"), (9, None)]
-    got = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in lines.line_dedup(docs(spark, rows), alone=lines.ALONE).collect()}
+    got = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in lines.line_dedup(docs(spark, rows)).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("c\nd", 1), 3: ("", 1), 4: ("short line", 0), 5: ("short line", 0), 6: (dense, 0), 7: ("e", 1), 8: (rows[7][1], 0), 9: (None, 0)}
 
 
