@@ -6,7 +6,7 @@ differ from that between versions, so the classes are written out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words and phrases that say nothing about identity, in order of removal.
@@ -119,16 +119,45 @@ def sort_key(name: Column) -> Column:
     return sort_key_of_normalised(normalise(name))
 
 
-def similarity_of_keys(a: Column, b: Column) -> Column:
-    """0.6 x Jaccard of the words + 0.4 x shared characters over the longer key; 0 if one is empty."""
-    x, y = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
-    jaccard = F.size(F.array_intersect(x, y)) / F.greatest(F.lit(1), F.size(F.array_union(x, y)))
-    count = lambda s, ch: F.length(s) - F.length(F.replace(s, ch, F.lit("")))
-    letters = F.filter(F.array_distinct(F.split(a, "")), lambda ch: ch != "")
-    shared = F.aggregate(letters, F.lit(0), lambda acc, ch: acc + F.least(count(a, ch), count(b, ch)))
-    overlap = shared / F.greatest(F.length(a), F.length(b), F.lit(1))
-    return F.when((a == "") | (b == ""), F.lit(0.0)).otherwise(F.lit(0.6) * jaccard + F.lit(0.4) * overlap)
+def similarity_words(key: Column) -> Column:
+    """The distinct words of a sort_key()."""
+    return F.array_distinct(F.split(key, " "))
+
+
+def characters(key: Column) -> Column:
+    """A sort_key()'s characters in order."""
+    return F.array_sort(F.filter(F.split(key, ""), lambda ch: ch != ""))
+
+
+def similarity_letters(chars: Column) -> Column:
+    """characters() as numbers that differ for each occurrence, so that sets of them intersect as
+    the multisets do. The argument is used several times, so it should be a column."""
+    return F.transform(chars, lambda ch, i: F.ascii(ch).cast("long") * F.lit(1 << 20) + i - F.array_position(chars, ch))
+
+
+def with_similarity_keys(df: DataFrame, norm: str, words: str, letters: str) -> DataFrame:
+    """df with what similarity_of() wants of the normalised name in column `norm`."""
+    key = sort_key_of_normalised(F.col(norm))
+    df = df.withColumns({words: similarity_words(key), letters: characters(key)})
+    return df.withColumn(letters, similarity_letters(F.col(letters)))
+
+
+def similarity_of(words_a: Column, letters_a: Column, words_b: Column, letters_b: Column) -> Column:
+    """0.6 x Jaccard of the words + 0.4 x shared characters over the longer key; 0 if one is empty.
+    Everything that depends on one name alone is computed once a name, never per pair."""
+    common = F.size(F.array_intersect(words_a, words_b))
+    jaccard = common / F.greatest(F.lit(1), F.size(words_a) + F.size(words_b) - common)
+    overlap = F.size(F.array_intersect(letters_a, letters_b)) / F.greatest(F.size(letters_a), F.size(letters_b), F.lit(1))
+    return F.when((F.size(letters_a) == 0) | (F.size(letters_b) == 0), F.lit(0.0)).otherwise(F.lit(0.6) * jaccard + F.lit(0.4) * overlap)
+
+
+def similarities(pairs: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """pairs of normalised names (columns a and b) with their similarity in column `out`."""
+    keyed = with_similarity_keys(with_similarity_keys(pairs, a, "_words_a", "_letters_a"), b, "_words_b", "_letters_b")
+    return keyed.select(*pairs.columns, similarity_of(F.col("_words_a"), F.col("_letters_a"), F.col("_words_b"), F.col("_letters_b")).alias(out))
 
 
 def similarity(a: Column, b: Column) -> Column:
-    return similarity_of_keys(sort_key(a), sort_key(b))
+    """The similarity of two names of any form."""
+    x, y = sort_key(a), sort_key(b)
+    return similarity_of(similarity_words(x), similarity_letters(characters(x)), similarity_words(y), similarity_letters(characters(y)))

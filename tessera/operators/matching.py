@@ -1,8 +1,9 @@
 """Matching organisations with companies: token blocking, similarity, ranking, acceptance.
 
-Blocking and similarity run over distinct names, not over rows: companies with one title share a
-title row, organisations share query variants, and both are expanded to companies only after the
-minimum of hits. The largest posting lists are therefore as long as there are distinct titles.
+Blocking runs over distinct sets of words, not over companies, and never joins on a query's most
+frequent word: a company that has two of its words has one of the others. Each pair is made by the
+first other word that both have, so no pair is made twice and nothing is grouped after the join;
+hits are counted on the pair itself. Companies are joined in only after the minimum of hits.
 """
 
 from __future__ import annotations
@@ -21,33 +22,41 @@ HIGH, MEDIUM = 0.85, 0.72
 LOCALITY, REGION, ACTIVE = 0.08, 0.05, 0.05
 
 
+def _asked(orgs: DataFrame, *keep: str) -> DataFrame:
+    paired = orgs.select("org_name", *keep, names.variant_pairs(F.col("org_name")).alias("pairs"))
+    found = paired.select("org_name", *keep, names.distinct_variants(F.col("pairs")).alias("found"))
+    return found.select("org_name", *keep, F.posexplode(names.clean_variants(F.col("found"), F.col("org_name"))).alias("variant_index", "variant"))
+
+
 def query_variants(orgs: DataFrame) -> DataFrame:
     """(org_name, variant_index, variant) of register rows (org_name)."""
-    paired = orgs.select("org_name", names.variant_pairs(F.col("org_name")).alias("pairs"))
-    found = paired.select("org_name", names.distinct_variants(F.col("pairs")).alias("found"))
-    return found.select("org_name", F.posexplode(names.clean_variants(F.col("found"), F.col("org_name"))).alias("variant_index", "variant"))
+    return _asked(orgs)
 
 
 def candidates(variants: DataFrame, companies: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """(variant, company_number, hits): companies that share enough tokens with a variant, at most
     max_candidates by (hits desc, number). Two hits are needed where a variant has two tokens.
-    companies: with_title_keys() of a clean registry."""
+    companies: those of registry.companies()."""
     asked = variants.select("variant").distinct().withColumn("asked", names.tokens(F.col("variant")))
-    asked = asked.withColumn("least", F.when(F.size("asked") >= 2, 2).otherwise(1))
-    titles = companies.select("title_norm", "title_tokens").distinct()
-    posted = titles.select("title_norm", F.explode("title_tokens").alias("token"))
-    hits = asked.select("variant", "least", F.explode("asked").alias("token")).join(posted, "token").groupBy("variant", "title_norm").agg(F.count(F.lit(1)).alias("hits"), F.first("least").alias("least"))
-    met = hits.filter(F.col("hits") >= F.col("least")).select("variant", "title_norm", "hits")
-    numbers = companies.select("title_norm", "company_number").distinct()
+    blocks = companies.select("title_tokens").distinct()
+    posted = blocks.select("title_tokens", F.explode("title_tokens").alias("token"))
+    frequency = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    known = asked.select("variant", "asked", F.explode("asked").alias("token")).join(frequency, "token")
+    usual = known.groupBy("variant", "asked").agg(F.max(F.struct("n", "token"))["token"].alias("usual"))
+    # a word that no company has can be probed for nothing, so the usual one is the most frequent of those that some have
+    probes = usual.select("variant", "asked", F.when(F.size("asked") >= 2, F.array_remove("asked", F.col("usual"))).otherwise(F.col("asked")).alias("probes"))
+    probes = probes.select("variant", "asked", "probes", F.explode("probes").alias("token"))
+    common = F.size(F.array_intersect("asked", "title_tokens"))
+    once = F.array_intersect("probes", "title_tokens")[0] == F.col("token")
+    met = probes.join(posted, "token").filter(once & (common >= F.when(F.size("asked") >= 2, 2).otherwise(1))).select("variant", "title_tokens", common.cast("long").alias("hits"))
     nth = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "company_number"))
-    return met.join(numbers, "title_norm").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
+    numbers = companies.select("title_tokens", "company_number")
+    return met.join(numbers, "title_tokens").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
 
 
 def name_similarities(pairs: DataFrame) -> DataFrame:
     """(org_norm, title_norm, name_similarity), each distinct pair once."""
-    keyed = pairs.select("org_norm", "title_norm").distinct()
-    a, b = names.sort_key_of_normalised(F.col("org_norm")), names.sort_key_of_normalised(F.col("title_norm"))
-    return keyed.withColumns({"_a": a, "_b": b}).select("org_norm", "title_norm", names.similarity_of_keys(F.col("_a"), F.col("_b")).alias("name_similarity"))
+    return names.similarities(pairs.select("org_norm", "title_norm").distinct(), "org_norm", "title_norm", "name_similarity")
 
 
 def bonuses(town_norm: Column, county_norm: Column, locality_norm: Column, region_norm: Column, status: Column) -> dict[str, Column]:
@@ -64,22 +73,46 @@ def confidence(total: Column) -> Column:
     return F.when(total >= HIGH, "high").when(total >= MEDIUM, "medium").otherwise("low")
 
 
-def scored_candidates(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
-    """All searched candidates of every organisation with their scores; variants after the first
-    that reaches EARLY_STOP are left out. orgs: org_name, town, county, and any other columns."""
-    companies = registry.with_title_keys(clean_registry)
+def _pool(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int) -> DataFrame:
+    """Every searched candidate of every variant with its scores. Names and places are normalised and
+    taken apart before any join."""
+    companies = registry.companies(clean_registry)
     described = orgs.select("org_name", names.normalise(F.col("org_name")).alias("org_norm"), names.normalise(F.col("town")).alias("town_norm"), names.normalise(F.col("county")).alias("county_norm"))
-    variants = query_variants(orgs)
-    found = candidates(variants, companies, max_candidates)
-    places = companies.select("company_number", "title_norm", F.col("company_name").alias("title"), F.col("company_status").alias("status"), F.col("address_locality").alias("locality"), F.col("address_region").alias("region"), F.col("address_postcode").alias("postcode"))
-    pool = variants.join(found, "variant").join(described, "org_name").join(places, "company_number")
-    pool = pool.join(name_similarities(pool), ["org_norm", "title_norm"])
-    pool = pool.withColumns(bonuses(F.col("town_norm"), F.col("county_norm"), names.normalise(F.col("locality")), names.normalise(F.col("region")), F.col("status")))
+    described = names.with_similarity_keys(described, "org_norm", "org_words", "org_letters")
+    asked = _asked(described, *described.columns[1:])
+    found = candidates(query_variants(orgs), companies, max_candidates)
+    places = companies.select(
+        "company_number", "title_norm", F.col("company_name").alias("title"), F.col("company_status").alias("status"), F.col("address_locality").alias("locality"), F.col("address_region").alias("region"),
+        F.col("address_postcode").alias("postcode"), names.normalise(F.col("address_locality")).alias("locality_norm"), names.normalise(F.col("address_region")).alias("region_norm"),
+    )
+    places = names.with_similarity_keys(places, "title_norm", "title_words", "title_letters")
+    pool = found.join(places, "company_number").join(asked, "variant")
+    pool = pool.withColumn("name_similarity", names.similarity_of(F.col("org_words"), F.col("org_letters"), F.col("title_words"), F.col("title_letters")))
+    pool = pool.withColumns(bonuses(F.col("town_norm"), F.col("county_norm"), F.col("locality_norm"), F.col("region_norm"), F.col("status")))
     pool = pool.withColumn("total", F.least(F.lit(1.0), F.col("name_similarity") + F.col("locality_bonus") + F.col("region_bonus") + F.col("status_bonus")))
+    return pool.select("org_name", "org_norm", "variant_index", "variant", "hits", "company_number", "title_norm", "title", "status", "locality", "region", "postcode", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", "total")
+
+
+def _stopped(pool: DataFrame) -> DataFrame:
+    """Without variants after the first that reaches EARLY_STOP."""
     stop = F.min(F.when(F.col("total") >= EARLY_STOP, F.col("variant_index"))).over(Window.partitionBy("org_name"))
     return pool.withColumn("stop", stop).filter(F.col("stop").isNull() | (F.col("variant_index") <= F.col("stop"))).drop("stop")
 
 
+def scored_candidates(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+    """All searched candidates of every organisation with their scores; variants after the first
+    that reaches EARLY_STOP are left out. orgs: org_name, town, county, and any other columns."""
+    return _stopped(_pool(orgs, clean_registry, max_candidates))
+
+
+def top_candidates(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int = MAX_CANDIDATES, top: int = TOP) -> DataFrame:
+    """ranked() of scored_candidates(). Only the best `top` of each variant can come in, and its best one
+    says whether it stops the search, so no others are dealt by organisation."""
+    each = Window.partitionBy("org_name", "variant_index").orderBy(F.desc("total"), F.desc("hits"), "company_number")
+    pool = _pool(orgs, clean_registry, max_candidates).withColumn("nth", F.row_number().over(each)).filter(F.col("nth") <= top).drop("nth")
+    return ranked(_stopped(pool), top)
+
+
 def ranked(pool: DataFrame, top: int = TOP) -> DataFrame:
     """The best candidates of each organisation with `rank` from 1. A company that two variants
     find takes two ranks."""
@@ -108,7 +141,7 @@ def accepted(c: DataFrame, min_score: float = MIN_SCORE) -> Column:
 def enriched(with_best: DataFrame, clean_registry: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Accepted organisations with their company's profile; blank profile values fall back to what
     the search showed. A best match without a profile stops the job."""
-    profile = clean_registry.select(F.col("company_number").alias("p_number"), *[F.col(c).alias(f"p_{c}") for c in registry.CLEAN[1:9]])
+    profile = registry.companies(clean_registry).select(F.col("company_number").alias("p_number"), *[F.col(c).alias(f"p_{c}") for c in registry.CLEAN[1:9]])
     keep = [c for c in with_best.columns if not c.startswith("b_")]
     joined = with_best.filter(accepted(with_best, min_score)).join(profile, F.col("b_company_number") == F.col("p_number"), "left")
     number = F.when(F.col("p_number").isNull(), F.raise_error(F.concat(F.lit("no profile of "), "b_company_number")).cast("string")).otherwise(F.col("b_company_number"))
@@ -132,6 +165,6 @@ def unmatched(with_best: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 def profile_errors(with_best: DataFrame, clean_registry: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Accepted organisations whose company has no profile, as rows instead of an error."""
     keep = [c for c in with_best.columns if not c.startswith("b_")]
-    known = clean_registry.select(F.col("company_number").alias("b_company_number"))
+    known = clean_registry.select(F.col("company_number").alias("b_company_number")).distinct()
     lost = with_best.filter(accepted(with_best, min_score)).join(known, "b_company_number", "left_anti")
     return lost.select(*keep, F.lit("profile_error").alias("match_status"), F.concat(F.lit("no profile of "), "b_company_number").alias("match_error"), F.round("b_total", 4).alias("best_candidate_score"), F.col("b_title").alias("best_candidate_title"), F.col("b_company_number").alias("best_candidate_company_number"))

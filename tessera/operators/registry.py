@@ -64,14 +64,24 @@ def check_uris(clean_: DataFrame) -> None:
         raise RegistryUriMismatchError(str([tuple(r) for r in bad]))
 
 
-def with_title_keys(clean_: DataFrame) -> DataFrame:
-    """The normalised title and its tokens, computed once a row and never per pair."""
-    return clean_.withColumn("title_norm", names.normalise(F.col("company_name"))).withColumn("title_tokens", names.tokens_of_normalised(F.col("title_norm")))
+def companies(clean_: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """One row per company number: the first of its rows by `order` (`pos` where the table has it and
+    nothing is given, else all columns), with `title_norm`, and in `title_tokens` the words of all its
+    rows' names, as an index by number holds them. Rows without a number can't be found and go. A
+    table that has these columns already (see plans.steps.run_registry) is taken as it is."""
+    if "title_tokens" in clean_.columns:
+        return clean_
+    by = list(order) or ["pos"] if "pos" in clean_.columns else list(order)
+    rest = [c for c in clean_.columns if c not in by and c != "company_number"]
+    keyed = clean_.filter(F.col("company_number") != "").withColumn("_tokens", names.tokens(F.col("company_name")))
+    one = keyed.groupBy("company_number").agg(F.min(F.struct(*by, *rest)).alias("_first"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_tokens")))).alias("title_tokens"))
+    one = one.select(*[F.col("company_number") if c == "company_number" else F.col("_first")[c].alias(c) for c in clean_.columns], "title_tokens")
+    return one.withColumn("title_norm", names.normalise(F.col("company_name")))
 
 
 def token_index(clean_: DataFrame) -> DataFrame:
     """(bucket, token, company_number), each pair once."""
-    found = clean_.select(F.explode(names.tokens(F.col("company_name"))).alias("token"), "company_number").distinct()
+    found = clean_.filter(F.col("company_number") != "").select(F.explode(names.tokens(F.col("company_name"))).alias("token"), "company_number").distinct()
     return found.select(names.bucket(F.col("token")).alias("bucket"), "token", "company_number")
 
 

@@ -36,7 +36,7 @@ def _clean(spark: SparkSession, d: str, strict: bool = True) -> DataFrame:
 
 
 def _top(spark: SparkSession, d: str) -> DataFrame:
-    return matching.ranked(matching.scored_candidates(_orgs(spark, d), _clean(spark, d)))
+    return matching.top_candidates(_orgs(spark, d), _clean(spark, d))
 
 
 def _best(spark: SparkSession, d: str) -> DataFrame:
@@ -123,7 +123,7 @@ def q_uri_check(spark: SparkSession, d: str) -> DataFrame:
 
 def q_similarity(spark: SparkSession, d: str) -> DataFrame:
     a = _orgs(spark, d).select("org_norm").distinct()
-    pairs = a.withColumn("word", F.explode(F.split("org_norm", " "))).join(registry.with_title_keys(_clean(spark, d)).select("title_norm").distinct().withColumn("word", F.explode(F.split("title_norm", " "))), "word")
+    pairs = a.withColumn("word", F.explode(F.split("org_norm", " "))).join(registry.companies(_clean(spark, d)).select("title_norm").distinct().withColumn("word", F.explode(F.split("title_norm", " "))), "word")
     return matching.name_similarities(pairs)
 
 
@@ -131,7 +131,7 @@ def q_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_block_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return matching.candidates(matching.query_variants(_orgs(spark, d)), registry.with_title_keys(_clean(spark, d)))
+    return matching.candidates(matching.query_variants(_orgs(spark, d)), registry.companies(_clean(spark, d)))
 
 
 def q_match_top3(spark: SparkSession, d: str) -> DataFrame:

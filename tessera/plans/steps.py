@@ -28,7 +28,7 @@ class Matched:
 def match(orgs: DataFrame, clean_registry: DataFrame, min_score: float = matching.MIN_SCORE, max_candidates: int = matching.MAX_CANDIDATES) -> Matched:
     """Variants, blocking, similarity, ranking and acceptance in one plan. The ranked candidates are
     kept (memory, then disk), as four outputs read them."""
-    top = matching.ranked(matching.scored_candidates(orgs, clean_registry, max_candidates)).persist(StorageLevel.MEMORY_AND_DISK)
+    top = matching.top_candidates(orgs, clean_registry, max_candidates).persist(StorageLevel.MEMORY_AND_DISK)
     with_best = matching.best(orgs, top)
     return Matched(matching.candidate_rows(top), matching.enriched(with_best, clean_registry, min_score), matching.unmatched(with_best, min_score), orgs.select("org_name"))
 

@@ -59,11 +59,11 @@ def plain_similarity(a, b):
     return 0.6 * (len(x & y) / max(1, len(x | y))) + 0.4 * (shared / max(len(a), len(b)))
 
 
-@given(st.lists(st.tuples(st.text("abc d", max_size=12), st.text("abc d", max_size=12)), min_size=1, max_size=30))
+@given(st.lists(st.tuples(st.text("abcé😀 d", max_size=12), st.text("abcé😀 d", max_size=12)), min_size=1, max_size=30))
 def _pairs(spark, rows):
     keys = [(" ".join(sorted(a.split())), " ".join(sorted(b.split()))) for a, b in rows]
     df = spark.createDataFrame(keys, "a string, b string").coalesce(1)
-    got = [r["s"] for r in df.select(names.similarity_of_keys(F.col("a"), F.col("b")).alias("s")).collect()]
+    got = [r["s"] for r in names.similarities(df, "a", "b", "s").collect()]
     assert got == pytest.approx([plain_similarity(a, b) for a, b in keys])
 
 

@@ -50,9 +50,58 @@ def clean(spark):
 
 def test_two_tokens_need_two_hits(spark):
     v = spark.createDataFrame([("Acme Alpha",), ("Acme",)], "variant string")
-    got = {(r["variant"], r["company_number"]) for r in matching.candidates(v, registry.with_title_keys(clean(spark))).collect()}
+    got = {(r["variant"], r["company_number"]) for r in matching.candidates(v, registry.companies(clean(spark))).collect()}
     assert got == {("Acme Alpha", "22222222"), ("Acme", "11111111"), ("Acme", "22222222")}
-    assert matching.candidates(v, registry.with_title_keys(clean(spark)), 1).count() == 2
+    assert matching.candidates(v, registry.companies(clean(spark)), 1).count() == 2
+
+
+def brute_candidates(asked, companies, most):
+    """Hits by looking at every pair; numbers repeat, their words add up."""
+    words = {}
+    for number, tokens in companies:
+        words.setdefault(number, set()).update(tokens)
+    out = set()
+    for variant, tokens in asked.items():
+        hits = sorted((-len(tokens & w), n) for n, w in words.items() if n and len(tokens & w) >= (2 if len(tokens) >= 2 else 1))
+        out |= {(variant, n, -h) for h, n in hits[:most]}
+    return out
+
+
+def test_blocking_without_the_usual_word(spark):
+    import random
+
+    r = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(25)]
+    weights = [40 / (k + 1) for k in range(25)]
+    name = lambda: " ".join(dict.fromkeys(r.choices(vocabulary, weights, k=r.randint(1, 5))))
+    titles = [(f"{r.randint(0, 150):04d}" if k % 9 else "", name()) for k in range(200)]
+    asked = {name() for _ in range(60)} | {"w0", "nothing", "nothing w3", "nothing else", ""}
+    rows_ = spark.createDataFrame([(n, t, k) for k, (n, t) in enumerate(titles)], "company_number string, company_name string, pos long").repartition(3)
+    v = spark.createDataFrame([(a,) for a in asked], "variant string")
+    for most in (500, 3):
+        got = {tuple(x) for x in matching.candidates(v, registry.companies(rows_), most).collect()}
+        assert got == brute_candidates({a: set(a.split()) for a in asked}, [(n, t.split()) for n, t in titles], most)
+
+
+def test_first_row_of_a_repeated_number(spark):
+    again = [("11111111", "BRAVO LTD", "dissolved", "plc", "", "", "Hull", "", "HU1", ""), ("", "ACME", "active", "", "", "", "", "", "", "")]
+    twice = clean(spark).unionByName(spark.createDataFrame(again, clean(spark).schema)).coalesce(1).withColumn("pos", F.monotonically_increasing_id()).repartition(3)
+    got = {x["company_number"]: x for x in registry.companies(twice).collect()}
+    assert set(got) == {"11111111", "22222222", "33333333"} and got["11111111"]["company_name"] == "ACME LTD" and got["11111111"]["title_tokens"] == ["acme", "bravo"]
+    orgs = spark.createDataFrame([("Acme Ltd", "London", "Greater London"), ("Bravo", "", "")], "org_name string, town string, county string")
+    m = steps.match(orgs, twice)
+    e = m.enriched.collect()
+    assert [(x["org_name"], x["ch_company_name"], x["ch_company_status"]) for x in e] == [("Acme Ltd", "ACME LTD", "active")]
+    assert sorted((x["org_name"], x["rank"]) for x in m.candidates.collect()) == [("Acme Ltd", 1), ("Acme Ltd", 2), ("Bravo", 1)]
+    assert registry.companies(registry.companies(twice)).count() == 3
+
+
+def test_top_of_each_variant_is_enough(spark):
+    orgs = spark.createDataFrame([("Acme T/A Alpha", "York", ""), ("Alpha (Acme)", "", ""), ("Acme Alpha - Acme", "Leeds", "")], "org_name string, town string, county string")
+    more = spark.createDataFrame([(f"9{k:07d}", f"ACME {'ALPHA ' * (k % 3)}X{k % 5} LTD", "active", "ltd", "", "", "York" if k % 2 else "Leeds", "", "", "") for k in range(40)], clean(spark).schema)
+    all_ = clean(spark).unionByName(more)
+    key = lambda df: sorted(map(str, df.select("org_name", "rank", "variant", "company_number", "total").collect()))
+    assert key(matching.top_candidates(orgs, all_)) == key(matching.ranked(matching.scored_candidates(orgs, all_)))
 
 
 def test_match_outputs(spark):
