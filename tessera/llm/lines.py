@@ -15,7 +15,8 @@ take part.
 
 Only hashes are shuffled: one row per fingerprint, pre-aggregated per hash. A line that a third of
 all documents share is one partially aggregated row on one side of a join and a splittable
-shuffle on the other; what survives the first join is written, so no aggregation hangs on it.
+shuffle on the other: aggregates and what survives the first join are written, as a join is
+only split by adaptive execution where it reads shuffles and nothing else.
 
 Defined results: a null text is an empty one and keeps its null; blank lines never start or join
 a match and stay; a document whose rows are repeated counts once, and documents without doc_id
@@ -68,10 +69,12 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, alone: int | None = AL
     found = selected(docs, window, alone)
     place = F.struct("doc_id", "body_key", "position")
     shared = found.groupBy("fingerprint").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(F.col("first") < F.col("last")).select("fingerprint")
+    shared = materialize(shared, "line-fingerprints")
     matched = found.join(shared, "fingerprint").select("doc_id", "body_key", F.inline("windows"))
     matched = materialize(matched, "line-windows")
     here = F.struct("doc_id", "body_key", "start")
     classes = matched.groupBy("key", "check").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter(F.col("first") < F.col("last")).drop("last")
+    classes = materialize(classes, "line-classes")
     later = matched.join(classes, ["key", "check"]).filter(here > F.col("first"))
     return later.groupBy("doc_id", "body_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("gone"))
 
