@@ -8,10 +8,17 @@ lines' lengths, is mapped to the document's score by a fitted logistic curve.
 
 Labels mark documents, not lines, so training alternates: all lines of a bad document start as
 bad, the field is fitted, and lines that it then finds good although their document is bad are
-relabelled, except a bad document's worst line. At most `MOST_LABELLED` labelled documents teach;
-only their feature rows reach the driver. Scoring is one map over whole texts: no shuffle.
+relabelled, except a bad document's worst line. At most `MOST_LABELLED` labelled documents teach, none
+of more than `TEACHER_LINES` lines, and `MOST_LINES` lines of all of them together; only their feature
+rows reach the driver. Scoring is one map over whole texts: no shuffle.
 
-Defined results: null and empty texts are one empty line and get its score; without any labelled
+Short documents are scored many at a time, their chains in step. A document of more than `LONG_LINES`
+lines or `LONG_BYTES` bytes is taken block by block: features are sums over bytes and words, carried
+on where a block cuts a line, and only three numbers a line are kept. Its chain is cut into about
+sqrt(n) segments; the odds that enter each follow from the product of the segments' 2 x 2 matrices,
+and all segments are then walked in step. So memory is some 16 bytes a line and the time linear.
+
+Defined results: a word of more than a block counts as several; null and empty texts are one empty line and get its score; without any labelled
 document every score is 0.5; repeated rows score alike; an empty table gives an empty one; only
 the text is looked at, so other columns can't matter.
 """
@@ -25,19 +32,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._labels import held_out, teaching_sample
+from tessera.llm._labels import held_out, teaching_sample, within
 from tessera.llm._tables import read, ship, whole_texts
 from tessera.llm._text import SPACE, U64, Hasher, mix, pieces, words
 
-MOST_LABELLED = 6000
+MOST_LABELLED, TEACHER_LINES, MOST_LINES = 6000, 2000, 500_000
+LONG_LINES, LONG_BYTES, RUN_LINES = 2000, 1 << 20, 20_000
 KEEP_FROM = 0.3
 #: Byte classes that are counted in every line.
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "stop": b".,;:'\"-()?", "shout": b"!", "bar": b"|", "symbol": b"#$%&*+/<=>@[\\]^_`{}~", "space": b" \t\r\x0b\x0c"}
 _OWN = len(_CLASSES) + 8
+_N = len(_CLASSES)
+_SIZE, _COUNT, _LENGTH, _REPEAT, _WIDE, _LAST = range(_N, _N + 6)
 
 
-def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A row of features per line, the documents' offsets in these rows, and the lines' byte lengths."""
+class Seen:
+    """What earlier blocks of a document leave: its last two words and all triples of words so far."""
+
+    def __init__(self) -> None:
+        self.last, self.triples = np.zeros(0, U64), np.zeros(0, U64)
+
+
+def _repeats(hashes: np.ndarray, doc: np.ndarray, seen: Seen | None) -> np.ndarray:
+    """Whether a word and the two before it came before in its document."""
+    carried = 0
+    if seen is not None:
+        carried = len(seen.last)
+        hashes = np.concatenate([seen.last, hashes])
+        doc = np.zeros(len(hashes), np.int64)
+        seen.last = hashes[-2:]
+    repeat = np.zeros(len(hashes), bool)
+    if len(hashes) > 2:
+        triple = mix(mix(hashes[:-2] + U64(1)) * U64(3) + mix(hashes[1:-1] + U64(2)) * U64(5) + hashes[2:])
+        at = np.flatnonzero(doc[2:] == doc[:-2])
+        triple = mix(triple[at] + mix(doc[at].astype(U64)))
+        distinct, fresh = np.unique(triple, return_index=True)
+        again = np.ones(len(triple), bool)
+        again[fresh] = False
+        if seen is not None:
+            place = np.minimum(np.searchsorted(seen.triples, triple), max(len(seen.triples) - 1, 0))
+            again |= seen.triples[place] == triple if len(seen.triples) else False
+            seen.triples = np.union1d(seen.triples, distinct)
+        repeat[at + 2] = again
+    return repeat[carried:]
+
+
+def _line_sums(data: np.ndarray, offsets: np.ndarray, seen: Seen | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A row of sums per line, which add up over the pieces of a line, and the documents' offsets in
+    these rows. The last byte (0 where there is none) is the one entry that doesn't add up."""
     n = len(offsets) - 1
     breaks = np.flatnonzero(data == 10)
     owner = np.searchsorted(offsets, breaks, "right") - 1
@@ -49,40 +91,100 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     starts[at + 1] = breaks + 1
     ends[first[1:] - 1] = offsets[1:]
     ends[at] = breaks
-    size = (ends - starts).astype(np.float64)
-    per = np.maximum(size, 1)
-    x = np.zeros((total, _OWN), np.float32)
+    x = np.zeros((total, _N + 6))
     for k, members in enumerate(_CLASSES.values()):
         table = np.zeros(256, np.uint8)
         table[list(members)] = 1
         sums = np.concatenate([[0], np.cumsum(table[data], dtype=np.int32)])
-        x[:, k] = (sums[ends] - sums[starts]) / per
+        x[:, k] = sums[ends] - sums[starts]
     ws, we, doc = words(data, offsets, SPACE)
     line = np.searchsorted(starts, ws, "right") - 1
-    count = np.bincount(line, minlength=total).astype(np.float64)
-    hashes = Hasher(data).spans(ws, we)
-    repeat = np.zeros(len(ws), bool)
-    if len(ws) > 2:  # a word's place repeats if it and the two words after it came before in the document
-        gram = mix(mix(hashes[:-2] + U64(1)) * U64(3) + mix(hashes[1:-1] + U64(2)) * U64(5) + hashes[2:])
-        gram = mix(gram + mix(doc[:-2].astype(U64)))
-        _, seen = np.unique(gram, return_index=True)
-        repeat[:-2] = True
-        repeat[:-2][seen] = False
+    repeat = _repeats(Hasher(data).spans(ws, we), doc, seen)
+    x[:, _SIZE] = ends - starts
+    x[:, _COUNT] = np.bincount(line, minlength=total)
+    x[:, _LENGTH] = np.bincount(line, weights=we - ws, minlength=total)
+    x[:, _REPEAT] = np.bincount(line, weights=repeat, minlength=total)
+    x[:, _WIDE] = np.bincount(line, weights=we - ws > 25, minlength=total)
+    if len(data):
+        x[:, _LAST] = np.where(ends > starts, data[np.maximum(ends - 1, 0)], 0)
+    return x, first
+
+
+def _own(sums: np.ndarray) -> np.ndarray:
+    """Features of lines by themselves, from their sums."""
+    size, count = sums[:, _SIZE], sums[:, _COUNT]
     per_word = np.maximum(count, 1)
+    x = np.zeros((len(sums), _OWN), np.float32)
+    x[:, :_N] = sums[:, :_N] / np.maximum(size, 1)[:, None]
     x[:, -8] = np.log1p(size) / 8
-    x[:, -7] = np.bincount(line, weights=we - ws, minlength=total) / per_word / 10
-    x[:, -6] = np.bincount(line, weights=repeat, minlength=total) / per_word
+    x[:, -7] = sums[:, _LENGTH] / per_word / 10
+    x[:, -6] = sums[:, _REPEAT] / per_word
     x[:, -5] = size == 0
     x[:, -4] = (count > 0) & (count < 4)
-    last = data[np.maximum(ends - 1, 0)] if len(data) else np.zeros(total, np.uint8)
-    x[:, -3] = (size > 0) & np.isin(last, list(b".?!:;"))
-    x[:, -2] = np.minimum(1, np.bincount(line, weights=we - ws > 25, minlength=total) / per_word * 5)
+    x[:, -3] = (size > 0) & np.isin(sums[:, _LAST], list(b".?!:;"))
+    x[:, -2] = np.minimum(1, sums[:, _WIDE] / per_word * 5)
     x[:, -1] = 1
+    return x
+
+
+def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A row of features per line, the documents' offsets in these rows, and the lines' byte lengths."""
+    sums, first = _line_sums(data, offsets)
+    x = _own(sums)
     before, after = np.zeros_like(x), np.zeros_like(x)
     before[1:], after[:-1] = x[:-1], x[1:]
     before[first[:-1]] = 0
     after[first[1:] - 1] = 0
-    return np.hstack([x, before, after]), first, size
+    return np.hstack([x, before, after]), first, sums[:, _SIZE]
+
+
+def _cuts(data: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """A text in blocks of at most `most` bytes that end with a line, else with a word where one ends."""
+    at = 0
+    while len(data) - at > most:
+        some = data[at : at + most]
+        for found in (some == 10, SPACE[some]):
+            if found.any():
+                some = some[: most - int(np.argmax(found[::-1]))]
+                break
+        yield some
+        at += len(some)
+    yield data[at:]
+
+
+def _by_lines(block: np.ndarray) -> Iterator[np.ndarray]:
+    """A block in pieces of at most RUN_LINES lines."""
+    breaks = np.flatnonzero(block == 10)[RUN_LINES - 1 :: RUN_LINES] + 1
+    yield from np.split(block, breaks)
+
+
+def _scan(lean: np.ndarray, step: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The log-odds of good at each line of a chain, given this line and those before it, as (lines, log-odds)
+    for one line of every segment at a time. Backwards with the transposed step."""
+    n = len(lean)
+    yield np.zeros(1, np.int64), np.asarray(lean[:1], np.float64)
+    if n == 1:
+        return
+    width = int(np.ceil(np.sqrt(n - 1)))
+    begin = np.arange(1, n, width)
+    a, b, c, d = (np.full(len(begin), v, np.float64) for v in (1, 0, 0, 1))
+    (s00, s01), (s10, s11) = step
+    for t in range(width):
+        e = np.exp(lean[np.minimum(begin + t, n - 1)].astype(np.float64))
+        a, b, c, d = e * (s11 * a + s01 * c), e * (s11 * b + s01 * d), s10 * a + s00 * c, s10 * b + s00 * d
+        top = np.maximum(np.maximum(a, b), np.maximum(c, d))
+        a, b, c, d = a / top, b / top, c / top, d / top
+    odds, enter = float(np.exp(np.float64(lean[0]))), np.empty(len(begin))
+    for k, (p, q, r, s) in enumerate(zip(a.tolist(), b.tolist(), c.tolist(), d.tolist())):
+        enter[k] = odds
+        odds = (p * odds + q) / (r * odds + s)
+    odds = enter
+    for t in range(width):
+        at = begin + t
+        keep = at < n
+        begin, at, odds = begin[keep], at[keep], odds[keep]
+        odds = np.exp(lean[at].astype(np.float64)) * (s01 + s11 * odds) / (s00 + s10 * odds)
+        yield at, np.log(odds)
 
 
 class Field:
@@ -143,6 +245,55 @@ class Field:
         w = np.maximum(size, 1)
         return np.add.reduceat(good * w, first[:-1]) / np.add.reduceat(w, first[:-1])
 
+    def long_quality(self, data: np.ndarray, most: int = LONG_BYTES) -> float:
+        """quality() of one text of any length, block by block."""
+        n = sum(int(np.count_nonzero(data[a : a + most] == 10)) for a in range(0, len(data), most)) + 1
+        lean, size = np.empty(n, np.float32), np.empty(n, np.float32)
+        before, held, seen, at = np.zeros((1, _OWN), np.float32), np.zeros((0, _OWN), np.float32), Seen(), 0
+        rest = None
+
+        def put(own: np.ndarray, after: np.ndarray) -> None:
+            nonlocal at, before
+            if len(own):
+                x = np.hstack([own, np.concatenate([before, own[:-1]]), after])
+                lean[at : at + len(own)] = np.clip(self.scaled(x) @ self.weights, -30, 30)
+                at, before = at + len(own), own[-1:]
+
+        def lines(sums: np.ndarray, last: bool) -> None:
+            """Take finished lines; each waits for the one after it."""
+            nonlocal held, done
+            size[done : done + len(sums)] = sums[:, _SIZE]
+            done += len(sums)
+            own = np.concatenate([held, _own(sums)])
+            if last:
+                put(own, np.concatenate([own[1:], np.zeros((1, _OWN), np.float32)]))
+            else:
+                put(own[:-1], own[1:])
+                held = own[-1:]
+
+        done = 0
+        for some in (piece for block in _cuts(data, most) for piece in _by_lines(block)):
+            sums, _ = _line_sums(some, np.array([0, len(some)]), seen)
+            if rest is not None:
+                end = sums[0, _LAST] if sums[0, _SIZE] else rest[_LAST]
+                sums[0] += rest
+                sums[0, _LAST] = end
+            lines(sums[:-1], False)
+            rest = sums[-1]
+        lines(rest[None], True)
+        ahead = np.empty(n, np.float32)
+        step = np.exp(np.clip(self.moves, -5, 5))
+        for i, odds in _scan(lean, step):
+            ahead[i] = odds
+        good = weight = 0.0
+        back = lean[::-1]
+        for i, odds in _scan(back, step.T):
+            i = n - 1 - i
+            w = np.maximum(size[i], 1).astype(np.float64)
+            good += float((w / (1 + np.exp(-(ahead[i] + odds - lean[i])))).sum())
+            weight += float(w.sum())
+        return good / weight
+
     def score(self, quality: np.ndarray) -> np.ndarray:
         q = np.clip(quality, 1e-4, 1 - 1e-4)
         return 1 / (1 + np.exp(-(self.slope * np.log(q / (1 - q)) + self.shift)))
@@ -175,18 +326,42 @@ def train(x: np.ndarray, first: np.ndarray, size: np.ndarray, label: np.ndarray,
     return field
 
 
+def short_runs(batches: Iterator[pa.RecordBatch], name: str, longest: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray | None, np.ndarray]]:
+    """Runs of rows of at most RUN_LINES lines, as pieces() gives them; a row of more than `longest`
+    lines or LONG_BYTES bytes comes by itself as (row, None, its bytes)."""
+    for batch, data, offsets in pieces(batches, name, LONG_BYTES):
+        lines = np.diff(np.searchsorted(np.flatnonzero(data == 10), offsets)) + 1
+        long_ = (lines > longest) | (np.diff(offsets) > LONG_BYTES)
+        a = 0
+        while a < batch.num_rows:
+            if long_[a]:
+                yield batch.slice(a, 1), None, data[offsets[a] : offsets[a + 1]]
+                a += 1
+                continue
+            upto = np.cumsum(lines[a:])
+            stop = a + max(1, int(np.searchsorted(upto, RUN_LINES, "right")))
+            if long_[a:stop].any():
+                stop = a + int(np.argmax(long_[a:stop]))
+            yield batch.slice(a, stop - a), data[offsets[a] : offsets[stop]], offsets[a : stop + 1] - offsets[a]
+            a = stop
+
+
 def teach(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Field | None:
     """The fitted field, or None without labelled documents."""
     ship(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in pieces(batches, "body"):
+        for batch, data, offsets in short_runs(batches, "body", TEACHER_LINES):
+            if data is None:
+                continue
             x, first, size = line_features(data, offsets)
             cut = [(x[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(first[:-1], first[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c[0] for c in cut], pa.binary()), pa.array([c[1] for c in cut], pa.binary())], ["doc_id", "label", "x", "size"])
+            lines = pa.array(np.diff(first))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lines, pa.array([c[0] for c in cut], pa.binary()), pa.array([c[1] for c in cut], pa.binary())], ["doc_id", "label", "lines", "x", "size"])
 
     sample = whole_texts(teaching_sample(docs, labels, "quality", most), "doc_id", "label")
-    got = sorted(sample.mapInArrow(rows, "doc_id long, label int, x binary, size binary").collect())
+    kept = within(sample.mapInArrow(rows, "doc_id long, label int, lines long, x binary, size binary"), "lines", MOST_LINES, "quality-teachers")
+    got = sorted(kept.select("doc_id", "label", "x", "size").collect())
     if not got:
         return None
     size = [np.frombuffer(r["size"]) for r in got]
@@ -201,9 +376,11 @@ def score_quality(docs: DataFrame, field: Field | None, keep: list[str] | None =
     keep = [c for c in docs.columns if c != "score"] if keep is None else keep
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in pieces(batches, "text" if "text" in keep else "body"):
+        for batch, data, offsets in short_runs(batches, "text" if "text" in keep else "body", LONG_LINES):
             if field is None:
                 score = np.full(batch.num_rows, 0.5)
+            elif data is None:
+                score = field.score(np.array([field.long_quality(offsets)]))
             else:
                 x, first, size = line_features(data, offsets)
                 score = field.score(field.quality(x, first, size))

@@ -7,8 +7,8 @@ rate for each coordinate and its L1 term leaves almost all weights at exactly ze
 few thousand (index, weight) pairs at most, travel to the executors inside the task closure. A logistic curve fitted across two halves of the
 sample makes the score a probability.
 
-At most `MOST_LABELLED` labelled documents teach (see _labels); the driver receives the
-coordinates of these only. Scoring is one map over whole texts: no shuffle, and only coordinates with
+At most `MOST_LABELLED` labelled documents teach (see _labels), as long as they have no more than
+`MOST_COORDINATES` coordinates together; the driver receives the coordinates of these only. Scoring is one map over whole texts: no shuffle, and only coordinates with
 a weight are made distinct per document.
 
 Defined results: null and empty texts have the score of the bias alone; without labelled documents
@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._labels import held_out, teaching_sample
+from tessera.llm._labels import held_out, teaching_sample, within
 from tessera.llm._tables import read, ship, whole_texts
 from tessera.llm._text import LOWER, U64, Hasher, mix, pieces, words
 
-MOST_LABELLED = 5000
+MOST_LABELLED, MOST_COORDINATES = 5000, 20_000_000
 BITS = 22
 TOXIC_FROM = 0.5
 #: FTRL-proximal: learning rate, its smoothing, L1, L2, passes over the sample.
@@ -114,10 +114,11 @@ def teach(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tupl
             edges = np.searchsorted(pair, np.arange(batch.num_rows + 1) << BITS)
             x = (pair & ((1 << BITS) - 1)).astype(np.uint32)
             cut = [x[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.binary())], ["doc_id", "label", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(edges)), pa.array(cut, pa.binary())], ["doc_id", "label", "n", "features"])
 
     sample = whole_texts(teaching_sample(docs, labels, "toxic", most), "doc_id", "label")
-    got = sorted(sample.mapInArrow(rows, "doc_id long, label int, features binary").collect())
+    kept = within(sample.mapInArrow(rows, "doc_id long, label int, n long, features binary"), "n", MOST_COORDINATES, "toxicity-teachers")
+    got = sorted(kept.select("doc_id", "label", "features").collect())
     if not got:
         return None
     samples = [np.frombuffer(r["features"], np.uint32).astype(np.int64) for r in got]

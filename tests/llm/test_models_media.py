@@ -225,6 +225,119 @@ def test_chain_marginals_are_exact():
         assert good[a:b] == pytest.approx(mass / total)
 
 
+def plain_quality(text, field):
+    """The field's document quality line by line and word by word."""
+    import math
+    import re
+
+    data, lines_, own, seen, back = (text or "").encode(), [], [], set(), []
+    for line in data.split(b"\n"):
+        ws = re.findall(rb"[^\x20\x09-\x0D]+", line)
+        repeats = 0
+        for w in ws:
+            back.append(w)
+            t = tuple(back[-3:])
+            if len(t) == 3:
+                repeats += t in seen
+                seen.add(t)
+        n, k = len(line), max(len(ws), 1)
+        shares = [sum(c in members for c in line) / max(n, 1) for members in quality._CLASSES.values()]
+        own.append([*shares, math.log1p(n) / 8, sum(map(len, ws)) / k / 10, repeats / k, n == 0, 0 < len(ws) < 4, line[-1:] in (b".", b"?", b"!", b":", b";"), min(1, sum(len(w) > 25 for w in ws) / k * 5), 1])
+        lines_.append(max(n, 1))
+    zero = [0] * len(own[0])
+    lean = []
+    for i, x in enumerate(own):
+        x = np.array([*x, *(own[i - 1] if i else zero), *(own[i + 1] if i + 1 < len(own) else zero)], float)
+        lean.append(float(np.clip(field.scaled(x) @ field.weights, -30, 30)))
+    s = np.exp(np.clip(field.moves, -5, 5))
+    ahead, behind = [], [np.ones(2)]
+    for i, x in enumerate(lean):
+        e = np.array([1 / (1 + math.exp(x)), 1 / (1 + math.exp(-x))])
+        a = e if i == 0 else (ahead[-1] @ s) * e
+        ahead.append(a / a.sum())
+    for x in lean[:0:-1]:
+        e = np.array([1 / (1 + math.exp(x)), 1 / (1 + math.exp(-x))])
+        b = s @ (behind[-1] * e)
+        behind.append(b / b.sum())
+    good = [(a * b)[1] / (a * b).sum() for a, b in zip(ahead, behind[::-1])]
+    return sum(g * w for g, w in zip(good, lines_)) / sum(lines_)
+
+
+def random_field(seed):
+    rng = np.random.default_rng(seed)
+    f = quality.Field(3 * quality._OWN)
+    f.weights, f.moves = rng.normal(size=3 * quality._OWN), rng.normal(size=(2, 2)) * 2
+    f.centre, f.spread = rng.random(3 * quality._OWN) / 5, rng.random(3 * quality._OWN) + 0.5
+    return f
+
+
+def test_quality_line_by_line():
+    r = random.Random(4)
+    words_ = ["a", "Bc", "x|y", "12", "é", "#" * 5, "w" * 30, "end.", "?"]
+    texts = ["", "\n", "one", "a\n\n", *("\n".join(" ".join(r.choices(words_, k=r.randint(0, 9))) for _ in range(r.randint(1, 60))) for _ in range(25))]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    for seed in range(3):
+        f = random_field(seed)
+        expect = [plain_quality(t, f) for t in texts]
+        assert f.quality(*quality.line_features(data, offsets)) == pytest.approx(expect, abs=1e-5)
+        for most in (31, 64, 1 << 20):  # in blocks of any size; 31 bytes hold any word here
+            assert [f.long_quality(np.frombuffer(x, np.uint8), most) for x in raw] == pytest.approx(expect, abs=1e-5)
+
+
+def test_quality_of_very_long_texts(spark):
+    import resource
+
+    f = random_field(9)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert 0 <= f.long_quality(np.full(5_000_000, 10, np.uint8)) <= 1
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000  # KB; some 16 bytes a line and blocks
+    long_ = "word word2 and.\n" * 3000
+    rows = [(1, long_), (2, "short"), (3, None), (4, long_), (5, "w" * 3_000_000), (6, "\n" * 100_000), (7, "")]
+    got = {r["doc_id"]: r["score"] for r in quality.score_quality(docs(spark, rows), f, ["doc_id"]).collect()}
+    assert got[1] == got[4] and got[3] == got[7] and len(got) == 7
+    assert got[1] == pytest.approx(f.score(np.array([plain_quality(long_, f)]))[0], abs=1e-4)
+
+
+def test_teachers_are_bounded(spark, monkeypatch):
+    rows = [(i, "good line of words.\nand another one." if i % 2 else "### | |\n###") for i in range(60)] + [(60, "\n" * 5000)]
+    d, lab = docs(spark, rows), spark.createDataFrame([(i, i % 2, i % 2) for i in range(61)], "doc_id long, quality int, toxic int")
+    assert quality.teach(d, lab) is not None and toxicity.teach(d, lab) is not None
+    monkeypatch.setattr(quality, "MOST_LINES", 20)
+    monkeypatch.setattr(toxicity, "MOST_COORDINATES", 30)
+    assert quality.teach(d, lab) is not None and toxicity.teach(d, lab) is not None
+    monkeypatch.setattr(quality, "MOST_LINES", 0)
+    assert quality.teach(d, lab) is None
+
+
+def plain_ftrl(samples, labels, passes, seed):
+    """FTRL-proximal coordinate by coordinate."""
+    import math
+
+    z, n, bz, bn, order = defaultdict(float), defaultdict(float), 0.0, 0.0, np.random.default_rng(seed)
+    weight = lambda i: 0.0 if abs(z[i]) <= toxicity.L1 else -(z[i] - math.copysign(toxicity.L1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+    for _ in range(passes):
+        for k in order.permutation(len(samples)):
+            w = {int(i): weight(int(i)) for i in samples[k]}
+            bias = -bz / ((toxicity.BETA + math.sqrt(bn)) / toxicity.ALPHA)
+            g = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()) + bias)))) - labels[k]
+            for i, v in w.items():
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * v
+                n[i] += g * g
+            bz += g - (math.sqrt(bn + g * g) - math.sqrt(bn)) / toxicity.ALPHA * bias
+            bn += g * g
+    return {i: weight(i) for i in z if weight(i)}, -bz / ((toxicity.BETA + math.sqrt(bn)) / toxicity.ALPHA)
+
+
+def test_ftrl_coordinate_by_coordinate():
+    rng = np.random.default_rng(3)
+    samples = [np.unique(np.concatenate([rng.integers(10, 200, 20), [5] if k % 3 == 0 else [6]])) for k in range(120)]
+    labels = np.array([float(k % 3 == 0) for k in range(120)])
+    index, value, bias = toxicity.ftrl(samples, labels, bits=8, passes=3, seed=11)
+    expect, expect_bias = plain_ftrl(samples, labels, 3, 11)
+    assert index.tolist() == sorted(expect) and value == pytest.approx([expect[i] for i in sorted(expect)]) and bias == pytest.approx(expect_bias)
+
+
 def test_ftrl_is_sparse():
     rng = np.random.default_rng(0)
     samples = [np.unique(np.concatenate([rng.integers(10, 1000, 30), [5] if k % 3 == 0 else [6]])) for k in range(300)]
