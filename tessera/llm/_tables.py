@@ -35,9 +35,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (tests) a local one."""
+    """The folder named by spark.checkpoint.dir; only where that is unset and driver and executors are one
+    process (tests) a local one. Executors elsewhere couldn't see the driver's folder, so that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tessera-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

@@ -9,13 +9,14 @@ long as the running sum of tokens stays within the leaf's budget: a prefix, whol
 The running sum is distributed: documents fall into `SLICES` slices of their leaf by the order
 key, slice sums are accumulated (leaves x slices rows, whatever the corpus size), whole slices
 below the cut are taken at once, and only the slice that holds the cut is ordered by rows. So a
-leaf with a third of all rows is spread over all tasks. The tree itself (one row per leaf) is the
-only thing the driver sees; `MAX_LEAVES` bounds it and more raise an error.
+leaf with a third of all rows is spread over all tasks. The tree stays distributed, too: its nodes
+are dealt by their parent, level by level, and shares found by windows over siblings; the driver sees
+the total of tokens only.
 
 Defined results: null text has no tokens and costs nothing, so it is taken whenever its leaf's
-budget is positive and its place comes before the cut; null path columns are a leaf of their own;
+budget is positive and its place comes before the cut; null and empty path values are the same leaf;
 repeated rows each count; an empty table gives an empty one; leaves without a weight get
-`default`; equal order keys (repeated rows) are ordered by doc_id and text.
+`default`; columns of any name pass through; equal order keys (repeated rows) are ordered by doc_id and text.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from tessera.llm._tables import materialize, read
 
 SLICES = 4096
-MAX_LEAVES = 100_000
 #: Target weights of the tree's nodes, by path; siblings are normalised among themselves.
 WEIGHTS = {("web",): 0.6, ("books",): 0.3, ("code",): 0.1, ("web", "en"): 0.5, ("web", "de"): 0.2, ("web", "fr"): 0.2, ("web", "es"): 0.1}
 #: Share of the corpus' tokens that the mix takes, and passes over a source at most.
@@ -41,47 +41,31 @@ def domain_of(source: Column) -> Column:
     return F.when(n <= 9, "web").when(n <= 15, "books").otherwise("code")
 
 
-def split_budget(budget: float, weights: Sequence[float], capacity: Sequence[float]) -> list[float]:
-    """Budgets of siblings: by weight, none above its capacity, shortages to the others by weight."""
-    got, free, left = [0.0] * len(weights), [i for i, w in enumerate(weights) if w > 0 and capacity[i] > 0], min(budget, sum(c for w, c in zip(weights, capacity) if w > 0))
-    while free and left > 1e-9:
-        total = sum(weights[i] for i in free)
-        full = [i for i in free if capacity[i] - got[i] <= left * weights[i] / total]
-        if not full:
-            for i in free:
-                got[i] += left * weights[i] / total
-            break
-        for i in full:
-            left -= capacity[i] - got[i]
-            got[i] = capacity[i]
-        free = [i for i in free if i not in full]
-    return got
-
-
-def leaf_budgets(supply: Mapping[tuple, int], budget: float, weights: Mapping[tuple, float], epochs: int = 1, default: float = 1.0) -> dict[tuple, int]:
-    """Whole tokens for every leaf. Splitting top-down with subtree capacities gives each shortage
-    to the siblings that share the node's parent before any ancestor's siblings see it."""
-    capacity: dict[tuple, float] = {}
-    children: dict[tuple, list[tuple]] = {}
-    for leaf, tokens in sorted(supply.items(), key=lambda x: tuple(map(str, x[0]))):
-        for depth in range(len(leaf) + 1):
-            node = leaf[:depth]
-            capacity[node] = capacity.get(node, 0.0) + float(tokens) * epochs
-            if depth and node not in (known := children.setdefault(leaf[: depth - 1], [])):
-                known.append(node)
-    out: dict[tuple, int] = {}
-
-    def deal(node: tuple, amount: float) -> None:
-        if node not in children:
-            out[node] = int(amount + 1e-6)
-            return
-        below = children[node]
-        for child, part in zip(below, split_budget(amount, [weights.get(c, default) for c in below], [capacity[c] for c in below])):
-            deal(child, part)
-
-    if supply:
-        deal((), min(budget, capacity[()]))
-    return out
+def leaf_budgets(supply: DataFrame, names: Sequence[str], budget: float, weights: Mapping[tuple, float], epochs: int = 1, default: float = 1.0) -> DataFrame:
+    """supply (the names and `tokens`) with `budget`: whole tokens for every leaf. Siblings share what
+    their parent got up to a common level per weight, none above its subtree's capacity, so a shortage
+    goes to the siblings that share the node's parent before any ancestor's siblings see it."""
+    spark = supply.sparkSession
+    above = supply.agg(F.least(F.lit(float(budget)), F.coalesce(F.sum("tokens"), F.lit(0)).cast("double") * epochs).alias("given"))
+    for depth in range(1, len(names) + 1):
+        parent, node = list(names[: depth - 1]), list(names[:depth])
+        known = [(*path, float(w)) for path, w in weights.items() if len(path) == depth]
+        children = supply.groupBy(*node).agg((F.sum("tokens").cast("double") * epochs).alias("capacity"))
+        given = spark.createDataFrame(known, ", ".join(f"`{n}` string" for n in node) + ", weight double")
+        children = children.join(given, node, "left").withColumn("weight", F.coalesce("weight", F.lit(float(default))))
+        children = children.withColumn("takes", (F.col("weight") > 0) & (F.col("capacity") > 0))
+        children = children.join(above, parent) if parent else children.crossJoin(above)  # above: one row at the root
+        siblings = Window.partitionBy(*parent, "takes").orderBy(F.try_divide("capacity", "weight"), names[depth - 1])
+        full = siblings.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        before = F.coalesce(F.sum("capacity").over(siblings.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        rest = F.sum("weight").over(siblings.rowsBetween(0, Window.unboundedFollowing))
+        left = F.least("given", F.sum("capacity").over(full))
+        children = children.withColumn("level", F.when(F.col("takes"), (left - before) / rest))
+        short = F.col("capacity") <= F.col("level") * F.col("weight")
+        level = F.first(F.when(~short, F.col("level")), True).over(full)
+        share = F.when(~F.col("takes"), 0.0).when(short, F.col("capacity")).otherwise(F.col("weight") * level)
+        above = children.select(*node, share.alias("given"))
+    return supply.join(above, list(names)).select(*supply.columns, F.floor(F.col("given") + 1e-6).cast("long").alias("budget"))
 
 
 def choose(docs: DataFrame, path: Mapping[str, Column], *, weights: Mapping[tuple, float], share: float, epochs: int = 1, seed: int = SEED, tokens: Column | None = None) -> DataFrame:
@@ -91,19 +75,15 @@ def choose(docs: DataFrame, path: Mapping[str, Column], *, weights: Mapping[tupl
     count = tokens if tokens is not None else F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != ""))
     units = docs.select("doc_id", F.xxhash64("text").alias("body_key"), *[F.coalesce(c.cast("string"), F.lit("")).alias(a) for a, c in path.items()], count.cast("long").alias("n_tokens"))
     units = materialize(units.groupBy("doc_id", "body_key", *names).agg(F.sum("n_tokens").alias("n_tokens")), "mix-units")
-    sums = units.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).limit(MAX_LEAVES + 1).collect()  # the tree: one row per leaf
-    if len(sums) > MAX_LEAVES:
-        raise ValueError(f"more than {MAX_LEAVES} leaves")
-    supply = {tuple(r[a] for a in names): r["tokens"] or 0 for r in sums}
-    goal = []  # (leaf, epoch, tokens to take in it)
-    for leaf, budget in leaf_budgets(supply, share * sum(supply.values()), weights, epochs).items():
-        for epoch in range(epochs):
-            if budget > 0:
-                goal.append((*leaf, epoch, min(budget, supply[leaf])))
-            budget -= supply[leaf]
-    goal = docs.sparkSession.createDataFrame(goal, ", ".join(f"`{a}` string" for a in names) + ", epoch int, budget long")
+    leaves = materialize(units.groupBy(*names).agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")), "mix-leaves")
+    whole = leaves.agg(F.sum("tokens")).first()[0] or 0
+    goal = leaf_budgets(leaves, names, share * whole, weights, epochs).filter(F.col("budget") > 0)
+    goal = goal.select(*names, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"), "tokens", "budget")
+    left = F.col("budget") - F.col("epoch") * F.col("tokens")  # what the epochs before left
+    goal = goal.filter(left > 0).withColumn("budget", F.least(left, F.col("tokens"))).drop("tokens")
+    goal = materialize(goal, "mix-budgets")
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    placed = units.join(F.broadcast(goal), names).withColumn("order_key", key)  # goal: at most MAX_LEAVES x epochs short rows
+    placed = units.join(goal, names).withColumn("order_key", key)  # a row per leaf and epoch; its size decides how they meet
     placed = placed.withColumn("slice", F.conv(F.substring("order_key", 1, 3), 16, 10).cast("int"))  # three hex digits: SLICES
     group = [*names, "epoch"]
     before = F.coalesce(F.sum("total").over(Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -119,8 +99,10 @@ def choose(docs: DataFrame, path: Mapping[str, Column], *, weights: Mapping[tupl
 def mix_sources(docs: DataFrame, path: Mapping[str, Column], **how) -> DataFrame:
     """The rows of docs that the mix takes, each once per epoch, with `epoch` as last column."""
     names = [c for c in docs.columns if c != "epoch"]
-    taken = choose(docs, path, **how).select(F.col("doc_id").alias("_id"), F.col("body_key").alias("_key"), "epoch")
-    return docs.select(*names).join(taken, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))).select(*names, "epoch")
+    taken = choose(docs, path, **how).select(F.col("doc_id").alias("taken_id"), F.col("body_key").alias("taken_key"), "epoch")
+    rows = docs.select(F.struct(*names).alias("row"))  # one name of ours, so that none of theirs clashes
+    out = rows.join(taken, F.col("row.doc_id").eqNullSafe(F.col("taken_id")) & (F.xxhash64("row.text") == F.col("taken_key")))
+    return out.select(*[F.col("row")[c].alias(c) for c in names], "epoch")
 
 
 def source_path() -> dict[str, Column]:

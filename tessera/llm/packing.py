@@ -10,8 +10,10 @@ lower bound on its bins. A partition that meets its bound is certified and done.
 packed in slightly disturbed orders, too, and where that doesn't help give up every bin that isn't
 full; these bins are dealt anew, whole, to as few groups as hold them, and each group packs its
 pieces again, in descending and in disturbed orders. A group's new packing is taken only where it
-has fewer bins than were dealt to it, so exchanging never costs sequences. This goes on, with one partition too, until all bounds are met, or `ROUNDS` are over and
-the last one shrank no gap; what is left then stays uncertified.
+has fewer bins than were dealt to it, so exchanging never costs sequences. This goes on, with one
+partition too, until all bounds are met, or `ROUNDS` are over and the last one shrank no gap; what is
+left then stays uncertified. Each piece carries `gap`, the bins that its group was above its bound when
+its sequence was settled: 0 is certified.
 
 Only (doc_id, piece, length) rows are shuffled, 24 bytes a piece. Partitions hold some
 `PIECES_PER_PART` pieces however large the corpus is.
@@ -246,13 +248,13 @@ def _pack_round(rows: DataFrame, parts: int, k: int, capacity: int) -> DataFrame
 
 
 def pack(pieces_: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, per_part: int = PIECES_PER_PART) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset and gap for every piece."""
     parts = max(1, -(-pieces_.count() // per_part))
     done, rest, last_gap = [], pieces_, None
     for k in range(256):  # the round's number is a byte of sequence_id
         packed = materialize(_pack_round(rest, parts, k, capacity), "packing-round")
         number = F.col("bin") * F.lit(1 << 32) + F.col("part") * F.lit(1 << 8) + F.lit(k)
-        numbered = packed.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset", "settled")
+        numbered = packed.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset", F.greatest("gap", F.lit(0)).alias("gap"), "settled")
         left = packed.filter("not settled")
         groups = left.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("gap")).agg(F.sum("n").alias("n"), F.sum("gap").alias("gap")).first()
         if not groups["n"] or k == 255 or (k + 1 >= rounds and last_gap is not None and groups["gap"] >= last_gap) or rounds <= 1:
@@ -278,5 +280,5 @@ def default_tokenizer() -> str:
 
 
 def op7_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap."""
     return pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), default_tokenizer())

@@ -422,14 +422,65 @@ def test_pages_hold_their_documents(spark):
 # -- mixing -----------------------------------------------------------------------------------
 
 
-def test_budgets():
-    assert mixing.split_budget(100, [1, 1], [30, 200]) == [30, 70]
-    assert mixing.split_budget(100, [3, 1, 0], [500, 500, 500]) == [75, 25, 0]
-    assert mixing.split_budget(100, [1, 1], [10, 20]) == [10, 20]
+def plain_split(budget, weights, capacity):
+    """Siblings fill in turns until none is above its capacity."""
+    got, free, left = [0.0] * len(weights), [i for i, w in enumerate(weights) if w > 0 and capacity[i] > 0], min(budget, sum(c for w, c in zip(weights, capacity) if w > 0))
+    while free and left > 1e-9:
+        total = sum(weights[i] for i in free)
+        full = [i for i in free if capacity[i] - got[i] <= left * weights[i] / total]
+        if not full:
+            for i in free:
+                got[i] += left * weights[i] / total
+            break
+        for i in full:
+            left -= capacity[i] - got[i]
+            got[i] = capacity[i]
+        free = [i for i in free if i not in full]
+    return got
+
+
+def plain_budgets(supply, budget, weights, epochs=1, default=1.0):
+    capacity, children, out = defaultdict(float), defaultdict(list), {}
+    for leaf, tokens in sorted(supply.items()):
+        for depth in range(len(leaf) + 1):
+            capacity[leaf[:depth]] += float(tokens) * epochs
+            if depth and leaf[:depth] not in children[leaf[: depth - 1]]:
+                children[leaf[: depth - 1]].append(leaf[:depth])
+
+    def deal(node, amount):
+        if not children[node]:
+            out[node] = int(amount + 1e-6)
+            return
+        for child, part in zip(children[node], plain_split(amount, [weights.get(c, default) for c in children[node]], [capacity[c] for c in children[node]])):
+            deal(child, part)
+
+    if supply:
+        deal((), min(budget, capacity[()]))
+    return out
+
+
+def budgets(spark, supply, budget, weights, epochs=1):
+    n = len(next(iter(supply))) if supply else 1
+    names = [f"p{k}" for k in range(n)]
+    df = spark.createDataFrame([(*k, v) for k, v in supply.items()], ", ".join(f"{a} string" for a in names) + ", tokens long")
+    return {tuple(r[a] for a in names): r["budget"] for r in mixing.leaf_budgets(df, names, budget, weights, epochs).collect()}
+
+
+def test_budgets(spark):
+    one = lambda *x: {(str(i),): v for i, v in enumerate(x)}
+    assert budgets(spark, one(30, 200), 100, {}) == one(30, 70)
+    assert budgets(spark, one(500, 500, 500), 100, {("0",): 3, ("1",): 1, ("2",): 0}) == one(75, 25, 0)
+    assert budgets(spark, one(10, 20), 100, {}) == one(10, 20) and budgets(spark, {}, 5, {}) == {}
     supply = {("a", "x"): 10, ("a", "y"): 1000, ("b", "z"): 5}
-    got = mixing.leaf_budgets(supply, 100, {("a",): 1, ("b",): 1, ("a", "x"): 1, ("a", "y"): 1})
-    assert got == {("a", "x"): 10, ("a", "y"): 85, ("b", "z"): 5}  # b's shortage goes to a; x's to y
-    assert mixing.leaf_budgets(supply, 100, {}, epochs=3)[("b", "z")] == 15 and mixing.leaf_budgets({}, 5, {}) == {}
+    assert budgets(spark, supply, 100, {("a",): 1, ("b",): 1, ("a", "x"): 1, ("a", "y"): 1}) == {("a", "x"): 10, ("a", "y"): 85, ("b", "z"): 5}  # b's shortage goes to a; x's to y
+    assert budgets(spark, supply, 10_000, {}, 3)[("b", "z")] == 15
+    r = random.Random(2)
+    for _ in range(4):
+        supply = {(f"a{r.randint(0, 3)}", f"b{r.randint(0, 4)}", f"c{k}"): r.choice([0, 1, 7, 100, 5000]) for k in range(40)}
+        weights = {k[:d]: r.choice([0, 0.5, 1, 3]) for k in list(supply)[::2] for d in (1, 2, 3)}
+        budget = r.random() * sum(supply.values())
+        got, expect = budgets(spark, supply, budget, weights, 2), plain_budgets(supply, budget, weights, 2)
+        assert got.keys() == expect.keys() and all(abs(got[k] - expect[k]) <= 1 for k in got)
 
 
 def test_mix_takes_prefixes(spark):
@@ -445,9 +496,8 @@ def test_mix_takes_prefixes(spark):
     supply = defaultdict(int)
     for (_, _, dom, lang, source), n in units.items():
         supply[(dom, lang, source)] += n
-    budgets = mixing.leaf_budgets(supply, 0.6 * sum(supply.values()), mixing.WEIGHTS, 2)
     expect = set()
-    for leaf, budget in budgets.items():
+    for leaf, budget in budgets(spark, dict(supply), 0.6 * sum(supply.values()), mixing.WEIGHTS, 2).items():
         for epoch in range(2):
             part, total = min(budget, supply[leaf]), 0
             if budget <= 0:
@@ -458,8 +508,9 @@ def test_mix_takes_prefixes(spark):
                     expect.add((key[0], *leaf, epoch))
             budget -= supply[leaf]
     assert {(r["doc_id"], r["domain"], r["lang"], r["source"], r["epoch"]) for r in got if r["doc_id"]} == {e for e in expect if e[0]}
+    d = d.withColumns({c: F.lit("clash") for c in ("_id", "_key", "row", "taken_id", "body_key", "epoch")})
     whole = mixing.mix_sources(d, mixing.source_path(), weights=mixing.WEIGHTS, share=0.6)
-    assert whole.columns == [*d.columns, "epoch"] and mixing.choose(d.filter("doc_id < 0"), mixing.source_path(), weights={}, share=1.0).count() == 0
+    assert whole.columns == d.columns and whole.count() > 0 and mixing.choose(d.filter("doc_id < 0"), mixing.source_path(), weights={}, share=1.0).count() == 0
 
 
 # -- queries and the pipeline -----------------------------------------------------------------
