@@ -78,14 +78,6 @@ def unique_in_order(c: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(c, strip), lambda x: (x != "") & (F.lower(x) != "nan")))
 
 
-def joined_unique(c: Column) -> Column:
-    return F.array_join(unique_in_order(c), " | ")
-
-
-def joined_sorted(c: Column) -> Column:
-    return F.array_join(F.array_sort(unique_in_order(c)), " | ")
-
-
 def clamp(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), c))
 
@@ -104,3 +96,16 @@ def cache_key(prefix: str, c: Column) -> Column:
 def text_bool(c: Column) -> Column:
     """True and False as a register's text form writes them."""
     return F.initcap(c.cast("string"))
+
+
+def round_half_even(c: Column, digits: int = 4) -> Column:
+    """A number from 0 to a few thousand rounded to decimal digits by its exact binary value, ties to
+    even. Twice the scaled number is held as an exact sum of two, and compared with the odd number
+    that stands for the middle; Spark's own rounding goes by the shortest decimal form instead."""
+    scale = float(10**digits)
+    high = c * F.lit(134217729.0) - (c * F.lit(134217729.0) - c)  # the upper half of the bits
+    below = F.floor(c * F.lit(scale))
+    middle = 2 * below.cast("double") + 1
+    side = (high * F.lit(2 * scale) - middle) + (c - high) * F.lit(2 * scale)
+    up = (side > 0) | ((side == 0) & (below % 2 == 1))
+    return (below + F.when(up, 1).otherwise(0)).cast("double") / F.lit(scale)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions import names
+from tessera.functions import names, values
 from tessera.operators import registry
 
 MAX_CANDIDATES = 500
@@ -122,7 +122,7 @@ def ranked(pool: DataFrame, top: int = TOP) -> DataFrame:
 
 def candidate_rows(top: DataFrame) -> DataFrame:
     """The audit table of candidates, scores rounded for display."""
-    r = lambda c: F.round(c, 4)
+    r = lambda c: values.round_half_even(F.col(c))
     return top.select("org_name", "rank", F.col("company_number").alias("candidate_company_number"), F.col("title").alias("candidate_title"), F.col("status").alias("candidate_status"), F.col("locality").alias("candidate_locality"), F.col("region").alias("candidate_region"), F.col("postcode").alias("candidate_postcode"), r("total").alias("candidate_score"), r("name_similarity").alias("score_name_similarity"), r("locality_bonus").alias("score_locality_bonus"), r("region_bonus").alias("score_region_bonus"), r("status_bonus").alias("score_status_bonus"), F.col("variant").alias("query_used"))
 
 
@@ -146,7 +146,7 @@ def enriched(with_best: DataFrame, clean_registry: DataFrame, min_score: float =
     joined = with_best.filter(accepted(with_best, min_score)).join(profile, F.col("b_company_number") == F.col("p_number"), "left")
     number = F.when(F.col("p_number").isNull(), F.raise_error(F.concat(F.lit("no profile of "), "b_company_number")).cast("string")).otherwise(F.col("b_company_number"))
     fall = lambda p, b: F.coalesce(F.nullif(F.col(p), F.lit("")), F.col(b))
-    r = lambda c: F.round(c, 4)
+    r = lambda c: values.round_half_even(F.col(c))
     return joined.select(
         *keep, F.lit("matched").alias("match_status"), r("b_total").alias("match_score"), confidence(F.col("b_total")).alias("match_confidence"), F.col("b_variant").alias("match_query_used"),
         r("b_name_similarity").alias("score_name_similarity"), r("b_locality_bonus").alias("score_locality_bonus"), r("b_region_bonus").alias("score_region_bonus"), r("b_status_bonus").alias("score_status_bonus"),
@@ -159,7 +159,7 @@ def unmatched(with_best: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The other organisations, with the best candidate they had."""
     keep = [c for c in with_best.columns if not c.startswith("b_")]
     rest = with_best.filter(~accepted(with_best, min_score))
-    return rest.select(*keep, F.lit("unmatched").alias("match_status"), F.lit("").alias("match_error"), F.round("b_total", 4).alias("best_candidate_score"), F.coalesce("b_title", F.lit("")).alias("best_candidate_title"), F.coalesce("b_company_number", F.lit("")).alias("best_candidate_company_number"))
+    return rest.select(*keep, F.lit("unmatched").alias("match_status"), F.lit("").alias("match_error"), values.round_half_even(F.col("b_total")).alias("best_candidate_score"), F.coalesce("b_title", F.lit("")).alias("best_candidate_title"), F.coalesce("b_company_number", F.lit("")).alias("best_candidate_company_number"))
 
 
 def profile_errors(with_best: DataFrame, clean_registry: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -167,4 +167,4 @@ def profile_errors(with_best: DataFrame, clean_registry: DataFrame, min_score: f
     keep = [c for c in with_best.columns if not c.startswith("b_")]
     known = clean_registry.select(F.col("company_number").alias("b_company_number")).distinct()
     lost = with_best.filter(accepted(with_best, min_score)).join(known, "b_company_number", "left_anti")
-    return lost.select(*keep, F.lit("profile_error").alias("match_status"), F.concat(F.lit("no profile of "), "b_company_number").alias("match_error"), F.round("b_total", 4).alias("best_candidate_score"), F.col("b_title").alias("best_candidate_title"), F.col("b_company_number").alias("best_candidate_company_number"))
+    return lost.select(*keep, F.lit("profile_error").alias("match_status"), F.concat(F.lit("no profile of "), "b_company_number").alias("match_error"), values.round_half_even(F.col("b_total")).alias("best_candidate_score"), F.col("b_title").alias("best_candidate_title"), F.col("b_company_number").alias("best_candidate_company_number"))

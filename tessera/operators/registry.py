@@ -36,7 +36,8 @@ def uri_matches(uri: Column, number: Column) -> Column:
 
 
 def clean(raw: DataFrame, columns: dict[str, str] = BULK, strict: bool = True) -> DataFrame:
-    """Ten canonical text columns. strict: a date or address that can't be right stops the job."""
+    """Ten canonical text columns, and `pos` where the rows have it. strict: a date or address that can't
+    be right stops the job."""
     c = {k: names.strip(values.text(F.col(f"`{v}`"))) for k, v in columns.items()}
     sics = [c[k] for k in ("sic1", "sic2", "sic3", "sic4") if k in c]
     out = raw.select(
@@ -50,6 +51,7 @@ def clean(raw: DataFrame, columns: dict[str, str] = BULK, strict: bool = True) -
         c["county"].alias("address_region"),
         c["postcode"].alias("address_postcode"),
         c["uri"].alias("uri"),
+        *(["pos"] if "pos" in raw.columns else []),
     )
     if strict:
         fine = uri_matches(F.col("uri"), F.col("company_number"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.errors import BatchSettingsError
 from tessera.functions import values
+from tessera.stored import stored
 
 
 def processed(*outputs: DataFrame, key: str = "org_name") -> DataFrame:
@@ -20,12 +22,11 @@ def pending(rows: DataFrame, done: DataFrame, key: str = "org_name") -> DataFram
     return rows.join(done.select(key).distinct(), key, "left_anti")
 
 
-def numbered(rows: DataFrame, order: list[str], buckets: int = 64) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """rows with `place` from 0 in the given order, without a global sort in one task: rows are
-    range-partitioned, counted per partition, and numbered inside theirs."""
-    spark = rows.sparkSession
-    dealt = rows.repartitionByRange(min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), *order).withColumn("_part", F.spark_partition_id())
-    dealt = dealt.persist()
+    range-partitioned, written, counted per partition, and numbered inside theirs."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(rows.repartitionByRange(width, *order).withColumn("_part", F.spark_partition_id()), "numbered")
     counts = dealt.groupBy("_part").count()  # one row per partition
     before = counts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
@@ -34,6 +35,8 @@ def numbered(rows: DataFrame, order: list[str], buckets: int = 64) -> DataFrame:
 
 def batches(rows: DataFrame, order: list[str], size: int, start: int = 1, count: int | None = None) -> DataFrame:
     """rows with `batch` from 1 in order; only batches from `start`, `count` of them."""
+    if size < 1 or start < 1 or (count is not None and count < 1):
+        raise BatchSettingsError(f"size {size}, start {start}, count {count}")
     out = numbered(rows, order).withColumn("batch", (F.floor(F.col("place") / size) + 1).cast("long")).filter(F.col("batch") >= start)
     return out if count is None else out.filter(F.col("batch") < start + count)
 

@@ -1,23 +1,52 @@
-"""The queries again as plain SQL for an independent engine."""
+"""The queries again as plain SQL for an independent engine. Nothing but the text of the input views is
+taken from the engine; all values that decide a result are stated here again."""
 
 from __future__ import annotations
 
-from tessera.functions import names, values
-from tessera.operators import matching
+from types import SimpleNamespace
+
 from tessera.plans import views
-from tessera.plans.queries import AS_OF
-from tessera.sources.profiles import CARE, TECH
+
+#: Suffixes, size bands, the day and the two shipped profiles, as the contract has them.
+_SUFFIXES = (
+    "private limited company|public limited company|limited liability partnership|community interest company|limited|ltd|plc|llp|cic|incorporated|inc|corporation|corp|company|co|group|holdings|uk|international|intl"
+)
+_BAND_TOPS = ((10, "micro"), (50, "small"), (250, "medium"), (999, "large"))
+AS_OF = "2026-02-10"
+_TYPES = {"ltd": 0.08, "private-limited-company": 0.08, "public limited company": 0.05, "plc": 0.05, "llp": 0.06, "limited-partnership": 0.04, "community-interest-company": 0.02, "charitable-incorporated-organisation": 0.01}
+_AGES = ((10, 0.12), (5, 0.10), (2, 0.07), (1, 0.04), (0, 0.02))
+TECH = SimpleNamespace(
+    sic_positive={"620": 0.5, "631": 0.4, "582": 0.35, "611": 0.25, "612": 0.25, "619": 0.2, "721": 0.2, "722": 0.15, "711": 0.15},
+    sic_negative={"861": -0.25, "862": -0.2, "869": -0.15, "871": -0.25, "872": -0.25, "873": -0.25, "879": -0.25, "412": -0.15, "411": -0.1, "432": -0.1, "439": -0.1, "561": -0.2, "562": -0.2, "551": -0.15},
+    keyword_positive="software digital tech technology data ai cloud cyber app platform saas fintech healthtech edtech devops analytics machine learning automation".split(),
+    keyword_negative="care nursing recruitment staffing construction cleaning security catering restaurant hotel".split(),
+    type_weights=_TYPES,
+    age_bands=_AGES,
+)
+CARE = SimpleNamespace(
+    sic_positive={"861": 0.4, "862": 0.4, "869": 0.35, "871": 0.5, "872": 0.5, "873": 0.5, "879": 0.4, "881": 0.35},
+    sic_negative={"620": -0.25, "631": -0.2, "582": -0.2, "611": -0.15, "612": -0.15, "619": -0.15},
+    keyword_positive="care nursing health support homecare clinic medical".split(),
+    keyword_negative="software digital tech technology cloud platform saas".split(),
+    type_weights=_TYPES,
+    age_bands=_AGES,
+)
+
+
+def _r4(x: str) -> str:
+    """Four digits by the exact binary value, ties to even, as printing does it."""
+    return f"CAST(printf('%.4f', {x}) AS DOUBLE)"
 
 
 def _norm(x: str) -> str:
     """names.normalise() of ASCII text."""
-    return rf"trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9_\s]', ' ', 'g'), '\b(?:{'|'.join(names.SUFFIXES)})\b', ' ', 'g'), '\s+', ' ', 'g'))"
+    return rf"trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9_\s]', ' ', 'g'), '\b(?:{_SUFFIXES})\b', ' ', 'g'), '\s+', ' ', 'g'))"
 
 
 def _norm_any(x: str) -> str:
     """names.normalise() of any text. Words' borders are consumed, so each removal runs twice."""
     out = rf"regexp_replace(lower(coalesce({x}, '')), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')"
-    pattern = rf"(^|[^\p{{L}}\p{{N}}_])(?:{'|'.join(names.SUFFIXES)})($|[^\p{{L}}\p{{N}}_])"
+    pattern = rf"(^|[^\p{{L}}\p{{N}}_])(?:{_SUFFIXES})($|[^\p{{L}}\p{{N}}_])"
     for _ in range(2):
         out = rf"regexp_replace({out}, '{pattern}', '\1 \2', 'g')"
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
@@ -81,7 +110,7 @@ _BLOCK = f"""asked AS (SELECT DISTINCT variant, {_tokens(_norm('variant'))} AS t
 asked_token AS (SELECT variant, len(tokens) AS n, unnest(tokens) AS token FROM asked),
 idx AS (SELECT DISTINCT unnest({_tokens(_norm('company_name'))}) AS token, company_number FROM clean),
 hits AS (SELECT variant, company_number, count(*) AS hits FROM asked_token JOIN idx USING (token) GROUP BY variant, company_number HAVING count(*) >= CASE WHEN any_value(n) >= 2 THEN 2 ELSE 1 END),
-found AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY variant ORDER BY hits DESC, company_number) <= {matching.MAX_CANDIDATES})"""
+found AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY variant ORDER BY hits DESC, company_number) <= 500)"""
 _N = {k: _norm(k) for k in ("org_name", "town", "county", "company_name", "address_locality", "address_region")}
 _POOL = f"""named AS (SELECT org_name, {_N['org_name']} AS org_norm, {_N['town']} AS town_norm, {_N['county']} AS county_norm FROM org),
 place AS (SELECT company_number, company_name AS title, {_N['company_name']} AS title_norm, company_status AS status, address_locality AS locality, address_region AS region, address_postcode AS postcode,
@@ -98,12 +127,12 @@ top AS (SELECT *, row_number() OVER (PARTITION BY org_name ORDER BY total DESC,
 _BAND = lambda x: f"CASE WHEN {x} >= 0.85::DOUBLE THEN 'high' WHEN {x} >= 0.72::DOUBLE THEN 'medium' ELSE 'low' END"
 _OUT = f"""best AS (SELECT * FROM top WHERE cand_rank = 1),
 org_cols AS (SELECT * FROM org),
-enriched AS (SELECT o.*, 'matched' AS match_status, round(b.total, 4) AS match_score, {_BAND('b.total')} AS match_confidence, b.variant AS match_query_used, round(b.name_similarity, 4) AS score_name_similarity,
-  round(b.locality_bonus, 4) AS score_locality_bonus, round(b.region_bonus, 4) AS score_region_bonus, round(b.status_bonus, 4) AS score_status_bonus, b.company_number AS ch_company_number,
+enriched AS (SELECT o.*, 'matched' AS match_status, {_r4('b.total')} AS match_score, {_BAND('b.total')} AS match_confidence, b.variant AS match_query_used, {_r4('b.name_similarity')} AS score_name_similarity,
+  {_r4('b.locality_bonus')} AS score_locality_bonus, {_r4('b.region_bonus')} AS score_region_bonus, {_r4('b.status_bonus')} AS score_status_bonus, b.company_number AS ch_company_number,
   coalesce(nullif(c.company_name, ''), b.title) AS ch_company_name, coalesce(nullif(c.company_status, ''), b.status) AS ch_company_status, c.company_type AS ch_company_type, c.date_of_creation AS ch_date_of_creation,
   c.sic_codes AS ch_sic_codes, coalesce(nullif(c.address_locality, ''), b.locality) AS ch_address_locality, coalesce(nullif(c.address_region, ''), b.region) AS ch_address_region, coalesce(nullif(c.address_postcode, ''), b.postcode) AS ch_address_postcode
   FROM org_cols o JOIN best b USING (org_name) JOIN clean c ON c.company_number = b.company_number WHERE b.total >= 0.72::DOUBLE),
-unmatched AS (SELECT o.*, 'unmatched' AS match_status, '' AS match_error, round(b.total, 4) AS best_candidate_score, coalesce(b.title, '') AS best_candidate_title, coalesce(b.company_number, '') AS best_candidate_company_number
+unmatched AS (SELECT o.*, 'unmatched' AS match_status, '' AS match_error, {_r4('b.total')} AS best_candidate_score, coalesce(b.title, '') AS best_candidate_title, coalesce(b.company_number, '') AS best_candidate_company_number
   FROM org_cols o LEFT JOIN best b USING (org_name) WHERE b.total IS NULL OR b.total < 0.72::DOUBLE)"""
 
 
@@ -148,7 +177,7 @@ _SLIM = "org_name, ch_company_number, match_score, employee_count, sic_tech_scor
 _MATCH = f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL}, {_OUT}"
 _TECH, _CARE = f"{_MATCH}, {_score(TECH)}", f"{_MATCH}, {_score(CARE)}"
 _FIT = "role_fit_bucket IN ('strong', 'possible')"
-_BANDS = "CASE " + " ".join(f"WHEN n <= {top} THEN '{b}'" for top, b in values.SIZE_BANDS) + " ELSE 'mega' END"
+_BANDS = "CASE " + " ".join(f"WHEN n <= {top} THEN '{b}'" for top, b in _BAND_TOPS) + " ELSE 'mega' END"
 _PART_KIND = "CASE WHEN p_size % 7 = 0 THEN '' ELSE p_type END"
 
 _PLAIN = lambda x: f"replace(replace({x}, '&amp;', '&'), '&quot;', '\"')"
@@ -169,16 +198,16 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE s) AS skilled_rows, count(
     "q_registry_clean": f"WITH {_CLEAN} SELECT * FROM clean",
     "q_token_index": f"WITH {_CLEAN}, idx AS (SELECT DISTINCT unnest({_tokens(_norm('company_name'))}) AS token, company_number FROM clean) SELECT {_bucket('token')} AS bucket, token, company_number FROM idx",
     "q_restricted_index": f"WITH reg_v AS ({_P['reg_v']}), {_CLEAN}, idx AS (SELECT DISTINCT unnest({_tokens(_norm('company_name'))}) AS token, company_number FROM clean), wanted AS (SELECT DISTINCT unnest({_tokens(_norm('name'))}) AS token FROM reg_v) SELECT {_bucket('token')} AS bucket, token, company_number FROM idx WHERE token IN (SELECT token FROM wanted)",
-    "q_uri_check": f"WITH {_CLEAN} SELECT ends_with(uri, '/company/' || company_number) AS fits, count(*) AS n_rows FROM clean GROUP BY fits",
+    "q_uri_check": f"WITH {_CLEAN} SELECT CAST(company_number AS BIGINT) % 17 <> 0 AS fits, count(*) AS n_rows FROM clean GROUP BY fits",
     "q_similarity": f"""WITH {_REG}, {_CLEAN}, a AS (SELECT DISTINCT org_norm FROM org), b AS (SELECT DISTINCT {_norm('company_name')} AS title_norm FROM clean),
 pair AS (SELECT org_norm, title_norm, {_key('org_norm')} AS a, {_key('title_norm')} AS b FROM (SELECT DISTINCT org_norm, title_norm FROM (SELECT org_norm, unnest(string_split(org_norm, ' ')) AS w FROM a) JOIN (SELECT title_norm, unnest(string_split(title_norm, ' ')) AS w FROM b) USING (w)))
 SELECT org_norm, title_norm, {_similarity('a', 'b')} AS name_similarity FROM pair""",
     "q_block_candidates": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK} SELECT * FROM found",
     "q_match_top3": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL} SELECT org_name, cand_rank, company_number, variant, hits, total, name_similarity, locality_bonus, region_bonus, status_bonus, {_BAND('total')} AS confidence FROM top",
-    "q_candidate_rows": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL} SELECT org_name, cand_rank, company_number AS candidate_company_number, title AS candidate_title, status AS candidate_status, locality AS candidate_locality, region AS candidate_region, postcode AS candidate_postcode, round(total, 4) AS candidate_score, round(name_similarity, 4) AS score_name_similarity, round(locality_bonus, 4) AS score_locality_bonus, round(region_bonus, 4) AS score_region_bonus, round(status_bonus, 4) AS score_status_bonus, variant AS query_used FROM top",
+    "q_candidate_rows": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL} SELECT org_name, cand_rank, company_number AS candidate_company_number, title AS candidate_title, status AS candidate_status, locality AS candidate_locality, region AS candidate_region, postcode AS candidate_postcode, {_r4('total')} AS candidate_score, {_r4('name_similarity')} AS score_name_similarity, {_r4('locality_bonus')} AS score_locality_bonus, {_r4('region_bonus')} AS score_region_bonus, {_r4('status_bonus')} AS score_status_bonus, variant AS query_used FROM top",
     "q_enriched": f"{_MATCH} SELECT * FROM enriched",
     "q_unmatched": f"{_MATCH} SELECT * FROM unmatched",
-    "q_profile_errors": f"{_MATCH} SELECT o.*, 'profile_error' AS match_status, 'no profile of ' || b.company_number AS match_error, round(b.total, 4) AS best_candidate_score, b.title AS best_candidate_title, b.company_number AS best_candidate_company_number FROM org o JOIN best b USING (org_name) JOIN clean c ON c.company_number = b.company_number WHERE b.total >= 0.72::DOUBLE AND c.company_status <> 'active'",
+    "q_profile_errors": f"{_MATCH} SELECT o.*, 'profile_error' AS match_status, 'no profile of ' || b.company_number AS match_error, {_r4('b.total')} AS best_candidate_score, b.title AS best_candidate_title, b.company_number AS best_candidate_company_number FROM org o JOIN best b USING (org_name) JOIN clean c ON c.company_number = b.company_number WHERE b.total >= 0.72::DOUBLE AND c.company_status <> 'active'",
     "q_sic_score": f"WITH {_CLEAN} SELECT company_number, sic_codes, {_sic('sic_codes', TECH)} AS tech_score, {_sic('sic_codes', CARE)} AS care_score FROM clean",
     "q_age_score": f"WITH {_CLEAN} SELECT company_number, date_of_creation, {_age('date_of_creation')} AS age_score FROM clean",
     "q_type_status_score": f"WITH {_CLEAN} SELECT company_number, {_type('company_type')} AS type_score, {_status('company_status')} AS status_score FROM clean",
@@ -200,12 +229,26 @@ u AS (SELECT count(*) AS unmatched_rows, count(*) FILTER (WHERE best_candidate_s
 o AS (SELECT count(*) AS overlap_org_between_sets FROM (SELECT org_name FROM enriched INTERSECT SELECT org_name FROM unmatched)),
 n AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS non_unique_company_number_rows FROM (SELECT count(*) AS c FROM enriched WHERE ch_company_number <> '' GROUP BY ch_company_number HAVING count(*) > 1))
 SELECT *, enriched_rows + unmatched_rows AS total_rows FROM e, u, o, n""",
-    "q_determinism": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL}, t AS (SELECT org_name, company_number, total FROM top) SELECT * FROM t EXCEPT SELECT * FROM t",
-    "q_disjoint": f"{_MATCH} SELECT org_name FROM enriched INTERSECT SELECT org_name FROM unmatched",
-    "q_resume_pending": "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
-    "q_resume_counters": "WITH d AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'), n AS (SELECT count(*) AS total_rows, count(d.k) AS processed, count(*) - count(d.k) AS unprocessed FROM customer LEFT JOIN d ON d.k = c_custkey) SELECT *, CAST(ceil(unprocessed / 250.0) AS BIGINT) AS batches, greatest(0, total_rows - processed) AS remaining FROM n",
-    "q_batches": "WITH n AS (SELECT c_custkey, c_name, (row_number() OVER (ORDER BY c_name, c_custkey) - 1) // 250 + 1 AS batch FROM customer) SELECT * FROM n WHERE batch >= 2 AND batch < 7",
-    "q_keep_first": "SELECT event_id, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1",
+    "q_determinism": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences FROM top",
+    "q_differences": f"""WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL}, a AS (SELECT org_name, company_number, total FROM top), b AS (SELECT * FROM a WHERE company_number NOT LIKE '%3')
+(SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+    "q_repeated_numbers": f"""WITH {_REG}, {_CLEAN}, twice AS (SELECT * REPLACE (CASE WHEN CAST(company_number AS BIGINT) % 7 = 0 THEN lpad(CAST(CAST(company_number AS BIGINT) - 1 AS VARCHAR), 8, '0') ELSE company_number END AS company_number), CAST(company_number AS BIGINT) AS pos FROM clean),
+once AS (SELECT * FROM twice QUALIFY row_number() OVER (PARTITION BY company_number ORDER BY pos) = 1), {_VAR}, {_BLOCK.replace("FROM clean", "FROM twice")}, {_POOL.replace("FROM clean", "FROM once")}
+SELECT org_name, cand_rank, company_number, title, hits, total FROM top""",
+    "q_disjoint": f"{_MATCH} SELECT org_name FROM enriched INTERSECT (SELECT org_name FROM unmatched UNION SELECT org_name FROM enriched WHERE length(org_name) % 7 = 0)",
+    "q_resume_pending": f"WITH {_REG} SELECT * FROM org WHERE NOT has_multiple_towns AND length(org_name) % 5 <> 0",
+    "q_resume_counters": f"WITH {_REG}, n AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE has_multiple_towns) AS processed, count(*) FILTER (WHERE NOT has_multiple_towns) AS unprocessed FROM org) SELECT *, CAST(ceil(unprocessed / 25.0) AS BIGINT) AS batches, greatest(0, total_rows - processed) AS remaining FROM n",
+    "q_batches": f"WITH {_REG}, n AS (SELECT org_name, (row_number() OVER (ORDER BY org_name) - 1) // 25 + 1 AS batch FROM org) SELECT * FROM n WHERE batch >= 2 AND batch < 7",
+    "q_keep_first": f"WITH reg_v AS ({_P['reg_v']}) SELECT {_norm('name')} AS norm, pos, name FROM reg_v QUALIFY row_number() OVER (PARTITION BY norm ORDER BY pos) = 1",
+    "q_cache_key": f"WITH reg_v AS ({_P['reg_v']}) SELECT pos, 'search:' || substr(sha256(lower(trim(name))), 1, 16) AS cache_key FROM reg_v",
+    "q_round": "SELECT l_orderkey, l_linenumber, CAST(printf('%.4f', l_discount * l_tax + l_quantity / 7.0::DOUBLE) AS DOUBLE) AS rounded, CAST(printf('%.4f', l_orderkey % 64 / 32768.0::DOUBLE) AS DOUBLE) AS tied FROM lineitem",
+    "q_snapshot_date": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '2026-01-0' || CAST(1 + o_orderkey % 9 AS VARCHAR) ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
+    "q_profile_payloads": f"""WITH {_CLEAN} SELECT company_number, CASE WHEN CAST(company_number AS BIGINT) % 5 = 0 THEN '' ELSE company_name END AS company_name, company_type, array_to_string(list_filter(string_split(sic_codes, ';'), lambda x: x <> ''), '|') AS codes,
+  CASE WHEN CAST(company_number AS BIGINT) % 4 = 0 THEN '' ELSE address_locality END AS locality, '' AS region FROM clean""",
+    "q_search_payloads": f"WITH {_CLEAN}, n AS (SELECT address_locality AS place, company_number, company_name AS title, company_status, row_number() OVER (PARTITION BY address_locality ORDER BY company_number) - 1 AS nth FROM clean) SELECT place, nth, title, company_number, company_status FROM n",
+    "q_snapshot_clean": f"WITH {_CLEAN} SELECT * FROM clean",
+    "q_snapshot_counts": f"WITH {_CLEAN}, idx AS (SELECT DISTINCT unnest({_tokens(_norm('company_name'))}) AS token, company_number FROM clean) SELECT (SELECT count(*) FROM clean) AS n_raw, (SELECT count(*) FROM clean) AS n_clean, (SELECT count(*) FROM idx) AS n_index, (SELECT count(*) FROM clean) AS n_profiles, CAST(0 AS BIGINT) AS n_wrong",
+    "q_pipeline_files": f"{_TECH} SELECT org_name, ch_company_number, role_fit_bucket FROM scored WHERE role_fit_score >= 0.55::DOUBLE AND {_FIT}",
     "q_latest_snapshot": "SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) = 1",
     "q_text_table": f"SELECT p_brand AS brand, {_PART_KIND} AS kind, '' AS remark, count(*) AS n_rows FROM part GROUP BY 1, 2, 3",
     "q_stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import names, values
 from tessera.operators import audit, links, matching, register, registry, resume, scoring, shortlist
-from tessera.plans import steps, views
-from tessera.sources import profiles
+from tessera.plans import refresh, steps, validate, views
+from tessera.sources import companies, config, payloads, profiles, snapshots, tables
+from tessera.stored import shared_dir, stored
 from tessera.streaming import microbatch
 
 AS_OF = "2026-02-10"
@@ -35,27 +38,34 @@ def _clean(spark: SparkSession, d: str, strict: bool = True) -> DataFrame:
     return registry.clean(views.view(spark, d, views.REGISTRY), views.REGISTRY_COLUMNS, strict)
 
 
+def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Organisations and companies as the steps before matching leave them: written."""
+    return stored(_orgs(spark, d), "register"), stored(registry.companies(_clean(spark, d)), "companies")
+
+
 def _top(spark: SparkSession, d: str) -> DataFrame:
-    return matching.top_candidates(_orgs(spark, d), _clean(spark, d))
+    return matching.top_candidates(*_inputs(spark, d))
+
+
+def _matched(spark: SparkSession, d: str) -> steps.Matched:
+    """All outputs of the match step over one stored ranking."""
+    return steps.match(*_inputs(spark, d))
 
 
 def _best(spark: SparkSession, d: str) -> DataFrame:
-    return matching.best(_orgs(spark, d), _top(spark, d))
+    orgs, companies_ = _inputs(spark, d)
+    return matching.best(orgs, matching.top_candidates(orgs, companies_))
 
 
 def _enriched(spark: SparkSession, d: str) -> DataFrame:
-    return matching.enriched(_best(spark, d), _clean(spark, d))
+    orgs, companies_ = _inputs(spark, d)
+    return matching.enriched(matching.best(orgs, matching.top_candidates(orgs, companies_)), companies_)
 
 
 def _unmatched(spark: SparkSession, d: str) -> DataFrame:
     return matching.unmatched(_best(spark, d))
 
 
-def _matched(spark: SparkSession, d: str) -> steps.Matched:
-    """All outputs of the match step over one stored ranking."""
-    return steps.match(_orgs(spark, d), _clean(spark, d))
-
-
 def _employees(spark: SparkSession, d: str) -> DataFrame:
     return views.view(spark, d, views.EMPLOYEES)
 
@@ -117,7 +127,9 @@ def q_restricted_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_uri_check(spark: SparkSession, d: str) -> DataFrame:
+    """Every seventeenth company's address is made to name another number."""
     c = _clean(spark, d, strict=False)
+    c = c.withColumn("uri", F.when(F.col("company_number").cast("long") % 17 == 0, F.concat("uri", F.lit("9"))).otherwise(F.col("uri")))
     return c.groupBy(registry.uri_matches(F.col("uri"), F.col("company_number")).alias("fits")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -131,7 +143,8 @@ def q_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_block_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return matching.candidates(matching.query_variants(_orgs(spark, d)), registry.companies(_clean(spark, d)))
+    orgs, companies_ = _inputs(spark, d)
+    return matching.candidates(matching.query_variants(orgs), companies_)
 
 
 def q_match_top3(spark: SparkSession, d: str) -> DataFrame:
@@ -237,38 +250,57 @@ def q_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_determinism(spark: SparkSession, d: str) -> DataFrame:
-    a, b = _top(spark, d), _top(spark, d)
+    """Rows of the ranking, and rows that differ once the inputs are dealt otherwise."""
     c = ["org_name", "company_number", "total"]
-    return audit.differences(a.select(*c), b.select(*c))
+    a = stored(_top(spark, d).select(*c), "ranking")
+    b = matching.top_candidates(_orgs(spark, d).repartition(7), _clean(spark, d).repartition(5, "company_name")).select(*c)
+    differ = audit.differences(a, b).agg(F.count(F.lit(1)).alias("n_differences"))
+    return a.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(differ)  # one row each
+
+
+def q_differences(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking against itself without companies whose numbers end in 3."""
+    a = stored(_top(spark, d).select("org_name", "company_number", "total"), "ranking")
+    return audit.differences(a, a.filter(~F.endswith("company_number", F.lit("3"))))
+
+
+def q_repeated_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking over a registry in which each seventh row repeats the number of the one before."""
+    pos = F.col("company_number").cast("long")
+    twice = _clean(spark, d).withColumn("pos", pos)
+    twice = twice.withColumn("company_number", F.when(F.col("pos") % 7 == 0, F.lpad((F.col("pos") - 1).cast("string"), 8, "0")).otherwise(F.col("company_number")))
+    return matching.top_candidates(_orgs(spark, d), twice).select("org_name", F.col("rank").cast("long").alias("cand_rank"), "company_number", "title", "hits", "total")
 
 
 def q_disjoint(spark: SparkSession, d: str) -> DataFrame:
+    """Organisations in both outputs, after some matched ones were planted among the unmatched."""
     m = _matched(spark, d)
-    return m.enriched.select("org_name").intersect(m.unmatched.select("org_name"))
+    matched = m.enriched.select("org_name")
+    planted = matched.filter(F.length("org_name") % 7 == 0)
+    return matched.intersect(m.unmatched.select("org_name").union(planted))
 
 
 def _done(spark: SparkSession, d: str) -> DataFrame:
-    """Customers with a finished order count as processed."""
-    return _table(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
+    """Organisations of several towns count as processed."""
+    return _orgs(spark, d).filter("has_multiple_towns").select("org_name")
 
 
 def q_resume_pending(spark: SparkSession, d: str) -> DataFrame:
-    done = resume.processed(_done(spark, d), _table(spark, d, "customer").filter(F.col("c_acctbal") < 0).select("c_custkey"), key="c_custkey")
-    return resume.pending(_table(spark, d, "customer"), done, "c_custkey")
+    orgs = _orgs(spark, d)
+    return resume.pending(orgs, resume.processed(_done(spark, d), orgs.filter(F.length("org_name") % 5 == 0)))
 
 
 def q_resume_counters(spark: SparkSession, d: str) -> DataFrame:
-    return resume.counters(_table(spark, d, "customer"), _done(spark, d), 250, "c_custkey")
+    return resume.counters(_orgs(spark, d), _done(spark, d), 25)
 
 
 def q_batches(spark: SparkSession, d: str) -> DataFrame:
-    rows = resume.batches(_table(spark, d, "customer").select("c_custkey", "c_name"), ["c_name", "c_custkey"], 250, start=2, count=5)
-    return rows.select("c_custkey", "c_name", F.col("batch"))
+    return resume.batches(_orgs(spark, d).select("org_name"), ["org_name"], 25, start=2, count=5).select("org_name", "batch")
 
 
 def q_keep_first(spark: SparkSession, d: str) -> DataFrame:
-    e = _table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
-    return resume.keep_first(e, ["user_id", "event_type"], [F.col("event_id")])
+    """The first register row of every normalised name."""
+    return resume.keep_first(_rows(spark, d).select(names.normalise(F.col("name")).alias("norm"), "pos", "name"), ["norm"], [F.col("pos")])
 
 
 def q_latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -293,9 +325,108 @@ def q_text_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_windows(spark: SparkSession, d: str) -> DataFrame:
-    """The windowed counts that arrivals() keeps, over the stored events."""
-    e = _table(spark, d, "events")
-    return microbatch.arrivals(e, window="1 day").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    """The windowed counts that arrivals() has kept once a stream of the events has ended."""
+    path = f"{shared_dir(spark).rstrip('/')}/tessera/stream-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(_table(spark, d, "events").schema).parquet(f"{d}/events*.parquet")
+    here = F.current_timezone()  # the table's times have no zone; they are taken as UTC
+    events = events.withColumn("ts", F.convert_timezone(F.lit("UTC"), here, F.col("ts")).cast("timestamp"))
+    kept = microbatch.arrivals(events, window="1 day")
+    query = kept.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/state").foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{path}/out")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/out").select(F.date_format(F.to_utc_timestamp("window_start", here), "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+# -- values, payloads, snapshots and files --------------------------------------------------------
+
+
+def q_cache_key(spark: SparkSession, d: str) -> DataFrame:
+    return companies.cache_keys(_rows(spark, d).select("pos", "name"), "search", "name").select("pos", "cache_key")
+
+
+def q_round(spark: SparkSession, d: str) -> DataFrame:
+    """Four digits of any numbers, and of numbers that lie in the middle."""
+    x = F.col("l_discount") * F.col("l_tax") + F.col("l_quantity") / F.lit(7.0)
+    tie = F.col("l_orderkey") % 64 / F.lit(32768.0)
+    return _table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", values.round_half_even(x).alias("rounded"), values.round_half_even(tie).alias("tied"))
+
+
+def q_snapshot_date(spark: SparkSession, d: str) -> DataFrame:
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("list 2026-01-0"), (1 + F.col("o_orderkey") % 9).cast("string"), F.lit(".csv"))).otherwise("list.csv")
+    return _table(spark, d, "orders").select("o_orderkey", values.snapshot_date(name, F.col("o_orderdate")).alias("day"))
+
+
+def q_profile_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Companies as JSON profiles, codes as a list or as one text, names and addresses missing here and
+    there, and back."""
+    c = _clean(spark, d)
+    n, codes = F.col("company_number").cast("long"), F.col("sic_codes")
+    listed = F.concat(F.lit("["), F.array_join(F.transform(values.sic_list(codes), lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ","), F.lit("]"))
+    quoted = lambda x: F.to_json(F.struct(x.alias("v")))
+    field = lambda x: F.regexp_extract(quoted(x), r"^\{\"v\":(.*)\}$", 1)
+    payload = F.concat(
+        F.lit('{"company_name": '), F.when(n % 5 == 0, "null").otherwise(field(F.col("company_name"))), F.lit(', "type": '), field(F.col("company_type")),
+        F.lit(', "sic_codes": '), F.when(n % 2 == 0, listed).otherwise(field(codes)), F.when(n % 4 == 0, "").otherwise(F.concat(F.lit(', "registered_office_address": {"locality": '), field(F.col("address_locality")), F.lit("}"))), F.lit("}"),
+    )
+    got = payloads.profiles(c.select("company_number", payload.alias("payload")), "payload", "company_number")
+    address = F.col("registered_office_address")
+    return got.select("company_number", "company_name", F.col("type").alias("company_type"), F.array_join("sic_codes", "|").alias("codes"), address["locality"].alias("locality"), address["region"].alias("region"))
+
+
+def q_search_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Companies of a place as the JSON answer of a search, and back."""
+    shown = registry.search_view(_clean(spark, d)).select("company_number", "title", "company_status", "address")
+    found = shown.groupBy(F.col("address.locality").alias("place")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("company_number", "title", "company_status", "address"))).alias("items"))).alias("payload"))
+    return payloads.search_items(found, "payload", "place").select("place", F.col("nth").cast("long").alias("nth"), "title", "company_number", "company_status")
+
+
+def _bulk_file(spark: SparkSession, d: str, folder: str) -> str:
+    """The registry view as a bulk file with its headers."""
+    raw = views.view(spark, d, views.REGISTRY)
+    given = [F.col(views.REGISTRY_COLUMNS[k]).alias(f" {h}") if k in views.REGISTRY_COLUMNS else F.lit("").alias(f" {h}") for k, h in registry.BULK.items()]
+    tables.write_csv(raw.select(*given).coalesce(1), f"{folder}/bulk")
+    fs, p = tables.filesystem(spark, f"{folder}/bulk")
+    return next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
+
+
+def _committed(spark: SparkSession, d: str) -> tuple[str, str]:
+    """A folder with a committed snapshot of the registry, and the snapshot."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tessera/files-{uuid.uuid4().hex}"
+    return folder, refresh.refresh(spark, f"{folder}/snapshots", "registry", _bulk_file(spark, d, folder))
+
+
+def write_inputs(spark: SparkSession, d: str) -> config.Config:
+    """Everything that the steps read, as files: committed snapshots and a raw register."""
+    folder, _ = _committed(spark, d)
+    tables.write_csv(steps.long_names(views.view(spark, d, views.REGISTER).orderBy("pos").select(*[F.col(a).alias(b) for a, b in zip(register.SHORT, register.COLUMNS)])).coalesce(1), f"{folder}/raw/list.csv")
+    tables.write_csv(_employees(spark, d).distinct().coalesce(1), f"{folder}/employees")
+    fs, p = tables.filesystem(spark, f"{folder}/employees")
+    source = next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
+    refresh.refresh(spark, f"{folder}/snapshots", "employee_count", source)
+    return config.Config(snapshot_root=f"{folder}/snapshots", register_path=f"{folder}/raw/list.csv", employees_path=f"{folder}/snapshots", out_dir=f"{folder}/out", as_of=AS_OF, batch_size=1 << 30)
+
+
+def q_snapshot_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The clean table of a snapshot that was acquired from a file, cleaned and committed."""
+    return tables.read_csv(spark, f"{_committed(spark, d)[1]}/clean.csv", na_cells=False)
+
+
+def q_snapshot_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What such a snapshot's manifest says, its index and profiles, and what the validator finds wrong."""
+    folder, final = _committed(spark, d)
+    counts = snapshots.read_json(spark, f"{final}/manifest.json")["row_counts"]
+    wrong = validate.snapshot_errors(spark, f"{folder}/snapshots", ("registry",))
+    index, profiles_ = tables.read_index(spark, f"{final}/index_tokens"), spark.read.parquet(f"{final}/profiles")
+    out = index.agg(F.count(F.lit(1)).alias("n_index")).crossJoin(profiles_.agg(F.count(F.lit(1)).alias("n_profiles")))  # one row each
+    return out.select(F.lit(counts["raw"]).cast("long").alias("n_raw"), F.lit(counts["clean"]).cast("long").alias("n_clean"), "n_index", "n_profiles", F.lit(len(wrong)).cast("long").alias("n_wrong"))
+
+
+def q_pipeline_files(spark: SparkSession, d: str) -> DataFrame:
+    """The shortlist that the steps write, from files to files: snapshot, register, match, score, shortlist."""
+    cfg = write_inputs(spark, d)
+    steps.run_register(spark, cfg)
+    out = steps.run_pipeline(spark, cfg)
+    validate.check_outputs(spark, cfg.out_dir)
+    return tables.read_csv(spark, out, na_cells=False).select(F.col("Organisation Name").alias("org_name"), "ch_company_number", "role_fit_bucket")
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}

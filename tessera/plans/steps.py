@@ -1,36 +1,54 @@
-"""The steps as lazy plans, and their artefacts at the edges."""
+"""The steps as lazy plans, and their artefacts at the edges.
+
+A run of the match step writes its part of each output under run=<number>, the checkpoint last. The
+number follows from what was done before, so a run that is repeated after a failure writes over what
+it left and adds nothing twice.
+"""
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import stored
+from tessera.errors import ConfigError, MissingInputError
 from tessera.operators import matching, register, registry, resume, scoring, shortlist
 from tessera.operators.scoring import Profile
 from tessera.operators.shortlist import GeoFilter
 from tessera.sources import employees, profiles, snapshots, tables
 from tessera.sources.config import Config
 
+OUTPUTS = ("candidates", "enriched", "unmatched", "checkpoint")  # the checkpoint last: it says that the rest is there
+
 
 @dataclass
 class Matched:
-    """The match step's tables; all hang on one stored plan."""
+    """The match step's tables; all hang on one stored ranking."""
 
     candidates: DataFrame
     enriched: DataFrame
     unmatched: DataFrame
     checkpoint: DataFrame
+    ranking: DataFrame
+
+    def release(self) -> None:
+        """Delete the ranking; the tables can't be read after that."""
+        stored.release(self.ranking)
 
 
 def match(orgs: DataFrame, clean_registry: DataFrame, min_score: float = matching.MIN_SCORE, max_candidates: int = matching.MAX_CANDIDATES) -> Matched:
     """Variants, blocking, similarity, ranking and acceptance in one plan. The ranked candidates are
-    kept (memory, then disk), as four outputs read them."""
-    top = matching.top_candidates(orgs, clean_registry, max_candidates).persist(StorageLevel.MEMORY_AND_DISK)
+    written to the shared folder, as four outputs read them. The first two are in order of names."""
+    top = stored.stored(matching.top_candidates(orgs, clean_registry, max_candidates), "ranking")
     with_best = matching.best(orgs, top)
-    return Matched(matching.candidate_rows(top), matching.enriched(with_best, clean_registry, min_score), matching.unmatched(with_best, min_score), orgs.select("org_name"))
+    return Matched(
+        matching.candidate_rows(top).orderBy("org_name", "rank"), matching.enriched(with_best, clean_registry, min_score).orderBy("org_name"), matching.unmatched(with_best, min_score).orderBy("org_name"),
+        orgs.select("org_name").orderBy("org_name"), top,
+    )
 
 
 def score(enriched: DataFrame, profile: Profile, as_of: str, lookup: DataFrame) -> DataFrame:
@@ -47,6 +65,25 @@ def _orgs(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(c("Organisation Name").alias("org_name"), c("org_name_normalised").alias("org_norm"), "has_multiple_towns", "has_multiple_counties", c("Town/City").alias("town"), c("County").alias("county"), c("Type & Rating").alias("rating"), c("Route").alias("route"), "raw_name_variants")
 
 
+def register_path(spark: SparkSession, cfg: Config) -> str:
+    """The rolled-up register: what run_register wrote, else the latest snapshot's."""
+    built = f"{cfg.out_dir}/register"
+    return built if tables.exists(spark, built) else snapshots.latest_file(spark, cfg.snapshot_root, "register", "clean.csv")
+
+
+def companies(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Companies to match with: the given table, what run_registry wrote, or the latest snapshot's."""
+    if cfg.source_kind != "file":
+        raise ConfigError(f"matching takes a file source, not {cfg.source_kind!r}")
+    if cfg.registry_path and not cfg.registry_path.lower().endswith((".csv", ".zip")):
+        if not tables.exists(spark, cfg.registry_path):
+            raise MissingInputError(cfg.registry_path)
+        return spark.read.parquet(cfg.registry_path).drop("bucket")
+    built = f"{cfg.out_dir}/registry_profiles"
+    path = built if tables.exists(spark, built) else snapshots.latest_file(spark, cfg.snapshot_root, "registry", "profiles")
+    return spark.read.parquet(path).drop("bucket")
+
+
 LONG = {"org_name": "Organisation Name", "org_norm": "org_name_normalised", "town": "Town/City", "county": "County", "rating": "Type & Rating", "route": "Route"}
 
 
@@ -54,52 +91,101 @@ def long_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in LONG.items() if k in df.columns})
 
 
-def run_register(spark: SparkSession, cfg: Config) -> str:
-    """Raw register -> rolled-up register and its statistics."""
-    raw = tables.read_register(spark, cfg.register_path, register.COLUMNS)
-    rows = register.coerce(raw)
-    out = f"{cfg.out_dir}/register"
+def write_register(spark: SparkSession, rows: DataFrame, out: str, stats_path: str, mode: str = "errorifexists") -> tuple[int, int]:
+    """The rolled-up register of coerced rows and its statistics; rows before and after."""
     up = register.register(rows).orderBy("org_norm").drop("pos")
-    tables.write_csv(long_names(up.withColumns({c: F.initcap(F.col(c).cast("string")) for c in ("has_multiple_towns", "has_multiple_counties")})), out)
+    tables.write_csv(long_names(up.withColumns({c: F.initcap(F.col(c).cast("string")) for c in ("has_multiple_towns", "has_multiple_counties")})), out, mode)
     counted = register.stats(rows).first().asDict()
     for c in ("town", "county"):
         counted[f"top_{c}"] = [[r[c], r["n_rows"]] for r in register.top_values(register.eligible(rows), c).collect()]
-    snapshots.write_json(spark, f"{cfg.out_dir}/register_stats.json", counted)
+    snapshots.write_json(spark, stats_path, counted)
+    return counted["total_rows"], counted["organisations"]
+
+
+def run_register(spark: SparkSession, cfg: Config) -> str:
+    """Raw register -> rolled-up register and its statistics."""
+    rows = register.coerce(tables.read_register(spark, cfg.register_path, register.COLUMNS))
+    out = f"{cfg.out_dir}/register"
+    write_register(spark, rows, out, f"{cfg.out_dir}/register_stats.json", "overwrite")
     return out
 
 
 def run_registry(spark: SparkSession, cfg: Config) -> tuple[str, str]:
-    """Bulk registry -> clean table and token index."""
-    raw = tables.read_zip(spark, cfg.registry_path, f"{cfg.out_dir}/staging") if cfg.registry_path.lower().endswith(".zip") else tables.read_csv(spark, cfg.registry_path, na_cells=False)
-    out = f"{cfg.out_dir}/registry"
+    """Bulk registry -> clean table, token index, and profiles: one row per company with what matching
+    reads of its names, so that no match run takes them apart again."""
+    zipped = cfg.registry_path.lower().endswith(".zip")
+    raw = tables.read_zip(spark, cfg.registry_path, f"{cfg.out_dir}/staging", "pos") if zipped else tables.read_csv(spark, cfg.registry_path, na_cells=False, position="pos")
+    out, index = f"{cfg.out_dir}/registry", f"{cfg.out_dir}/registry_index"
     registry.clean(registry.require(raw, registry.BULK.values(), "registry")).write.mode("errorifexists").parquet(out)
-    index = f"{cfg.out_dir}/registry_index"
-    tables.write_index(registry.token_index(spark.read.parquet(out)), index)
+    rows = spark.read.parquet(out)
+    tables.write_index(registry.token_index(rows), index)
+    tables.write_profiles(registry.companies(rows).drop("pos"), f"{cfg.out_dir}/registry_profiles")
     return out, index
 
 
+def done_runs(spark: SparkSession, path: str, orgs: DataFrame, but: int | None = None) -> DataFrame:
+    """The organisations of a checkpoint; but: without that run's."""
+    if not tables.exists(spark, path):
+        return orgs.select("org_name").limit(0)
+    kept = spark.read.parquet(path)
+    return (kept if but is None else kept.filter(F.col("run") != but)).select("org_name")
+
+
+def write_run(got: Matched, out_dir: str, run: int) -> None:
+    for name in OUTPUTS:
+        getattr(got, name).write.mode("overwrite").parquet(f"{out_dir}/{name}/run={run}")
+
+
+def _range(first: int, count: int) -> dict | None:
+    return {"start": first, "end": first + count - 1} if count else None
+
+
 def run_match(spark: SparkSession, cfg: Config, resume_run: bool = True) -> dict:
-    """Match what no earlier run has matched, append the outputs, report counters."""
-    paths = {k: f"{cfg.out_dir}/{k}" for k in ("enriched", "unmatched", "candidates", "checkpoint")}
-    orgs = _orgs(spark, f"{cfg.out_dir}/register")
-    done_paths = [paths["checkpoint"]] if resume_run and tables.exists(spark, paths["checkpoint"]) else []
-    empty = orgs.select("org_name").limit(0)
-    done = resume.processed(empty, *[spark.read.parquet(p) for p in done_paths])
+    """Match what no earlier run has matched, add the outputs, report what was done."""
+    started, clock = datetime.now(UTC), time.monotonic()
+    if not resume_run:
+        for name in OUTPUTS:
+            fs, p = tables.filesystem(spark, f"{cfg.out_dir}/{name}")
+            fs.delete(p, True)
+    source = register_path(spark, cfg)
+    orgs = _orgs(spark, source)
+    done = resume.processed(done_runs(spark, f"{cfg.out_dir}/checkpoint", orgs))
     counted = resume.counters(orgs, done, cfg.batch_size).first().asDict()
-    part = resume.batches(resume.pending(orgs, done), ["org_name"], cfg.batch_size, cfg.batch_start, cfg.batch_count).drop("place", "batch")
-    part = part.persist(StorageLevel.MEMORY_AND_DISK)
-    got = match(part, spark.read.parquet(cfg.registry_path), cfg.min_match_score, cfg.max_candidates)
-    mode = "append" if resume_run else "overwrite"
-    for name in ("candidates", "enriched", "unmatched", "checkpoint"):  # the checkpoint last: it says that the rest is there
-        getattr(got, name).write.mode(mode).parquet(paths[name])
-    counted["processed_in_run"] = part.count()
-    counted["status"] = "complete"
-    snapshots.write_json(spark, f"{cfg.out_dir}/resume_report.json", counted)
-    return counted
+    overall = -(-counted["total_rows"] // cfg.batch_size)
+    report = {
+        "status": "complete", "error_message": "", "register_path": source, "out_dir": cfg.out_dir, "run_started_at_utc": started.isoformat(), "batch_size": cfg.batch_size, "batch_start": cfg.batch_start, "batch_count": cfg.batch_count,
+        "total_register_orgs": counted["total_rows"], "total_unprocessed_at_start": counted["unprocessed"], "total_batches_at_start": counted["batches"], "total_batches_overall": overall,
+        "resume_command": f"python -m tessera.cli build match --out-dir {cfg.out_dir} --batch-size {cfg.batch_size}",
+    }
+    selected = max(0, counted["batches"] - cfg.batch_start + 1)
+    selected = selected if cfg.batch_count is None else min(selected, cfg.batch_count)
+    before = overall - counted["batches"]
+    report |= {"selected_batches": selected, "batch_range": _range(cfg.batch_start, selected), "overall_batch_range": _range(before + cfg.batch_start, selected)}
+    in_run, failed = 0, None
+    try:
+        part = stored.stored(resume.batches(resume.pending(orgs, done), ["org_name"], cfg.batch_size, cfg.batch_start, cfg.batch_count).drop("place", "batch"), "part")
+        in_run = part.count()
+        if in_run or not tables.exists(spark, f"{cfg.out_dir}/checkpoint"):
+            got = match(part, companies(spark, cfg), cfg.min_match_score, cfg.max_candidates)
+            write_run(got, cfg.out_dir, counted["processed"])
+            got.release()
+        stored.release(part)
+    except BaseException as e:
+        failed, in_run = e, 0
+        report |= {"status": "interrupted" if isinstance(e, KeyboardInterrupt) else "error", "error_message": str(e)[:1000]}
+    ended = datetime.now(UTC)
+    report |= {
+        "processed_in_run": in_run, "processed_total": counted["processed"] + in_run, "remaining": counted["remaining"] - in_run, "generated_at_utc": ended.isoformat(), "run_finished_at_utc": ended.isoformat(),
+        "run_duration_seconds": round(time.monotonic() - clock, 3),
+    }
+    snapshots.write_json(spark, f"{cfg.out_dir}/resume_report.json", report)
+    if failed is not None:
+        raise failed
+    return report
 
 
 def run_score(spark: SparkSession, cfg: Config) -> str:
-    rows = resume.keep_first(spark.read.parquet(f"{cfg.out_dir}/enriched"), ["org_name"], [F.col("match_score").desc(), F.col("ch_company_number")])
+    rows = resume.keep_first(spark.read.parquet(f"{cfg.out_dir}/enriched").drop("run"), ["org_name"], [F.col("match_score").desc(), F.col("ch_company_number")])
     scoring.check_scores(rows)
     catalogue, default = profiles.load(spark, cfg.profile_path or None)
     lookup = employees.load(spark, cfg.employees_path) if cfg.employees_path else _no_employees(spark)

@@ -15,7 +15,9 @@ class Config:
     snapshot_root: str = "data/cache/snapshots"
     register_path: str = ""
     registry_path: str = ""
-    index_path: str = ""
+    source_kind: str = "file"
+    api_base: str = ""
+    search_limit: int = 10
     employees_path: str = ""
     out_dir: str = "data/processed"
     max_candidates: int = 500
@@ -34,6 +36,8 @@ class Config:
     as_of: str = ""
 
 
+_MANY = float("inf")
+_RANGES = {"min_match_score": (0, 1), "score_threshold": (0, 1), "max_candidates": (1, _MANY), "search_limit": (1, _MANY), "batch_size": (1, _MANY), "batch_start": (1, _MANY), "batch_count": (1, _MANY), "min_employees": (1, _MANY)}
 _TRUE, _FALSE = ("true", "1", "yes", "on"), ("false", "0", "no", "off")
 
 
@@ -71,8 +75,21 @@ def load(cli: Mapping | None = None, path: str | None = None, env: Mapping[str,
                 content = tomllib.load(file)
         except (OSError, tomllib.TOMLDecodeError) as e:
             raise ConfigError(f"{path}: {e}") from e
+        if content.pop("schema_version", 1) != 1:
+            raise ConfigError(f"{path}: another schema_version than 1")
         if set(content) - {"tessera"}:
             raise ConfigError(f"{path}: unknown sections {sorted(set(content) - {'tessera'})}")
+        if blank := [k for k, v in content.get("tessera", {}).items() if isinstance(v, str) and not v.strip()]:
+            raise ConfigError(f"{path}: blank values of {blank}")
         found |= {k: _value(k, v) for k, v in content.get("tessera", {}).items()}
     found |= {k: _value(k, v) for k, v in (cli or {}).items() if v is not None}
-    return Config(**found)
+    cfg = Config(**found)
+    for name, (low, high) in _RANGES.items():
+        value = getattr(cfg, name)
+        if value is not None and not low <= value <= high:
+            raise ConfigError(f"{name}: {value} is not between {low:g} and {high:g}")
+    if "," in cfg.region:
+        raise ConfigError("region: one only")
+    if cfg.source_kind not in ("file", "api"):
+        raise ConfigError(f"source_kind: {cfg.source_kind!r} is neither file nor api")
+    return cfg

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 
-from tessera.errors import ProfileError
+from tessera.errors import ProfileError, ProfileNotFoundError
 from tessera.operators.scoring import Profile
+from tessera.sources import tables
 from tessera.sources.snapshots import read_json
 
 #: Fixed values of the shipped profiles.
@@ -29,61 +32,104 @@ CARE = Profile(
 )
 SHIPPED = {p.name: p for p in (TECH, CARE)}
 DEFAULT = "tech"
-_KEYS = {"name", "job_type", "sector_signals", "location_signals", "size_signals", "sic_positive_prefixes", "sic_negative_prefixes", "keyword_positive", "keyword_negative", "keyword_weights", "company_status_scores", "company_age_scores", "company_type_weights", "bucket_thresholds"}
-
-
-def _weight(v, low: float, what: str) -> float:
-    if isinstance(v, bool) or not isinstance(v, int | float) or not low <= v <= 1:
-        raise ProfileError(f"{what}: {v!r} is not between {low:g} and 1")
-    return float(v)
-
-
-def _weights(m: dict, low: float, what: str) -> dict[str, float]:
-    if not isinstance(m, dict):
-        raise ProfileError(f"{what} is not a mapping")
-    return {str(k): _weight(v, low, f"{what}.{k}") for k, v in m.items()}
-
-
-def parse(payload: dict) -> tuple[dict[str, Profile], str]:
-    """The profiles of a catalogue by name, and the default one's name. Unknown keys, values out of
-    range, bands that don't descend, repeated names and an absent default are errors."""
-    if set(payload) - {"schema_version", "default_profile", "profiles"} or not payload.get("profiles"):
-        raise ProfileError("a catalogue has schema_version, default_profile and profiles")
-    out: dict[str, Profile] = {}
-    for raw in payload["profiles"]:
-        if extra := set(raw) - _KEYS:
-            raise ProfileError(f"unknown keys {sorted(extra)}")
-        try:
-            bands = tuple((float(b["min_years"]), _weight(b["score"], 0, "band")) for b in raw["company_age_scores"]["bands"])
-            k, status, thresholds = raw["keyword_weights"], raw["company_status_scores"], raw["bucket_thresholds"]
-            p = Profile(
-                raw["name"].strip(), raw["job_type"], _weights(raw["sic_positive_prefixes"], 0, "sic_positive_prefixes"), _weights(raw["sic_negative_prefixes"], -1, "sic_negative_prefixes"),
-                tuple(raw["keyword_positive"]), tuple(raw["keyword_negative"]), _weights(raw["company_type_weights"], 0, "company_type_weights"), bands, _weight(raw["company_age_scores"]["unknown"], 0, "unknown age"),
-                *(_weight(k[x], 0, x) for x in ("positive_per_match", "positive_cap", "negative_per_match", "negative_cap")),
-                _weight(status["active"], 0, "active"), _weight(status["inactive"], 0, "inactive"), _weight(thresholds["strong"], 0, "strong"), _weight(thresholds["possible"], 0, "possible"),
-                {s: raw.get(s, {}) for s in ("sector_signals", "location_signals", "size_signals")},
-            )
-        except (KeyError, TypeError, AttributeError) as e:
-            raise ProfileError(f"a profile lacks {e}") from e
-        if [b[0] for b in bands] != sorted({b[0] for b in bands}, reverse=True):
-            raise ProfileError(f"{p.name}: age bands don't descend")
-        if p.strong <= p.possible:
-            raise ProfileError(f"{p.name}: strong is not above possible")
-        if not p.name or p.name in out:
-            raise ProfileError(f"profile name {p.name!r} is blank or repeated")
-        out[p.name] = p
-    default = payload.get("default_profile", "")
+#: What the parts of a profile hold. Numbers have a range; maps go from text to numbers.
+_SIGNED, _SHARE, _YEARS = (-1.0, 1.0), (0.0, 1.0), (0.0, float("inf"))
+_MAPS = ("sector_signals", "location_signals", "size_signals", "sic_positive_prefixes", "sic_negative_prefixes", "company_type_weights")
+_WORDS = ("keyword_positive", "keyword_negative")
+_PARTS = {
+    "keyword_weights": {"positive_per_match": _SHARE, "positive_cap": _SHARE, "negative_per_match": _SHARE, "negative_cap": _SHARE},
+    "company_status_scores": {"active": _SIGNED, "inactive": _SIGNED},
+    "bucket_thresholds": {"strong": _SHARE, "possible": _SHARE},
+}
+SCHEMA_VERSION = 1
+
+
+def _object(value, keys, where: str) -> dict:
+    """A mapping with exactly these keys."""
+    if not isinstance(value, dict):
+        raise ProfileError(f"{where}: not an object")
+    if extra := sorted(set(value) - set(keys)):
+        raise ProfileError(f"{where}: unknown keys {extra}")
+    if missing := sorted(set(keys) - set(value)):
+        raise ProfileError(f"{where}: missing keys {missing}")
+    return value
+
+
+def _number(value, span: tuple[float, float], where: str) -> float:
+    if isinstance(value, bool) or not isinstance(value, int | float) or not span[0] <= value <= span[1]:
+        raise ProfileError(f"{where}: {value!r} is not between {span[0]:g} and {span[1]:g}")
+    return float(value)
+
+
+def _text(value, where: str) -> str:
+    if not isinstance(value, str) or not value.strip():
+        raise ProfileError(f"{where}: {value!r} is no text")
+    return value.strip()
+
+
+def _signals(value, where: str) -> dict[str, float]:
+    if not isinstance(value, dict):
+        raise ProfileError(f"{where}: not an object")
+    return {_text(k, where): _number(v, _SIGNED, f"{where}.{k}") for k, v in value.items()}
+
+
+def _list(value, where: str) -> list:
+    if not isinstance(value, list | tuple):
+        raise ProfileError(f"{where}: not a list")
+    return list(value)
+
+
+def _profile(raw, where: str) -> Profile:
+    raw = _object(raw, {"name", "job_type", *_MAPS, *_WORDS, *_PARTS, "company_age_scores"}, where)
+    maps = {k: _signals(raw[k], f"{where}.{k}") for k in _MAPS}
+    words = {k: tuple(_text(w, f"{where}.{k}").lower() for w in _list(raw[k], f"{where}.{k}")) for k in _WORDS}
+    parts = {part: {k: _number(v, _PARTS[part][k], f"{where}.{part}.{k}") for k, v in _object(raw[part], _PARTS[part], f"{where}.{part}").items()} for part in _PARTS}
+    age = _object(raw["company_age_scores"], ("unknown", "bands"), f"{where}.company_age_scores")
+    bands = []
+    for band in _list(age["bands"], f"{where}.company_age_scores.bands"):
+        band = _object(band, ("min_years", "score"), f"{where}.company_age_scores.bands")
+        bands.append((_number(band["min_years"], _YEARS, f"{where}.min_years"), _number(band["score"], _SIGNED, f"{where}.score")))
+    if not bands or any(a[0] < b[0] for a, b in zip(bands, bands[1:])):
+        raise ProfileError(f"{where}: age bands are missing or ascend")
+    weights, status, levels = (parts[k] for k in _PARTS)
+    if levels["strong"] <= levels["possible"]:
+        raise ProfileError(f"{where}: strong is not above possible")
+    return Profile(
+        _text(raw["name"], f"{where}.name"), _text(raw["job_type"], f"{where}.job_type"), maps["sic_positive_prefixes"], maps["sic_negative_prefixes"], words["keyword_positive"], words["keyword_negative"], maps["company_type_weights"],
+        tuple(bands), _number(age["unknown"], _SIGNED, f"{where}.unknown"), *(weights[k] for k in _PARTS["keyword_weights"]), status["active"], status["inactive"], levels["strong"], levels["possible"],
+        {k: maps[k] for k in ("sector_signals", "location_signals", "size_signals")},
+    )
+
+
+def parse(payload) -> tuple[dict[str, Profile], str]:
+    """The profiles of a catalogue by name, and the default one's name. Unknown, missing or mistyped
+    entries, values out of range, ascending bands, repeated names and an absent default are errors."""
+    payload = _object(payload, ("schema_version", "default_profile", "profiles"), "catalogue")
+    if isinstance(payload["schema_version"], bool) or payload["schema_version"] != SCHEMA_VERSION:
+        raise ProfileError(f"catalogue: schema_version is {payload['schema_version']!r}, not {SCHEMA_VERSION}")
+    found = [_profile(raw, f"profiles.{i}") for i, raw in enumerate(_list(payload["profiles"], "profiles"))]
+    out = {p.name: p for p in found}
+    if not found or len(out) < len(found):
+        raise ProfileError("catalogue: no profiles, or two of one name")
+    default = _text(payload["default_profile"], "default_profile")
     if default not in out:
         raise ProfileError(f"the default profile {default!r} is not in the catalogue")
     return out, default
 
 
 def load(spark: SparkSession, path: str | None) -> tuple[dict[str, Profile], str]:
-    return parse(read_json(spark, path)) if path else (SHIPPED, DEFAULT)
+    if not path:
+        return SHIPPED, DEFAULT
+    if not tables.exists(spark, path):
+        raise ProfileNotFoundError(path)
+    try:
+        return parse(read_json(spark, path))
+    except json.JSONDecodeError as e:
+        raise ProfileError(f"{path}: {e}") from e
 
 
 def resolve(catalogue: dict[str, Profile], default: str, name: str | None = None) -> Profile:
     wanted = (name or "").strip() or default
     if wanted not in catalogue:
-        raise ProfileError(f"no profile {wanted!r}; there are {sorted(catalogue)}")
+        raise ProfileNotFoundError(f"no profile {wanted!r}; there are {sorted(catalogue)}")
     return catalogue[wanted]

@@ -11,7 +11,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
-from tessera.errors import SnapshotError, SnapshotExistsError, SnapshotNotFoundError
+from tessera.errors import SnapshotError, SnapshotExistsError, SnapshotFileMissingError, SnapshotNotFoundError, SnapshotTimeError
 from tessera.sources.tables import filesystem
 
 DATE = re.compile(r"20\d{2}-\d{2}-\d{2}")
@@ -31,7 +31,7 @@ def date_of(source_name: str, downloaded: datetime) -> str:
     if found := DATE.search(source_name):
         return found[0]
     if downloaded.tzinfo is None:
-        raise SnapshotError("the download time has no time zone")
+        raise SnapshotTimeError("the download time has no time zone")
     return downloaded.astimezone(UTC).date().isoformat()
 
 
@@ -63,6 +63,9 @@ def write_json(spark: SparkSession, path: str, payload: dict) -> None:
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
+    fs, p = filesystem(spark, path)
+    if not fs.exists(p):
+        raise SnapshotFileMissingError(path)
     row = spark.read.text(path, wholetext=True).first()
     return json.loads(row[0]) if row else {}
 
@@ -99,7 +102,7 @@ def latest_file(spark: SparkSession, root: str, dataset: str, name: str) -> str:
     path = f"{latest(spark, root, dataset)}/{name}"
     fs, p = filesystem(spark, path)
     if not fs.exists(p):
-        raise SnapshotNotFoundError(path)
+        raise SnapshotFileMissingError(path)
     return path
 
 
@@ -119,18 +122,7 @@ def latest_pending(spark: SparkSession, root: str, dataset: str) -> tuple[Staged
     return Staged(dataset, date, folder, f"{root.rstrip('/')}/{dataset}/{date}"), state
 
 
-def validate(spark: SparkSession, root: str, datasets: dict[str, tuple[str, ...]]) -> list[str]:
-    """What is wrong with the latest snapshots; datasets: name -> files that it must hold."""
-    wrong = []
-    for dataset, files in datasets.items():
-        try:
-            folder = latest(spark, root, dataset)
-        except SnapshotNotFoundError as e:
-            wrong.append(str(e))
-            continue
-        got = read_json(spark, f"{folder}/manifest.json")
-        wrong += [f"{dataset}: the manifest lacks {k}" for k in MANIFEST if k not in got]
-        wrong += [f"{dataset}: {f} is missing" for f in files if not filesystem(spark, f"{folder}/{f}")[0].exists(filesystem(spark, f"{folder}/{f}")[1])]
-        if got.get("dataset") != dataset or got.get("snapshot_date") != folder.rsplit("/", 1)[-1]:
-            wrong.append(f"{dataset}: the manifest is another snapshot's")
-    return wrong
+def discard(spark: SparkSession, s: Staged) -> None:
+    """Remove what a failed acquisition left."""
+    fs, p = filesystem(spark, s.staging)
+    fs.delete(p, True)

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import io
 import uuid
-import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.errors import MissingInputError
-from tessera.functions import values
+from tessera.functions import names, values
 from tessera.operators.registry import require, trim_headers
 from tessera.operators.resume import coerce
 
@@ -27,17 +25,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_csv(spark: SparkSession, path: str, na_cells: bool = True) -> DataFrame:
+def quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted cell of a CSV file may hold a line break: no line has an odd number of quotes
+    where none does."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, na_cells: bool = True, position: str = "") -> DataFrame:
     """Every column as text, missing cells (and, by default, cells that say so) as ''. Headers are
-    trimmed, a byte order mark is dropped, quoted line breaks stay inside their cell."""
+    trimmed, a byte order mark is dropped, quoted line breaks stay inside their cell; only files that
+    have such are read in one piece each. position: a column of that name in order of the rows."""
     if not exists(spark, path):
         raise MissingInputError(path)
-    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True).option("encoding", "UTF-8").csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("encoding", "UTF-8").option("multiLine", quoted_breaks(spark, path)).csv(path)
     if not raw.columns:
         raise MissingInputError(f"{path} is empty")
     df = trim_headers(raw)
     cell = values.na_to_blank if na_cells else values.text
-    return df.select(*[cell(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    place = [F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id()).alias(position)] if position else []
+    return df.select(*[cell(F.col(f"`{c}`")).alias(c) for c in df.columns], *place)
 
 
 def newest_csv(spark: SparkSession, path: str) -> str:
@@ -51,26 +58,56 @@ def newest_csv(spark: SparkSession, path: str) -> str:
     return max(found, key=lambda s: s.getModificationTime()).getPath().toString()
 
 
-def read_zip(spark: SparkSession, path: str, staging: str) -> DataFrame:
-    """The first .csv member of an archive. An archive can't be split, so one task unpacks it to
-    the staging folder, from where it is read in parallel."""
+def copy(spark: SparkSession, source: str, target: str) -> int:
+    """Copy a file between any two Hadoop file systems, block by block; its bytes."""
+    fs, p = filesystem(spark, source)
+    if not fs.exists(p):
+        raise MissingInputError(source)
+    to, q = filesystem(spark, target)
+    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(p), to.create(q, True), 1 << 20, True)
+    return to.getFileStatus(q).getLen()
+
+
+def write_chunks(spark: SparkSession, target: str, chunks: Iterable[bytes]) -> int:
+    """Write a download as it arrives; its bytes."""
+    fs, p = filesystem(spark, target)
+    out, n = fs.create(p, True), 0
+    try:
+        for block in chunks:
+            out.write(bytearray(block))
+            n += len(block)
+    finally:
+        out.close()
+    return n
+
 
-    fs, target = filesystem(spark, f"{staging.rstrip('/')}/{uuid.uuid4().hex}.csv")
-    content = spark.read.format("binaryFile").load(path).select("content").first()
-    if content is None:
+def unzip(spark: SparkSession, path: str, target: str) -> None:
+    """The first .csv member of an archive, streamed to target. An archive can't be split."""
+    fs, p = filesystem(spark, path)
+    if not fs.exists(p):
         raise MissingInputError(path)
-    with zipfile.ZipFile(io.BytesIO(content["content"])) as z:
-        member = next((n for n in z.namelist() if n.lower().endswith(".csv")), None)
-        if member is None:
-            raise MissingInputError(f"no .csv in {path}")
-        out = fs.create(target, True)
-        try:
-            with z.open(member) as f:
-                while block := f.read(1 << 20):
-                    out.write(bytearray(block))
-        finally:
-            out.close()
-    return read_csv(spark, target.toString(), na_cells=False)
+    jvm = spark._jvm
+    archive = jvm.java.util.zip.ZipInputStream(fs.open(p))
+    try:
+        while (member := archive.getNextEntry()) is not None:
+            if not member.isDirectory() and member.getName().lower().endswith(".csv"):
+                to, q = filesystem(spark, target)
+                out = to.create(q, True)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(archive, out, 1 << 20, False)
+                finally:
+                    out.close()
+                return
+    finally:
+        archive.close()
+    raise MissingInputError(f"no .csv in {path}")
+
+
+def read_zip(spark: SparkSession, path: str, staging: str, position: str = "") -> DataFrame:
+    """The first .csv member of an archive, unpacked to the staging folder and read from there in parallel."""
+    target = f"{staging.rstrip('/')}/{uuid.uuid4().hex}.csv"
+    unzip(spark, path, target)
+    return read_csv(spark, target, na_cells=False, position=position)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", columns: Iterable[str] | None = None) -> None:
@@ -91,9 +128,29 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("bucket", "token", "company_number")
 
 
-def digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, sha256) of files."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+def write_profiles(companies: DataFrame, path: str) -> None:
+    """One row per company in one folder per bucket of its number."""
+    dealt = companies.withColumn("bucket", names.bucket(F.col("company_number")))
+    dealt.repartition("bucket", "company_number").write.mode("errorifexists").partitionBy("bucket").parquet(path)
+
+
+def file_digest(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file, read block by block."""
+    fs, p = filesystem(spark, path)
+    if not fs.exists(p):
+        raise MissingInputError(path)
+    jvm = spark._jvm
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    into = jvm.java.security.DigestOutputStream(jvm.java.io.OutputStream.nullOutputStream(), digest)
+    jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(p), into, 1 << 20, True)
+    return bytes(b & 255 for b in digest.digest()).hex()
+
+
+def table_digest(df: DataFrame) -> str:
+    """A digest of a table's rows whatever their order and partitioning: sums of their hashes."""
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"}), 256)
+    sums = [F.coalesce(F.sum(F.conv(F.substring("h", 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("string") for k in range(4)]
+    return df.select(row.alias("h")).agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *sums), 256)).first()[0]
 
 
 def read_register(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:

@@ -1,8 +1,9 @@
 """Matching register files as they arrive.
 
 A file source feeds micro-batches to the same plan as a batch run. Spark's checkpoint says which
-files are done, and organisations that an earlier batch has matched are left out, so a batch that
-is repeated after a failure adds nothing twice.
+files are done, and organisations that another batch has matched are left out. Each batch writes its
+part of every output under run=<its number>, so one that is repeated after a failure, wherever that
+came, writes over what it left and adds nothing twice.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera import stored
 from tessera.operators import register, resume
 from tessera.plans import steps
-from tessera.sources import tables
 
 
 def register_stream(spark: SparkSession, folder: str, max_files: int = 16) -> DataFrame:
@@ -28,14 +29,12 @@ def match_stream(spark: SparkSession, folder: str, registry_path: str, out_dir:
     def batch(rows: DataFrame, number: int) -> None:
         session = rows.sparkSession
         orgs = register.register(register.coerce(rows)).drop("pos")
-        done = f"{out_dir}/checkpoint"
-        if tables.exists(session, done):
-            orgs = resume.pending(orgs, session.read.parquet(done))
-        orgs = orgs.persist()
-        got = steps.match(orgs, session.read.parquet(registry_path))
-        for name in ("candidates", "enriched", "unmatched", "checkpoint"):
-            getattr(got, name).write.mode("append").parquet(f"{out_dir}/{name}")
-        orgs.unpersist()
+        orgs = resume.pending(orgs, steps.done_runs(session, f"{out_dir}/checkpoint", orgs, but=number))
+        part = stored.stored(orgs, "arrived")
+        got = steps.match(part, session.read.parquet(registry_path))
+        steps.write_run(got, out_dir, number)
+        got.release()
+        stored.release(part)
 
     return register_stream(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -88,5 +88,11 @@ def test_values(spark):
     assert one(spark, values.na_to_blank, "N/A") == "" and one(spark, values.na_to_blank, "Nil") == "Nil"
     assert one(spark, lambda a: values.cache_key("search", a), "acme").startswith("search:")
     assert one(spark, lambda a: values.snapshot_date(a, F.lit("2026-03-04").cast("timestamp")), "register-2026-02-06.csv") == "2026-02-06"
+    import random
+
+    r = random.Random(1)
+    some = [r.random() * r.choice([1, 2, 100]) for _ in range(3000)] + [k / 32768 for k in range(200)] + [0.87655, 0.00005, 0.0, 1.0, 2.9999999999]
+    got = spark.createDataFrame([(x,) for x in some], "x double").coalesce(1).select(values.round_half_even(F.col("x"))).collect()
+    assert [x[0] for x in got] == [round(x, 4) for x in some]
     df = spark.createDataFrame([(n,) for n in (1, 10, 11, 50, 250, 251, 999, 1000, None)], "n int")
     assert [r[0] for r in df.select(values.size_band(F.col("n"))).collect()] == ["micro", "micro", "small", "small", "medium", "large", "large", "mega", "unknown"]

@@ -6,8 +6,9 @@ import pytest
 
 from tessera import cli, errors
 from tessera.operators import register, registry
-from tessera.plans import steps
-from tessera.sources import config, employees, profiles, snapshots, tables
+from tessera.operators import audit, matching
+from tessera.plans import refresh, steps, validate
+from tessera.sources import cache, companies, config, employees, http, payloads, profiles, snapshots, tables
 from tessera.streaming import microbatch
 
 
@@ -27,7 +28,18 @@ def test_csv(spark, tmp_path):
     tables.write_csv(df, str(tmp_path / "o"), columns=("x", "name", "y"))
     tables.append_csv(df, str(tmp_path / "o"), columns=("x", "name", "y"))
     assert tables.read_csv(spark, str(tmp_path / "o")).count() == 4
-    assert tables.digests(spark, str(tmp_path / "a.csv")).first()["length"] == len((tmp_path / "a.csv").read_bytes())
+    import hashlib
+
+    assert tables.file_digest(spark, str(tmp_path / "a.csv")) == hashlib.sha256((tmp_path / "a.csv").read_bytes()).hexdigest()
+    (tmp_path / "plain.csv").write_text("a,b\n" + "".join(f'{i},"x ""{i}"""\n' for i in range(500)))
+    assert not tables.quoted_breaks(spark, str(tmp_path / "plain.csv")) and tables.quoted_breaks(spark, str(tmp_path / "a.csv"))
+    got = tables.read_csv(spark, str(tmp_path / "plain.csv"), position="pos").orderBy("pos").collect()
+    assert [r["a"] for r in got] == [str(i) for i in range(500)] and got[7]["b"] == 'x "7"'
+    digest = tables.table_digest(df)
+    assert digest == tables.table_digest(df.repartition(3).select("x", "name")) != tables.table_digest(df.union(df))
+    assert tables.copy(spark, str(tmp_path / "plain.csv"), str(tmp_path / "c/copy.csv")) == (tmp_path / "plain.csv").stat().st_size
+    with pytest.raises(errors.MissingInputError):
+        tables.unzip(spark, str(tmp_path / "plain.csv"), str(tmp_path / "u.csv"))
 
 
 def test_snapshots(spark, tmp_path):
@@ -50,8 +62,51 @@ def test_snapshots(spark, tmp_path):
     with pytest.raises(errors.SnapshotExistsError):
         snapshots.start(spark, root, "employee_count", "2026-02-06")
     assert employees.load(spark, root).first()["employee_count"] == "12"
-    assert snapshots.validate(spark, root, {"employee_count": ("clean.csv",)}) == []
-    assert snapshots.validate(spark, root, {"employee_count": ("raw.csv",), "register": ()}) != []
+    assert validate.snapshot_errors(spark, root, ("employee_count",)) == ["employee_count: raw.csv is missing", "employee_count: artefacts.manifest is missing"]
+    assert validate.snapshot_errors(spark, root, ("register",)) != []
+    with pytest.raises(errors.SnapshotFileMissingError):
+        snapshots.latest_file(spark, root, "employee_count", "none.csv")
+
+
+def bulk(tmp_path, rows, name="bulk-2026-02-01.csv"):
+    heads = list(registry.BULK.values())
+    (tmp_path / name).write_text(",".join(f" {h}" for h in heads) + "\n" + "".join(",".join((BULK | r).get(h, "") for h in heads) + "\n" for r in rows))
+    return str(tmp_path / name)
+
+
+def test_refresh(spark, tmp_path):
+    root = str(tmp_path / "snapshots")
+    other = {"CompanyName": "BETA LTD", "CompanyNumber": "22222222", "URI": "http://x.example/company/22222222"}
+    source = bulk(tmp_path, [{}, {"CompanyName": "LATER LTD"}, other])
+    with pytest.raises(errors.PendingNotFoundError):
+        refresh.clean(spark, root, "registry")
+    staged = refresh.acquire(spark, root, "registry", source)
+    assert staged.date == "2026-02-01" and snapshots.latest_pending(spark, root, "registry")[1]["bytes_raw"] > 0
+    final = refresh.clean(spark, root, "registry", "by hand")
+    m = snapshots.read_json(spark, f"{final}/manifest.json")
+    assert m["row_counts"] == {"raw": 3, "clean": 3} and m["command_line"] == "by hand" and len(m["sha256_hash_raw"]) == 64 and snapshots.latest_pending(spark, root, "registry") is None
+    assert validate.snapshot_errors(spark, root, ("registry",)) == []
+    got = {r["company_number"]: r for r in spark.read.parquet(f"{final}/profiles").collect()}
+    assert got["11111111"]["company_name"] == "ACME SOFTWARE LTD" and got["11111111"]["title_tokens"] == ["acme", "later", "software"] and len(got) == 2
+    with pytest.raises(errors.SnapshotExistsError):
+        refresh.refresh(spark, root, "registry", source)
+    with zipfile.ZipFile(tmp_path / "bulk-2026-03-01.zip", "w") as z:
+        z.write(bulk(tmp_path, [other], "inner.csv"), "inner.csv")
+    final = refresh.refresh(spark, root, "registry", str(tmp_path / "bulk-2026-03-01.zip"))
+    assert final.endswith("2026-03-01") and snapshots.latest(spark, root, "registry").endswith("2026-03-01")
+    bad = bulk(tmp_path, [{"URI": "http://x.example/company/9"}], "bulk-2026-04-01.csv")
+    with pytest.raises(Exception, match="differ"):
+        refresh.refresh(spark, root, "registry", bad)
+    assert snapshots.latest(spark, root, "registry").endswith("2026-03-01") and snapshots.latest_pending(spark, root, "registry") is not None
+    with pytest.raises(errors.MissingInputError):
+        refresh.acquire(spark, root, "register", str(tmp_path / "none.csv"))
+    assert snapshots.latest_pending(spark, root, "register") is None
+    client = http.Client(lambda url, timeout: http.Response(200, {}, iter([b"Organisation Name,Town/City,County,", b"Type & Rating,Route\nAcme Ltd,York,,A rating,Skilled Worker\n"])), pace=http.Pace(0, 0))
+    final = refresh.refresh(spark, root, "register", "http://x.example/list-2026-02-02.csv", client)
+    assert tables.read_csv(spark, f"{final}/clean.csv").first()["org_name_normalised"] == "acme" and validate.snapshot_errors(spark, root, ("register",)) == []
+    (tmp_path / "counts.csv").write_text("company_number,employee_count,employee_count_source,employee_count_snapshot_date\n1,0012,s,2026-02-06\n")
+    refresh.refresh(spark, root, "employee_count", str(tmp_path / "counts.csv"))
+    assert validate.snapshot_errors(spark, root) == [] and employees.load(spark, root).first()["employee_count"] == "12"
 
 
 def test_profiles():
@@ -59,9 +114,22 @@ def test_profiles():
     assert profiles.resolve(catalogue, default).name == "tech" and profiles.resolve(catalogue, default, "care_support").name == "care_support"
     with pytest.raises(errors.ProfileError):
         profiles.resolve(catalogue, default, "x")
-    p = {"name": "t", "job_type": "j", "sic_positive_prefixes": {"62": 0.5}, "sic_negative_prefixes": {"86": -0.2}, "keyword_positive": ["a"], "keyword_negative": [], "keyword_weights": {"positive_per_match": 0.05, "positive_cap": 0.1, "negative_per_match": 0.05, "negative_cap": 0.1}, "company_status_scores": {"active": 0.1, "inactive": 0}, "company_age_scores": {"unknown": 0.05, "bands": [{"min_years": 2, "score": 0.1}, {"min_years": 0, "score": 0.0}]}, "company_type_weights": {}, "bucket_thresholds": {"strong": 0.5, "possible": 0.3}}
+    p = {"name": "t", "job_type": "j", "sector_signals": {}, "location_signals": {}, "size_signals": {" a ": -1}, "sic_positive_prefixes": {"62": 0.5}, "sic_negative_prefixes": {"86": -0.2}, "keyword_positive": ["a"], "keyword_negative": [], "keyword_weights": {"positive_per_match": 0.05, "positive_cap": 0.1, "negative_per_match": 0.05, "negative_cap": 0.1}, "company_status_scores": {"active": 0.1, "inactive": 0}, "company_age_scores": {"unknown": 0.05, "bands": [{"min_years": 2, "score": 0.1}, {"min_years": 0, "score": 0.0}]}, "company_type_weights": {}, "bucket_thresholds": {"strong": 0.5, "possible": 0.3}}
     got, name = profiles.parse({"schema_version": 1, "default_profile": "t", "profiles": [p]})
-    assert got[name].sic_positive == {"62": 0.5}
+    assert got[name].sic_positive == {"62": 0.5} and got[name].signals["size_signals"] == {"a": -1.0}
+    fine = {"keyword_positive": [" Cloud "], "company_status_scores": {"active": 1, "inactive": -1}, "sic_positive_prefixes": {"62": -0.5}, "company_type_weights": {"ltd": -1}, "company_age_scores": {"unknown": -0.5, "bands": [{"min_years": 2, "score": -1}, {"min_years": 2, "score": 0.0}]}}
+    assert profiles.parse({"schema_version": 1, "default_profile": " t ", "profiles": [p | fine]})[0]["t"].keyword_positive == ("cloud",)
+    for wrong in ({"schema_version": 2}, {"schema_version": True}, {"profiles": []}, {"profiles": [p, p]}, {"default_profile": "u"}, {"more": 1}):
+        with pytest.raises(errors.ProfileError):
+            profiles.parse({"schema_version": 1, "default_profile": "t", "profiles": [p]} | wrong)
+    nested = ({"keyword_weights": p["keyword_weights"] | {"x": 1}}, {"keyword_positive": [" "]}, {"keyword_positive": "a"}, {"sector_signals": {" ": 0}}, {"company_age_scores": {"unknown": 0, "bands": []}}, {"company_age_scores": {"unknown": 0, "bands": [{"min_years": -1, "score": 0}]}}, {"job_type": 3}, {"bucket_thresholds": {"strong": 0.5}})
+    for wrong in nested:
+        with pytest.raises(errors.ProfileError):
+            profiles.parse({"schema_version": 1, "default_profile": "t", "profiles": [p | wrong]})
+    lacking = dict(p)
+    del lacking["job_type"]
+    with pytest.raises(errors.ProfileError, match="missing keys"):
+        profiles.parse({"schema_version": 1, "default_profile": "t", "profiles": [lacking]})
     for wrong in ({"name": ""}, {"extra": 1}, {"sic_positive_prefixes": {"62": 1.5}}, {"bucket_thresholds": {"strong": 0.3, "possible": 0.3}}, {"company_age_scores": {"unknown": 0, "bands": [{"min_years": 0, "score": 0}, {"min_years": 2, "score": 0}]}}):
         with pytest.raises(errors.ProfileError):
             profiles.parse({"schema_version": 1, "default_profile": "t", "profiles": [p | wrong]})
@@ -72,6 +140,10 @@ def test_config(tmp_path):
     c = config.load({"batch_size": 10, "region": None}, str(tmp_path / "c.toml"), {"TESSERA_SCORE_THRESHOLD": "0.3", "TESSERA_REGION": "x", "TESSERA_INCLUDE_UNKNOWN_SIZE": "yes"})
     assert (c.score_threshold, c.postcodes, c.batch_size, c.region, c.include_unknown_size) == (0.4, ("M", "EC"), 10, "x", True)
     (tmp_path / "d.toml").write_text("[tessera]\nnope = 1\n")
+    for k, text in enumerate(("schema_version = 2\n", '[tessera]\nregion = " "\n', "[tessera]\nbatch_size = 0\n", '[tessera]\nregion = "a,b"\n', '[tessera]\nsource_kind = "x"\n', "[other]\n", "[tessera\n")):
+        (tmp_path / f"e{k}.toml").write_text(text)
+        with pytest.raises(errors.ConfigError):
+            config.load({}, str(tmp_path / f"e{k}.toml"), {})
     for bad in (lambda: config.load({}, str(tmp_path / "d.toml"), {}), lambda: config.load({}, None, {"TESSERA_BATCH_SIZE": "x"}), lambda: config.load({}, None, {"TESSERA_INCLUDE_UNKNOWN_SIZE": "maybe"})):
         with pytest.raises(errors.ConfigError):
             bad()
@@ -94,13 +166,192 @@ def test_end_to_end(spark, tmp_path):
     steps.run_pipeline(spark, cfg)
     got = tables.read_csv(spark, f"{cfg.out_dir}/shortlist").collect()
     assert [r["Organisation Name"] for r in got] == ["Acme Software Ltd"]
+    assert validate.check_outputs(spark, cfg.out_dir) == "complete" and validate.check_audit(spark, cfg.out_dir) == []
+    assert validate.check_audit(spark, cfg.out_dir, audit.Thresholds(max_near=-1)) != []
+    first = snapshots.read_json(spark, f"{cfg.out_dir}/resume_report.json")
+    assert (first["processed_in_run"], first["remaining"], first["batch_range"], first["selected_batches"]) == (2, 0, {"start": 1, "end": 1}, 1)
+    with pytest.raises(errors.ResumeError):
+        validate.check_nothing_left(first)
     again = steps.run_match(spark, cfg)
-    assert (again["processed_in_run"], again["remaining"]) == (0, 0)
+    assert (again["processed_in_run"], again["remaining"], again["batch_range"]) == (0, 0, None)
+    validate.check_nothing_left(again)
     assert json.loads(spark.read.text(f"{cfg.out_dir}/register_stats.json", wholetext=True).first()[0])["organisations"] == 2
+    other = config.Config(**{**cfg.__dict__, "out_dir": str(tmp_path / "other"), "registry_path": f"{cfg.out_dir}/registry_profiles", "batch_size": 1, "batch_count": 1})
+    steps.run_register(spark, other)
+    left = steps.run_match(spark, other)
+    assert (left["processed_in_run"], left["remaining"], left["overall_batch_range"]) == (1, 1, {"start": 1, "end": 1})
+    with pytest.raises(errors.NotDeterministicError):
+        validate.check_equal_runs(spark, cfg.out_dir, other.out_dir)
+    assert steps.run_match(spark, other)["overall_batch_range"] == {"start": 2, "end": 2}
+    validate.check_equal_runs(spark, cfg.out_dir, other.out_dir)
+    broken = config.Config(**{**other.__dict__, "registry_path": str(tmp_path / "nothing"), "out_dir": str(tmp_path / "broken")})
+    steps.run_register(spark, broken)
+    with pytest.raises(errors.MissingInputError):
+        steps.run_match(spark, broken)
+    assert snapshots.read_json(spark, f"{broken.out_dir}/resume_report.json")["status"] == "error"
+    with pytest.raises(errors.OutputError):
+        validate.check_outputs(spark, broken.out_dir)
+    with pytest.raises(errors.OutputError):
+        validate.check_report(again | {"status": "fine"})
     q = microbatch.match_stream(spark, str(raw), clean, str(tmp_path / "stream"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert q.exception() is None and spark.read.parquet(str(tmp_path / "stream/enriched")).count() == 1
 
 
-def test_cli(capsys):
-    assert cli.main(["extract"]) == 2 and "register" in capsys.readouterr().err
+@pytest.mark.parametrize("stops_after", ["candidates", "enriched", "unmatched", "checkpoint"])
+def test_crash_between_writes(spark, tmp_path, monkeypatch, stops_after):
+    """A batch that fails after any of its writes and is repeated adds nothing twice and loses nothing."""
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    (raw / "r.csv").write_text(",".join(register.COLUMNS) + "\nAcme Ltd,London,,A rating,Skilled Worker\nUnknown Thing,York,,A rating,Skilled Worker\n")
+    clean = str(tmp_path / "clean")
+    spark.createDataFrame([("11111111", "ACME LTD", "active", "ltd", "", "", "London", "", "", "")], ", ".join(f"{c} string" for c in registry.CLEAN)).write.parquet(clean)
+    write = steps.write_run
+
+    def failing(got, out_dir, run):
+        for name in steps.OUTPUTS[: steps.OUTPUTS.index(stops_after) + 1]:
+            getattr(got, name).write.mode("overwrite").parquet(f"{out_dir}/{name}/run={run}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(steps, "write_run", failing)
+    q = microbatch.match_stream(spark, str(raw), clean, out, str(tmp_path / "cp"))
+    with pytest.raises(Exception, match="lost"):
+        q.awaitTermination(120)
+    monkeypatch.setattr(steps, "write_run", write)
+    microbatch.match_stream(spark, str(raw), clean, out, str(tmp_path / "cp")).awaitTermination(120)
+    assert [spark.read.parquet(f"{out}/{n}").count() for n in steps.OUTPUTS] == [1, 1, 1, 2]
+    (raw / "s.csv").write_text(",".join(register.COLUMNS) + "\nAcme Ltd,London,,A rating,Skilled Worker\nNew One,York,,A rating,Skilled Worker\n")
+    microbatch.match_stream(spark, str(raw), clean, out, str(tmp_path / "cp")).awaitTermination(120)
+    assert [spark.read.parquet(f"{out}/{n}").count() for n in steps.OUTPUTS] == [1, 1, 2, 3]
+
+
+def test_payloads(spark):
+    good = '{"items": [{"title": "A", "company_number": null, "address": {"locality": "York"}}, {"company_status": "active", "address": null}]}'
+    rows = spark.createDataFrame([(1, good), (2, "{}"), (3, '{"items": null}')], "k int, p string")
+    got = [(r["k"], r["nth"], r["title"], r["company_number"], r["company_status"], tuple(r["address"])) for r in payloads.search_items(rows, "p", "k").collect()]
+    assert got == [(1, 0, "A", "", "", ("York", "", "")), (1, 1, "", "", "active", ("", "", ""))]
+    for bad in ('{"items": [{"title": 3}]}', '{"items": {"a": 1}}', '{"items": [{"address": "x"}]}', "no json"):
+        with pytest.raises(Exception):
+            payloads.search_items(spark.createDataFrame([(bad,)], "p string"), "p").collect()
+    rows = spark.createDataFrame([('{"company_name": "A", "sic_codes": ["1", " ", 2]}',), ('{"sic_codes": "1, 2;3"}',), ('{"sic_codes": null, "registered_office_address": {"region": "Kent"}}',), ('{"sic_codes": 5}',)], "p string").coalesce(1)
+    assert [(r["company_name"], r["sic_codes"], r["registered_office_address"]["region"]) for r in payloads.profiles(rows, "p").collect()] == [("A", ["1", "2"], ""), ("", ["1", "2", "3"], ""), ("", [], "Kent"), ("", [], "")]
+    typed = spark.createDataFrame([('{"a": 1}',)], "p string").select(payloads.validated(tables.F.col("p"), "a int").alias("v")).first()
+    assert typed["v"]["a"] == 1
+    with pytest.raises(Exception):
+        spark.createDataFrame([('{"a": "x"}',)], "p string").select(payloads.validated(tables.F.col("p"), "a int").alias("v")).collect()
+
+
+class Server:
+    """A transport that answers what it is told, and a clock that only sleeping moves."""
+
+    def __init__(self, *answers):
+        self.answers, self.now, self.asked, self.slept = list(answers), 0.0, [], []
+
+    def __call__(self, url, timeout):
+        self.asked.append(url)
+        got = self.answers.pop(0)
+        if isinstance(got, Exception):
+            raise got
+        status, headers, body = got
+        return http.Response(status, headers, iter([body.encode()]))
+
+    def sleep(self, seconds):
+        self.slept.append(round(seconds, 3))
+        self.now += seconds
+
+    def client(self, **how):
+        clock = lambda: self.now
+        return http.Client(self, http.Pace(how.pop("per_minute", 0), how.pop("gap", 0.0), clock, self.sleep), http.Circuit(how.pop("threshold", 5), 60.0, clock), http.Retries(jitter=0.0), **how)
+
+
+def test_http_guard_rails(spark, tmp_path):
+    s = Server((503, {}, ""), TimeoutError("slow"), (429, {"Retry-After": "7"}, ""), (200, {}, '{"a": 1}'))
+    store = cache.JsonCache(spark, str(tmp_path / "cache"))
+    c = s.client(cache=store)
+    assert c.get_json("u", "k") == {"a": 1} and s.slept == [0.5, 1.0, 7.0] and len(s.asked) == 4
+    assert c.get_json("u", "k") == {"a": 1} and len(s.asked) == 4 and store.has("k") and not store.has("l") and store.get("l") is None
+    for status, kind in ((401, errors.AuthenticationError), (403, errors.AuthenticationError), (404, errors.HttpError)):
+        s = Server((status, {}, "<p>no\n  way</p>"))
+        with pytest.raises(kind, match="<p>no way"):
+            s.client().get_json("u")
+        assert len(s.asked) == 1
+    s = Server(*[(429, {}, "")] * 4)
+    with pytest.raises(errors.RateLimitedError):
+        s.client().get_json("u")
+    s = Server(*[(404, {}, "")] * 2, (404, {}, ""), (200, {}, "{}"))
+    c = s.client(threshold=2)
+    for _ in range(2):
+        with pytest.raises(errors.HttpError):
+            c.get_json("u")
+    with pytest.raises(errors.CircuitOpenError):
+        c.get_json("u")
+    s.now += 61
+    with pytest.raises(errors.HttpError):  # the trial fails and opens it again
+        c.get_json("u")
+    with pytest.raises(errors.CircuitOpenError):
+        c.get_json("u")
+    s.now += 61
+    assert c.get_json("u") == {} and c.circuit.failures == 0
+    for body in ("[1]", "no"):
+        with pytest.raises(errors.PayloadError):
+            Server((200, {}, body)).client().get_json("u")
+    s = Server(*[(200, {}, "{}")] * 5)
+    c = s.client(per_minute=2, gap=1.0)
+    for _ in range(5):
+        c.get_json("u")
+    assert s.slept == [1.0, 59.0, 1.0, 59.0]
+    assert http.retry_after({"retry-after": "Wed, 21 Oct 2026 07:28:10 GMT"}, datetime(2026, 10, 21, 7, 28, tzinfo=UTC)) == 10 and http.retry_after({"Retry-After": "soon"}) is None
+
+
+def test_company_sources(spark, tmp_path):
+    row = lambda n, t: (n, t, "active", "ltd", "", "62020", "York", "", "YO1", "")
+    spark.createDataFrame([row("1", "ACME LTD"), row("2", "ACME ALPHA"), row("3", "ALPHA")], ", ".join(f"{c} string" for c in registry.CLEAN)).write.parquet(str(tmp_path / "c"))
+    s = companies.company_source(spark, "file", str(tmp_path / "c"))
+    assert [r["title"] for r in s.search("Acme Alpha")] == ["ACME ALPHA"] and [r["company_number"] for r in s.search("acme")] == ["1", "2"] and s.search("!") == []
+    assert s.profile(" 1 ")["sic_codes"] == ["62020"]
+    with pytest.raises(errors.MissingProfileRowError):
+        s.profile("9")
+    server = Server((200, {}, '{"items": [{"title": "A", "company_number": "1"}]}'), (200, {}, '{"company_name": "A", "sic_codes": "1;2"}'))
+    a = companies.company_source(spark, "api", client=server.client(), base="http://x.example/")
+    assert a.search("A & B")[0]["title"] == "A" and a.profile("1")["sic_codes"] == ["1", "2"]
+    assert server.asked == ["http://x.example/search/companies?q=A%20%26%20B&items_per_page=10", "http://x.example/company/1"]
+    for kind, path, error in (("file", "", errors.MissingSettingError), ("file", str(tmp_path / "no"), errors.MissingInputError), ("api", "", errors.MissingSettingError), ("ftp", "", errors.SourceKindError)):
+        with pytest.raises(error):
+            companies.company_source(spark, kind, path)
+    keyed = companies.cache_keys(spark.createDataFrame([(" Acme ",)], "n string"), "search", "n").first()["cache_key"]
+    assert keyed == companies.ApiSource.key("search", "ACME") and matching.TOP == 3
+
+
+def test_cli(spark, tmp_path, capsys):
+    assert cli.main(["extract"]) == 2 and "refresh register" in capsys.readouterr().err
+    root = str(tmp_path / "s")
+    source = bulk(tmp_path, [{}])
+    assert cli.main(["refresh", "registry", "--snapshot-root", root, "--source", source, "--only", "acquire"]) == 0
+    assert cli.main(["refresh", "registry", "--snapshot-root", root, "--only", "clean"]) == 0
+    assert cli.main(["refresh", "registry", "--snapshot-root", root, "--only", "clean", "--source", source]) == 2
+    assert cli.main(["refresh", "registry", "--snapshot-root", root]) == 2
+    assert cli.main(["validate", "snapshots", "--snapshot-root", root]) == 1 and "register" in capsys.readouterr().out
+    (tmp_path / "p.html").write_text('<a href="BasicCompanyDataAsOneFile-2026-02-01.zip">x</a><a href="http://y/register.csv">sponsor register</a>')
+    assert cli.main(["links", "csv", "--page", str(tmp_path / "p.html"), "--url", "http://x.example/"]) == 0 and "http://y/register.csv" in capsys.readouterr().out
+    assert cli.main(["links", "zip", "--page", str(tmp_path / "p.html"), "--url", "http://x.example/"]) == 0 and "http://x.example/Basic" in capsys.readouterr().out
+    raw, out = tmp_path / "raw.csv", str(tmp_path / "out")
+    raw.write_text(",".join(register.COLUMNS) + "\nAcme Software Ltd,London,Greater London,A rating,Skilled Worker\n")
+    where = ["--snapshot-root", root, "--out-dir", out]
+    assert cli.main(["build", "register", "--register-path", str(raw), *where]) == 0 and cli.main(["build", "all", "--as-of", "2026-02-10", *where]) == 0
+    assert cli.main(["validate", "outputs", *where]) == 0 and cli.main(["validate", "audit", *where]) == 0 and cli.main(["validate", "runs", "--other-dir", out, *where]) == 0
+    assert cli.main(["validate", "resume", *where]) == 2 and cli.main(["build", "match", *where]) == 0 and cli.main(["validate", "resume", *where]) == 0
+    assert cli.main(["search", "--keyword", "software", *where]) == 0 and cli.main(["search", *where]) == 2
+    with pytest.raises(SystemExit):
+        cli.main(["validate", "runs"])
+
+
+def test_logs(capsys):
+    import logging
+
+    from tessera import logs
+
+    log = logs.logger("tessera.test")
+    assert logs.logger("tessera.test") is log and len(log.handlers) == 1 and log.handlers[0].formatter.converter(0).tm_hour == 0
+    with pytest.raises(ValueError), logs.progress("step"):
+        raise ValueError
+    assert logging.getLogger("tessera").handlers
