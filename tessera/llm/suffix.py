@@ -17,7 +17,8 @@ Suffixes are sorted one bucket at a time, in blocks that one task holds:
 4. Of equal windows the first, by (doc_id, start), stays; the bytes of the others go.
 
 A passage in a third of all texts is pre-aggregated: a batch sends each distinct segment once and
-marks its other occurrences at once. Buckets grow in number with the shuffle width.
+marks its other occurrences at once. There are so many buckets that one gets `BUCKET_BYTES` of text on
+average, and several per task of a shuffle at least.
 
 Defined results: null and empty texts have no bytes; texts below `LENGTH` bytes lose nothing; rows
 that repeat doc_id and text are one document, each returned; different texts under one doc_id are
@@ -42,6 +43,7 @@ from tessera.llm._text import U64, Hasher, mix, pieces, ragged
 LENGTH = 100
 GRAM = 40
 PERIOD = 16
+BUCKET_BYTES = 16 << 20
 
 
 def difference_cover(period: int) -> list[int]:
@@ -341,19 +343,21 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, kept (the bytes that stay), n_bytes, n_removed, n_spans for every row of docs."""
     spark = docs.sparkSession
     ship(spark)
-    buckets = 8 * shuffle_width(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("doc"), "text")
     body = F.coalesce("text", F.lit("")).cast("binary")
-    known = docs.select("doc", F.unhex(F.substring(F.sha2(body, 256), 1, 32)).alias("text_id"), F.octet_length(body).alias("size")).filter(F.col("size") >= LENGTH).select("doc", "text_id")
+    known = docs.select("doc", F.unhex(F.substring(F.sha2(body, 256), 1, 32)).alias("text_id"), F.octet_length(body).alias("size")).filter(F.col("size") >= LENGTH)
     known = materialize(known, "texts")
+    # a task holds a bucket, so their number follows the bytes that are dealt
+    buckets = max(8 * shuffle_width(spark), (known.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES)
+    known = known.select("doc", "text_id")
     firsts = materialize(known.groupBy("text_id").agg(F.min("doc").alias("first")), "first-texts")
     names = _repeated_names(docs.select("text"), buckets)
     wanted = materialize(names.join(firsts, "text_id").select(F.col("first").alias("doc"), "text_id", "names"), "repeated-names")
     texts = docs.select("doc", "text").join(wanted, "doc")
     found = materialize(_candidates(whole_texts(texts, "doc", "text_id", "names"), buckets), "segments")
     runs = _later_runs(found).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    copies = known.join(firsts, "text_id").filter(F.col("doc") > F.col("first")).select("doc", "text_id").distinct()
-    copies = copies.groupBy("doc").agg(F.collect_list("text_id").alias("copies"))
+    copies = known.join(firsts, "text_id").filter(F.col("doc") > F.col("first")).select("doc", "text_id")
+    copies = copies.groupBy("doc").agg(F.collect_set("text_id").alias("copies"))  # no distinct: it would keep the join from being split
     runs = runs.groupBy("doc").agg(F.collect_list(F.struct("tie", "runs")).alias("texts"))
     state = materialize(runs.join(copies, "doc", "full"), "removals")
 
