@@ -18,11 +18,14 @@ The product is never taken whole:
    pairs before anything is emitted. So no link between components is lost, and a block of
    thousands of near copies costs few products per row.
 
-Rows that thousands of others are compared with are spread over several tasks (`CHUNK` rows each).
+Rows that thousands of others are compared with are spread over several tasks (`CHUNK` rows each), and
+a block that is multiplied in full falls into tiles of `TILE` by `TILE` rows. Buckets of block keys
+grow in number with the shingles of the corpus. Links inside a component that its connection doesn't
+need are not computed.
 
 Defined results: documents without words (null, empty, white space) have an empty set and are
 linked with nothing; equal sets are linked; rows that repeat a doc_id are treated as rows of their
-own that may link; an empty table gives an empty one; other columns are ignored.
+own that may link, also without doc_id, whose component's id is the least doc_id there is; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ class Rule:
 
 #: The rule that the query's contract states; stages take Rule()'s five words and 0.8.
 CONTRACT = Rule(4, 85, 100)
-CHUNK = 128
+CHUNK, TILE, BUCKET_SHINGLES = 128, 2048, 4_000_000
 _RATIO = 1.5  # of neighbouring size classes; rules below 1 / _RATIO take wider ones
 
 
@@ -152,15 +155,16 @@ def signatures(value: np.ndarray, bounds: np.ndarray, rule: Rule) -> tuple[np.nd
 
 
 def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, set_id for every row."""
+    """doc_id, body_key, n_shingles, set_id for every row."""
     ship(docs.sparkSession)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "body"):
             value, bounds = shingle_sets(data, offsets, rule.width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds)), pa.array(set_ids(value, bounds))], ["doc_id", "n_shingles", "set_id"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(bounds)), pa.array(set_ids(value, bounds))], ["doc_id", "body_key", "n_shingles", "set_id"])
 
-    return whole_texts(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(look, "doc_id long, n_shingles long, set_id long")
+    bodies = whole_texts(docs, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body_key"))
+    return bodies.mapInArrow(look, "doc_id long, body_key long, n_shingles long, set_id long")
 
 
 def _blocks(docs: DataFrame, buckets: int, rule: Rule) -> DataFrame:
@@ -225,14 +229,16 @@ def _heads(placed: DataFrame) -> DataFrame:
     copies of one original share most with it, so it tends to lead."""
     best = F.struct("popular", "node", "label")
     lead = placed.groupBy("block").agg(F.max(best).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("block", "lead")
+    lead = materialize(lead, "block-leads")  # written, so that a hot block can be split in the joins
     open_ = placed.join(lead, "block")
     second = open_.filter(F.col("label") != F.col("lead.label")).groupBy("block").agg(F.max(best).alias("second")).select(F.col("block").alias("in_block"), "second")
+    second = materialize(second, "block-leads")
     met = open_.join(second, F.col("block") == F.col("in_block")).filter(F.col("label") != F.col("second.label"))
     return met.select(F.col("second.node").alias("a"), F.col("node").alias("b"))
 
 
 def _first_heads(placed: DataFrame) -> DataFrame:
-    lead = placed.groupBy("block").agg(F.max(F.struct("popular", "node")).alias("lead"))
+    lead = materialize(placed.groupBy("block").agg(F.max(F.struct("popular", "node")).alias("lead")), "block-leads")
     return placed.join(lead, "block").filter(F.col("node") != F.col("lead.node")).select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
 
 
@@ -262,9 +268,11 @@ def _across(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     safe; the comparison is one blocked product inside the task, and only what passes is emitted."""
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["block", "node"], ignore_index=True)
-        label, node, size, packed = (rows[c].to_numpy() for c in ("label", "node", "size", "bits"))
-        edge = np.append(np.flatnonzero(rows["block"].ne(rows["block"].shift())), len(rows))
+        rows = rows.sort_values(["block", "low", "high", "node"], ignore_index=True)
+        label, node, size, packed, slot = (rows[c].to_numpy() for c in ("label", "node", "size", "bits", "slot"))
+        diagonal = (rows["low"] == rows["high"]).to_numpy()
+        tile = rows[["block", "low", "high"]]
+        edge = np.append(np.flatnonzero((tile != tile.shift()).any(axis=1)), len(rows))
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for first, end in zip(edge[:-1].tolist(), edge[1:].tolist()):
             least = min(map(len, packed[first:end]))
@@ -272,15 +280,19 @@ def _across(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             for i in range(first, end - 1):
                 far = np.bitwise_count(bits[i + 1 - first :] ^ bits[i - first]).sum(1)
                 small, large = np.minimum(size[i], size[i + 1 : end]), np.maximum(size[i], size[i + 1 : end])
-                hit = np.flatnonzero((label[i + 1 : end] != label[i]) & (rule.number * large <= rule.of * small) & ((rule.of + rule.number) * far <= (rule.of - rule.number) * (small + large)))
+                hit = np.flatnonzero((diagonal[i] | (slot[i + 1 : end] != slot[i])) & (label[i + 1 : end] != label[i]) & (rule.number * large <= rule.of * small) & ((rule.of + rule.number) * far <= (rule.of - rule.number) * (small + large)))
                 out_a.append(np.full(len(hit), node[i]))
                 out_b.append(node[i + 1 + hit])
         return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
-    mixed = placed.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("block")
-    described = placed.join(mixed, "block").join(sets.select(F.col("set_id").alias("node"), "size", F.col("coarse").alias("bits")), "node")
-    many = F.pmod(F.xxhash64("block"), F.lit(8 * shuffle_width(placed.sparkSession))).alias("part")  # several blocks a call
-    return described.select(many, "block", "node", "label", "size", "bits").groupBy("part").applyInPandas(compare, "a long, b long")
+    mixed = placed.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("slots"))
+    mixed = materialize(mixed.filter("low < high").select("block", "slots"), "mixed-blocks")
+    described = placed.join(mixed, "block").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    described = described.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))  # a row is in a tile with each slot
+    described = described.withColumns({"low": F.least("slot", "other"), "high": F.greatest("slot", "other")})
+    described = described.join(sets.select(F.col("set_id").alias("node"), "size", F.col("coarse").alias("bits")), "node")
+    many = F.pmod(F.xxhash64("block", "low", "high"), F.lit(8 * shuffle_width(placed.sparkSession))).alias("part")  # several tiles a call
+    return described.select(many, "block", "low", "high", "slot", "node", "label", "size", "bits").groupBy("part").applyInPandas(compare, "a long, b long")
 
 
 def _products(pairs: DataFrame, sets: DataFrame, rule: Rule, most: bool) -> DataFrame:
@@ -311,7 +323,8 @@ def _products(pairs: DataFrame, sets: DataFrame, rule: Rule, most: bool) -> Data
 
 def _sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """set_id, shingles of the wanted set ids, each computed from one document that has it."""
-    one = known.join(wanted.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    one = known.join(wanted.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("doc_id", "body_key")).alias("one"))
+    one = one.select("set_id", F.col("one.doc_id").alias("one_id"), F.col("one.body_key").alias("one_key"))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "body"):
@@ -321,7 +334,8 @@ def _sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, rule: Rule) -
             cut = [value[bounds[i] : bounds[i + 1]] for i in rows]
             yield pa.RecordBatch.from_arrays([pa.array(due[rows]), pa.array([len(x) for x in cut], pa.int64()), pa.array([parity_bits(x, 1) for x in cut], pa.binary()), pa.array([parity_bits(x, 2) for x in cut], pa.binary()), pa.array([x.tobytes() for x in cut], pa.binary())], ["set_id", "size", "coarse", "bits", "shingles"])
 
-    texts = docs.select("doc_id", "text").join(one.hint("merge"), "doc_id")  # grows with the corpus: never broadcast
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("body_key"))
+    texts = keyed.join(one.hint("merge"), keyed["doc_id"].eqNullSafe(F.col("one_id")) & (keyed["body_key"] == F.col("one_key")))  # grows with the corpus: never broadcast
     return whole_texts(texts, "set_id").mapInArrow(look, "set_id long, size long, coarse binary, bits binary, shingles binary")
 
 
@@ -330,7 +344,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = materialize(document_sets(docs, rule), "document-sets")
-    members = materialize(_members(_blocks(docs, 4 * shuffle_width(spark), rule)), "block-members")
+    shingles = known.agg(F.sum("n_shingles")).first()[0] or 0
+    members = materialize(_members(_blocks(docs, max(4 * shuffle_width(spark), shingles // BUCKET_SHINGLES), rule)), "block-members")
     popular = members.groupBy("node").agg(F.count(F.lit(1)).alias("popular"))
     rows = materialize(members.join(popular, "node"), "block-rows")
     sets = materialize(_sets_of(docs, known, rows.select(F.col("node").alias("set_id")), rule), "sets")
@@ -350,7 +365,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             links = found if links is None else links.unionByName(found)
             merged = components(links)
     grouped = known.join(merged, known["set_id"] == merged["node"], "left").select("doc_id", "n_shingles", "set_id", F.coalesce("label", "set_id").alias("label"))
-    least = grouped.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    least = materialize(grouped.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least-ids")
     out = grouped.join(least, "label", "left")
     return out.select("doc_id", "n_shingles", "set_id", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 

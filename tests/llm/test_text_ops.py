@@ -111,7 +111,9 @@ def brute_components(rows, rule):
 
 
 @pytest.mark.parametrize("rule", [jaccard.CONTRACT, jaccard.Rule(), jaccard.Rule(2, 60, 100)])
-def test_jaccard(spark, rule):
+@pytest.mark.parametrize("tile", [jaccard.TILE, 3])
+def test_jaccard(spark, monkeypatch, rule, tile):
+    monkeypatch.setattr(jaccard, "TILE", tile)
     rng = np.random.default_rng(3)
     rows = list(EDGE)
     base = [[f"w{x}" for x in rng.integers(0, 5000, n)] for n in (5, 8, 20, 60, 300)]
@@ -128,6 +130,10 @@ def test_jaccard_edges(spark):
     assert jaccard.jaccard_components(empty(spark)).count() == 0
     twice = jaccard.jaccard_components(docs(spark, [(5, "a b c d e"), (5, "a b c d e"), (3, "A b c d e"), (4, None)])).collect()
     assert sorted((r["doc_id"], r["component_id"]) for r in twice) == [(3, 3), (4, 4), (5, 3), (5, 3)]
+    base = [f"w{k}" for k in range(300)]
+    near = lambda k: " ".join(base[:k] + ["x"] + base[k + 1 :])
+    lone = jaccard.jaccard_components(docs(spark, [(None, near(5)), (None, near(9)), (7, near(200)), (None, "q r s t u")])).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in lone) == [(0, 0), (0, 7), (0, 7), (7, 7)]
 
 
 # -- lines ------------------------------------------------------------------------------------
