@@ -304,9 +304,51 @@ def test_near_fingerprints(spark):
             fps.add(v - (1 << 64) if v >> 63 else v)
     all_ = spark.createDataFrame([(int(f),) for f in fps], "simhash long")
     asked = spark.createDataFrame([(int(b),) for b in base], "simhash long")
-    got = sorted((r["query"], r["simhash"]) for r in simhash.near_fingerprints(asked, all_).collect())
     expect = sorted((int(a), int(b)) for a in base for b in fps if ((int(a) ^ int(b)) & (1 << 64) - 1).bit_count() <= 3)
-    assert got == expect
+    for blocks in (5, 6, 8):  # each pair once, whatever the tables
+        assert sorted((r["query"], r["simhash"]) for r in simhash.near_fingerprints(asked, all_, blocks=blocks).collect()) == expect
+    assert [simhash.blocks_for(n) for n in (0, 1 << 20, 1 << 26, 1 << 33)] == [5, 5, 6, 7]
+
+
+def plain_simhash(text):
+    """Votes of word 5-shingles one by one; hashes chain as Spark's do."""
+    import struct
+
+    import xxhash
+
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    words_ = [signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+
+    def term(part):
+        h = 42
+        for w in part:
+            h = xxhash.xxh64(struct.pack("<q", w), seed=h).intdigest()
+        return h
+
+    terms = [term(words_[k : k + 5]) for k in range(len(words_) - 4)] if len(words_) >= 5 else [term(words_)]
+    return sum(1 << k for k in range(64) if 2 * sum(t >> k & 1 for t in terms) > len(terms))
+
+
+def test_fingerprint_query(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    words_ = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(rng.choice(words_, int(n)))) for i, n in zip(range(0, 120, 2), rng.integers(0, 80, 60))]
+    rows += [(51, rows[3][1] + " x"), (53, None), (55, "é😀 " * 9), (50, rows[25][1]), (100, rows[50][1])]  # 50 and 100 twice each: repeated rows
+    docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    got = simhash.op1_document_fingerprints(spark, str(tmp_path)).collect()
+    texts = {i: t or "" for i, t in rows}
+    ids = sorted(texts)
+    prints = {i: plain_simhash(t) for i, t in texts.items()}
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in rows)
+    for r in got:
+        i, x = r["doc_id"], texts[r["doc_id"]]
+        after = ids[(ids.index(i) + 1) % len(ids)]
+        edited = x[: len(x) - len(x) // 4] + texts[after][: len(x) // 4]
+        like = lambda a, b: 1 - (a ^ b).bit_count() / 64
+        assert (r["n_chars"], r["edited_sha256"]) == (len(x), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (f"{prints[i]:016x}", f"{plain_simhash(edited):016x}")
+        assert (r["near_edited"], r["near_next"]) == (like(prints[i], plain_simhash(edited)), like(prints[i], prints[after]))
+        assert r["n_near"] == (sum((prints[i] ^ prints[j]).bit_count() <= 3 for j, _ in rows) if i % 50 == 0 else None)
 
 
 # -- shared primitives ------------------------------------------------------------------------
