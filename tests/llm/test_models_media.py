@@ -182,6 +182,45 @@ def test_media_round_trip(spark):
         webp.decode(b"RIFF" + b"\0" * 30)
 
 
+def test_media_query(spark, tmp_path):
+    """Every column of the query by plain means, over the stored files themselves."""
+    import hashlib
+    import math
+
+    rows = [(1, None), (2, ""), (3, "é😀" * 50), (4, "plain text, " * 900), (4, "plain text, " * 900), (5, "x" * 64), (6, "\0")]
+    docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    stored = {r["doc_id"]: bytes(r["media"]) for r in webp.store_texts(docs(spark, rows)).collect()}
+    got = webp.op3_webp_media(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in got) == [i for i, _ in rows]
+    texts = dict(rows)
+    for r in got:
+        raw, media = (texts[r["doc_id"]] or "").encode(), stored[r["doc_id"]]
+        payload = raw + b"\0" * ((-len(raw)) % 64 if raw else 64)
+        assert b"".join(np.ascontiguousarray(webp.decode(x)[:, :, 2]).tobytes() for x in webp.images_of(media)) == payload
+        share = [payload.count(bytes([v])) / len(payload) for v in set(payload)]
+        feature = f"{sum(payload) / len(payload):.4f};{abs(-sum(p * math.log2(p) for p in share)):.4f}"
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r["media_bytes"], r["media_sha256"], r["feature"]) == (len(media), hashlib.sha256(media).hexdigest(), feature)
+
+
+def test_predictors_by_their_definition():
+    """The fourteen modes spelled out on four channels."""
+    rng = random.Random(5)
+    for _ in range(300):
+        left, top, right, corner = ([rng.choice([0, 1, 127, 128, 254, 255, rng.randrange(256)]) for _ in range(4)] for _ in range(4))
+        half = lambda a, b: [(x + y) // 2 for x, y in zip(a, b)]
+        clamp = lambda v: max(0, min(255, v))
+        mean = half(left, top)
+        manhattan = lambda p: sum(abs(l + t - c - x) for l, t, c, x in zip(left, top, corner, p))  # noqa: E731, E741
+        expect = [
+            [255, 0, 0, 0], left, top, right, corner, half(half(left, right), top), half(left, corner), mean, half(corner, top), half(top, right), half(half(left, corner), half(top, right)),
+            left if manhattan(left) < manhattan(top) else top, [clamp(a + b - c) for a, b, c in zip(left, top, corner)], [clamp(m + int((m - c) / 2)) for m, c in zip(mean, corner)],
+        ]
+        pack = lambda p: p[0] << 24 | p[1] << 16 | p[2] << 8 | p[3]
+        for mode, want in enumerate(expect):
+            assert webp._predict(mode, pack(left), pack(top), pack(right), pack(corner)) == pack(want), mode
+
+
 # -- classifiers ------------------------------------------------------------------------------
 
 
