@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from tessera.errors import NotAvailableError, PipelineError
 from tessera.logs import progress
-from tessera.operators import links, shortlist
+from tessera.operators import shortlist
 from tessera.plans import refresh, steps, validate
 from tessera.sources import config, http, snapshots
 
@@ -48,6 +48,8 @@ def parser() -> argparse.ArgumentParser:
 
     for m in group("refresh", refresh.ARTEFACTS, "acquire and clean a dataset as a dated snapshot").values():
         m.add_argument("--source", help="a file on any file system, or an address")
+        m.add_argument("--page", help="a page that links to the source")
+        m.add_argument("--url", default="", help="where the page lies, for relative links")
         m.add_argument("--only", choices=["all", "acquire", "clean"], default="all")
     build = group("build", BUILD, "run a step")
     for name in ("match", "all"):
@@ -68,13 +70,14 @@ _OWN = ("group", "command", "config", "source", "only", "no_resume", "other_dir"
 
 
 def _refresh(spark: SparkSession, cfg: config.Config, a: dict) -> str:
-    if a["only"] == "clean" and a["source"]:
-        raise NotAvailableError("--source has no meaning with --only clean")
+    if a["only"] == "clean" and (a["source"] or a["page"]):
+        raise NotAvailableError("a source has no meaning with --only clean")
     if a["only"] != "clean":
-        if not a["source"]:
-            raise NotAvailableError("--source is needed")
-        fetched = a["source"].startswith(("http://", "https://"))
-        staged = refresh.acquire(spark, cfg.snapshot_root, a["command"], a["source"], http.Client(http.urllib_transport()) if fetched else None)
+        if not a["source"] and not a["page"]:
+            raise NotAvailableError("--source or --page is needed")
+        client = http.Client(http.urllib_transport())
+        source = a["source"] or refresh.discover(spark, a["command"], a["page"], a["url"], client)
+        staged = refresh.acquire(spark, cfg.snapshot_root, a["command"], source, client)
         if a["only"] == "acquire":
             return staged.staging
     return refresh.clean(spark, cfg.snapshot_root, a["command"], shlex.join(sys.argv))
@@ -107,9 +110,7 @@ def run(spark: SparkSession, cfg: config.Config, a: dict) -> int:
     elif a["group"] == "validate":
         return _validate(spark, cfg, a)
     elif a["group"] == "links":
-        page = spark.createDataFrame([(0, a["url"], spark.read.text(a["page"], wholetext=True).first()[0])], "key long, url string, html string")
-        found = links.extract_links(page, "key", "url", "html")
-        print(links.the_best_link(found) if a["command"] == "csv" else links.the_archive_link(found))
+        print(refresh.discover(spark, "registry" if a["command"] == "zip" else "register", a["page"], a["url"]))
     else:
         rows = spark.read.parquet(f"{cfg.out_dir}/scored")
         shortlist.explain(shortlist.search(rows, a["keyword"], a["sector"], cfg.region or None, a["size"])).show(50, False)

@@ -73,11 +73,6 @@ def positive_int(c: Column) -> Column:
     return F.when(n >= 1, n)
 
 
-def unique_in_order(c: Column) -> Column:
-    """Array entries without blanks and 'nan', trimmed, first occurrences kept."""
-    return F.array_distinct(F.filter(F.transform(c, strip), lambda x: (x != "") & (F.lower(x) != "nan")))
-
-
 def clamp(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), c))
 

@@ -9,8 +9,8 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.errors import PendingNotFoundError, PipelineError
-from tessera.operators import register, registry
+from tessera.errors import MissingInputError, PendingNotFoundError, PipelineError
+from tessera.operators import links, register, registry
 from tessera.sources import snapshots, tables
 from tessera.sources.http import Client
 from tessera.sources.snapshots import Staged
@@ -24,6 +24,17 @@ ARTEFACTS = {
 SCHEMA = {"register": "register_v1", "registry": "registry_v1", "employee_count": "employee_count_v1"}
 
 
+def discover(spark: SparkSession, dataset: str, page: str, url: str, client: Client | None = None) -> str:
+    """The source that a page links to: the best .csv link, or the newest archive for a registry. page: a
+    file on any Hadoop file system, or an address that the client fetches."""
+    fetched = client is not None and page.startswith(("http://", "https://"))
+    if not fetched and not tables.exists(spark, page):
+        raise MissingInputError(page)
+    html = client.fetch(page).text() if fetched else spark.read.text(page, wholetext=True).first()[0]
+    found = links.extract_links(spark.createDataFrame([(0, url or (page if fetched else ""), html)], "key long, url string, html string"), "key", "url", "html")
+    return links.the_archive_link(found) if dataset == "registry" else links.the_best_link(found)
+
+
 def acquire(spark: SparkSession, root: str, dataset: str, source: str, client: Client | None = None, now: datetime | None = None) -> Staged:
     """Copy a source (a file on any Hadoop file system, or an address that the client fetches) into a new
     staging folder. Its name's date, else the day of now, dates the snapshot."""

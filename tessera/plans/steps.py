@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera import stored
 from tessera.errors import ConfigError, MissingInputError
+from tessera.functions import values
 from tessera.operators import matching, register, registry, resume, scoring, shortlist
 from tessera.operators.scoring import Profile
 from tessera.operators.shortlist import GeoFilter
@@ -94,7 +95,7 @@ def long_names(df: DataFrame) -> DataFrame:
 def write_register(spark: SparkSession, rows: DataFrame, out: str, stats_path: str, mode: str = "errorifexists") -> tuple[int, int]:
     """The rolled-up register of coerced rows and its statistics; rows before and after."""
     up = register.register(rows).orderBy("org_norm").drop("pos")
-    tables.write_csv(long_names(up.withColumns({c: F.initcap(F.col(c).cast("string")) for c in ("has_multiple_towns", "has_multiple_counties")})), out, mode)
+    tables.write_csv(long_names(up.withColumns({c: values.text_bool(F.col(c)) for c in ("has_multiple_towns", "has_multiple_counties")})), out, mode)
     counted = register.stats(rows).first().asDict()
     for c in ("town", "county"):
         counted[f"top_{c}"] = [[r[c], r["n_rows"]] for r in register.top_values(register.eligible(rows), c).collect()]

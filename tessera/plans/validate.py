@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.errors import NotDeterministicError, OutputError, ResumeError, SnapshotError
+from tessera.errors import NotDeterministicError, OutputError, RegistryUriMismatchError, ResumeError, SnapshotError
 from tessera.operators import audit, register, registry
 from tessera.plans.refresh import ARTEFACTS, SCHEMA
 from tessera.sources import employees, snapshots, tables
@@ -66,6 +66,11 @@ def snapshot_errors(spark: SparkSession, root: str, datasets: tuple[str, ...] =
         if tables.exists(spark, f"{folder}/clean.csv"):
             clean = tables.read_csv(spark, f"{folder}/clean.csv", na_cells=False)
             wrong += [f"{dataset}: clean.csv lacks {c}" for c in sorted(set(columns[dataset]) - set(clean.columns))]
+            if dataset == "registry" and "uri" in clean.columns and "company_number" in clean.columns:
+                try:
+                    registry.check_uris(clean)
+                except RegistryUriMismatchError as e:
+                    wrong.append(f"{dataset}: addresses and numbers differ: {e}")
             if isinstance(counts, dict) and counts.get("clean") != clean.count():
                 wrong.append(f"{dataset}: clean.csv has another number of rows")
     return wrong

@@ -334,6 +334,10 @@ def test_cli(spark, tmp_path, capsys):
     (tmp_path / "p.html").write_text('<a href="BasicCompanyDataAsOneFile-2026-02-01.zip">x</a><a href="http://y/register.csv">sponsor register</a>')
     assert cli.main(["links", "csv", "--page", str(tmp_path / "p.html"), "--url", "http://x.example/"]) == 0 and "http://y/register.csv" in capsys.readouterr().out
     assert cli.main(["links", "zip", "--page", str(tmp_path / "p.html"), "--url", "http://x.example/"]) == 0 and "http://x.example/Basic" in capsys.readouterr().out
+    with zipfile.ZipFile(tmp_path / "BasicCompanyDataAsOneFile-2026-02-01.zip", "w") as z:
+        z.write(source, "x.csv")
+    assert cli.main(["refresh", "registry", "--snapshot-root", str(tmp_path / "found"), "--page", str(tmp_path / "p.html"), "--url", f"file://{tmp_path}/"]) == 0
+    assert snapshots.latest(spark, str(tmp_path / "found"), "registry").endswith("2026-02-01")
     raw, out = tmp_path / "raw.csv", str(tmp_path / "out")
     raw.write_text(",".join(register.COLUMNS) + "\nAcme Software Ltd,London,Greater London,A rating,Skilled Worker\n")
     where = ["--snapshot-root", root, "--out-dir", out]
