@@ -6,9 +6,10 @@ predictor, cross-colour, subtract-green and palette transforms.
 
 A payload is stored as grey images of 64 columns and at most 64 rows, one sample a byte, one RIFF
 file behind the other; red and blue equal green, so the subtract-green transform leaves nothing of
-them, and the green samples get an own length-limited prefix code per image. Many images of that
-plain layout are decoded in lockstep by numpy, one symbol of every image a step; each goes at most
-4096 steps, so a very long text is many streams and not a long one. Other layouts take decode().
+them, and the green samples get an own length-limited prefix code per image. Samples that came
+before in the image are written as back-references where that makes the image smaller. Both layouts
+are decoded in lockstep by numpy, one token of every image a step, each going at most 4096
+steps, so a very long text is many streams and not a long one. All others take decode().
 
 The stored form is written as a table and read back from it. Both passes are maps: no shuffle,
 and memory is bounded by a slice of a batch.
@@ -272,13 +273,23 @@ def decode(riff: bytes) -> np.ndarray:
 _REVERSED = np.array([int(f"{i:0{_LONGEST}b}"[::-1], 2) for i in range(1 << _LONGEST)], np.int64)
 
 
-def _fields(height: int | None, single: bool) -> list[tuple[int, int]]:
-    """(value, bits) of a plain image's head up to the green code's lengths; height None: left out."""
+_PLAIN, _SINGLE, _MATCHED = range(3)
+_GREEN, _FAR, _TOP = 280, 40, 64  # symbols of green without a cache, of distances; the longest match written
+
+
+def _lengths_head() -> list[tuple[int, int]]:
+    """A normal code whose lengths take four bits each, up to where it may say how many there are."""
+    return [(0, 1), (15, 4), *((0 if s > 15 else 4, 3) for s in LENGTH_ORDER)]
+
+
+def _fields(height: int | None, kind: int) -> list[tuple[int, int]]:
+    """(value, bits) of an image's head up to the green code's lengths; height None: left out."""
     head = [(SIDE - 1, 14), ((height or 1) - 1, 14), (0, 1), (0, 3), (1, 1), (2, 2), (0, 1), (0, 1), (0, 1)]
-    if single:
+    if kind == _SINGLE:
         return [*head, (1, 1), (0, 1), (1, 1)]  # then the one symbol, 8 bits
-    lengths = [0 if s > 15 else 4 for s in LENGTH_ORDER]
-    return [*head, (0, 1), (15, 4), *((n, 3) for n in lengths), (1, 1), (3, 3), (254, 8)]  # then 256 lengths, 4 bits each
+    if kind == _MATCHED:
+        return [*head, *_lengths_head(), (0, 1)]  # then 280 lengths, 4 bits each
+    return [*head, *_lengths_head(), (1, 1), (3, 3), (254, 8)]  # then 256 lengths, 4 bits each
 
 
 #: The codes of red, blue (always 0), alpha (always 255) and distance (unused).
@@ -326,6 +337,66 @@ def _write_fields(words: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
     np.bitwise_or.at(words, word[first] + 1, (sums >> np.uint64(32)).astype(np.uint32))
 
 
+def _canonical(lengths: np.ndarray) -> np.ndarray:
+    """Words by (length, symbol), counted up, written from their first bit."""
+    order = np.argsort(np.where(lengths > 0, lengths, 99), axis=1, kind="stable")
+    sorted_lengths = np.take_along_axis(lengths, order, 1)
+    space = np.where(sorted_lengths > 0, 1 << np.maximum(_LONGEST - sorted_lengths, 0), 0)
+    word = _REVERSED[(np.cumsum(space, 1) - space) & ((1 << _LONGEST) - 1)]
+    codes = np.zeros_like(lengths)
+    np.put_along_axis(codes, order, word, 1)
+    return codes
+
+
+def _prefixed(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbol, number of extra bits and these, of lengths or distance codes from 1 on."""
+    v = value - 1
+    high = np.frexp(np.maximum(v, 1))[1].astype(np.int64) - 1
+    extra = np.where(v < 4, 0, high - 1)
+    symbol = np.where(v < 4, v, 2 * high + ((v >> np.maximum(high - 1, 0)) & 1))
+    return symbol, extra, v & ((1 << extra) - 1)
+
+
+def _tokens(samples: np.ndarray, start: np.ndarray, length: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A greedy parse of every image: the positions of its tokens, their lengths (1: a literal), and the
+    distance of a match, the nearest place before that has the same four samples."""
+    n = len(samples)
+    end = (start + length)[owner]
+    at = np.arange(n)
+    most, far = np.ones(n, np.int64), np.zeros(n, np.int64)
+    if n > 4:
+        word = samples[: n - 3].astype(np.uint64)
+        for k in (1, 2, 3):
+            word |= samples[k : n - 3 + k].astype(np.uint64) << np.uint64(8 * k)
+        inside = at[: n - 3] + 4 <= end[: n - 3]
+        key = owner[: n - 3].astype(np.uint64) << np.uint64(44) | word << np.uint64(12) | (at - start[owner])[: n - 3].astype(np.uint64)
+        key = np.sort(key[inside])
+        same = np.flatnonzero(key[1:] >> np.uint64(12) == key[:-1] >> np.uint64(12))
+        here = (start[(key[same + 1] >> np.uint64(44)).astype(np.int64)] + (key[same + 1] & np.uint64(4095)).astype(np.int64)).astype(np.int64)
+        back = ((key[same + 1] & np.uint64(4095)) - (key[same] & np.uint64(4095))).astype(np.int64)
+        far[here], size = back, np.full(len(here), 4)
+        live = np.arange(len(here))
+        for k in range(4, _TOP):
+            p = here[live] + k
+            live = live[p < end[here[live]]]
+            p = here[live] + k
+            live = live[samples[p] == samples[p - back[live]]]
+            if not len(live):
+                break
+            size[live] += 1
+        good = size >= 5
+        most[here[good]] = size[good]
+    step, seen, cur, stop = at + most, np.zeros(n, bool), start.copy(), start + length
+    while len(cur):
+        seen[cur] = True
+        cur = step[cur]
+        more = cur < stop
+        if not more.all():
+            cur, stop = cur[more], stop[more]
+    place = np.flatnonzero(seen)
+    return place, most[place], far[place]
+
+
 def encode_grey(samples: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     """For each row of samples (a multiple of 64 bytes), its images behind each other."""
     size = np.diff(offsets)
@@ -335,47 +406,76 @@ def encode_grey(samples: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     length = np.minimum(SIDE * SIDE, offsets[1:][image_row] - start)
     n = len(start)
     owner = np.repeat(np.arange(n), length)
+    start = np.cumsum(length) - length  # images lie behind each other
     counts = np.bincount(owner * 256 + samples, minlength=n * 256).reshape(n, 256)
     lengths = code_lengths(counts)
-    single = (counts > 0).sum(1) == 1
-    lengths[single] = 0
-    # canonical words: symbols by (length, symbol), words counted up, written from their first bit
-    key = np.where(lengths > 0, lengths, 99)
-    order = np.argsort(key, axis=1, kind="stable")
-    sorted_lengths = np.take_along_axis(lengths, order, 1)
-    space = np.where(sorted_lengths > 0, 1 << (_LONGEST - sorted_lengths), 0)
-    word = _REVERSED[(np.cumsum(space, 1) - space) & ((1 << _LONGEST) - 1)]
-    codes = np.zeros_like(lengths)
-    np.put_along_axis(codes, order, word, 1)
-    head_plain, n_plain = _joined(_fields(None, False))
-    head_single, n_single = _joined(_fields(None, True))
+    kind = np.where((counts > 0).sum(1) == 1, _SINGLE, _PLAIN)
+    lengths[kind == _SINGLE] = 0
+    heads = [_joined(_fields(None, k)) for k in range(3)]
     tail, n_tail = _joined(_TAIL)
-    bits_per = lengths.ravel()[owner * 256 + samples]
-    body = np.bincount(owner, weights=bits_per, minlength=n).astype(np.int64)
-    before = np.where(single, n_single + 8, n_plain + 1024)
-    n_bytes = 1 + (before + n_tail + body + 7) // 8
+    far_head, n_far = _joined([*_TAIL[:12], *_lengths_head(), (0, 1)])
+    body = np.bincount(owner, weights=lengths.ravel()[owner * 256 + samples], minlength=n).astype(np.int64)
+    before = np.where(kind == _SINGLE, heads[_SINGLE][1] + 8, heads[_PLAIN][1] + 1024) + n_tail
+
+    place, most, far = _tokens(samples, start, length, owner)
+    image, match = owner[place], most > 1
+    symbol, extra, rest = _prefixed(most)
+    green = np.where(match, 256 + symbol, samples[place])
+    far_symbol, far_extra, far_rest = _prefixed(far + 120)  # the first 120 codes are near pixels
+    green_counts = np.bincount(image * _GREEN + green, minlength=n * _GREEN).reshape(n, _GREEN)
+    far_counts = np.bincount(image[match] * _FAR + far_symbol[match], minlength=n * _FAR).reshape(n, _FAR)
+    green_lengths, far_lengths = code_lengths(green_counts), code_lengths(far_counts)
+    green_bits = green_lengths.ravel()[image * _GREEN + green] + np.where(match, extra, 0)
+    far_bits = np.where(match, far_lengths.ravel()[image * _FAR + far_symbol] + far_extra, 0)
+    matched_body = np.bincount(image, weights=green_bits + far_bits, minlength=n).astype(np.int64)
+    matched_before = heads[_MATCHED][1] + 4 * _GREEN + n_far + 4 * _FAR
+    better = ((far_counts > 0).sum(1) > 1) & ((green_counts > 0).sum(1) > 1) & (matched_before + matched_body < before + body)
+    kind[better], body[better], before[better] = _MATCHED, matched_body[better], matched_before
+
+    n_bytes = 1 + (before + body + 7) // 8
     room = 6 + (n_bytes + 3) // 4  # words of a record: 20 bytes of RIFF head, the stream, slack
     base = np.concatenate([[0], np.cumsum(room)])
     words = np.zeros(int(base[-1]) + 2, np.uint32)
     bit0 = (base[:-1] * 4 + 21) * 8
-    for kind, head, n_head in ((~single, head_plain, n_plain), (single, head_single, n_single)):
-        at = np.flatnonzero(kind)
-        for low in range(0, n_head, 32):
-            part = np.full(len(at), head >> low & 0xFFFFFFFF, np.int64)
-            if not low:
-                part |= (length[at] // SIDE - 1 & 63) << 14
-            _write_fields(words, bit0[at] + low, part)
-    some = np.flatnonzero(single)
-    _write_fields(words, bit0[some] + n_single, counts[some].argmax(1))
-    plain = np.flatnonzero(~single)
-    nibble = _REVERSED[lengths[plain]] >> (_LONGEST - 4)
-    _write_fields(words, (bit0[plain] + n_plain)[:, None].repeat(256, 1).ravel() + np.tile(np.arange(256) * 4, len(plain)), nibble.ravel())
-    _write_fields(words, bit0 + before, np.full(n, tail & 0xFFFFFFFF, np.int64))
-    assert n_tail <= 32
-    within = np.cumsum(bits_per) - bits_per
-    first = np.concatenate([[0], np.cumsum(length)])[:-1]
-    at = within - within[first][owner] + (bit0 + before + n_tail)[owner]
-    _write_fields(words, at, codes.ravel()[owner * 256 + samples])
+
+    def constant(at: np.ndarray, value: int, bits: int, height: np.ndarray | None = None) -> None:
+        for low in range(0, bits, 32):
+            part = np.full(len(at), value >> low & 0xFFFFFFFF, np.int64)
+            if height is not None and not low:
+                part |= (height - 1 & 63) << 14
+            _write_fields(words, at + low, part)
+
+    def nibbles(at: np.ndarray, table: np.ndarray) -> None:
+        width = table.shape[1]
+        _write_fields(words, (at[:, None] + np.arange(width) * 4).ravel(), (_REVERSED[table] >> (_LONGEST - 4)).ravel())
+
+    for k, (head, n_head) in enumerate(heads):
+        at = np.flatnonzero(kind == k)
+        constant(bit0[at], head, n_head, length[at] // SIDE)
+        after = bit0[at] + n_head
+        if k == _SINGLE:
+            _write_fields(words, after, counts[at].argmax(1))
+            constant(after + 8, tail, n_tail)
+        elif k == _PLAIN:
+            nibbles(after, lengths[at])
+            constant(after + 1024, tail, n_tail)
+        else:
+            nibbles(after, green_lengths[at])
+            constant(after + 4 * _GREEN, far_head, n_far)
+            nibbles(after + 4 * _GREEN + n_far, far_lengths[at])
+
+    some = np.flatnonzero(kind[owner] == _PLAIN)
+    bits, codes = lengths.ravel()[owner[some] * 256 + samples[some]], _canonical(lengths).ravel()
+    _write_fields(words, _places(owner[some], bits, n) + (bit0 + before)[owner[some]], codes[owner[some] * 256 + samples[some]])
+    some = np.flatnonzero(kind[image] == _MATCHED)
+    if len(some):
+        image, green, match, extra, rest, far_symbol, far_rest = (x[some] for x in (image, green, match, extra, rest, far_symbol, far_rest))
+        green_bits, far_bits = green_bits[some], far_bits[some]
+        at = _places(image, green_bits + far_bits, n) + (bit0 + before)[image]
+        short = green_lengths.ravel()[image * _GREEN + green]
+        _write_fields(words, at, _canonical(green_lengths).ravel()[image * _GREEN + green] | np.where(match, rest, 0) << short)
+        short = far_lengths.ravel()[image * _FAR + far_symbol][match]
+        _write_fields(words, (at + green_bits)[match], _canonical(far_lengths).ravel()[image * _FAR + far_symbol][match] | far_rest[match] << short)
     raw = words.view(np.uint8)
     raw[(base[:-1] * 4)[:, None] + np.arange(20)] = _riff_heads(n_bytes)
     raw[base[:-1] * 4 + 20] = 0x2F
@@ -385,6 +485,15 @@ def encode_grey(samples: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     return [blob[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
+def _places(owner: np.ndarray, bits: np.ndarray, n: int) -> np.ndarray:
+    """Where each field begins among those of its owner; fields are ordered by owner."""
+    within = np.cumsum(bits) - bits
+    first = np.zeros(n, np.int64)
+    new = np.flatnonzero(np.diff(owner, prepend=-1))
+    first[owner[new]] = within[new]
+    return within - first[owner]
+
+
 def _riff_heads(n_bytes: np.ndarray) -> np.ndarray:
     out = np.zeros((len(n_bytes), 5), "<u4")
     out[:, 0], out[:, 2], out[:, 3] = np.frombuffer(b"RIFF", "<u4"), np.frombuffer(b"WEBP", "<u4"), np.frombuffer(b"VP8L", "<u4")
@@ -419,24 +528,34 @@ def decode_grey(media: list[bytes]) -> list[bytes]:
     out: list[bytes | None] = [None] * len(flat)
     matches = lambda at, fields, skip: np.logical_and.reduce([_bits_at(data, at + p, n) == v for v, n, p in _placed(fields) if p not in skip])
     height = _bits_at(data, bit0 + 14, 14) + 1
-    for single in (False, True):
-        n_head = _joined(_fields(None, single))[1]
-        here = np.array([i for i in range(len(flat)) if size[i] > 21 + (n_head + (8 if single else 1024) + 40) // 8], np.int64)
+    n_far = _joined([*_TAIL[:12], *_lengths_head(), (0, 1)])[1]
+    for kind in range(3):
+        n_head = _joined(_fields(None, kind))[1]
+        n_green = (1024, 8, 4 * _GREEN)[kind]
+        here = np.array([i for i in range(len(flat)) if size[i] > 21 + (n_head + n_green + (n_far + 4 * _FAR if kind == _MATCHED else 40)) // 8], np.int64)
+        if not len(here):
+            continue
+        here = here[matches(bit0[here], _fields(None, kind), {14}) & (height[here] <= SIDE)]
+        here = here[matches(bit0[here] + n_head + n_green, [*_TAIL[:12], *_lengths_head(), (0, 1)] if kind == _MATCHED else _TAIL, set())]
         if not len(here):
             continue
-        tail_at = n_head + (8 if single else 1024)
-        here = here[matches(bit0[here], _fields(None, single), {14}) & (height[here] <= SIDE)]
-        here = here[matches(bit0[here] + tail_at, _TAIL, set())]
-        if single:
+        if kind == _SINGLE:
             for i, v in zip(here.tolist(), _bits_at(data, bit0[here] + n_head, 8).tolist()):
                 out[i] = bytes([v]) * (SIDE * int(height[i]))
-        elif len(here):
-            nibbles = _bits_at(data, (bit0[here] + n_head)[:, None] + np.arange(256) * 4, 4)
-            lengths = _REVERSED[nibbles] >> (_LONGEST - 4)
-            full = (np.where(lengths > 0, 1 << np.maximum(_LONGEST - lengths, 0), 0).sum(1) == 1 << _LONGEST) & (lengths.max(1) <= _LONGEST)
-            here, lengths = here[full], lengths[full]
-            for i, samples in zip(here.tolist(), _lockstep(data, bit0[here] + tail_at + _joined(_TAIL)[1], lengths, height[here] * SIDE)):
-                out[i] = samples
+            continue
+        at = bit0[here] + n_head
+        lengths, full = _lengths_at(data, at, n_green // 4)
+        at = at + n_green + (n_far if kind == _MATCHED else _joined(_TAIL)[1])
+        if kind == _PLAIN:
+            here, at, lengths = here[full], at[full], lengths[full]
+            found = _lockstep(data, at, lengths, height[here] * SIDE)
+        else:
+            far_lengths, far_full = _lengths_at(data, at, _FAR)
+            full &= far_full
+            here, at, lengths, far_lengths = here[full], at[full], lengths[full], far_lengths[full]
+            found = _lockstep_matched(data, at + 4 * _FAR, lengths, far_lengths, height[here] * SIDE)
+        for i, samples in zip(here.tolist(), found):
+            out[i] = samples
     for i, x in enumerate(out):
         if x is None:
             out[i] = np.ascontiguousarray(decode(flat[i])[:, :, 2]).tobytes()
@@ -452,19 +571,84 @@ def _placed(fields: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def _lengths_at(data: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n code lengths of four bits each at every position, and whether they make a complete code."""
+    lengths = _REVERSED[_bits_at(data, at[:, None] + np.arange(n) * 4, 4)] >> (_LONGEST - 4)
+    full = (np.where(lengths > 0, 1 << np.maximum(_LONGEST - lengths, 0), 0).sum(1) == 1 << _LONGEST) & (lengths.max(1, initial=0) <= _LONGEST)
+    return lengths, full
+
+
+def _tables(lengths: np.ndarray) -> np.ndarray:
+    """For each image's code a table over _LONGEST bits: symbol, and the word's length from bit 9 on."""
+    by_length = np.argsort(np.where(lengths > 0, lengths, 99), axis=1, kind="stable")
+    n = np.take_along_axis(lengths, by_length, 1)
+    straight = np.repeat((by_length | n << 9).ravel(), np.where(n > 0, 1 << np.maximum(_LONGEST - n, 0), 0).ravel())
+    return np.ascontiguousarray(straight.reshape(len(lengths), -1)[:, _REVERSED]).astype(np.uint16).ravel()
+
+
+def _wide(data: np.ndarray) -> np.ndarray:
+    """32 bits from each byte on."""
+    wide = data[:-3].astype(np.uint32)
+    for k in (1, 2, 3):
+        wide |= data[k : len(data) - 3 + k].astype(np.uint32) << np.uint32(8 * k)
+    return wide
+
+
+def _unprefixed(symbol: np.ndarray, wide: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of a length or distance symbol whose extra bits lie at `at`, and where they end."""
+    extra = np.where(symbol < 4, 0, (symbol - 2) >> 1)
+    more = (wide[at >> 3] >> (at & 7).astype(np.uint32)).astype(np.int64) & ((1 << extra) - 1)
+    return np.where(symbol < 4, symbol + 1, ((2 + (symbol & 1)) << extra) + 1 + more), at + extra
+
+
+def _lockstep_matched(data: np.ndarray, at: np.ndarray, lengths: np.ndarray, far_lengths: np.ndarray, count: np.ndarray) -> list[bytes | None]:
+    """Decode images with back-references, one token of all of them a step; null where a token leaves
+    the image or refers to near pixels, which decode() is for."""
+    n, most = len(at), SIDE * SIDE
+    if not n:
+        return []
+    green, far, wide, mask = _tables(lengths), _tables(far_lengths), _wide(data), (1 << _LONGEST) - 1
+    out, odd = np.zeros((n + 1) * most, np.uint8), np.zeros(n, bool)
+    image, p, o, stop = np.arange(n), at.astype(np.int64), np.arange(n) * most, np.arange(n) * most + count
+    limit = 8 * (len(wide) - 1)
+    while len(image):
+        table = image << _LONGEST
+        got = green[table + ((wide[p >> 3] >> (p & 7).astype(np.uint32)) & mask)].astype(np.int64)
+        symbol = got & 511
+        p = p + (got >> 9)
+        out[o] = symbol.astype(np.uint8)
+        step = np.ones(len(o), np.int64)
+        m = np.flatnonzero(symbol > 255)
+        if len(m):
+            length, q = _unprefixed(symbol[m] - 256, wide, p[m])
+            got = far[table[m] + ((wide[q >> 3] >> (q & 7).astype(np.uint32)) & mask)].astype(np.int64)
+            code, q = _unprefixed(got & 511, wide, q + (got >> 9))
+            back, to = code - 120, o[m]
+            bad = (back < 1) | (back > to - image[m] * most) | (to + length > stop[m])
+            if bad.any():
+                odd[image[m[bad]]] = True
+                back, length = np.where(bad, 1, back), np.where(bad, 1, length)
+            many = ragged(to, length)
+            again = np.repeat(to, length)
+            apart = np.repeat(back, length)
+            out[many] = out[np.maximum(again - apart, 0) + (many - again) % apart]
+            step[m], p[m] = length, q
+        o = o + step
+        more = (o < stop) & (p < limit) & ~odd[image]
+        if not more.all():
+            odd[image[(o < stop) & (p >= limit)]] = True
+            image, p, o, stop = image[more], p[more], o[more], stop[more]
+    rows = out.reshape(n + 1, most)
+    return [None if odd[i] else rows[i, : count[i]].tobytes() for i in range(n)]
+
+
 def _lockstep(data: np.ndarray, at: np.ndarray, lengths: np.ndarray, count: np.ndarray) -> list[bytes]:
     """Decode count[i] symbols from bit at[i] of every image i, one symbol of all images a step."""
     if not len(at):
         return []
     order = np.argsort(-count, kind="stable")
     at, count, lengths = at[order].copy(), count[order], lengths[order]
-    by_length = np.argsort(np.where(lengths > 0, lengths, 99), axis=1, kind="stable")
-    n = np.take_along_axis(lengths, by_length, 1)
-    straight = np.repeat((by_length | n << 8).ravel(), np.where(n > 0, 1 << np.maximum(_LONGEST - n, 0), 0).ravel())
-    table = np.ascontiguousarray(straight.reshape(len(at), -1)[:, _REVERSED]).astype(np.uint16).ravel()
-    wide = data[:-3].astype(np.uint32)
-    for k in (1, 2, 3):
-        wide |= data[k : len(data) - 3 + k].astype(np.uint32) << np.uint32(8 * k)
+    table, wide = _tables(lengths), _wide(data)
     base = np.arange(len(at)) << _LONGEST
     steps = int(count[0])
     active = np.searchsorted(-count, -np.arange(1, steps + 1), "right").tolist()
@@ -473,8 +657,8 @@ def _lockstep(data: np.ndarray, at: np.ndarray, lengths: np.ndarray, count: np.n
     for t, k in enumerate(active):
         p = at[:k]
         got = table[base[:k] + ((wide[p >> 3] >> (p & 7)) & mask)]
-        found[t, :k] = got
-        p += got >> 8
+        found[t, :k] = got & 255
+        p += got >> 9
     columns = np.ascontiguousarray(found.T)
     out: list[bytes] = [b""] * len(at)
     for j, i in enumerate(order.tolist()):

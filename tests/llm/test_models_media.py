@@ -182,6 +182,36 @@ def test_media_round_trip(spark):
         webp.decode(b"RIFF" + b"\0" * 30)
 
 
+def uses_matches(image):
+    """Whether the plain head is followed by a green code of 280 lengths."""
+    head = webp._fields(None, webp._MATCHED)
+    data, at = np.frombuffer(image + b"\0" * 16, np.uint8), np.array([21 * 8])
+    return all(webp._bits_at(data, at + p, n)[0] == v for v, n, p in webp._placed(head) if p != 14)
+
+
+def test_back_references_are_written_and_read():
+    rng = random.Random(6)
+    words_ = ["".join(rng.choices("abcdefgh é", k=rng.randint(2, 9))) for _ in range(40)]
+    texts = [b"a" * 4096, b"ab" * 3000, bytes(range(256)) * 40, rng.randbytes(9000), b"x" * 64, b"abcdefgh" * 8, b"abc" * 64 + rng.randbytes(4032) + b"abc" * 900]
+    texts += [" ".join(rng.choices(words_, k=rng.randint(1, 3000))).encode() for _ in range(30)]
+    rows = [t + b"\0" * (-len(t) % 64) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    media = webp.encode_grey(np.frombuffer(b"".join(rows), np.uint8), offsets)
+    assert webp.decode_grey(media) == rows
+    images = [webp.images_of(m) for m in media]
+    assert [b"".join(np.ascontiguousarray(webp.decode(x)[:, :, 2]).tobytes() for x in y) for y in images] == rows  # the full decoder agrees
+    flat = [x for y in images for x in y]
+    assert 0.2 < sum(map(uses_matches, flat)) / len(flat) < 1 and not any(map(uses_matches, images[3]))
+    alone = [webp.encode_grey(np.frombuffer(r, np.uint8), np.array([0, len(r)]))[0] for r in rows]
+    assert alone == media  # wherever a text lies
+    cut = flat[[uses_matches(x) for x in flat].index(True)]
+    for k in (60, len(cut) // 2):  # damaged streams are errors or other samples, never a crash of the batch
+        try:
+            webp.decode_grey([cut[:k] + bytes([cut[k] ^ 255]) + cut[k + 1 :], media[0]])
+        except ValueError:
+            pass
+
+
 def test_media_query(spark, tmp_path):
     """Every column of the query by plain means, over the stored files themselves."""
     import hashlib
