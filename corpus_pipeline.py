@@ -2,8 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept; run()
 writes each result as Parquet and reads it again as the next stage's docs. All stages but the last
-return the columns of `documents`. SQL can't express the classifier, the mix or the packing, so
-there is no ORACLE_SQL; tests/llm/test_pipeline.py holds every stage against brute force.
+return the columns of `documents`, whatever other columns the table has.
+
+Defined results, stage by stage: null and empty texts are scored as one empty line, never start a
+match, are near nothing, have no tokens to budget and are packed as their closing id; texts of any
+length are taken whole; rows that repeat a document are scored alike, count once in line dedup,
+are near each other under one doc_id and so stay together, are mixed as one and packed each; of
+equal texts the least doc_id stays in the third stage, and rows without doc_id do; an empty table
+passes through all stages.
+
+SQL can't express the classifier, the mix or the packing, so there is no ORACLE_SQL; tests/llm/test_pipeline.py holds every stage against brute force.
 """
 
 from __future__ import annotations
