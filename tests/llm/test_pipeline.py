@@ -43,3 +43,24 @@ def test_run_is_registered_and_agrees(spark):
 
     assert 4 <= len(cp.STAGES) <= 5 and "pipeline" in entry.queries()
     assert entry.queries()["pipeline"](spark, SF).count() > 0
+
+
+def test_edge_cases_pass_through(spark, tmp_path):
+    """Nulls anywhere, empty and very long texts, repeated rows, clashing columns, and empty tables."""
+    from pyspark.sql import functions as F
+
+    long_ = "\n".join(f"A fine sentence number {k} stands here, as it should." for k in range(4000))
+    rows = [(1, None, "en", "src1"), (2, "", None, None), (None, "Some words of a text without an id.", "en", "src2"), (3, long_, "de", "src3"), (3, long_, "de", "src3"), (4, long_, "de", "src11"), (5, "Two lines.\nAnd more of them.", "fr", "src20"), (6, " ", "en", ""), (None, None, None, None)]
+    d = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    d = d.withColumns({c: F.lit("clash") for c in ("score", "gone", "row", "epoch", "label", "_id", "size")})
+    for name, table in (("some", d), ("none", d.filter("false"))):
+        folder = tmp_path / name
+        table.write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([(3, 1, 0), (5, 1, 0), (6, 0, 0), (2, 0, 0), (7, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+        docs = cp.read(spark, str(folder), "documents")
+        for _, stage in cp.STAGES[:-1]:
+            docs = cp.materialize(stage(spark, docs, str(folder)), "edge")
+            assert docs.columns == cp.COLUMNS
+        packed = cp.STAGES[-1][1](spark, docs, str(folder)).collect()
+        assert len(packed) >= docs.count() and (name == "some" or not packed)
+        cp.run(spark, str(folder)).collect()
