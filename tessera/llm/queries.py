@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import htmltext, jaccard, lines, mixing, packing, quality, simhash, suffix, toxicity, webp
+from tessera.llm import htmltext, infill, interaction, jaccard, lines, mixing, packing, pii, quality, simhash, suffix, toxicity, webp
 
 QUERIES = {
     "op1_document_fingerprints": simhash.op1_document_fingerprints,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_html_extraction": htmltext.op9_html_extraction,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op11_filter_interactions": interaction.op11_filter_interactions,
+    "op12_fill_in_middle": infill.op12_fill_in_middle,
+    "op13_pii": pii.op13_pii,
 }
-SQL = {"op5_jaccard_join": jaccard.OP5_SQL, "op8_line_dedup": lines.OP8_SQL, "op9_html_extraction": htmltext.OP9_SQL}
+SQL = {"op5_jaccard_join": jaccard.OP5_SQL, "op8_line_dedup": lines.OP8_SQL, "op9_html_extraction": htmltext.OP9_SQL, "op11_filter_interactions": interaction.OP11_SQL, "op12_fill_in_middle": infill.OP12_SQL}
