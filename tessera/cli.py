@@ -15,7 +15,7 @@ from tessera.plans import refresh, steps, validate
 from tessera.sources import config, http, snapshots
 
 VERSION = "0.2.0"
-BUILD = {"register": steps.run_register, "registry": steps.run_registry, "match": steps.run_match, "score": steps.run_score, "shortlist": steps.run_shortlist, "all": steps.run_pipeline}
+BUILD = {"register": steps.run_register, "registry": steps.run_registry, "match": steps.run_match, "score": steps.run_score, "shortlist": steps.run_shortlist, "compact": steps.compact, "all": steps.run_pipeline}
 #: Commands of earlier releases and what to call instead.
 RENAMED = {"extract": "refresh register", "transform-register": "build register", "transform-enrich": "build match", "transform-score": "build score", "usage-shortlist": "build shortlist", "run-all": "build all"}
 #: Settings of this session for inputs of any size: small tables keep all cores busy, large ones are
@@ -103,9 +103,7 @@ def run(spark: SparkSession, cfg: config.Config, a: dict) -> int:
     if a["group"] == "refresh":
         print(_refresh(spark, cfg, a))
     elif a["group"] == "build":
-        more = {"resume_run": not a["no_resume"]} if a["command"] == "match" else {}
-        if a["command"] == "all" and a["no_resume"]:
-            steps.run_match(spark, cfg, False)
+        more = {"resume_run": not a["no_resume"]} if a["command"] in ("match", "all") else {}
         print(BUILD[a["command"]](spark, cfg, **more))
     elif a["group"] == "validate":
         return _validate(spark, cfg, a)

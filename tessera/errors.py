@@ -149,6 +149,17 @@ class CircuitOpenError(PipelineError):
     """Too many failures in a row; nothing is asked for a while."""
 
 
+# -- runs and their ledger ----------------------------------------------------------------------
+
+
+class LedgerError(PipelineError):
+    """A ledger has no finished run, or one can't be added to it."""
+
+
+class RunExistsError(LedgerError):
+    """A run was finished before."""
+
+
 # -- settings and commands ----------------------------------------------------------------------
 
 

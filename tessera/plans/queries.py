@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import names, values
 from tessera.operators import audit, links, matching, register, registry, resume, scoring, shortlist
 from tessera.plans import refresh, steps, validate, views
-from tessera.sources import companies, config, payloads, profiles, snapshots, tables
+from tessera.sources import companies, config, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
 from tessera.streaming import microbatch
 
@@ -429,4 +430,23 @@ def q_pipeline_files(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(spark, out, na_cells=False).select(F.col("Organisation Name").alias("org_name"), "ch_company_number", "role_fit_bucket")
 
 
+def q_match_runs(spark: SparkSession, d: str) -> DataFrame:
+    """What several runs leave together: one register, then another one in its place, a run that dies between
+    its writes, the first register again, and all runs put into one."""
+    cfg = write_inputs(spark, d)
+    half = F.crc32(names.normalise(F.col("`Organisation Name`")).cast("binary")) % 2
+    raw = tables.read_csv(spark, cfg.register_path, na_cells=False)
+    for k in (0, 1):
+        tables.write_csv(raw.filter(half == k).coalesce(1), f"{cfg.register_path[:-4]}-{k}.csv")
+    cfgs = [dataclasses.replace(cfg, register_path=f"{cfg.register_path[:-4]}-{k}.csv") for k in (0, 1)]
+    for k in (0, 1, 0):
+        steps.run_register(spark, cfgs[k])
+        steps.run_match(spark, cfgs[k])
+        lost = ledger.claim(spark, cfg.out_dir, "lost")
+        spark.createDataFrame([("nobody",)], "org_name string").write.parquet(f"{cfg.out_dir}/enriched/run={lost}")
+    steps.compact(spark, cfg)
+    m, u = steps.output(spark, cfg.out_dir, "enriched"), steps.output(spark, cfg.out_dir, "unmatched")
+    return m.select("org_name", "match_status", F.col("match_score").alias("score"), F.col("ch_company_number").alias("number")).union(u.select("org_name", "match_status", "best_candidate_score", "best_candidate_company_number"))
+
+
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}

@@ -1,8 +1,7 @@
 """The steps as lazy plans, and their artefacts at the edges.
 
-A run of the match step writes its part of each output under run=<number>, the checkpoint last. The
-number follows from what was done before, so a run that is repeated after a failure writes over what
-it left and adds nothing twice.
+A run of the match step writes its part of each output under run=<id>. The ledger deals ids and
+says which runs are finished; outputs are read through it only (see sources.ledger).
 """
 
 from __future__ import annotations
@@ -20,10 +19,10 @@ from tessera.functions import values
 from tessera.operators import matching, register, registry, resume, scoring, shortlist
 from tessera.operators.scoring import Profile
 from tessera.operators.shortlist import GeoFilter
-from tessera.sources import employees, profiles, snapshots, tables
+from tessera.sources import employees, ledger, profiles, snapshots, tables
 from tessera.sources.config import Config
 
-OUTPUTS = ("candidates", "enriched", "unmatched", "checkpoint")  # the checkpoint last: it says that the rest is there
+OUTPUTS = ("candidates", "enriched", "unmatched", "checkpoint")
 
 
 @dataclass
@@ -124,17 +123,38 @@ def run_registry(spark: SparkSession, cfg: Config) -> tuple[str, str]:
     return out, index
 
 
-def done_runs(spark: SparkSession, path: str, orgs: DataFrame, but: int | None = None) -> DataFrame:
-    """The organisations of a checkpoint; but: without that run's."""
-    if not tables.exists(spark, path):
-        return orgs.select("org_name").limit(0)
-    kept = spark.read.parquet(path)
-    return (kept if but is None else kept.filter(F.col("run") != but)).select("org_name")
+def done(spark: SparkSession, out_dir: str, orgs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """The organisations that finished runs have matched, and the ids of these runs."""
+    ids = [r.id for r in ledger.runs(spark, out_dir)]
+    return (ledger.rows_of(spark, out_dir, "checkpoint", ids) if ids else orgs.limit(0)).select("org_name"), tuple(ids)
 
 
-def write_run(got: Matched, out_dir: str, run: int) -> None:
+def write_run(got: Matched, out_dir: str, run: str) -> None:
+    """A claimed run's part of each output. Only its claimant writes there, so what is there is an error."""
     for name in OUTPUTS:
-        getattr(got, name).write.mode("overwrite").parquet(f"{out_dir}/{name}/run={run}")
+        getattr(got, name).write.mode("error").parquet(f"{out_dir}/{name}/run={run}")
+
+
+def add_run(orgs: DataFrame, companies_: DataFrame, out_dir: str, key: str, saw: tuple[str, ...], min_score: float = matching.MIN_SCORE, max_candidates: int = matching.MAX_CANDIDATES, **inputs) -> str:
+    """Match organisations and add them to the outputs as one run, whole or not at all."""
+    spark = orgs.sparkSession
+    id_ = ledger.claim(spark, out_dir, key)
+    orgs = resume.keep_first(orgs, ["org_name"], [F.col(c) for c in orgs.columns if c != "org_name"])
+    got = match(orgs, companies_, min_score, max_candidates)
+    try:
+        write_run(got, out_dir, id_)
+    finally:
+        got.release()
+    ledger.finish(spark, out_dir, ledger.Run(id_, key, saw, inputs=inputs))
+    return id_
+
+
+ORDER = {"candidates": ("org_name", "rank"), "enriched": ("org_name",), "unmatched": ("org_name",), "checkpoint": ("org_name",)}
+
+
+def output(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """An output of the match step over all finished runs, in its order."""
+    return ledger.read(spark, out_dir, name).orderBy(*ORDER[name])
 
 
 def _range(first: int, count: int) -> dict | None:
@@ -142,16 +162,14 @@ def _range(first: int, count: int) -> dict | None:
 
 
 def run_match(spark: SparkSession, cfg: Config, resume_run: bool = True) -> dict:
-    """Match what no earlier run has matched, add the outputs, report what was done."""
+    """Match what no earlier run has matched, or all again (which replaces what earlier runs say of the same
+    organisations and leaves others), add the outputs, report what was done."""
     started, clock = datetime.now(UTC), time.monotonic()
-    if not resume_run:
-        for name in OUTPUTS:
-            fs, p = tables.filesystem(spark, f"{cfg.out_dir}/{name}")
-            fs.delete(p, True)
     source = register_path(spark, cfg)
     orgs = _orgs(spark, source)
-    done = resume.processed(done_runs(spark, f"{cfg.out_dir}/checkpoint", orgs))
-    counted = resume.counters(orgs, done, cfg.batch_size).first().asDict()
+    matched, saw = done(spark, cfg.out_dir, orgs) if resume_run else (orgs.select("org_name").limit(0), ())
+    matched = resume.processed(matched)
+    counted = resume.counters(orgs, matched, cfg.batch_size).first().asDict()
     overall = -(-counted["total_rows"] // cfg.batch_size)
     report = {
         "status": "complete", "error_message": "", "register_path": source, "out_dir": cfg.out_dir, "run_started_at_utc": started.isoformat(), "batch_size": cfg.batch_size, "batch_start": cfg.batch_start, "batch_count": cfg.batch_count,
@@ -164,19 +182,18 @@ def run_match(spark: SparkSession, cfg: Config, resume_run: bool = True) -> dict
     report |= {"selected_batches": selected, "batch_range": _range(cfg.batch_start, selected), "overall_batch_range": _range(before + cfg.batch_start, selected)}
     in_run, failed = 0, None
     try:
-        part = stored.stored(resume.batches(resume.pending(orgs, done), ["org_name"], cfg.batch_size, cfg.batch_start, cfg.batch_count).drop("place", "batch"), "part")
+        part = stored.stored(resume.batches(resume.pending(orgs, matched), ["org_name"], cfg.batch_size, cfg.batch_start, cfg.batch_count).drop("place", "batch"), "part")
         in_run = part.count()
-        if in_run or not tables.exists(spark, f"{cfg.out_dir}/checkpoint"):
-            got = match(part, companies(spark, cfg), cfg.min_match_score, cfg.max_candidates)
-            write_run(got, cfg.out_dir, counted["processed"])
-            got.release()
+        if in_run or not ledger.runs(spark, cfg.out_dir):
+            add_run(part, companies(spark, cfg), cfg.out_dir, f"match {started.isoformat()}", saw, cfg.min_match_score, cfg.max_candidates, register=source, organisations=counted["total_rows"])
         stored.release(part)
     except BaseException as e:
         failed, in_run = e, 0
         report |= {"status": "interrupted" if isinstance(e, KeyboardInterrupt) else "error", "error_message": str(e)[:1000]}
     ended = datetime.now(UTC)
+    total = resume.processed(done(spark, cfg.out_dir, orgs)[0]).count()
     report |= {
-        "processed_in_run": in_run, "processed_total": counted["processed"] + in_run, "remaining": counted["remaining"] - in_run, "generated_at_utc": ended.isoformat(), "run_finished_at_utc": ended.isoformat(),
+        "processed_in_run": in_run, "processed_total": total, "remaining": counted["remaining"] - in_run, "generated_at_utc": ended.isoformat(), "run_finished_at_utc": ended.isoformat(),
         "run_duration_seconds": round(time.monotonic() - clock, 3),
     }
     snapshots.write_json(spark, f"{cfg.out_dir}/resume_report.json", report)
@@ -185,8 +202,15 @@ def run_match(spark: SparkSession, cfg: Config, resume_run: bool = True) -> dict
     return report
 
 
+def compact(spark: SparkSession, cfg: Config) -> str:
+    """Put all finished runs, such as a stream's many batches, into one; delete what no reader needs."""
+    made = ledger.compact(spark, cfg.out_dir, OUTPUTS)
+    gone = ledger.sweep(spark, cfg.out_dir, OUTPUTS)
+    return f"run {made.id if made else 'none'}, deleted {gone}"
+
+
 def run_score(spark: SparkSession, cfg: Config) -> str:
-    rows = resume.keep_first(spark.read.parquet(f"{cfg.out_dir}/enriched").drop("run"), ["org_name"], [F.col("match_score").desc(), F.col("ch_company_number")])
+    rows = ledger.read(spark, cfg.out_dir, "enriched")
     scoring.check_scores(rows)
     catalogue, default = profiles.load(spark, cfg.profile_path or None)
     lookup = employees.load(spark, cfg.employees_path) if cfg.employees_path else _no_employees(spark)
@@ -207,8 +231,8 @@ def run_shortlist(spark: SparkSession, cfg: Config) -> str:
     return out
 
 
-def run_pipeline(spark: SparkSession, cfg: Config) -> str:
+def run_pipeline(spark: SparkSession, cfg: Config, resume_run: bool = True) -> str:
     """match -> score -> shortlist."""
-    run_match(spark, cfg)
+    run_match(spark, cfg, resume_run)
     run_score(spark, cfg)
     return run_shortlist(spark, cfg)

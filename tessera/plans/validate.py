@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.errors import NotDeterministicError, OutputError, RegistryUriMismatchError, ResumeError, SnapshotError
 from tessera.operators import audit, register, registry
 from tessera.plans.refresh import ARTEFACTS, SCHEMA
-from tessera.sources import employees, snapshots, tables
+from tessera.sources import employees, ledger, snapshots, tables
 
 _ORG = ("org_name", "org_norm", "has_multiple_towns", "has_multiple_counties", "town", "county", "rating", "route", "raw_name_variants")
 _SCORES = ("score_name_similarity", "score_locality_bonus", "score_region_bonus", "score_status_bonus")
@@ -26,20 +26,22 @@ SCORED = (*ENRICHED, *EMPLOYEES, *FEATURES)
 EXPLAIN = ("Organisation Name", "ch_company_number", "ch_company_name", "ch_sic_codes", *EMPLOYEES, *FEATURES)
 #: Output tables by folder: format and columns.
 OUTPUTS = {"enriched": ("parquet", ENRICHED), "unmatched": ("parquet", UNMATCHED), "candidates": ("parquet", CANDIDATES), "checkpoint": ("parquet", ("org_name",)), "scored": ("parquet", SCORED), "shortlist": ("csv", ("Organisation Name", *SCORED[9:])), "shortlist_explain": ("csv", EXPLAIN)}
-#: The report of a match run: keys and types.
+# The report of a match run, its keys and types, and what its status can be.
 REPORT = {
     "status": str, "error_message": str, "generated_at_utc": str, "run_started_at_utc": str, "run_finished_at_utc": str, "run_duration_seconds": float, "register_path": str, "out_dir": str, "batch_size": int, "batch_start": int,
     "batch_count": int | None, "batch_range": dict | None, "overall_batch_range": dict | None, "total_register_orgs": int, "total_unprocessed_at_start": int, "total_batches_at_start": int, "total_batches_overall": int,
     "selected_batches": int, "processed_in_run": int, "processed_total": int, "remaining": int, "resume_command": str,
 }
 STATUSES = ("complete", "error", "interrupted")
+MATCH_OUTPUTS = ("candidates", "enriched", "unmatched", "checkpoint")
 
 
 def table(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
-    """An output table as it was written, all runs of it."""
+    """An output table: of the match step's, all finished runs."""
     if kind == "csv":
         return tables.read_csv(spark, path, na_cells=False)
-    return spark.read.parquet(path).drop("run")
+    out_dir, _, name = path.rpartition("/")
+    return ledger.read(spark, out_dir, name) if name in MATCH_OUTPUTS else spark.read.parquet(path)
 
 
 def snapshot_errors(spark: SparkSession, root: str, datasets: tuple[str, ...] = tuple(ARTEFACTS)) -> list[str]:

@@ -1,9 +1,9 @@
 """Matching register files as they arrive.
 
 A file source feeds micro-batches to the same plan as a batch run. Spark's checkpoint says which
-files are done, and organisations that another batch has matched are left out. Each batch writes its
-part of every output under run=<its number>, so one that is repeated after a failure, wherever that
-came, writes over what it left and adds nothing twice.
+files are done, and organisations that another run has matched are left out. Each batch is a run of the
+ledger under the query's id and its own number: one that is repeated after a failure, wherever that came,
+is left out if it was finished and is a new run if it wasn't. Batch runs and streams may share an output.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera import stored
 from tessera.operators import register, resume
 from tessera.plans import steps
+from tessera.sources import ledger
 
 
 def register_stream(spark: SparkSession, folder: str, max_files: int = 16) -> DataFrame:
@@ -28,12 +29,13 @@ def match_stream(spark: SparkSession, folder: str, registry_path: str, out_dir:
 
     def batch(rows: DataFrame, number: int) -> None:
         session = rows.sparkSession
+        key = f"stream {session.sparkContext.getLocalProperty('sql.streaming.queryId')} {number}"
+        if ledger.finished(session, out_dir, key):
+            return
         orgs = register.register(register.coerce(rows)).drop("pos")
-        orgs = resume.pending(orgs, steps.done_runs(session, f"{out_dir}/checkpoint", orgs, but=number))
-        part = stored.stored(orgs, "arrived")
-        got = steps.match(part, session.read.parquet(registry_path))
-        steps.write_run(got, out_dir, number)
-        got.release()
+        matched, saw = steps.done(session, out_dir, orgs)
+        part = stored.stored(resume.pending(orgs, matched), "arrived")
+        steps.add_run(part, session.read.parquet(registry_path), out_dir, key, saw)
         stored.release(part)
 
     return register_stream(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

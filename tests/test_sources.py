@@ -1,5 +1,6 @@
 import json
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 import pytest
@@ -8,7 +9,7 @@ from tessera import cli, errors
 from tessera.operators import register, registry
 from tessera.operators import audit, matching
 from tessera.plans import refresh, steps, validate
-from tessera.sources import cache, companies, config, employees, http, payloads, profiles, snapshots, tables
+from tessera.sources import cache, companies, config, employees, http, ledger, payloads, profiles, snapshots, tables
 from tessera.streaming import microbatch
 
 
@@ -195,10 +196,10 @@ def test_end_to_end(spark, tmp_path):
         validate.check_report(again | {"status": "fine"})
     q = microbatch.match_stream(spark, str(raw), clean, str(tmp_path / "stream"), str(tmp_path / "cp"))
     q.awaitTermination(120)
-    assert q.exception() is None and spark.read.parquet(str(tmp_path / "stream/enriched")).count() == 1
+    assert q.exception() is None and steps.output(spark, str(tmp_path / "stream"), "enriched").count() == 1
 
 
-@pytest.mark.parametrize("stops_after", ["candidates", "enriched", "unmatched", "checkpoint"])
+@pytest.mark.parametrize("stops_after", ["candidates", "checkpoint"])
 def test_crash_between_writes(spark, tmp_path, monkeypatch, stops_after):
     """A batch that fails after any of its writes and is repeated adds nothing twice and loses nothing."""
     raw, out = tmp_path / "raw", str(tmp_path / "out")
@@ -210,7 +211,7 @@ def test_crash_between_writes(spark, tmp_path, monkeypatch, stops_after):
 
     def failing(got, out_dir, run):
         for name in steps.OUTPUTS[: steps.OUTPUTS.index(stops_after) + 1]:
-            getattr(got, name).write.mode("overwrite").parquet(f"{out_dir}/{name}/run={run}")
+            getattr(got, name).write.mode("error").parquet(f"{out_dir}/{name}/run={run}")
         raise RuntimeError("lost")
 
     monkeypatch.setattr(steps, "write_run", failing)
@@ -219,10 +220,122 @@ def test_crash_between_writes(spark, tmp_path, monkeypatch, stops_after):
         q.awaitTermination(120)
     monkeypatch.setattr(steps, "write_run", write)
     microbatch.match_stream(spark, str(raw), clean, out, str(tmp_path / "cp")).awaitTermination(120)
-    assert [spark.read.parquet(f"{out}/{n}").count() for n in steps.OUTPUTS] == [1, 1, 1, 2]
+    assert [steps.output(spark, out, n).count() for n in steps.OUTPUTS] == [1, 1, 1, 2]
     (raw / "s.csv").write_text(",".join(register.COLUMNS) + "\nAcme Ltd,London,,A rating,Skilled Worker\nNew One,York,,A rating,Skilled Worker\n")
     microbatch.match_stream(spark, str(raw), clean, out, str(tmp_path / "cp")).awaitTermination(120)
-    assert [spark.read.parquet(f"{out}/{n}").count() for n in steps.OUTPUTS] == [1, 1, 2, 3]
+    assert [steps.output(spark, out, n).count() for n in steps.OUTPUTS] == [1, 1, 2, 3]
+
+
+COMPANIES = ", ".join(f"{c} string" for c in registry.CLEAN)
+
+
+def org_table(spark, *names_):
+    rows = [(n, n.lower(), "False", "False", "London", "", "A rating", "Skilled Worker", n) for n in names_]
+    return spark.createDataFrame(rows, "org_name string, org_norm string, has_multiple_towns string, has_multiple_counties string, town string, county string, rating string, route string, raw_name_variants string")
+
+
+def put_register(spark, cfg, *names_):
+    tables.write_csv(steps.long_names(org_table(spark, *names_)), f"{cfg.out_dir}/register")
+
+
+@pytest.fixture
+def runs_cfg(spark, tmp_path):
+    clean = str(tmp_path / "clean")
+    spark.createDataFrame([("11111111", "ACME LTD", "active", "ltd", "", "", "London", "", "", ""), ("22222222", "BETA WORKS", "active", "ltd", "", "", "London", "", "", "")], COMPANIES).write.parquet(clean)
+    return config.Config(registry_path=clean, out_dir=str(tmp_path / "out"), as_of="2026-02-10")
+
+
+def held(spark, cfg):
+    return [sorted(r["org_name"] for r in steps.output(spark, cfg.out_dir, n).select("org_name").collect()) for n in ("enriched", "unmatched", "checkpoint")]
+
+
+def test_registers_one_after_the_other(spark, runs_cfg):
+    """Another register, a smaller one and the first again: nothing that was matched is lost, however many
+    organisations there are; the report counts all of them."""
+    put_register(spark, runs_cfg, "Acme", "Nobody One")
+    steps.run_match(spark, runs_cfg)
+    put_register(spark, runs_cfg, "Beta Works", "Nobody Two")  # as many as the first, none of them done
+    second = steps.run_match(spark, runs_cfg)
+    assert (second["processed_in_run"], second["processed_total"], second["remaining"]) == (2, 4, 0)
+    put_register(spark, runs_cfg, "Acme")
+    assert steps.run_match(spark, runs_cfg)["processed_in_run"] == 0
+    every = [["Acme", "Beta Works"], ["Nobody One", "Nobody Two"], ["Acme", "Beta Works", "Nobody One", "Nobody Two"]]
+    assert held(spark, runs_cfg) == every
+    assert len(ledger.runs(spark, runs_cfg.out_dir)) == 2 and ledger.apart(ledger.runs(spark, runs_cfg.out_dir))
+    steps.run_score(spark, runs_cfg)
+    assert spark.read.parquet(f"{runs_cfg.out_dir}/scored").count() == 2
+
+
+def test_failed_runs_leave_nothing(spark, runs_cfg, monkeypatch):
+    put_register(spark, runs_cfg, "Acme", "Nobody One")
+    write = steps.write_run
+    for k in (1, len(steps.OUTPUTS)):
+
+        def failing(got, out_dir, run, k=k):
+            for name in steps.OUTPUTS[:k]:
+                getattr(got, name).write.mode("error").parquet(f"{out_dir}/{name}/run={run}")
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(steps, "write_run", failing)
+        with pytest.raises(RuntimeError):
+            steps.run_match(spark, runs_cfg)
+        report = snapshots.read_json(spark, f"{runs_cfg.out_dir}/resume_report.json")
+        assert (report["status"], report["processed_in_run"], report["processed_total"], report["remaining"]) == ("error", 0, 0, 2)
+        with pytest.raises(errors.LedgerError):
+            steps.output(spark, runs_cfg.out_dir, "enriched")
+    monkeypatch.setattr(steps, "write_run", write)
+    steps.run_match(spark, runs_cfg)
+    assert held(spark, runs_cfg) == [["Acme"], ["Nobody One"], ["Acme", "Nobody One"]]
+    assert ledger.sweep(spark, runs_cfg.out_dir, steps.OUTPUTS) == [] and len(ledger.sweep(spark, runs_cfg.out_dir, steps.OUTPUTS, 0)) == 2
+    assert held(spark, runs_cfg) == [["Acme"], ["Nobody One"], ["Acme", "Nobody One"]]
+
+
+def test_matched_again_replaces(spark, runs_cfg):
+    """Without resuming, or in two runs that didn't see each other, the last run's word on an organisation
+    counts in all outputs; other organisations stay."""
+    put_register(spark, runs_cfg, "Acme", "Beta Works")
+    steps.run_match(spark, runs_cfg)
+    put_register(spark, runs_cfg, "Acme", "Nobody One")
+    strict = config.Config(**{**runs_cfg.__dict__, "min_match_score": 2.0})
+    steps.run_match(spark, strict, resume_run=False)
+    assert not ledger.apart(ledger.runs(spark, runs_cfg.out_dir))
+    assert held(spark, runs_cfg) == [["Beta Works"], ["Acme", "Nobody One"], ["Acme", "Beta Works", "Nobody One"]]
+    assert steps.run_match(spark, runs_cfg)["processed_in_run"] == 0
+    assert steps.compact(spark, runs_cfg).startswith("run r0000000002-") and steps.compact(spark, runs_cfg) == "run none, deleted []"
+    assert held(spark, runs_cfg) == [["Beta Works"], ["Acme", "Nobody One"], ["Acme", "Beta Works", "Nobody One"]]
+    put_register(spark, runs_cfg, "Beta Works", "Nobody Two")
+    assert steps.run_match(spark, runs_cfg)["processed_in_run"] == 1 and held(spark, runs_cfg)[1] == ["Acme", "Nobody One", "Nobody Two"]
+
+
+def test_claims(spark, tmp_path):
+    """Of many that claim at once each gets an id of its own; a run is finished once, and only if claimed."""
+    out = str(tmp_path)
+    first = ledger.claim(spark, out)
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: ledger.claim(spark, out), range(24)))
+    assert len({*got, first}) == 25 and min(got) > first
+    ledger.finish(spark, out, ledger.Run(first, "a"))
+    assert ledger.finished(spark, out, "a") and not ledger.finished(spark, out, "b")
+    with pytest.raises(errors.RunExistsError):
+        ledger.finish(spark, out, ledger.Run(first, "b"))
+    with pytest.raises(errors.LedgerError):
+        ledger.finish(spark, out, ledger.Run("r9", "b"))
+
+
+def test_streams_and_batches_share_an_output(spark, tmp_path, runs_cfg):
+    """Two streams with their own checkpoints and a batch run: their numbers don't meet. A checkpoint folder that is
+    made anew starts with batch 0 again and loses nothing."""
+    raw, head = tmp_path / "raw", ",".join(register.COLUMNS) + "\n"
+    raw.mkdir()
+    (raw / "r.csv").write_text(head + "Acme,London,,A rating,Skilled Worker\n")
+    put_register(spark, runs_cfg, "Beta Works")
+    steps.run_match(spark, runs_cfg)
+    for k in (0, 1):
+        (raw / f"s{k}.csv").write_text(head + f"Nobody {k},York,,A rating,Skilled Worker\n")
+        microbatch.match_stream(spark, str(raw), runs_cfg.registry_path, runs_cfg.out_dir, str(tmp_path / f"cp{k}")).awaitTermination(120)
+    put_register(spark, runs_cfg, "Beta Works", "Nobody Two")
+    steps.run_match(spark, runs_cfg)
+    assert held(spark, runs_cfg) == [["Acme", "Beta Works"], ["Nobody 0", "Nobody 1", "Nobody Two"], ["Acme", "Beta Works", "Nobody 0", "Nobody 1", "Nobody Two"]]
 
 
 def test_payloads(spark):
