@@ -207,6 +207,7 @@ SELECT org_norm, title_norm, {_similarity('a', 'b')} AS name_similarity FROM pai
     "q_candidate_rows": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL} SELECT org_name, cand_rank, company_number AS candidate_company_number, title AS candidate_title, status AS candidate_status, locality AS candidate_locality, region AS candidate_region, postcode AS candidate_postcode, {_r4('total')} AS candidate_score, {_r4('name_similarity')} AS score_name_similarity, {_r4('locality_bonus')} AS score_locality_bonus, {_r4('region_bonus')} AS score_region_bonus, {_r4('status_bonus')} AS score_status_bonus, variant AS query_used FROM top",
     "q_enriched": f"{_MATCH} SELECT * FROM enriched",
     "q_unmatched": f"{_MATCH} SELECT * FROM unmatched",
+    **{q: "SELECT doc_id, coalesce(lang, '') AS lang, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS text_md5 FROM documents" for q in ("q_quoted_breaks", "q_archive")},
     "q_match_runs": f"{_MATCH} SELECT org_name, match_status, match_score AS score, ch_company_number AS number FROM enriched UNION ALL SELECT org_name, match_status, best_candidate_score, best_candidate_company_number FROM unmatched",
     "q_profile_errors": f"{_MATCH} SELECT o.*, 'profile_error' AS match_status, 'no profile of ' || b.company_number AS match_error, {_r4('b.total')} AS best_candidate_score, b.title AS best_candidate_title, b.company_number AS best_candidate_company_number FROM org o JOIN best b USING (org_name) JOIN clean c ON c.company_number = b.company_number WHERE b.total >= 0.72::DOUBLE AND c.company_status <> 'active'",
     "q_sic_score": f"WITH {_CLEAN} SELECT company_number, sic_codes, {_sic('sic_codes', TECH)} AS tech_score, {_sic('sic_codes', CARE)} AS care_score FROM clean",

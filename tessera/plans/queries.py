@@ -430,6 +430,29 @@ def q_pipeline_files(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(spark, out, na_cells=False).select(F.col("Organisation Name").alias("org_name"), "ch_company_number", "role_fit_bucket")
 
 
+def _texts(spark: SparkSession, d: str) -> str:
+    """All documents as CSV files, with line breaks in cells; the folder."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tessera/texts-{uuid.uuid4().hex}"
+    tables.write_csv(_table(spark, d, "documents").select(F.col("doc_id").cast("string"), "text", "lang").repartition(4, "doc_id"), f"{folder}/csv")
+    return folder
+
+
+def _read_back(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def q_quoted_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with line breaks, quotes and commas through CSV files and back."""
+    return _read_back(tables.read_csv(spark, f"{_texts(spark, d)}/csv", na_cells=False))
+
+
+def q_archive(spark: SparkSession, d: str) -> DataFrame:
+    """The same through an archive of several members."""
+    folder = _texts(spark, d)
+    tables.write_zip(spark, f"{folder}/csv", f"{folder}/texts.zip")
+    return _read_back(tables.read_zip(spark, f"{folder}/texts.zip", f"{folder}/staging", every=True))
+
+
 def q_match_runs(spark: SparkSession, d: str) -> DataFrame:
     """What several runs leave together: one register, then another one in its place, a run that dies between
     its writes, the first register again, and all runs put into one."""

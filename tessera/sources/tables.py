@@ -12,6 +12,7 @@ from tessera.errors import MissingInputError
 from tessera.functions import names, values
 from tessera.operators.registry import require, trim_headers
 from tessera.operators.resume import coerce
+from tessera.sources import archives, records
 
 
 def filesystem(spark: SparkSession, path: str):
@@ -27,24 +28,28 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def quoted_breaks(spark: SparkSession, path: str) -> bool:
     """Whether a quoted cell of a CSV file may hold a line break: no line has an odd number of quotes
-    where none does."""
+    where none does. Stops at the first."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
     return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
 
 
 def read_csv(spark: SparkSession, path: str, na_cells: bool = True, position: str = "") -> DataFrame:
     """Every column as text, missing cells (and, by default, cells that say so) as ''. Headers are
-    trimmed, a byte order mark is dropped, quoted line breaks stay inside their cell; only files that
-    have such are read in one piece each. position: a column of that name in order of the rows."""
+    trimmed, a byte order mark is dropped, quoted line breaks stay inside their cell; files are split, with
+    such breaks (see sources.records) or without. position: a column of that name in order of the rows."""
     if not exists(spark, path):
         raise MissingInputError(path)
-    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("encoding", "UTF-8").option("multiLine", quoted_breaks(spark, path)).csv(path)
+    broken = quoted_breaks(spark, path)
+    plain = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("encoding", "UTF-8")
+    raw = plain.option("multiLine", broken).csv(path)
     if not raw.columns:
         raise MissingInputError(f"{path} is empty")
-    df = trim_headers(raw)
+    df = records.read(spark, path, trim_headers(raw).columns) if broken else trim_headers(raw)
     cell = values.na_to_blank if na_cells else values.text
-    place = [F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id()).alias(position)] if position else []
-    return df.select(*[cell(F.col(f"`{c}`")).alias(c) for c in df.columns], *place)
+    order = F.col("_place") if broken else F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
+    place = [order.alias(position)] if position else []
+    df = df.drop("_place") if broken and not position else df
+    return df.select(*[cell(F.col(f"`{c}`")).alias(c) for c in df.columns if c != "_place"], *place)
 
 
 def newest_csv(spark: SparkSession, path: str) -> str:
@@ -82,7 +87,8 @@ def write_chunks(spark: SparkSession, target: str, chunks: Iterable[bytes]) -> i
 
 
 def unzip(spark: SparkSession, path: str, target: str) -> None:
-    """The first .csv member of an archive, streamed to target. An archive can't be split."""
+    """The first .csv member of an archive, streamed to target by the driver's JVM: for one file of a snapshot,
+    and for file systems that only Spark reads. read_zip() unpacks on the executors."""
     fs, p = filesystem(spark, path)
     if not fs.exists(p):
         raise MissingInputError(path)
@@ -103,16 +109,45 @@ def unzip(spark: SparkSession, path: str, target: str) -> None:
     raise MissingInputError(f"no .csv in {path}")
 
 
-def read_zip(spark: SparkSession, path: str, staging: str, position: str = "") -> DataFrame:
-    """The first .csv member of an archive, unpacked to the staging folder and read from there in parallel."""
-    target = f"{staging.rstrip('/')}/{uuid.uuid4().hex}.csv"
-    unzip(spark, path, target)
+def read_zip(spark: SparkSession, path: str, staging: str, position: str = "", every: bool = False) -> DataFrame:
+    """The first .csv member of an archive, or every one of an archive or a folder of archives, unpacked to the
+    staging folder (a task each) and read from there in parallel. Members have the same columns."""
+    if not exists(spark, path):
+        raise MissingInputError(path)
+    target = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
+    if archives.reachable(path):
+        lines = archives.zip_lines(spark, path, every).select(F.col("value").cast("string"))
+        lines.write.option("compression", "none").text(target)  # a file per member
+        fs, p = filesystem(spark, target)
+        if not any(s.getLen() and not s.getPath().getName().startswith("_") for s in fs.listStatus(p)):
+            raise MissingInputError(f"no .csv in {path}")
+    else:
+        target += ".csv"
+        unzip(spark, path, target)
     return read_csv(spark, target, na_cells=False, position=position)
 
 
+def write_zip(spark: SparkSession, source: str, target: str) -> None:
+    """The files of a folder as members of one archive, block by block."""
+    fs, p = filesystem(spark, source)
+    to, q = filesystem(spark, target)
+    jvm = spark._jvm
+    out = jvm.java.util.zip.ZipOutputStream(to.create(q, True))
+    try:
+        for s in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()):
+            if not s.getPath().getName().startswith(("_", ".")):
+                out.putNextEntry(jvm.java.util.zip.ZipEntry(s.getPath().getName()))
+                member = fs.open(s.getPath())
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(member, out, 1 << 20, False)
+                member.close()
+                out.closeEntry()
+    finally:
+        out.close()
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", columns: Iterable[str] | None = None) -> None:
     """A folder of CSV parts with header; columns: their fixed order, missing ones ''."""
-    (coerce(df, tuple(columns)) if columns else df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    (coerce(df, tuple(columns)) if columns else df).write.mode(mode).options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def append_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None) -> None:

@@ -1,15 +1,37 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share, and this package's code on executors."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.errors import SharedFolderError
 
 
+_PACKAGE = Path(__file__).resolve().parent
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on executors, where PYTHONPATH doesn't already."""
+    root = str(_PACKAGE.parent)
+    if root in [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]:
+        return
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(_PACKAGE.rglob("*.py")):
+            z.write(p, str(p.relative_to(_PACKAGE.parent)))
+    sc.addPyFile(target)  # Spark's own file server hands it to the executors
+    sc._tessera_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """What spark.checkpoint.dir names. Where it is unset, a local folder serves as long as driver and
     executors are one process; executors elsewhere couldn't see it, so that is an error."""

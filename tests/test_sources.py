@@ -1,4 +1,5 @@
 import json
+import random
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
@@ -9,7 +10,7 @@ from tessera import cli, errors
 from tessera.operators import register, registry
 from tessera.operators import audit, matching
 from tessera.plans import refresh, steps, validate
-from tessera.sources import cache, companies, config, employees, http, ledger, payloads, profiles, snapshots, tables
+from tessera.sources import archives, cache, companies, config, employees, http, ledger, payloads, profiles, records, snapshots, tables
 from tessera.streaming import microbatch
 
 
@@ -150,6 +151,64 @@ def test_config(tmp_path):
             bad()
 
 
+def _small_splits(spark, n):
+    return {"spark.sql.files.maxPartitionBytes": str(n), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "64"}
+
+
+@pytest.mark.parametrize("size, end", [(64, "\n"), (300, "\r\n"), (1 << 20, "\n")])
+def test_quoted_breaks_in_many_tasks(spark, tmp_path, size, end):
+    """Records over many splits equal those of Spark's reader of whole files, whatever the cells hold."""
+    rng = random.Random(size)
+    bits = ["a", "bc", '"', ",", "\n", '""', " ", "é", "\n\n", ',"', "x" * 90, 'say ""hi""']
+    for f in range(3):
+        rows = [f"id,note,more{end}"]
+        for k in range(120):
+            cells = ["".join(rng.choices(bits, k=rng.randrange(6))) for _ in range(2)]
+            cells = [rng.choice(['"' + c.replace('"', '""') + '"', c.translate(str.maketrans("", "", '",\n')), '5" pipe']) for c in cells]
+            rows.append(f"{f}-{k},{cells[0]},{cells[1]}{end}" + (end if rng.random() < 0.1 else ""))
+        (tmp_path / f"f{f}.csv").write_text("".join(rows), newline="")
+    want = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path)).fillna("").collect()
+    kept = {k: spark.conf.get(k, None) for k in _small_splits(spark, size)}
+    for k, v in _small_splits(spark, size).items():
+        spark.conf.set(k, v)
+    try:
+        df = tables.read_csv(spark, str(tmp_path), na_cells=False, position="pos")
+        got, tasks = df.collect(), records.lines(spark, str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted((r["id"], r["note"], r["more"]) for r in got) == sorted(tuple(r) for r in want)
+    order = [r["id"] for r in sorted(got, key=lambda r: r["pos"])]
+    assert order == [f"{f}-{k}" for f in range(3) for k in range(120)] and tasks > (20 if size < 1000 else 0)
+
+
+def test_archive_members_in_tasks_of_their_own(spark, tmp_path):
+    rows = {f"m{k}.CSV": "id,note\r\n" + "".join(f'{k}-{i},"a\n""b"" {i}"\r\n' for i in range(50 * (k + 1))) for k in range(4)}
+    for name, method in (("a.zip", zipfile.ZIP_DEFLATED), ("b.zip", zipfile.ZIP_STORED)):
+        with zipfile.ZipFile(tmp_path / name, "w", method) as z:
+            z.writestr("folder/", "")
+            z.writestr("read.me", "x")
+            for member, text in rows.items():
+                z.writestr(member, text)
+    lines = archives.zip_lines(spark, str(tmp_path / "a.zip"))
+    assert lines.rdd.getNumPartitions() == 4 and lines.count() == sum(t.count("\n") for t in rows.values())
+    every = tables.read_zip(spark, str(tmp_path), str(tmp_path / "staging"), every=True).collect()
+    assert sorted((r["id"], r["note"]) for r in every) == sorted(2 * [(f"{k}-{i}", f'a\n"b" {i}') for k in range(4) for i in range(50 * (k + 1))])
+    first = tables.read_zip(spark, f"file:{tmp_path}/b.zip", str(tmp_path / "staging"), position="pos")
+    assert [r["id"] for r in first.orderBy("pos").collect()] == [f"0-{i}" for i in range(50)]
+    assert archives.reachable("hdfs://x/a.zip") and archives.reachable("/a:b.zip") and not archives.reachable("viewfs://store/a.zip")
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as z:
+        z.writestr("a.txt", "x")
+    with pytest.raises(errors.MissingInputError):
+        tables.read_zip(spark, str(tmp_path / "none.zip"), str(tmp_path / "staging"))
+
+
+def test_states_between_lines():
+    after = records.inside_after
+    assert not after('5" pipe,3', False) and after('a,"b', False) and after('"b""', False) and not after('"b"x,c', False)
+    assert after("no quote", True) and not after('end"', True) and after('end","again', True) and not after('end"",more",', True) and after('""', True)
+
+
 BULK = {"CompanyName": "ACME SOFTWARE LTD", "CompanyNumber": "11111111", "CompanyCategory": "ltd", "CompanyStatus": "Active", "IncorporationDate": "01/01/2015", "SICCode.SicText_1": "62020 - IT", "RegAddress.PostTown": "London", "RegAddress.County": "Greater London", "RegAddress.PostCode": "EC1", "URI": "http://x.example/company/11111111"}
 
 
