@@ -8,6 +8,8 @@ hits are counted on the pair itself. Companies are joined in only after the mini
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,25 +35,58 @@ def query_variants(orgs: DataFrame) -> DataFrame:
     return _asked(orgs)
 
 
-def candidates(variants: DataFrame, companies: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+@dataclass(frozen=True)
+class Index:
+    """What matching reads of a registry. postings: token, words (a distinct set of words as text), title_tokens (the
+    set); frequency: token, n (sets that have it); numbers: words, company_number; companies: registry.described()."""
+
+    postings: DataFrame
+    frequency: DataFrame
+    numbers: DataFrame
+    companies: DataFrame
+
+
+#: Up to so many distinct words are looked up by value, which prunes the index's buckets.
+LOOKED_UP = 2000
+
+
+def index(companies: DataFrame) -> Index:
+    """The index of registry.companies(), derived as it is read."""
+    worded = companies.withColumn("words", F.array_join("title_tokens", " "))
+    postings = worded.select("words", "title_tokens").distinct().select(F.explode("title_tokens").alias("token"), "words", "title_tokens")
+    return Index(postings, postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")), worded.select("words", "company_number"), registry.described(companies))
+
+
+def _few(rows: DataFrame, column: str, most: int = LOOKED_UP) -> list[str] | None:
+    """The distinct values of a column if there are at most so many."""
+    got = [r[0] for r in rows.select(column).distinct().limit(most + 1).collect()]
+    return got if len(got) <= most else None
+
+
+def restricted(known: Index, variants: DataFrame) -> Index:
+    """An index cut down to the words of a few variants: only these words' buckets are read."""
+    few = _few(variants.select(F.explode(names.tokens(F.col("variant"))).alias("token")), "token")
+    if few is None:
+        return known
+    return replace(known, postings=known.postings.filter(F.col("token").isin(few)), frequency=known.frequency.filter(F.col("token").isin(few)))
+
+
+def candidates(variants: DataFrame, companies: DataFrame | Index, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """(variant, company_number, hits): companies that share enough tokens with a variant, at most
     max_candidates by (hits desc, number). Two hits are needed where a variant has two tokens.
-    companies: those of registry.companies()."""
+    companies: those of registry.companies(), or an index of them."""
+    known = companies if isinstance(companies, Index) else index(companies)
     asked = variants.select("variant").distinct().withColumn("asked", names.tokens(F.col("variant")))
-    blocks = companies.select("title_tokens").distinct()
-    posted = blocks.select("title_tokens", F.explode("title_tokens").alias("token"))
-    frequency = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    known = asked.select("variant", "asked", F.explode("asked").alias("token")).join(frequency, "token")
-    usual = known.groupBy("variant", "asked").agg(F.max(F.struct("n", "token"))["token"].alias("usual"))
+    met_words = asked.select("variant", "asked", F.explode("asked").alias("token")).join(known.frequency, "token")
+    usual = met_words.groupBy("variant", "asked").agg(F.max(F.struct("n", "token"))["token"].alias("usual"))
     # a word that no company has can be probed for nothing, so the usual one is the most frequent of those that some have
     probes = usual.select("variant", "asked", F.when(F.size("asked") >= 2, F.array_remove("asked", F.col("usual"))).otherwise(F.col("asked")).alias("probes"))
     probes = probes.select("variant", "asked", "probes", F.explode("probes").alias("token"))
     common = F.size(F.array_intersect("asked", "title_tokens"))
     once = F.array_intersect("probes", "title_tokens")[0] == F.col("token")
-    met = probes.join(posted, "token").filter(once & (common >= F.when(F.size("asked") >= 2, 2).otherwise(1))).select("variant", "title_tokens", common.cast("long").alias("hits"))
+    met = probes.join(known.postings, "token").filter(once & (common >= F.when(F.size("asked") >= 2, 2).otherwise(1))).select("variant", "words", common.cast("long").alias("hits"))
     nth = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "company_number"))
-    numbers = companies.select("title_tokens", "company_number")
-    return met.join(numbers, "title_tokens").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
+    return met.join(known.numbers, "words").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
 
 
 def name_similarities(pairs: DataFrame) -> DataFrame:
@@ -73,19 +108,18 @@ def confidence(total: Column) -> Column:
     return F.when(total >= HIGH, "high").when(total >= MEDIUM, "medium").otherwise("low")
 
 
-def _pool(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int) -> DataFrame:
+def _pool(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int) -> DataFrame:
     """Every searched candidate of every variant with its scores. Names and places are normalised and
     taken apart before any join."""
-    companies = registry.companies(clean_registry)
+    known = clean_registry if isinstance(clean_registry, Index) else index(registry.companies(clean_registry))
     described = orgs.select("org_name", names.normalise(F.col("org_name")).alias("org_norm"), names.normalise(F.col("town")).alias("town_norm"), names.normalise(F.col("county")).alias("county_norm"))
     described = names.with_similarity_keys(described, "org_norm", "org_words", "org_letters")
     asked = _asked(described, *described.columns[1:])
-    found = candidates(query_variants(orgs), companies, max_candidates)
-    places = companies.select(
+    found = candidates(query_variants(orgs), known, max_candidates)
+    places = known.companies.select(
         "company_number", "title_norm", F.col("company_name").alias("title"), F.col("company_status").alias("status"), F.col("address_locality").alias("locality"), F.col("address_region").alias("region"),
-        F.col("address_postcode").alias("postcode"), names.normalise(F.col("address_locality")).alias("locality_norm"), names.normalise(F.col("address_region")).alias("region_norm"),
+        F.col("address_postcode").alias("postcode"), "locality_norm", "region_norm", "title_words", "title_letters",
     )
-    places = names.with_similarity_keys(places, "title_norm", "title_words", "title_letters")
     pool = found.join(places, "company_number").join(asked, "variant")
     pool = pool.withColumn("name_similarity", names.similarity_of(F.col("org_words"), F.col("org_letters"), F.col("title_words"), F.col("title_letters")))
     pool = pool.withColumns(bonuses(F.col("town_norm"), F.col("county_norm"), F.col("locality_norm"), F.col("region_norm"), F.col("status")))
@@ -99,13 +133,13 @@ def _stopped(pool: DataFrame) -> DataFrame:
     return pool.withColumn("stop", stop).filter(F.col("stop").isNull() | (F.col("variant_index") <= F.col("stop"))).drop("stop")
 
 
-def scored_candidates(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+def scored_candidates(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """All searched candidates of every organisation with their scores; variants after the first
     that reaches EARLY_STOP are left out. orgs: org_name, town, county, and any other columns."""
     return _stopped(_pool(orgs, clean_registry, max_candidates))
 
 
-def top_candidates(orgs: DataFrame, clean_registry: DataFrame, max_candidates: int = MAX_CANDIDATES, top: int = TOP) -> DataFrame:
+def top_candidates(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int = MAX_CANDIDATES, top: int = TOP) -> DataFrame:
     """ranked() of scored_candidates(). Only the best `top` of each variant can come in, and its best one
     says whether it stops the search, so no others are dealt by organisation."""
     each = Window.partitionBy("org_name", "variant_index").orderBy(F.desc("total"), F.desc("hits"), "company_number")
@@ -138,10 +172,11 @@ def accepted(c: DataFrame, min_score: float = MIN_SCORE) -> Column:
     return F.coalesce((c["b_total"] >= min_score) & (c["b_company_number"] != ""), F.lit(False))
 
 
-def enriched(with_best: DataFrame, clean_registry: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+def enriched(with_best: DataFrame, clean_registry: DataFrame | Index, min_score: float = MIN_SCORE) -> DataFrame:
     """Accepted organisations with their company's profile; blank profile values fall back to what
     the search showed. A best match without a profile stops the job."""
-    profile = registry.companies(clean_registry).select(F.col("company_number").alias("p_number"), *[F.col(c).alias(f"p_{c}") for c in registry.CLEAN[1:9]])
+    companies = clean_registry.companies if isinstance(clean_registry, Index) else registry.companies(clean_registry)
+    profile = companies.select(F.col("company_number").alias("p_number"), *[F.col(c).alias(f"p_{c}") for c in registry.CLEAN[1:9]])
     keep = [c for c in with_best.columns if not c.startswith("b_")]
     joined = with_best.filter(accepted(with_best, min_score)).join(profile, F.col("b_company_number") == F.col("p_number"), "left")
     number = F.when(F.col("p_number").isNull(), F.raise_error(F.concat(F.lit("no profile of "), "b_company_number")).cast("string")).otherwise(F.col("b_company_number"))

@@ -81,6 +81,14 @@ def companies(clean_: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
     return one.withColumn("title_norm", names.normalise(F.col("company_name")))
 
 
+def described(companies_: DataFrame) -> DataFrame:
+    """companies() with what matching compares: words and letters of names, normalised places."""
+    if "title_words" in companies_.columns:
+        return companies_
+    out = companies_.withColumns({"locality_norm": names.normalise(F.col("address_locality")), "region_norm": names.normalise(F.col("address_region"))})
+    return names.with_similarity_keys(out, "title_norm", "title_words", "title_letters")
+
+
 def token_index(clean_: DataFrame) -> DataFrame:
     """(bucket, token, company_number), each pair once."""
     found = clean_.filter(F.col("company_number") != "").select(F.explode(names.tokens(F.col("company_name"))).alias("token"), "company_number").distinct()

@@ -67,12 +67,15 @@ def _clean_register(spark: SparkSession, folder: str) -> tuple[int, int]:
 
 
 def _clean_registry(spark: SparkSession, folder: str) -> tuple[int, int]:
+    from tessera.plans import steps
+
     raw, n_raw = _counted(registry.require(tables.read_csv(spark, f"{folder}/raw.csv", na_cells=False, position="pos"), registry.BULK.values(), "registry"))
     rows = registry.clean(raw)
     out, n_clean = _counted(rows.drop("pos"))
     tables.write_csv(out, f"{folder}/clean.csv", mode="errorifexists")
     tables.write_index(registry.token_index(rows), f"{folder}/index_tokens")
     tables.write_profiles(registry.companies(rows).drop("pos"), f"{folder}/profiles")
+    steps.write_match_index(spark.read.parquet(f"{folder}/profiles").drop("bucket"), f"{folder}/{steps.MATCH_INDEX}")
     return n_raw(), n_clean()
 
 
@@ -95,7 +98,7 @@ def clean(spark: SparkSession, root: str, dataset: str, command_line: str = "",
         raise PendingNotFoundError(f"{dataset} in {root}: nothing was acquired")
     staged, state = pending
     folder = staged.staging
-    for name in ARTEFACTS[dataset].values():  # what an earlier try left
+    for name in (*ARTEFACTS[dataset].values(), "match_index"):  # what an earlier try left
         if name != "raw.csv":
             fs, p = tables.filesystem(spark, f"{folder}/{name}")
             fs.delete(p, True)

@@ -19,9 +19,10 @@ from tessera.functions import values
 from tessera.operators import matching, register, registry, resume, scoring, shortlist
 from tessera.operators.scoring import Profile
 from tessera.operators.shortlist import GeoFilter
-from tessera.sources import employees, ledger, profiles, snapshots, tables
+from tessera.sources import bucketed, employees, ledger, profiles, snapshots, tables
 from tessera.sources.config import Config
 
+MATCH_INDEX = "match_index"
 OUTPUTS = ("candidates", "enriched", "unmatched", "checkpoint")
 
 
@@ -40,9 +41,11 @@ class Matched:
         stored.release(self.ranking)
 
 
-def match(orgs: DataFrame, clean_registry: DataFrame, min_score: float = matching.MIN_SCORE, max_candidates: int = matching.MAX_CANDIDATES) -> Matched:
+def match(orgs: DataFrame, clean_registry: DataFrame | matching.Index, min_score: float = matching.MIN_SCORE, max_candidates: int = matching.MAX_CANDIDATES) -> Matched:
     """Variants, blocking, similarity, ranking and acceptance in one plan. The ranked candidates are
     written to the shared folder, as four outputs read them. The first two are in order of names."""
+    if isinstance(clean_registry, matching.Index):
+        clean_registry = matching.restricted(clean_registry, matching.query_variants(orgs))
     top = stored.stored(matching.top_candidates(orgs, clean_registry, max_candidates), "ranking")
     with_best = matching.best(orgs, top)
     return Matched(
@@ -71,16 +74,36 @@ def register_path(spark: SparkSession, cfg: Config) -> str:
     return built if tables.exists(spark, built) else snapshots.latest_file(spark, cfg.snapshot_root, "register", "clean.csv")
 
 
-def companies(spark: SparkSession, cfg: Config) -> DataFrame:
-    """Companies to match with: the given table, what run_registry wrote, or the latest snapshot's."""
+def write_match_index(companies_: DataFrame, path: str) -> None:
+    """The index that matching reads, in buckets: words and their numbers of sets by token, numbers by set of
+    words, companies by number. Every join of matching finds the registry's side dealt as it needs it."""
+    spark = companies_.sparkSession
+    made = matching.index(companies_)
+    bucketed.write(made.companies, f"{path}/companies", "company_number")
+    whole = bucketed.read(spark, f"{path}/companies")
+    made = matching.index(whole)
+    bucketed.write(made.postings, f"{path}/postings", "token")
+    bucketed.write(bucketed.read(spark, f"{path}/postings").groupBy("token").agg(F.count(F.lit(1)).alias("n")), f"{path}/frequency", "token")
+    bucketed.write(made.numbers, f"{path}/numbers", "words")
+
+
+def read_match_index(spark: SparkSession, path: str) -> matching.Index:
+    return matching.Index(*(bucketed.read(spark, f"{path}/{n}") for n in ("postings", "frequency", "numbers", "companies")))
+
+
+def companies(spark: SparkSession, cfg: Config) -> DataFrame | matching.Index:
+    """Companies to match with: the given table, the index that run_registry wrote, or the latest snapshot's."""
     if cfg.source_kind != "file":
         raise ConfigError(f"matching takes a file source, not {cfg.source_kind!r}")
     if cfg.registry_path and not cfg.registry_path.lower().endswith((".csv", ".zip")):
         if not tables.exists(spark, cfg.registry_path):
             raise MissingInputError(cfg.registry_path)
         return spark.read.parquet(cfg.registry_path).drop("bucket")
-    built = f"{cfg.out_dir}/registry_profiles"
-    path = built if tables.exists(spark, built) else snapshots.latest_file(spark, cfg.snapshot_root, "registry", "profiles")
+    here = tables.exists(spark, f"{cfg.out_dir}/registry_profiles")
+    folder = cfg.out_dir if here else snapshots.latest(spark, cfg.snapshot_root, "registry")
+    if tables.exists(spark, f"{folder}/{MATCH_INDEX}"):
+        return read_match_index(spark, f"{folder}/{MATCH_INDEX}")
+    path = f"{folder}/registry_profiles" if here else snapshots.latest_file(spark, cfg.snapshot_root, "registry", "profiles")
     return spark.read.parquet(path).drop("bucket")
 
 
@@ -111,8 +134,8 @@ def run_register(spark: SparkSession, cfg: Config) -> str:
 
 
 def run_registry(spark: SparkSession, cfg: Config) -> tuple[str, str]:
-    """Bulk registry -> clean table, token index, and profiles: one row per company with what matching
-    reads of its names, so that no match run takes them apart again."""
+    """Bulk registry -> clean table, token index, profiles (one row per company with what matching reads of its
+    names, so that no match run takes them apart again) and the match step's own index."""
     zipped = cfg.registry_path.lower().endswith(".zip")
     raw = tables.read_zip(spark, cfg.registry_path, f"{cfg.out_dir}/staging", "pos") if zipped else tables.read_csv(spark, cfg.registry_path, na_cells=False, position="pos")
     out, index = f"{cfg.out_dir}/registry", f"{cfg.out_dir}/registry_index"
@@ -120,6 +143,7 @@ def run_registry(spark: SparkSession, cfg: Config) -> tuple[str, str]:
     rows = spark.read.parquet(out)
     tables.write_index(registry.token_index(rows), index)
     tables.write_profiles(registry.companies(rows).drop("pos"), f"{cfg.out_dir}/registry_profiles")
+    write_match_index(spark.read.parquet(f"{cfg.out_dir}/registry_profiles").drop("bucket"), f"{cfg.out_dir}/{MATCH_INDEX}")
     return out, index
 
 

@@ -64,12 +64,7 @@ def _claim_path(out_dir: str, id_: str) -> str:
 
 
 def _run(spark: SparkSession, path: str) -> Run:
-    fs, p = filesystem(spark, path)
-    stream = fs.open(p)
-    try:
-        x = json.loads(bytes(stream.readAllBytes()))
-    finally:
-        stream.close()
+    x = snapshots.read_json(spark, path)
     return Run(x["id"], x["key"], tuple(x["saw"]), tuple(x["replaces"]), x["inputs"])
 
 

@@ -66,8 +66,12 @@ def read_json(spark: SparkSession, path: str) -> dict:
     fs, p = filesystem(spark, path)
     if not fs.exists(p):
         raise SnapshotFileMissingError(path)
-    row = spark.read.text(path, wholetext=True).first()
-    return json.loads(row[0]) if row else {}
+    stream = fs.open(p)
+    try:
+        text = bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+    return json.loads(text) if text else {}
 
 
 def manifest(*, dataset: str, date: str, source_url: str, downloaded: datetime, updated: datetime, schema_version: str, sha_raw: str, sha_clean: str, bytes_raw: int, row_counts: dict, artefacts: dict, command_line: str) -> dict:

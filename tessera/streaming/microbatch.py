@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera import stored
 from tessera.operators import register, resume
 from tessera.plans import steps
-from tessera.sources import ledger
+from tessera.sources import ledger, tables
 
 
 def register_stream(spark: SparkSession, folder: str, max_files: int = 16) -> DataFrame:
@@ -25,7 +25,7 @@ def register_stream(spark: SparkSession, folder: str, max_files: int = 16) -> Da
 
 
 def match_stream(spark: SparkSession, folder: str, registry_path: str, out_dir: str, checkpoint: str) -> StreamingQuery:
-    """Start matching; processes what is there and stops (trigger availableNow)."""
+    """Start matching with a table of companies or a match index; processes what is there and stops (trigger availableNow)."""
 
     def batch(rows: DataFrame, number: int) -> None:
         session = rows.sparkSession
@@ -35,7 +35,8 @@ def match_stream(spark: SparkSession, folder: str, registry_path: str, out_dir:
         orgs = register.register(register.coerce(rows)).drop("pos")
         matched, saw = steps.done(session, out_dir, orgs)
         part = stored.stored(resume.pending(orgs, matched), "arrived")
-        steps.add_run(part, session.read.parquet(registry_path), out_dir, key, saw)
+        stored_index = tables.exists(session, f"{registry_path}/postings")
+        steps.add_run(part, steps.read_match_index(session, registry_path) if stored_index else session.read.parquet(registry_path), out_dir, key, saw)
         stored.release(part)
 
     return register_stream(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

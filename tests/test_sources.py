@@ -5,12 +5,13 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera import cli, errors
 from tessera.operators import register, registry
 from tessera.operators import audit, matching
 from tessera.plans import refresh, steps, validate
-from tessera.sources import archives, cache, companies, config, employees, http, ledger, payloads, profiles, records, snapshots, tables
+from tessera.sources import archives, bucketed, cache, companies, config, employees, http, ledger, payloads, profiles, records, snapshots, tables
 from tessera.streaming import microbatch
 
 
@@ -366,6 +367,40 @@ def test_matched_again_replaces(spark, runs_cfg):
     assert steps.run_match(spark, runs_cfg)["processed_in_run"] == 1 and held(spark, runs_cfg)[1] == ["Acme", "Nobody One", "Nobody Two"]
 
 
+def test_match_index(spark, tmp_path, runs_cfg):
+    """Matching over the stored index: the same rows; the registry's side is read as it lies, and of the words'
+    buckets only those of the words that are asked for. Its folder can be moved."""
+    folder, moved = str(tmp_path / "index"), str(tmp_path / "moved")
+    rows = [(f"{k:08d}", f"Word{k} Other{k % 7} Ltd", "active", "ltd", "", "", "London", "", "", "") for k in range(300)]
+    registry_ = spark.createDataFrame(rows, COMPANIES)
+    steps.write_match_index(registry.companies(registry_), folder)
+    fs, p = tables.filesystem(spark, folder)
+    fs.rename(p, tables.filesystem(spark, moved)[1])
+    orgs = org_table(spark, "Word3 Other3", "Word5 Other0 Ltd", "Nothing")
+    known = steps.read_match_index(spark, moved)
+    want = matching.top_candidates(orgs, registry_)
+    cut = matching.restricted(known, matching.query_variants(orgs))
+    got = matching.top_candidates(orgs, cut)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) and got.count() > 0
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = matching.candidates(matching.query_variants(orgs), cut)._jdf.queryExecution().executedPlan().toString()
+        joined = cut.companies.join(orgs.select(F.lit("00000003").alias("company_number"), "org_name"), "company_number")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # an exchange straight above a scan of the registry would deal the index anew
+    shapes = [line.strip(" +-:*()0123456789") for line in (plan + joined).splitlines()]
+    for k, line in enumerate(shapes):
+        if line.startswith("FileScan parquet") and ("tessera_" in line or "moved" in line):
+            above = next(x for x in reversed(shapes[:k]) if not x.startswith(("Project", "Filter", "ColumnarToRow", "Sort")))
+            assert not above.startswith("Exchange"), (above, line)
+    assert "SelectedBucketsCount: 4 out of 4" in plan or "SelectedBucketsCount" in plan
+    with pytest.raises(errors.MissingInputError):
+        bucketed.read(spark, str(tmp_path / "nothing"))
+    assert matching.restricted(known, spark.createDataFrame([(f"a{k} b{k}",) for k in range(matching.LOOKED_UP)], "variant string")) is known
+
+
 def test_claims(spark, tmp_path):
     """Of many that claim at once each gets an id of its own; a run is finished once, and only if claimed."""
     out = str(tmp_path)
