@@ -37,8 +37,9 @@ def query_variants(orgs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """What matching reads of a registry. postings: token, words (a distinct set of words as text), title_tokens (the
-    set); frequency: token, n (sets that have it); numbers: words, company_number; companies: registry.described()."""
+    """What matching reads of a registry. postings: slot (a word, and which of its parts), words (a distinct set of
+    words as text), title_tokens (the set), least (its least company number); frequency: token, n (sets that have it),
+    parts; numbers: words, company_number, nth (its place among the set's); companies: registry.companies(), best with registry.described()."""
 
     postings: DataFrame
     frequency: DataFrame
@@ -46,47 +47,66 @@ class Index:
     companies: DataFrame
 
 
-#: Up to so many distinct words are looked up by value, which prunes the index's buckets.
+#: Up to so many words are looked up by value, which prunes the index's buckets.
 LOOKED_UP = 2000
+#: A word that more sets have is dealt to several slots of a stored index.
+PER_PART = 1 << 16
 
 
-def index(companies: DataFrame) -> Index:
-    """The index of registry.companies(), derived as it is read."""
-    worded = companies.withColumn("words", F.array_join("title_tokens", " "))
-    postings = worded.select("words", "title_tokens").distinct().select(F.explode("title_tokens").alias("token"), "words", "title_tokens")
-    return Index(postings, postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")), worded.select("words", "company_number"), registry.described(companies))
+def _slot(token: Column, part: Column) -> Column:
+    return F.concat_ws("/", token, part.cast("string"))
 
 
-def _few(rows: DataFrame, column: str, most: int = LOOKED_UP) -> list[str] | None:
-    """The distinct values of a column if there are at most so many."""
-    got = [r[0] for r in rows.select(column).distinct().limit(most + 1).collect()]
-    return got if len(got) <= most else None
+def index(companies: DataFrame, per_part: int | None = None) -> Index:
+    """The index of registry.companies(), derived as it is read. per_part: the most sets of a slot, for tables in
+    which a slot's rows lie together; without it a word is one slot, which joins can split as they run."""
+    worded = companies.select(F.array_join("title_tokens", " ").alias("words"), "company_number").filter("words <> ''")
+    sets = worded.groupBy("words").agg(F.min("company_number").alias("least")).withColumn("title_tokens", F.split("words", " "))
+    postings = sets.withColumn("token", F.explode("title_tokens"))
+    parts = F.lit(1) if per_part is None else F.ceil(F.count(F.lit(1)) / per_part)
+    frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), parts.cast("int").alias("parts"))
+    placed = postings.withColumn("part", F.lit(0)) if per_part is None else postings.join(frequency, "token").withColumn("part", F.pmod(F.xxhash64("words"), F.col("parts")))
+    nth = F.row_number().over(Window.partitionBy("words").orderBy("company_number"))
+    return Index(placed.select(_slot(F.col("token"), F.col("part")).alias("slot"), "words", "title_tokens", "least"), frequency, worded.withColumn("nth", nth), companies)
 
 
-def restricted(known: Index, variants: DataFrame) -> Index:
-    """An index cut down to the words of a few variants: only these words' buckets are read."""
-    few = _few(variants.select(F.explode(names.tokens(F.col("variant"))).alias("token")), "token")
-    if few is None:
+def restricted(known: Index, variants: DataFrame, most: int = LOOKED_UP) -> Index:
+    """A stored index cut down to the words of a few variants: only these words' buckets are read."""
+    asked = variants.select(F.explode(names.tokens(F.col("variant"))).alias("token")).distinct()
+    words = [r[0] for r in asked.limit(most + 1).collect()]
+    if len(words) > most:
         return known
-    return replace(known, postings=known.postings.filter(F.col("token").isin(few)), frequency=known.frequency.filter(F.col("token").isin(few)))
+    found = known.frequency.filter(F.col("token").isin(words))
+    parts = found.select("token", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    slots = [r[0] for r in parts.select(_slot(F.col("token"), F.col("part"))).limit(most + 1).collect()]
+    return replace(known, frequency=found, postings=known.postings.filter(F.col("slot").isin(slots)) if len(slots) <= most else known.postings)
 
 
 def candidates(variants: DataFrame, companies: DataFrame | Index, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """(variant, company_number, hits): companies that share enough tokens with a variant, at most
     max_candidates by (hits desc, number). Two hits are needed where a variant has two tokens.
-    companies: those of registry.companies(), or an index of them."""
+    companies: those of registry.companies(), or an index of them.
+
+    Before any company is looked up, a variant keeps so many sets by (hits desc, least number), and a set so many
+    numbers: each set before another has a number that goes before all of the other's, so no more can come in."""
     known = companies if isinstance(companies, Index) else index(companies)
     asked = variants.select("variant").distinct().withColumn("asked", names.tokens(F.col("variant")))
     met_words = asked.select("variant", "asked", F.explode("asked").alias("token")).join(known.frequency, "token")
-    usual = met_words.groupBy("variant", "asked").agg(F.max(F.struct("n", "token"))["token"].alias("usual"))
+    usual = met_words.groupBy("variant", "asked").agg(F.max(F.struct("n", "token"))["token"].alias("usual"), F.collect_list(F.struct("token", "parts")).alias("had"))  # a name's words
     # a word that no company has can be probed for nothing, so the usual one is the most frequent of those that some have
-    probes = usual.select("variant", "asked", F.when(F.size("asked") >= 2, F.array_remove("asked", F.col("usual"))).otherwise(F.col("asked")).alias("probes"))
-    probes = probes.select("variant", "asked", "probes", F.explode("probes").alias("token"))
+    several = F.size("asked") >= 2
+    probes = usual.select("variant", "asked", F.when(several, F.array_remove("asked", F.col("usual"))).otherwise(F.col("asked")).alias("probes"), "had")
+    probes = probes.select("variant", "asked", "probes", F.explode(F.filter("had", lambda x: F.array_contains("probes", x["token"]))).alias("x"))
+    probes = probes.select("variant", "asked", "probes", F.col("x.token").alias("token"), F.explode(F.sequence(F.lit(0), F.col("x.parts") - 1)).alias("part"))
+    probes = probes.withColumn("slot", _slot(F.col("token"), F.col("part"))).drop("part")
     common = F.size(F.array_intersect("asked", "title_tokens"))
     once = F.array_intersect("probes", "title_tokens")[0] == F.col("token")
-    met = probes.join(known.postings, "token").filter(once & (common >= F.when(F.size("asked") >= 2, 2).otherwise(1))).select("variant", "words", common.cast("long").alias("hits"))
+    met = probes.join(known.postings, "slot").filter(once & (common >= F.when(several, 2).otherwise(1))).select("variant", "words", "least", common.cast("long").alias("hits"))
+    nth_set = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "least"))
+    met = met.withColumn("nth_set", nth_set).filter(F.col("nth_set") <= max_candidates).drop("nth_set", "least")
+    numbers = known.numbers.filter(F.col("nth") <= max_candidates).drop("nth")
     nth = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "company_number"))
-    return met.join(known.numbers, "words").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
+    return met.join(numbers, "words").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
 
 
 def name_similarities(pairs: DataFrame) -> DataFrame:
@@ -116,7 +136,7 @@ def _pool(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: in
     described = names.with_similarity_keys(described, "org_norm", "org_words", "org_letters")
     asked = _asked(described, *described.columns[1:])
     found = candidates(query_variants(orgs), known, max_candidates)
-    places = known.companies.select(
+    places = registry.described(known.companies).select(
         "company_number", "title_norm", F.col("company_name").alias("title"), F.col("company_status").alias("status"), F.col("address_locality").alias("locality"), F.col("address_region").alias("region"),
         F.col("address_postcode").alias("postcode"), "locality_norm", "region_norm", "title_words", "title_letters",
     )

@@ -78,13 +78,10 @@ def write_match_index(companies_: DataFrame, path: str) -> None:
     """The index that matching reads, in buckets: words and their numbers of sets by token, numbers by set of
     words, companies by number. Every join of matching finds the registry's side dealt as it needs it."""
     spark = companies_.sparkSession
-    made = matching.index(companies_)
-    bucketed.write(made.companies, f"{path}/companies", "company_number")
-    whole = bucketed.read(spark, f"{path}/companies")
-    made = matching.index(whole)
-    bucketed.write(made.postings, f"{path}/postings", "token")
-    bucketed.write(bucketed.read(spark, f"{path}/postings").groupBy("token").agg(F.count(F.lit(1)).alias("n")), f"{path}/frequency", "token")
-    bucketed.write(made.numbers, f"{path}/numbers", "words")
+    bucketed.write(registry.described(companies_), f"{path}/companies", "company_number")
+    made = matching.index(bucketed.read(spark, f"{path}/companies"), matching.PER_PART)
+    for name, key in (("postings", "slot"), ("frequency", "token"), ("numbers", "words")):
+        bucketed.write(getattr(made, name), f"{path}/{name}", key)
 
 
 def read_match_index(spark: SparkSession, path: str) -> matching.Index:

@@ -210,6 +210,23 @@ def test_audit(spark):
     assert audit.differences(e, e).count() == 0
 
 
+def test_cap_keeps_the_first_numbers(spark):
+    """With generic words the cap by sets and by numbers gives what ranking all pairs does."""
+    rows = [(f"{(k * 7919) % 5000:08d}", f"Alpha Beta Gamma{k % 40}" if k % 3 else f"Alpha Beta {k % 2}x Delta") for k in range(600)]
+    rows = [(n, t, *["" for _ in registry.CLEAN[2:]]) for n, t in rows]
+    companies = registry.companies(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in registry.CLEAN)))
+    asked = ["Alpha Beta", "Beta Gamma3 Alpha", "Delta", "Alpha", "Zeta Alpha", "Gamma7 Delta Beta"]
+    tokens = {n: set(t.lower().split()) for n, t, *_ in rows}
+    for cap in (1, 7, 50, 10_000):
+        want = set()
+        for v in asked:
+            q = set(v.lower().split())
+            met = sorted((-len(q & t), n) for n, t in tokens.items() if len(q & t) >= min(2, len(q)))
+            want |= {(v, n, -h) for h, n in met[:cap]}
+        got = matching.candidates(spark.createDataFrame([(v,) for v in asked], "variant string"), companies, cap)
+        assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
 def test_resume(spark):
     r = spark.createDataFrame([(f"o{i:02d}", i) for i in range(10)], "org_name string, n int").repartition(4)
     done = resume.processed(r.filter("n < 3"), r.filter("n < 2"))

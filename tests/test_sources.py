@@ -367,13 +367,15 @@ def test_matched_again_replaces(spark, runs_cfg):
     assert steps.run_match(spark, runs_cfg)["processed_in_run"] == 1 and held(spark, runs_cfg)[1] == ["Acme", "Nobody One", "Nobody Two"]
 
 
-def test_match_index(spark, tmp_path, runs_cfg):
+def test_match_index(spark, tmp_path, runs_cfg, monkeypatch):
     """Matching over the stored index: the same rows; the registry's side is read as it lies, and of the words'
     buckets only those of the words that are asked for. Its folder can be moved."""
     folder, moved = str(tmp_path / "index"), str(tmp_path / "moved")
     rows = [(f"{k:08d}", f"Word{k} Other{k % 7} Ltd", "active", "ltd", "", "", "London", "", "", "") for k in range(300)]
     registry_ = spark.createDataFrame(rows, COMPANIES)
+    monkeypatch.setattr(matching, "PER_PART", 10)  # Other1 and its like take several slots
     steps.write_match_index(registry.companies(registry_), folder)
+    assert steps.read_match_index(spark, folder).frequency.agg(F.max("parts")).first()[0] == 5
     fs, p = tables.filesystem(spark, folder)
     fs.rename(p, tables.filesystem(spark, moved)[1])
     orgs = org_table(spark, "Word3 Other3", "Word5 Other0 Ltd", "Nothing")
@@ -395,7 +397,7 @@ def test_match_index(spark, tmp_path, runs_cfg):
         if line.startswith("FileScan parquet") and ("tessera_" in line or "moved" in line):
             above = next(x for x in reversed(shapes[:k]) if not x.startswith(("Project", "Filter", "ColumnarToRow", "Sort")))
             assert not above.startswith("Exchange"), (above, line)
-    assert "SelectedBucketsCount: 4 out of 4" in plan or "SelectedBucketsCount" in plan
+    assert "SelectedBucketsCount" in plan
     with pytest.raises(errors.MissingInputError):
         bucketed.read(spark, str(tmp_path / "nothing"))
     assert matching.restricted(known, spark.createDataFrame([(f"a{k} b{k}",) for k in range(matching.LOOKED_UP)], "variant string")) is known
