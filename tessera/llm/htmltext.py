@@ -4,12 +4,16 @@ Markup is stripped to lines: every block-level tag ends a line, inline tags don'
 that are boilerplate by their nature (menus, footers, side bars, adverts, notices, forms, scripts,
 styles, reader comments) leave nothing: by their tag, the attribute `hidden`, `display: none` in their
 style, or a class, id, role or label of a container that is boilerplate as a whole name. What is
-left out ends where HTML ends it, with or without an end tag. Container borders leave `WINDOW` empty
+left out ends where HTML ends it, with or without an end tag, and with its parent at the latest. But a form, a
+marked container or an element without end tag that holds most of the page's text is the page, not
+boilerplate. Buttons, scripts and the like don't end the line they stand in. Of a page's header the only `h1` of the
+page stays, as its title. Container borders leave `WINDOW` empty
 lines. Text lengths are summed over a sliding window of `WINDOW` lines, lines outside articles that are mostly link text
 having none; where the sum surges from nothing a block of text begins, where it dives to nothing the
 block ends. A block is dense if its largest sum reaches `DENSE` characters or `SHARE` of the page's
-largest. Kept are all dense blocks, whatever lies between two of them, and a heading's block right
-before one; within a block everything is, however short a line is.
+largest. Kept are all dense blocks, whatever lies between two of them, blocks of paragraphs that end as
+sentences do right before the first and right after the last, and a heading's block right before one; within
+a block everything is, however short a line is.
 
 Blocks of `article` or `main` elements are kept whole, and silence the lines outside them only if
 the largest such element holds at least as much text as the dense blocks outside: teaser cards
@@ -20,7 +24,8 @@ empty line.
 Pages are independent: one map, no shuffle, memory bounded by one Arrow batch.
 
 Defined results: null and empty pages give the empty text; repeated rows are extracted each; cut
-off tags at the end of a page are dropped, unclosed elements end with the page; an empty table
+off tags at the end of a page are dropped, unclosed elements end with their parent; CDATA sections are comments, as in
+HTML; an empty table
 gives an empty one; other columns are ignored.
 """
 
@@ -41,6 +46,8 @@ LINK_SHARE = 0.6
 DENSE, SHARE = 86, 0.25
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</?\Z", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_SENTENCE = re.compile(r"[.!?…:][\"'”’»)\]]*$")
+_RIGHTS = re.compile(r"©|copyright|all rights reserved", re.I)
 _NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -48,6 +55,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Their content is text that no tag inside can end.
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 SKIPPED = frozenset("head nav footer aside form menu dialog button select option svg canvas object template datalist audio video".split()) | RAW
+#: Of these, the ones that stand in a line of text.
+WITHIN = frozenset("button select option svg canvas object template datalist audio video".split()) | RAW
 WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored sponsors banner cookie cookies consent notice notices alert gdpr popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs toc pager pagination footer comment comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login search widget promo promotion toolbar skip complementary contentinfo masthead topbar".split()
 )
@@ -80,8 +89,6 @@ def _marked(token: str, words: frozenset[str]) -> bool:
 def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     if name in SKIPPED:
         return True
-    if name == "header":
-        return not in_article
     if not attributes or name in ("html", "body", "main"):
         return False
     given: dict[str, str] = {}
@@ -96,25 +103,72 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     names = given.get("class", "").split() + ([] if name in ("section", "p") else given.get("id", "").split())  # a section's or paragraph's id is its anchor
     if not ROLES.isdisjoint(given.get("role", "").lower().split()) or any(_marked(x, WORDS) for x in [*names, given.get("aria-label", "")]):
         return True
-    return not in_article and any(x.lower() in ("header", "site-header") for x in names)
+    return not in_article and name != "header" and any(x.lower() in ("header", "site-header") for x in names)
 
 
-def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
-    """Lines as (text, characters of link text, number of the outermost article or 0, in a heading)."""
-    lines: list[tuple[str, int, int, bool]] = []
+def _hides(name: str, attributes: str) -> bool:
+    """Whether an element is hidden, or in a language of its own, and so never the page's text."""
+    return name in RAW or name in ("head", "template", "svg", "canvas", "object") or bool(re.search(r"(?:^|\s)hidden\b", attributes)) or bool(_NONE.search(attributes))
+
+
+def spared(html: str) -> tuple[frozenset[int], bool]:
+    """Where elements begin that would be left out but hold most of the page's text (forms, marked containers, and
+    others if they have no end tag), and whether the page has a single h1. One pass over the tags."""
+    total = at = titles = 0
+    open_: list[tuple[str, int, int, bool]] = []  # name, place, text before, whether an end tag is needed to keep it out
+    within = Counter[str]()  # by name, of those in open_
+    held: list[tuple[int, int]] = []
+    for m in _TOKEN.finditer(html):
+        if m.start() < at:
+            continue
+        total += len(html[at : m.start()].strip())
+        at = m.end()
+        if not m[2]:
+            continue
+        name, closing = m[2].lower(), bool(m[1])
+        titles += name == "h1" and not closing
+        if name in RAW and not closing:
+            end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
+            at = end.end() if end else len(html)
+        elif closing and within[name]:
+            while open_:
+                last, place, before, unclosed_only = open_.pop()
+                within[last] -= 1
+                if last != name or not unclosed_only:
+                    held.append((place, total - before))
+                if last == name:
+                    break
+        elif not closing and name not in VOID and not m[3].endswith("/"):
+            left_out = _boilerplate(name, m[3], False)
+            if left_out or within[name]:  # elements of the same name inside are counted for their end tags
+                never = not left_out or _hides(name, m[3])
+                open_.append((name, -1 if never else m.start(), total, name in SKIPPED and name != "form"))
+                within[name] += 1
+    total += len(html[at:].strip())
+    held += [(place, total - before) for _, place, before, _ in open_]
+    return frozenset(place for place, n in held if place >= 0 and 2 * n > total), titles == 1
+
+
+def strip_markup(html: str) -> list[tuple[str, int, int, bool, bool]]:
+    """Lines as (text, characters of link text, number of the outermost article or 0, in a heading, a sentence in a
+    paragraph)."""
+    kept_open, one_title = spared(html)
+    lines: list[tuple[str, int, int, bool, bool]] = []
     parts: list[str] = []
-    linked = at = depth = links = 0
-    skip, nested, fenced, article, heading = "", 0, 0, 0, False
+    linked = at = depth = links = top = 0
+    skip, nested, fenced, article, heading, paragraph, title = "", 0, 0, 0, False, False, False
+    around, inside = Counter[str](), Counter[str]()
 
     def end_line(border: bool = False) -> None:
         nonlocal linked
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
-        if text:
-            lines.append((text, linked, article if depth else 0, heading))
+        if text and (not top or depth or (title and one_title)):
+            of = article if depth else article + 1 if top and re.search(r"<(?:article|main)\b", html[at:], re.I) else 0
+            lines.append((text, linked, of, heading, paragraph and bool(_SENTENCE.search(text)) and not _RIGHTS.search(text)))
         linked = 0
         if border:
-            lines.extend([("", 0, 0, False)] * WINDOW)
+            lines.extend([("", 0, 0, False, False)] * WINDOW)
 
     for m in _TOKEN.finditer(html):
         if m.start() < at:
@@ -139,6 +193,10 @@ def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
                 fenced = max(0, fenced + (-1 if closing else 1))
             elif name in ("article", "main") and skip not in RAW and (depth > 0 if closing else not _boilerplate(name, m[3], False)):
                 skip = ""
+            elif closing and name not in IMPLIED and not inside[name] and around[name]:
+                skip = ""  # its parent ends
+            elif name not in VOID and name not in INLINE:
+                inside[name] = max(0, inside[name] + (-1 if closing else 1))
             if skip:
                 continue
         if name == "br":
@@ -146,21 +204,30 @@ def strip_markup(html: str) -> list[tuple[str, int, int, bool]]:
         elif name in VOID:
             if name == "hr":
                 end_line()
-        elif not closing and _boilerplate(name, m[3], depth > 0):
-            if name not in INLINE:
+        elif not closing and m.start() not in kept_open and _boilerplate(name, m[3], depth > 0):
+            if name not in INLINE and name not in WITHIN:
                 end_line(border=not depth)
+            elif name in WITHIN and name not in RAW:
+                parts.append(" ")
             if name in RAW:
                 end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
             elif not m[3].endswith("/"):
                 skip, nested, fenced = name, 1, 0
+                inside.clear()
         elif name == "a":
             links = max(0, links + (-1 if closing else 1))
         elif name not in INLINE:
             container = name in ("article", "main", "body", "section", "div", "table")
             end_line()
+            if name not in IMPLIED:
+                around[name] = max(0, around[name] + (-1 if closing else 1))
+            paragraph = name in ("p", "blockquote") and not closing
             if name in HEADINGS:
-                heading = not closing
+                heading, title = not closing, not closing and name == "h1"
+            if name == "header" and not depth:
+                end_line(border=True)
+                top = max(0, top + (-1 if closing else 1))
             if name in ("article", "main"):
                 end_line(border=True)
                 article += not closing and not depth
@@ -187,7 +254,7 @@ def _blocks(size: list[int]) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def _chosen(lines: list[tuple[str, int, int, bool]], size: list[int], whole: bool) -> list[tuple[int, int]]:
+def _chosen(lines: list[tuple[str, int, int, bool, bool]], size: list[int], whole: bool) -> list[tuple[int, int]]:
     """The blocks that are text; whole: those of articles are so without being dense."""
     blocks = _blocks(size)
     least = min(DENSE, SHARE * max((most for *_, most in blocks), default=0))
@@ -195,6 +262,12 @@ def _chosen(lines: list[tuple[str, int, int, bool]], size: list[int], whole: boo
     dense = [k for k, x in enumerate(keep) if x]
     for k in range(dense[0], dense[-1]) if dense else ():
         keep[k] = True
+    prose = [all(lines[i][4] for i in range(a, b) if size[i]) for a, b, _ in blocks]
+    for ks in (range(dense[0] - 1, -1, -1), range(dense[-1] + 1, len(blocks))) if dense else ():
+        for k in ks:
+            if not prose[k]:
+                break
+            keep[k] = True
     for k in range(len(blocks) - 2, -1, -1):
         a, b, _ = blocks[k]
         keep[k] |= keep[k + 1] and all(lines[i][3] for i in range(a, b) if size[i])
@@ -203,14 +276,14 @@ def _chosen(lines: list[tuple[str, int, int, bool]], size: list[int], whole: boo
 
 def main_text(html: str | None) -> str:
     lines = strip_markup(html or "")
-    size = [0 if not article and link > LINK_SHARE * len(t) else len(t) for t, link, article, _ in lines]
-    outer = [0 if article else n for n, (_, _, article, _) in zip(size, lines)]
+    size = [0 if not article and link > LINK_SHARE * len(t) else len(t) for t, link, article, *_ in lines]
+    outer = [0 if article else n for n, (_, _, article, *_) in zip(size, lines)]
     held = Counter[int]()
-    for t, _, article, _ in lines:
+    for t, _, article, *_ in lines:
         held[article] += len(t) if article else 0
     outside = sum(sum(outer[a:b]) for a, b in _chosen(lines, outer, False))
     if 0 < outside <= max(held.values(), default=0):
-        size = [n if article else 0 for n, (_, _, article, _) in zip(size, lines)]
+        size = [n if article else 0 for n, (_, _, article, *_) in zip(size, lines)]
     whole = outside <= sum(held.values())
     return "\n\n".join(lines[i][0] for a, b in _chosen(lines, size, whole) for i in range(a, b) if size[i])
 

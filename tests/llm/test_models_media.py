@@ -599,3 +599,30 @@ def test_all_are_registered():
     names = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
     assert names == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
     assert glob.glob(f"{SF}/*.parquet")
+
+
+SENTENCE = "This is a long sentence of the text which goes on and on until it is surely longer than any menu, and then some more words."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<body><form id="aspnetForm"><div><p>{L}</p><p>{L}</p></div></form></body>', "L\n\nL"), ('<body><div class="content search"><p>{L}</p></div></body>', "L"),
+        ("<body><aside>side<p>s</p><div><p>{L}</p></div></body>", "L"), ("<body><div><aside>x<p>unclosed</div><div><p>{L}</p></div>", "L"),
+        ("<body><div><p>{L}</p></div><div><p>The end.</p></div><div>Menu</div></body>", "L\n\nThe end."), ("<body><div><p>Short start.</p></div><div><p>{L}</p></div></body>", "Short start.\n\nL"),
+        ("<body><header><nav>menu</nav>logo<h1>Title</h1></header><main><p>{L}</p></main></body>", "Title\n\nL"), ("<body><header><h1>Site</h1></header><main><h1>Title</h1><p>{L}</p></main></body>", "Title\n\nL"),
+        ("<body><header><h1>Title</h1><p>by me</p></header><div><p>{L}</p></div><footer>f</footer>", "Title\n\nL"), ("<p>press <button>OK</button> now</p>", "press now"), ("<p>a<script>x</script>b</p>", "ab"),
+        ("<div><form><input><p>search here</p></form></div><p>{L}</p>", "L"), ("<div class=comments><p>{L}</p></div><article><p>{L}</p><p>{L}</p></article>", "L\n\nL"), ("<div hidden><p>{L}</p><p>{L}</p></div><p>{L}</p>", "L"),
+    ],
+)
+def test_no_page_is_lost(page, want):
+    assert htmltext.main_text(page.replace("{L}", SENTENCE)).replace(SENTENCE, "L") == want
+
+
+def test_pages_table(spark):
+    rows = [(1, "u", f"<form><p>{SENTENCE}</p></form>"), (1, "u", f"<form><p>{SENTENCE}</p></form>"), (2, None, None), (3, "v", "<div class=ad>" * 5000), (4, "w", "<form>" * 2000 + f"<p>{SENTENCE} " * 3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in ("text", "n_chars", "body")})
+    got = sorted((r["page_id"], r["n_chars"]) for r in htmltext.extract(pages, ["page_id", "url"]).collect())
+    n = len(SENTENCE)
+    assert got == [(1, n), (1, n), (2, 0), (3, 0), (4, 3000 * n + 2 * 2999)]
+    assert htmltext.extract(pages.limit(0), ["page_id"]).count() == 0
