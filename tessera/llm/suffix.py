@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm._tables import materialize, read, ship, shuffle_width, whole_texts
@@ -339,13 +339,23 @@ def _later_runs(found: DataFrame) -> DataFrame:
     return sorted_.unionByName(found.filter("bucket < 0").mapInArrow(unpack, runs))
 
 
+def _text_id(body: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(body, 256), 1, 32))
+
+
+def _tie(text_id: Column) -> Column:
+    """The first 63 bits of a text's digest: orders the texts of one doc_id."""
+    part = lambda k: F.conv(F.hex(F.substring(text_id, k, 4)), 16, 10).cast("long")
+    return F.shiftleft(part(1), 31).bitwiseOR(F.shiftright(part(5), 1))
+
+
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, kept (the bytes that stay), n_bytes, n_removed, n_spans for every row of docs."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("doc"), "text")
     body = F.coalesce("text", F.lit("")).cast("binary")
-    known = docs.select("doc", F.unhex(F.substring(F.sha2(body, 256), 1, 32)).alias("text_id"), F.octet_length(body).alias("size")).filter(F.col("size") >= LENGTH)
+    known = docs.select("doc", _text_id(body).alias("text_id"), F.octet_length(body).alias("size")).filter(F.col("size") >= LENGTH)
     known = materialize(known, "texts")
     # a task holds a bucket, so their number follows the bytes that are dealt
     buckets = max(8 * shuffle_width(spark), (known.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES)
@@ -353,40 +363,35 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     firsts = materialize(known.groupBy("text_id").agg(F.min("doc").alias("first")), "first-texts")
     names = _repeated_names(docs.select("text"), buckets)
     wanted = materialize(names.join(firsts, "text_id").select(F.col("first").alias("doc"), "text_id", "names"), "repeated-names")
-    texts = docs.select("doc", "text").join(wanted, "doc")
+    # by document and text: rows without doc_id are as many documents as they have texts
+    texts = docs.select("doc", _text_id(body).alias("text_id"), "text").join(wanted, ["doc", "text_id"])
     found = materialize(_candidates(whole_texts(texts, "doc", "text_id", "names"), buckets), "segments")
     runs = _later_runs(found).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    copies = known.join(firsts, "text_id").filter(F.col("doc") > F.col("first")).select("doc", "text_id")
-    copies = copies.groupBy("doc").agg(F.collect_set("text_id").alias("copies"))  # no distinct: it would keep the join from being split
-    runs = runs.groupBy("doc").agg(F.collect_list(F.struct("tie", "runs")).alias("texts"))
-    state = materialize(runs.join(copies, "doc", "full"), "removals")
+    copies = known.join(firsts, "text_id").filter(F.col("doc") > F.col("first")).select("doc", _tie(F.col("text_id")).alias("tie"))
+    copies = copies.groupBy("doc", "tie").agg(F.lit(True).alias("copy"))
+    state = materialize(runs.join(copies, ["doc", "tie"], "full"), "removals")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "body"):
             rows = []
-            for i, (copies, texts) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            for i, (copy, mine) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 body = data[offsets[i] : offsets[i + 1]]
                 removed = spans = 0
-                if (copies or texts) and len(body) >= LENGTH:
-                    digest = _digest(body.tobytes())
-                    if digest in (copies or ()):
-                        removed, spans, body = len(body), 1, body[:0]
-                    else:
-                        tie = int.from_bytes(digest[:8], "big") >> 1
-                        mine = [(r["start"], r["stop"]) for t in texts or () if t["tie"] == tie for r in t["runs"]]
-                        if mine:
-                            step = np.zeros(len(body) + 1, np.int64)
-                            np.add.at(step, [a for a, _ in mine], 1)
-                            np.add.at(step, [b + LENGTH - 1 for _, b in mine], -1)
-                            gone = np.cumsum(step[:-1]) > 0
-                            removed, spans = int(gone.sum()), int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
-                            body = body[~gone]
+                if copy:
+                    removed, spans, body = len(body), 1, body[:0]
+                elif mine:
+                    step = np.zeros(len(body) + 1, np.int64)
+                    np.add.at(step, [r["start"] for r in mine], 1)
+                    np.add.at(step, [r["stop"] + LENGTH - 1 for r in mine], -1)
+                    gone = np.cumsum(step[:-1]) > 0
+                    removed, spans = int(gone.sum()), int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
+                    body = body[~gone]
                 rows.append((int(offsets[i + 1] - offsets[i]), removed, spans, body.tobytes()))
             n, removed, spans, kept = zip(*rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    joined = docs.join(state, "doc", "left")
-    return whole_texts(joined, "doc_id", "copies", "texts").mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    joined = docs.withColumn("tie", _tie(_text_id(body))).join(state, ["doc", "tie"], "left")
+    return whole_texts(joined, "doc_id", "copy", "runs").mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
 def op4_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

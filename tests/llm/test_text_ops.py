@@ -370,3 +370,13 @@ def test_words(texts):
 
 def test_digest_is_sha():
     assert suffix._digest(b"x") == hashlib.sha256(b"x").digest()[:16]
+
+
+def test_suffix_many_rows_without_id(spark):
+    """Rows without doc_id are as many documents as they have texts: none is paired with another's texts."""
+    rows = [(None, f"{k} " + PASSAGE + f" {k * 7919}") for k in range(400)] + [(None, "short")] * 50 + [(5, PASSAGE), (6, PASSAGE)]
+    got = suffix.suffix_dedup(docs(spark, rows)).collect()
+    assert len(got) == len(rows)
+    whole = [r for r in got if r["doc_id"] is None and PASSAGE.encode() in bytes(r["kept"])]
+    assert len(whole) == 1  # the first of them by the order of their digests
+    assert [(r["n_removed"], r["n_spans"]) for r in sorted((r for r in got if r["doc_id"]), key=lambda r: r["doc_id"])] == [(len(PASSAGE.encode()), 1)] * 2
