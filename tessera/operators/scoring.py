@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.errors import ConflictingRowsError, InvalidValueError
 from tessera.functions import names, values
+from tessera.operators.asof import asof_join
 
 BASELINE, LOW, HIGH = 0.10, 0.0, 0.5
 UNKNOWN_TYPE = 0.03
@@ -121,6 +122,16 @@ def attach_employees(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     return joined.withColumns({c: values.text(F.col(c)) for c in ("employee_count", "employee_count_source", "employee_count_snapshot_date")})
 
 
+def attach_employees_as_of(rows: DataFrame, history: DataFrame, day: str) -> DataFrame:
+    """Employee counts by company number as they were on each row's day (a column of rows): of the snapshot that
+    holds then, by `valid_from`; '' where there is none."""
+    counts = ("employee_count", "employee_count_source", "employee_count_snapshot_date")
+    keyed = rows.drop(*counts).withColumn("_number", F.nullif(names.strip(F.col("ch_company_number")), F.lit("")))
+    known = history.withColumn("_number", names.strip(F.col("company_number")))
+    out = asof_join(keyed, known, "_number", day, "valid_from", list(counts), "year").drop("_number")
+    return out.withColumns({c: values.text(F.col(c)) for c in counts})
+
+
 def check_scores(rows: DataFrame, column: str = "match_score") -> None:
     """Raise with up to five sorted samples if the column has anything but numbers."""
     t = names.strip(values.text(F.col(column)))

@@ -208,6 +208,14 @@ SELECT org_norm, title_norm, {_similarity('a', 'b')} AS name_similarity FROM pai
     "q_enriched": f"{_MATCH} SELECT * FROM enriched",
     "q_unmatched": f"{_MATCH} SELECT * FROM unmatched",
     **{q: "SELECT doc_id, coalesce(lang, '') AS lang, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS text_md5 FROM documents" for q in ("q_quoted_breaks", "q_archive")},
+    "q_employees_as_of": f"""WITH {_CLEAN}, first AS (SELECT DISTINCT * FROM ({views.sql(views.EMPLOYEES)})),
+hist AS (SELECT company_number, employee_count, employee_count_source, employee_count_snapshot_date, DATE '2026-02-06' AS d FROM first
+  UNION ALL SELECT company_number, CAST(CAST(employee_count AS INT) + 1 AS VARCHAR), employee_count_source, '2026-05-01', DATE '2026-05-01' FROM first WHERE CAST(company_number AS BIGINT) % 3 <> 0),
+r AS (SELECT company_number AS ch_company_number, CAST(['2026-02-05', '2026-02-06', '2026-04-30', '2026-05-02'][1 + CAST(company_number AS BIGINT) % 4] AS DATE) AS day FROM clean)
+SELECT r.ch_company_number, strftime(r.day, '%Y-%m-%d') AS day, coalesce(h.employee_count, '') AS employee_count, coalesce(h.employee_count_source, '') AS employee_count_source, coalesce(h.employee_count_snapshot_date, '') AS employee_count_snapshot_date
+FROM r ASOF LEFT JOIN hist h ON r.ch_company_number = h.company_number AND r.day >= h.d""",
+    "q_asof_join": """WITH u AS (SELECT o_custkey, o_orderdate, max(o_totalprice) AS urgent_price FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)
+SELECT o.o_orderkey, o.o_custkey, u.urgent_price FROM orders o ASOF LEFT JOIN u ON o.o_custkey = u.o_custkey AND o.o_orderdate >= u.o_orderdate""",
     "q_match_runs": f"{_MATCH} SELECT org_name, match_status, match_score AS score, ch_company_number AS number FROM enriched UNION ALL SELECT org_name, match_status, best_candidate_score, best_candidate_company_number FROM unmatched",
     "q_profile_errors": f"{_MATCH} SELECT o.*, 'profile_error' AS match_status, 'no profile of ' || b.company_number AS match_error, {_r4('b.total')} AS best_candidate_score, b.title AS best_candidate_title, b.company_number AS best_candidate_company_number FROM org o JOIN best b USING (org_name) JOIN clean c ON c.company_number = b.company_number WHERE b.total >= 0.72::DOUBLE AND c.company_status <> 'active'",
     "q_sic_score": f"WITH {_CLEAN} SELECT company_number, sic_codes, {_sic('sic_codes', TECH)} AS tech_score, {_sic('sic_codes', CARE)} AS care_score FROM clean",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import names, values
-from tessera.operators import audit, links, matching, register, registry, resume, scoring, shortlist
+from tessera.operators import asof, audit, links, matching, register, registry, resume, scoring, shortlist
 from tessera.plans import refresh, steps, validate, views
 from tessera.sources import companies, config, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
@@ -208,6 +208,23 @@ def q_employee_join(spark: SparkSession, d: str) -> DataFrame:
     return scoring.attach_employees(rows, scoring.employee_lookup(_employees(spark, d)))
 
 
+def q_employees_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of two snapshots, the later one without some companies, on days before, between and after them."""
+    number = F.col("company_number").cast("long")
+    first = _employees(spark, d).distinct()
+    later = first.filter(number % 3 != 0).withColumns({"employee_count": (F.col("employee_count").cast("int") + 1).cast("string"), "employee_count_snapshot_date": F.lit("2026-05-01")})
+    days = F.element_at(F.array(*[F.lit(x) for x in ("2026-02-05", "2026-02-06", "2026-04-30", "2026-05-02")]), (number % 4 + 1).cast("int"))
+    rows = _clean(spark, d).select(F.col("company_number").alias("ch_company_number"), days.cast("date").alias("day"))
+    return scoring.attach_employees_as_of(rows, asof.history((first, F.lit("2026-02-06")), (later, F.lit("2026-05-01"))), "day").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+def q_asof_join(spark: SparkSession, d: str) -> DataFrame:
+    """With every order the price of its customer's latest order of the highest priority until then."""
+    o = _table(spark, d, "orders")
+    urgent = o.filter(F.col("o_orderpriority") == "1-URGENT").select("o_custkey", F.col("o_orderdate").alias("valid_from"), F.col("o_totalprice").alias("urgent_price"))
+    return asof.asof_join(o.select("o_orderkey", "o_custkey", "o_orderdate"), urgent, "o_custkey", "o_orderdate", "valid_from", ["urgent_price"]).select("o_orderkey", "o_custkey", "urgent_price")
+
+
 def q_employee_conflicts(spark: SparkSession, d: str) -> DataFrame:
     """Counts by nation and customer segment as if they were one company's versions."""
     c = _table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("company_number"), F.col("c_mktsegment").alias("employee_count"))

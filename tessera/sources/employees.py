@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.errors import InvalidValueError, SnapshotError
 from tessera.functions import names, values
+from tessera.operators.asof import history
 from tessera.operators.registry import require
 from tessera.operators.scoring import employee_lookup
 from tessera.sources import snapshots, tables
@@ -25,6 +26,15 @@ def canonical(df: DataFrame) -> DataFrame:
     return t.withColumn("employee_count", n.cast("string"))
 
 
+def load_history(spark: SparkSession, root: str, dataset: str = "employee_count") -> DataFrame:
+    """All committed snapshots' counts, each one row per company, with `valid_from`: the snapshot's day."""
+    parts = []
+    for folder in snapshots.dated(spark, root, dataset):
+        clean = snapshots.read_json(spark, f"{folder}/manifest.json")["artefacts"]["clean"]
+        parts.append((employee_lookup(canonical(tables.read_csv(spark, f"{folder}/{clean}"))), F.lit(folder.rsplit("/", 1)[-1])))
+    return history(*parts)
+
+
 def load(spark: SparkSession, root: str, dataset: str = "employee_count") -> DataFrame:
     """The latest snapshot's counts, one row per company; its manifest has to fit."""
     folder = snapshots.latest(spark, root, dataset)

@@ -94,12 +94,17 @@ def _marked(spark: SparkSession, root: str, dataset: str, name: str) -> list[tup
     return found
 
 
+def dated(spark: SparkSession, root: str, dataset: str) -> list[str]:
+    """The committed snapshots, by date, those of one date by the time of their manifest."""
+    found = [(f.rsplit("/", 1)[-1], m, f) for f, m in _marked(spark, root, dataset, "manifest.json") if DATE.fullmatch(f.rsplit("/", 1)[-1])]
+    if not found:
+        raise SnapshotNotFoundError(f"{dataset} in {root}")
+    return [f for *_, f in sorted(found)]
+
+
 def latest(spark: SparkSession, root: str, dataset: str) -> str:
     """The committed snapshot with the latest date, of these the latest manifest."""
-    dated = [(f.rsplit("/", 1)[-1], m, f) for f, m in _marked(spark, root, dataset, "manifest.json") if DATE.fullmatch(f.rsplit("/", 1)[-1])]
-    if not dated:
-        raise SnapshotNotFoundError(f"{dataset} in {root}")
-    return max(dated)[2]
+    return dated(spark, root, dataset)[-1]
 
 
 def latest_file(spark: SparkSession, root: str, dataset: str, name: str) -> str:

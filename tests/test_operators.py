@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import errors
-from tessera.operators import audit, links, matching, register, registry, resume, scoring, shortlist
+from tessera.operators import asof, audit, links, matching, register, registry, resume, scoring, shortlist
 from tessera.plans import steps
 from tessera.sources import profiles
 
@@ -227,6 +227,20 @@ def test_cap_keeps_the_first_numbers(spark):
         assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
 
 
+def test_asof_join(spark):
+    """Ties, rows before all snapshots, keys or times that are missing, repeated rows, any period."""
+    left = [(1, "a", "2026-01-05"), (1, "a", "2026-01-05"), (2, "a", "2025-12-31"), (3, "a", "2026-07-01"), (4, "b", "2026-07-01"), (5, None, "2026-07-01"), (6, "a", None), (7, "c", "2026-01-01"), (8, "a", "2026-01-01")]
+    right = [("a", "2026-01-01", 10), ("a", "2026-01-05", 20), ("a", "2026-01-05", 15), ("a", "2026-01-06", None), ("a", "2026-02-01", 30), ("c", "2026-01-02", 5), (None, "2026-01-01", 9), ("b", None, 8)]
+    a = spark.createDataFrame(left, "id int, k string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    b = spark.createDataFrame(right, "k string, since string, v int").withColumn("since", F.col("since").cast("date"))
+    want = sorted([(1, 20), (1, 20), (2, None), (3, 30), (4, None), (5, None), (6, None), (7, None), (8, 10)], key=str)
+    for period in ("day", "month", "year"):
+        got = asof.asof_join(a, b, "k", "t", "since", ["v"], period)
+        assert sorted(((r["id"], r["v"]) for r in got.collect()), key=str) == want
+        assert "CartesianProduct" not in got._jdf.queryExecution().executedPlan().toString() and "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    assert asof.asof_join(a.limit(0), b, "k", "t", "since", ["v"]).count() == 0
+
+
 def test_resume(spark):
     r = spark.createDataFrame([(f"o{i:02d}", i) for i in range(10)], "org_name string, n int").repartition(4)
     done = resume.processed(r.filter("n < 3"), r.filter("n < 2"))
