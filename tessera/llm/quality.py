@@ -14,11 +14,13 @@ rows reach the driver. Scoring is one map over whole texts: no shuffle.
 
 Short documents are scored many at a time, their chains in step. A document of more than `LONG_LINES`
 lines or `LONG_BYTES` bytes is taken block by block: features are sums over bytes and words, carried
-on where a block cuts a line, and only three numbers a line are kept. Its chain is cut into about
+on where a block cuts a line, and only three numbers a line and the hash of each triple of words are kept. Its chain is cut into about
 sqrt(n) segments; the odds that enter each follow from the product of the segments' 2 x 2 matrices,
-and all segments are then walked in step. So memory is some 16 bytes a line and the time linear.
+and all segments are then walked in step. So memory is some 16 bytes a line and 8 a word, and the time all but
+linear.
 
-Defined results: a word of more than a block counts as several; null and empty texts are one empty line and get its score; without any labelled
+Defined results: a word ends after LONG_BYTES bytes at the latest, in texts of any size (what goes on is another
+word); null and empty texts are one empty line and get its score; without any labelled
 document every score is 0.5; repeated rows score alike; an empty table gives an empty one; only
 the text is looked at, so other columns can't matter.
 """
@@ -47,10 +49,25 @@ _SIZE, _COUNT, _LENGTH, _REPEAT, _WIDE, _LAST = range(_N, _N + 6)
 
 
 class Seen:
-    """What earlier blocks of a document leave: its last two words and all triples of words so far."""
+    """What earlier blocks of a document leave: its last two words and the hashes of all triples of words so
+    far, in sorted runs of which each is at least twice as long as the next. So a triple is moved a few
+    times only, however long the document is, and takes eight bytes."""
 
     def __init__(self) -> None:
-        self.last, self.triples = np.zeros(0, U64), np.zeros(0, U64)
+        self.last, self.runs = np.zeros(0, U64), list[np.ndarray]()
+
+    def had(self, triples: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(triples), bool)
+        for run in self.runs:
+            out |= run[np.minimum(np.searchsorted(run, triples), len(run) - 1)] == triples
+        return out
+
+    def add(self, fresh: np.ndarray) -> None:
+        """fresh: sorted, distinct and not had()."""
+        while self.runs and len(self.runs[-1]) < 2 * len(fresh):
+            fresh = np.sort(np.concatenate([self.runs.pop(), fresh]), kind="stable")
+        if len(fresh):
+            self.runs.append(fresh)
 
 
 def _repeats(hashes: np.ndarray, doc: np.ndarray, seen: Seen | None) -> np.ndarray:
@@ -70,9 +87,9 @@ def _repeats(hashes: np.ndarray, doc: np.ndarray, seen: Seen | None) -> np.ndarr
         again = np.ones(len(triple), bool)
         again[fresh] = False
         if seen is not None:
-            place = np.minimum(np.searchsorted(seen.triples, triple), max(len(seen.triples) - 1, 0))
-            again |= seen.triples[place] == triple if len(seen.triples) else False
-            seen.triples = np.union1d(seen.triples, distinct)
+            had = seen.had(distinct)
+            again[fresh[had]] = True
+            seen.add(distinct[~had])
         repeat[at + 2] = again
     return repeat[carried:]
 

@@ -1,5 +1,6 @@
 """Classifiers, media, extraction, mixing and the pipeline."""
 
+import time
 import glob
 import os
 import random
@@ -626,3 +627,20 @@ def test_pages_table(spark):
     n = len(SENTENCE)
     assert got == [(1, n), (1, n), (2, 0), (3, 0), (4, 3000 * n + 2 * 2999)]
     assert htmltext.extract(pages.limit(0), ["page_id"]).count() == 0
+
+
+def test_quality_of_long_texts_of_distinct_words():
+    """Twenty megabytes of words that never repeat, in a moment; the doubling runs find what a set does."""
+    rng = np.random.default_rng(0)
+    text = " ".join(f"{i:x}" for i in rng.integers(1 << 24, 1 << 30, 2_500_000)).encode()
+    start = time.time()
+    field = quality.Field(3 * quality._OWN)
+    assert 0 <= field.long_quality(np.frombuffer(text, np.uint8)) <= 1 and time.time() - start < 60
+    seen, known = quality.Seen(), set()
+    for _ in range(200):
+        some = np.unique(rng.integers(0, 3000, 40).astype(np.uint64))
+        had = seen.had(some)
+        assert had.tolist() == [int(x) in known for x in some]
+        seen.add(some[~had])
+        known |= set(some.tolist())
+    assert sum(map(len, seen.runs)) == len(known) and len(seen.runs) < 13
