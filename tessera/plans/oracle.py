@@ -219,6 +219,16 @@ SELECT o.o_orderkey, o.o_custkey, u.urgent_price FROM orders o ASOF LEFT JOIN u
     "q_match_runs": f"{_MATCH} SELECT org_name, match_status, match_score AS score, ch_company_number AS number FROM enriched UNION ALL SELECT org_name, match_status, best_candidate_score, best_candidate_company_number FROM unmatched",
     "q_profile_errors": f"{_MATCH} SELECT o.*, 'profile_error' AS match_status, 'no profile of ' || b.company_number AS match_error, {_r4('b.total')} AS best_candidate_score, b.title AS best_candidate_title, b.company_number AS best_candidate_company_number FROM org o JOIN best b USING (org_name) JOIN clean c ON c.company_number = b.company_number WHERE b.total >= 0.72::DOUBLE AND c.company_status <> 'active'",
     "q_sic_score": f"WITH {_CLEAN} SELECT company_number, sic_codes, {_sic('sic_codes', TECH)} AS tech_score, {_sic('sic_codes', CARE)} AS care_score FROM clean",
+    "q_sic_relation": f"WITH {_CLEAN} SELECT company_number, sic_codes, {_sic('sic_codes', TECH)} AS tech_score, {_sic('sic_codes', CARE)} AS care_score FROM clean",
+    "q_prefix_scores": """WITH cat AS (SELECT CAST(c_custkey AS VARCHAR) AS prefix, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey % 29) / 64.0::DOUBLE END AS plus, CASE WHEN c_custkey % 3 = 0 THEN -(c_custkey % 7) / 64.0::DOUBLE END AS minus FROM customer),
+code AS (SELECT p_partkey, unnest([CAST(p_partkey AS VARCHAR), CAST(p_partkey * 7 AS VARCHAR), CAST(p_size AS VARCHAR)]) AS code, unnest([1, 2, 3]) AS nth FROM part),
+head AS (SELECT p_partkey, nth, code, unnest(list_transform(range(1, 1 + length(code)), lambda k: code[1:k])) AS prefix FROM code),
+hit AS (SELECT p_partkey, nth, coalesce(max(plus), -9) AS plus, coalesce(sum(minus), 0) AS minus FROM head LEFT JOIN cat USING (prefix) GROUP BY ALL),
+wide AS (SELECT p_partkey, max(plus) FILTER (nth = 1) AS p1, max(minus) FILTER (nth = 1) AS m1, max(plus) FILTER (nth = 2) AS p2, max(minus) FILTER (nth = 2) AS m2, max(plus) FILTER (nth = 3) AS p3, max(minus) FILTER (nth = 3) AS m3 FROM hit GROUP BY p_partkey)
+SELECT p_partkey, round(greatest(0.0::DOUBLE, least(0.5::DOUBLE, greatest(greatest(greatest(0.1::DOUBLE, p1) + m1, p2) + m2, p3) + m3)), 6) AS score FROM wide""",
+    "q_located": f"""WITH {_CLEAN}, term AS (SELECT r_name AS place, 'region' AS kind, lower(r_name) AS term FROM region UNION ALL SELECT n_name, 'locality', lower(n_name) FROM nation UNION ALL SELECT n_name, 'postcode', 'EC' || n_nationkey FROM nation),
+fits AS (SELECT DISTINCT place, company_number FROM clean JOIN term ON (kind <> 'postcode' AND contains(lower(address_locality), term)) OR (kind = 'region' AND contains(lower(address_region), term)) OR (kind = 'postcode' AND starts_with(upper(address_postcode), term)))
+SELECT place, count(*) AS n_rows, count(*) AS n_companies FROM fits GROUP BY place""",
     "q_age_score": f"WITH {_CLEAN} SELECT company_number, date_of_creation, {_age('date_of_creation')} AS age_score FROM clean",
     "q_type_status_score": f"WITH {_CLEAN} SELECT company_number, {_type('company_type')} AS type_score, {_status('company_status')} AS status_score FROM clean",
     "q_keyword_score": f"WITH {_CLEAN} SELECT company_number, {_keywords('company_name', TECH)} AS tech_score, {_keywords('company_name', CARE)} AS care_score FROM clean",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import names, values
-from tessera.operators import asof, audit, links, matching, register, registry, resume, scoring, shortlist
+from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist
 from tessera.plans import refresh, steps, validate, views
 from tessera.sources import companies, config, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
@@ -183,6 +183,32 @@ def q_sic_score(spark: SparkSession, d: str) -> DataFrame:
     return _by_company(spark, d).select("company_number", "sic_codes", scoring.sic_score(codes, profiles.TECH).alias("tech_score"), scoring.sic_score(codes, profiles.CARE).alias("care_score"))
 
 
+def q_prefix_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Parts' numbers as codes against a catalogue in which every customer's number is a prefix."""
+    n, codes = F.col("c_custkey"), [(F.col("p_partkey") * k).cast("string") for k in (1, 7)]
+    weight = lambda rest, x: F.when(rest, x / F.lit(64.0))
+    catalogue = _table(spark, d, "customer").select(n.cast("string").alias("prefix"), weight(n % 3 != 0, n % 29).alias("positive"), weight(n % 3 == 0, -(n % 7)).alias("negative"), n.alias("nth"))
+    parts = _table(spark, d, "part").select("p_partkey", F.concat_ws("; ", *codes, F.col("p_size").cast("string")).alias("codes"))
+    return prefixes.sic_scores(parts, "codes", catalogue, "score").select("p_partkey", F.round("score", 6).alias("score"))
+
+
+def q_sic_relation(spark: SparkSession, d: str) -> DataFrame:
+    """The shipped profiles' scores, from their catalogues as tables."""
+    rows = _by_company(spark, d).select("company_number", "sic_codes")
+    for name, p in (("tech_score", profiles.TECH), ("care_score", profiles.CARE)):
+        rows = prefixes.sic_scores(rows, "sic_codes", prefixes.weights(spark, p), name)
+    return rows
+
+
+def q_located(spark: SparkSession, d: str) -> DataFrame:
+    """Companies in each nation and region, by what their addresses say."""
+    n, r = _table(spark, d, "nation"), _table(spark, d, "region")
+    term = lambda df, place, kind, t: df.select(F.col(place).alias("place"), F.lit(kind).alias("kind"), t.alias("term"))
+    given = term(r, "r_name", "region", F.col("r_name")).union(term(n, "n_name", "locality", F.col("n_name"))).union(term(n, "n_name", "postcode", F.concat(F.lit("ec"), F.col("n_nationkey").cast("string"))))
+    rows = prefixes.located(_clean(spark, d), given, "address_region", "address_locality", "address_postcode")
+    return rows.groupBy("place").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("company_number").alias("n_companies"))
+
+
 def q_age_score(spark: SparkSession, d: str) -> DataFrame:
     return _by_company(spark, d).select("company_number", "date_of_creation", scoring.age_score(F.col("date_of_creation"), F.lit(AS_OF).cast("date"), profiles.TECH).alias("age_score"))
 

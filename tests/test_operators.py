@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera import errors
-from tessera.operators import asof, audit, links, matching, register, registry, resume, scoring, shortlist
+from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist
 from tessera.plans import steps
 from tessera.sources import profiles
 
@@ -268,3 +270,42 @@ def test_links(spark):
     assert links.the_archive_link(two).endswith("2026-02-01.zip")
     with pytest.raises(errors.AmbiguousLinkError):
         links.the_best_link(spark.createDataFrame([(1, "a.csv", ""), (1, "b.csv", "")], "key long, href string, text string"))
+
+
+def test_catalogue_of_ten_thousand_prefixes(spark):
+    """Against the fold by hand, with codes that repeat, are empty, null, long or lists of many."""
+    deal = random.Random(5)
+    order = [f"{k:0{4 + k % 2}d}" for k in range(10_000)]
+    deal.shuffle(order)
+    catalogue = [(k, deal.choice([None, deal.randrange(40) / 64]), deal.choice([None, -deal.randrange(9) / 64]), n) for n, k in enumerate(order)] + [("", None, -1 / 128, 10_000), (None, 9.0, None, 3)]
+    lists = [";".join(str(deal.randrange(10**5)) for _ in range(deal.randrange(6))) for _ in range(300)] + [None, "", " ; ", "7" * 5000, "1234;1234", "1234;1234"]
+    by = {c[0]: c for c in catalogue if c[0] is not None}
+
+    def score(codes):
+        s = 0.1
+        for x in [c.strip() for c in (codes or "").split(";") if c.strip()]:
+            fit = [by[x[:n]] for n in range(6) if n <= len(x) and x[:n] in by]
+            s = max([s, *[f[1] for f in fit if f[1] is not None]])
+            for f in sorted(fit, key=lambda f: f[3]):
+                s += f[2] or 0.0
+        return min(max(s, 0.0), 0.5)
+
+    table = spark.createDataFrame(catalogue, prefixes.WEIGHTS)
+    given = spark.createDataFrame(list(enumerate(lists)), "id long, codes string").repartition(3)
+    got = {r["id"]: r["score"] for r in prefixes.sic_scores(given, "codes", table, "score").collect()}
+    assert got == {k: score(x) for k, x in enumerate(lists)}
+    assert {r["score"] for r in prefixes.sic_scores(given, "codes", table.limit(0), "score").collect()} == {0.1}
+    assert prefixes.sic_scores(given.limit(0), "codes", table, "score").count() == 0
+    with pytest.raises(errors.ConflictingRowsError):
+        prefixes.sic_scores(given, "codes", table.union(table.filter("nth = 5")))
+
+
+def test_located_as_by_filter(spark):
+    known = [shortlist.Location("a", (), ("north",), ("york", "o"), ("EC1", "N")), shortlist.Location("b", (), ("orth east",), (), ()), shortlist.Location("c", (), (), ("york",), ("NE1 2AB",))]
+    given = [(k, *x) for k, x in enumerate([("North East", "York", "ec12 1aa"), (None, "north hill", None), ("", "", ""), (None, None, None), ("south", "leeds", "NE1 2AB"), ("North East", "York", "ec12 1aa"), ("York", "x", "e1")])]
+    df = spark.createDataFrame(given, "id long, ch_address_region string, ch_address_locality string, ch_address_postcode string").repartition(3)
+    found = prefixes.located(df, prefixes.terms(spark, known).union(spark.createDataFrame([("a", "region", " "), ("a", "region", None)], prefixes.TERMS)))
+    got = sorted((r["place"], r["id"]) for r in found.collect())
+    expect = sorted((k.canonical, r["id"]) for k in known for r in df.filter(shortlist.in_place(shortlist.GeoFilter(k.regions, k.localities, k.postcodes))).collect())
+    assert got == expect and expect
+    assert prefixes.located(df, prefixes.terms(spark, known).limit(0)).columns == [*df.columns, "place"]
