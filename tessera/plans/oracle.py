@@ -272,6 +272,10 @@ SELECT org_name, cand_rank, company_number, title, hits, total FROM top""",
     "q_latest_snapshot": "SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) = 1",
     "q_text_table": f"SELECT p_brand AS brand, {_PART_KIND} AS kind, '' AS remark, count(*) AS n_rows FROM part GROUP BY 1, 2, 3",
     "q_stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "q_stream_first": "SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, event_type, value FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1",
+    "q_stream_sessions": """WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS begins FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+s AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_time, count(*) AS n FROM s GROUP BY user_id, session""",
     "q_links": f"WITH {_ANCHORS} SELECT page_id AS key, count(*) AS n_links, min(text) AS first_text, max(text) AS last_text FROM anchor GROUP BY page_id",
     "q_best_link": f"""WITH {_ANCHORS}, said AS (SELECT page_id, lower(href || ' ' || text) AS x FROM anchor WHERE regexp_matches(href, '(?i)/[a-z]')),
 scored AS (SELECT page_id, CASE WHEN contains(x, 'the') THEN 2 ELSE 0 END + CASE WHEN contains(x, 'on') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'en') THEN 1 ELSE 0 END AS score FROM said),

@@ -13,7 +13,7 @@ from tessera.operators import asof, audit, links, matching, prefixes, register,
 from tessera.plans import refresh, steps, validate, views
 from tessera.sources import companies, config, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
-from tessera.streaming import microbatch
+from tessera.streaming import microbatch, state
 
 AS_OF = "2026-02-10"
 #: Locations in the shape of an alias file, for the driver's nations and regions.
@@ -380,6 +380,37 @@ def q_stream_windows(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out").select(F.date_format(F.to_utc_timestamp("window_start", here), "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
+def _dealt_events(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
+    """The events as a stream of files that each span all times, and a last file with one later row of no one; a file
+    is a batch. And the folder."""
+    path = f"{shared_dir(spark).rstrip('/')}/tessera/stream-{uuid.uuid4().hex}"
+    # the table's times have no zone; they are taken as UTC
+    events = _table(spark, d, "events").select("event_id", F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    events.repartition(5, "event_id").write.parquet(f"{path}/in")
+    last = events.agg((F.max("ts") + F.expr("INTERVAL 1000 DAYS")).alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"), F.lit("").alias("event_type"), F.lit(0.0).alias("value"))
+    last.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in"), path
+
+
+def q_stream_first(spark: SparkSession, d: str) -> DataFrame:
+    """The first event of each user by time, from a stream whose files are out of order; as of a table by SQL."""
+    stream, path = _dealt_events(spark, d)
+    kept = state.keep_first(stream, "user_id", "ts", "event_id", "400 days")
+    query = kept.writeStream.outputMode("append").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).format("parquet").start(f"{path}/out")
+    query.awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{path}/out").select("user_id", "event_id", F.date_format(F.to_utc_timestamp("ts", F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "event_type", "value")
+
+
+def q_stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's sessions, events less than six hours apart, from the same stream."""
+    stream, path = _dealt_events(spark, d)
+    kept = state.sessions(stream, "user_id", "ts", "6 hours", "400 days")
+    query = kept.writeStream.outputMode("append").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).format("parquet").start(f"{path}/out")
+    query.awaitTermination()
+    at = lambda c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return spark.read.schema(kept.schema).parquet(f"{path}/out").select("user_id", at("first_time"), at("last_time"), "n")
+
+
 # -- values, payloads, snapshots and files --------------------------------------------------------
 
 
