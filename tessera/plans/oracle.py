@@ -192,6 +192,11 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE s) AS skilled_rows, count(
   count(DISTINCT name) FILTER (WHERE s AND a) - count(DISTINCT {_norm('name')}) FILTER (WHERE s AND a) AS merged FROM flag""",
     "q_top_towns": f"WITH reg_v AS ({_P['reg_v']}), elig AS ({_P['elig']}) SELECT town, count(*) AS n_rows, min(pos) AS first_pos FROM elig GROUP BY town ORDER BY n_rows DESC, first_pos LIMIT 10",
     "q_eligible": f"WITH reg_v AS ({_P['reg_v']}) SELECT name, town, county, rating, route, pos FROM reg_v WHERE route = 'Skilled Worker' AND lower(rating) LIKE '%a rating%'",
+    "q_merged_stats": f"""WITH reg_v AS ({_P['reg_v']}), flag AS (SELECT *, route = 'Skilled Worker' AS s, lower(rating) LIKE '%a rating%' AS a FROM reg_v)
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE s) AS skilled_rows, count(*) FILTER (WHERE a) AS a_rated_rows, count(*) FILTER (WHERE s AND a) AS filtered_rows,
+  count(DISTINCT name) FILTER (WHERE s AND a) AS unique_names, count(DISTINCT {_norm('name')}) FILTER (WHERE s AND a) AS organisations,
+  count(DISTINCT name) FILTER (WHERE s AND a) - count(DISTINCT {_norm('name')}) FILTER (WHERE s AND a) AS merged FROM flag""",
+    "q_merged_top_towns": f"WITH reg_v AS ({_P['reg_v']}), elig AS ({_P['elig']}) SELECT town, count(*) AS n_rows, min([pos % 3, pos])[1] AS first_snapshot, min([pos % 3, pos])[2] AS first_pos FROM elig GROUP BY town ORDER BY n_rows DESC, first_snapshot, first_pos LIMIT 10",
     "q_normalise": f"WITH reg_v AS ({_P['reg_v']}), n AS (SELECT pos, name, {_norm('name')} AS norm FROM reg_v) SELECT pos, name, norm, {_key('norm')} AS sort_key FROM n",
     "q_normalise_documents": f"WITH n AS (SELECT doc_id, {_norm_any('text')} AS norm FROM documents) SELECT doc_id, length(norm) AS n_norm, md5(norm) AS norm_md5 FROM n",
     "q_variants": f"WITH reg_v AS ({_P['reg_v']}), org AS (SELECT DISTINCT name AS org_name FROM reg_v), {_VAR} SELECT org_name, variant_index, variant FROM variants",
@@ -276,6 +281,10 @@ SELECT org_name, cand_rank, company_number, title, hits, total FROM top""",
     "q_stream_sessions": """WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS begins FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
 s AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_time, count(*) AS n FROM s GROUP BY user_id, session""",
+    "q_stored_differences": """WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders),
+b AS (SELECT * REPLACE (CASE WHEN o_orderkey % 503 = 0 THEN o_totalprice + 1.0::DOUBLE ELSE o_totalprice END AS o_totalprice) FROM o WHERE o_orderkey % 701 <> 0 UNION ALL SELECT * FROM o WHERE o_orderkey % 601 = 0),
+u AS (SELECT *, 1 AS x, 0 AS y FROM o UNION ALL SELECT *, 0, 1 FROM b)
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, CAST(sum(x) AS BIGINT) AS n_first, CAST(sum(y) AS BIGINT) AS n_second FROM u GROUP BY ALL HAVING sum(x) <> sum(y)""",
     "q_links": f"WITH {_ANCHORS} SELECT page_id AS key, count(*) AS n_links, min(text) AS first_text, max(text) AS last_text FROM anchor GROUP BY page_id",
     "q_best_link": f"""WITH {_ANCHORS}, said AS (SELECT page_id, lower(href || ' ' || text) AS x FROM anchor WHERE regexp_matches(href, '(?i)/[a-z]')),
 scored AS (SELECT page_id, CASE WHEN contains(x, 'the') THEN 2 ELSE 0 END + CASE WHEN contains(x, 'on') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'en') THEN 1 ELSE 0 END AS score FROM said),

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import names, values
-from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist
+from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
 from tessera.plans import refresh, steps, validate, views
-from tessera.sources import companies, config, ledger, payloads, profiles, snapshots, tables
+from tessera.sources import companies, config, digests, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
 from tessera.streaming import microbatch, state
 
@@ -94,6 +94,23 @@ def q_top_towns(spark: SparkSession, d: str) -> DataFrame:
     return register.top_values(register.eligible(_rows(spark, d)), "town")
 
 
+def _summaries(spark: SparkSession, d: str) -> list[str]:
+    """Summaries of the register's rows as three snapshots, by position."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tessera/summaries-{uuid.uuid4().hex}"
+    for k in range(3):
+        summaries.write(_rows(spark, d).filter(F.col("pos") % 3 == k), f"{folder}/{k}", k)
+    return [f"{folder}/{k}" for k in range(3)]
+
+
+def q_merged_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of three snapshots together, from their summaries."""
+    return summaries.stats(spark, _summaries(spark, d))
+
+
+def q_merged_top_towns(spark: SparkSession, d: str) -> DataFrame:
+    return summaries.top_values(spark, _summaries(spark, d), "town").withColumn("first_snapshot", F.col("first_snapshot").cast("long"))
+
+
 def q_eligible(spark: SparkSession, d: str) -> DataFrame:
     return register.eligible(_rows(spark, d))
 
@@ -308,6 +325,16 @@ def q_differences(spark: SparkSession, d: str) -> DataFrame:
     return audit.differences(a, a.filter(~F.endswith("company_number", F.lit("3"))))
 
 
+def q_stored_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as a stored table, against ones of which some are dearer, some are gone and some are there twice."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tessera/digests-{uuid.uuid4().hex}"
+    o, k = _table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"), F.col("o_orderkey")
+    other = o.filter(k % 701 != 0).withColumn("o_totalprice", F.when(k % 503 == 0, F.col("o_totalprice") + 1.0).otherwise(F.col("o_totalprice")))
+    digests.write(o, f"{folder}/first")
+    digests.write(other.union(o.filter(k % 601 == 0)), f"{folder}/second")
+    return digests.stored_differences(spark, f"{folder}/first", f"{folder}/second")
+
+
 def q_repeated_numbers(spark: SparkSession, d: str) -> DataFrame:
     """The ranking over a registry in which each seventh row repeats the number of the one before."""
     pos = F.col("company_number").cast("long")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import errors
-from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist
+from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
 from tessera.plans import steps
 from tessera.sources import profiles
 
@@ -309,3 +309,23 @@ def test_located_as_by_filter(spark):
     expect = sorted((k.canonical, r["id"]) for k in known for r in df.filter(shortlist.in_place(shortlist.GeoFilter(k.regions, k.localities, k.postcodes))).collect())
     assert got == expect and expect
     assert prefixes.located(df, prefixes.terms(spark, known).limit(0)).columns == [*df.columns, "place"]
+
+
+def test_summaries_merge(spark, tmp_path):
+    """Statistics of parts from their summaries equal those of all rows, with an empty snapshot among them."""
+    raw = RAW + [("Acme Ltd", "York", None, "A rating", "Skilled Worker"), ("Ltd", "", "", "A rating", "Skilled Worker")]
+    whole = rows(spark, raw)
+    paths = [f"{tmp_path}/{k}" for k in range(4)]
+    for k, part in enumerate(("pos < 3", "pos BETWEEN 3 AND 5", "pos > 100", "pos > 5")):
+        summaries.write(whole.filter(part), paths[k], k)
+    expect = register.stats(whole).first().asDict()
+    assert summaries.stats(spark, paths).first().asDict() == expect
+    assert summaries.stats(spark, paths[2:3]).first()["total_rows"] == 0
+    about = summaries.estimates(spark, paths).first()
+    assert (about["names"], about["organisations"], about["total_rows"]) == (expect["unique_names"], expect["organisations"], expect["total_rows"])
+    top = [tuple(r)[:2] for r in register.top_values(register.eligible(whole), "town").collect()]
+    assert [tuple(r)[:2] for r in summaries.top_values(spark, paths, "town").collect()] == top
+    summaries.write(whole.filter("pos < 3"), paths[0], 0)  # again
+    assert summaries.stats(spark, paths).first().asDict() == expect
+    with pytest.raises(errors.MissingInputError):
+        summaries.stats(spark, [])
