@@ -97,3 +97,17 @@ def the_archive_link(links: DataFrame) -> str:
     if len(named) != 1:
         raise (AmbiguousLinkError if named else LinkNotFoundError)(str([r["href"] for r in named]))
     return named[0]["href"]
+
+
+def archive_links(links: DataFrame) -> DataFrame:
+    """The same for each page (`key`) of many: href, and status found, ambiguous or missing. Links are counted by page
+    and day before pages meet, so a page of many links is no hot group."""
+    fits = F.col("href").rlike(ZIP)
+    named = fits & F.contains(F.lower("href"), F.lit("basiccompanydataasonefile"))
+    by_day = links.withColumn("day", F.when(fits, F.regexp_extract("href", _DATED, 1))).groupBy("key", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.max("href").alias("href"), F.count_if(named).alias("n_named"), F.max(F.when(named, F.col("href"))).alias("named")
+    )
+    page = by_day.groupBy("key").agg(F.max(F.when(F.col("day") != "", F.struct("day", "n", "href"))).alias("dated"), F.sum("n_named").alias("n_named"), F.max("named").alias("named"))
+    n = F.when(F.col("dated").isNotNull(), F.col("dated.n")).otherwise(F.col("n_named"))
+    href = F.when(F.col("dated").isNotNull(), F.col("dated.href")).otherwise(F.col("named"))
+    return page.select("key", F.when(n == 1, href).alias("href"), F.when(n == 1, "found").when(n > 1, "ambiguous").otherwise("missing").alias("status"))

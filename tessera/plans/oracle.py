@@ -233,12 +233,17 @@ wide AS (SELECT p_partkey, max(plus) FILTER (nth = 1) AS p1, max(minus) FILTER (
 SELECT p_partkey, round(greatest(0.0::DOUBLE, least(0.5::DOUBLE, greatest(greatest(greatest(0.1::DOUBLE, p1) + m1, p2) + m2, p3) + m3)), 6) AS score FROM wide""",
     "q_located": f"""WITH {_CLEAN}, term AS (SELECT r_name AS place, 'region' AS kind, lower(r_name) AS term FROM region UNION ALL SELECT n_name, 'locality', lower(n_name) FROM nation UNION ALL SELECT n_name, 'postcode', 'EC' || n_nationkey FROM nation),
 fits AS (SELECT DISTINCT place, company_number FROM clean JOIN term ON (kind <> 'postcode' AND contains(lower(address_locality), term)) OR (kind = 'region' AND contains(lower(address_region), term)) OR (kind = 'postcode' AND starts_with(upper(address_postcode), term)))
+SELECT place, count(*) AS n_rows, count(*) AS n_companies FROM fits GROUP BY place""",
+    "q_alias_file": f"""WITH {_CLEAN}, term AS (SELECT r_name AS place, 'region' AS kind, lower(r_name) AS term FROM region UNION ALL SELECT n_name, 'locality', lower(n_name) FROM nation UNION ALL SELECT n_name, 'postcode', 'EC' || n_nationkey FROM nation),
+fits AS (SELECT DISTINCT place, company_number FROM clean JOIN term ON (kind <> 'postcode' AND contains(lower(address_locality), term)) OR (kind = 'region' AND contains(lower(address_region), term)) OR (kind = 'postcode' AND starts_with(upper(address_postcode), term)))
 SELECT place, count(*) AS n_rows, count(*) AS n_companies FROM fits GROUP BY place""",
     "q_age_score": f"WITH {_CLEAN} SELECT company_number, date_of_creation, {_age('date_of_creation')} AS age_score FROM clean",
     "q_type_status_score": f"WITH {_CLEAN} SELECT company_number, {_type('company_type')} AS type_score, {_status('company_status')} AS status_score FROM clean",
     "q_keyword_score": f"WITH {_CLEAN} SELECT company_number, {_keywords('company_name', TECH)} AS tech_score, {_keywords('company_name', CARE)} AS care_score FROM clean",
+    "q_catalogue_file": f"WITH {_CLEAN} SELECT company_number, {_sic('sic_codes', CARE)} AS care_score, {_keywords('company_name', CARE)} AS word_score, {_type('company_type')} AS type_score, {_status('company_status')} AS status_score FROM clean",
     "q_scored": f"{_TECH} SELECT {_SLIM} FROM scored",
     "q_scored_care": f"{_CARE} SELECT {_SLIM} FROM scored",
+    "q_employee_files": f"WITH {_CLEAN}, {_EC} SELECT clean.company_number AS ch_company_number, coalesce(employee_count, '') AS employee_count, coalesce(employee_count_source, '') AS employee_count_source, coalesce(employee_count_snapshot_date, '') AS employee_count_snapshot_date FROM clean LEFT JOIN ec USING (company_number)",
     "q_employee_join": f"WITH {_CLEAN}, {_EC} SELECT clean.company_number AS ch_company_number, coalesce(employee_count, '') AS employee_count, coalesce(employee_count_source, '') AS employee_count_source, coalesce(employee_count_snapshot_date, '') AS employee_count_snapshot_date FROM clean LEFT JOIN ec USING (company_number)",
     "q_employee_conflicts": "SELECT CAST(c_nationkey AS VARCHAR) AS company_number, count(DISTINCT c_mktsegment) AS n_versions FROM customer GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1",
     "q_size_bands": f"WITH e AS (SELECT CAST(employee_count AS INT) AS n FROM ({views.sql(views.EMPLOYEES)})) SELECT {_BANDS} AS band, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS employees FROM e GROUP BY band",
@@ -285,6 +290,11 @@ SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_time, strftim
 b AS (SELECT * REPLACE (CASE WHEN o_orderkey % 503 = 0 THEN o_totalprice + 1.0::DOUBLE ELSE o_totalprice END AS o_totalprice) FROM o WHERE o_orderkey % 701 <> 0 UNION ALL SELECT * FROM o WHERE o_orderkey % 601 = 0),
 u AS (SELECT *, 1 AS x, 0 AS y FROM o UNION ALL SELECT *, 0, 1 FROM b)
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, CAST(sum(x) AS BIGINT) AS n_first, CAST(sum(y) AS BIGINT) AS n_second FROM u GROUP BY ALL HAVING sum(x) <> sum(y)""",
+    "q_archive_links": """WITH l AS (SELECT o_custkey AS key, o_orderkey % 4 AS k, '20' || strftime(o_orderdate, '%y-%m') || '-01' AS day FROM orders),
+d AS (SELECT key, day, count(*) AS c FROM l WHERE k = 0 GROUP BY key, day QUALIFY row_number() OVER (PARTITION BY key ORDER BY day DESC) = 1),
+m AS (SELECT key, count(*) FILTER (k = 1) AS c FROM l GROUP BY key), n AS (SELECT m.key, d.day, coalesce(d.c, m.c) AS c FROM m LEFT JOIN d ON d.key = m.key)
+SELECT key, CASE WHEN c <> 1 THEN NULL WHEN day IS NULL THEN 'https://example.org/basiccompanydataasonefile.zip' ELSE 'https://example.org/BasicCompanyDataAsOneFile-' || day || '.zip' END AS href,
+  CASE WHEN c = 1 THEN 'found' WHEN c > 1 THEN 'ambiguous' ELSE 'missing' END AS status FROM n""",
     "q_links": f"WITH {_ANCHORS} SELECT page_id AS key, count(*) AS n_links, min(text) AS first_text, max(text) AS last_text FROM anchor GROUP BY page_id",
     "q_best_link": f"""WITH {_ANCHORS}, said AS (SELECT page_id, lower(href || ' ' || text) AS x FROM anchor WHERE regexp_matches(href, '(?i)/[a-z]')),
 scored AS (SELECT page_id, CASE WHEN contains(x, 'the') THEN 2 ELSE 0 END + CASE WHEN contains(x, 'on') THEN 1 ELSE 0 END + CASE WHEN contains(x, 'en') THEN 1 ELSE 0 END AS score FROM said),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import names, values
 from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
 from tessera.plans import refresh, steps, validate, views
-from tessera.sources import companies, config, digests, ledger, payloads, profiles, snapshots, tables
+from tessera.sources import companies, config, digests, employees, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
 from tessera.streaming import microbatch, state
 
@@ -226,6 +226,18 @@ def q_located(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("place").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("company_number").alias("n_companies"))
 
 
+def q_alias_file(spark: SparkSession, d: str) -> DataFrame:
+    """The same places from an alias file."""
+    path = f"{shared_dir(spark).rstrip('/')}/tessera/files-{uuid.uuid4().hex}/aliases.json"
+    place = lambda name, regions, localities, codes: {"canonical_name": name, "aliases": [], "regions": regions, "localities": localities, "postcode_prefixes": codes}
+    found = [place(r["r_name"], [r["r_name"]], [], []) for r in _table(spark, d, "region").collect()]  # 5 and 25 rows at any size
+    found += [place(n["n_name"], [], [f" {n['n_name']} "], [f"ec{n['n_nationkey']}"]) for n in _table(spark, d, "nation").collect()]
+    snapshots.write_json(spark, path, {"locations": found})
+    given = prefixes.terms(spark, shortlist.locations(snapshots.read_json(spark, path)))
+    rows = prefixes.located(_clean(spark, d), given, "address_region", "address_locality", "address_postcode")
+    return rows.groupBy("place").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("company_number").alias("n_companies"))
+
+
 def q_age_score(spark: SparkSession, d: str) -> DataFrame:
     return _by_company(spark, d).select("company_number", "date_of_creation", scoring.age_score(F.col("date_of_creation"), F.lit(AS_OF).cast("date"), profiles.TECH).alias("age_score"))
 
@@ -251,6 +263,34 @@ def q_employee_join(spark: SparkSession, d: str) -> DataFrame:
     return scoring.attach_employees(rows, scoring.employee_lookup(_employees(spark, d)))
 
 
+def q_employee_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same join with a committed snapshot that was acquired from a file."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tessera/files-{uuid.uuid4().hex}"
+    tables.write_csv(_employees(spark, d).distinct().coalesce(1), f"{folder}/raw")  # one file is what a snapshot acquires
+    fs, p = tables.filesystem(spark, f"{folder}/raw")
+    refresh.refresh(spark, f"{folder}/snapshots", "employee_count", next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv")))
+    return scoring.attach_employees(_clean(spark, d).select(F.col("company_number").alias("ch_company_number")), employees.load(spark, f"{folder}/snapshots"))
+
+
+def q_catalogue_file(spark: SparkSession, d: str) -> DataFrame:
+    """Scores by a profile of a catalogue file that holds the shipped ones."""
+
+    def entry(p: scoring.Profile) -> dict:
+        share = {k: getattr(p, k) for k in ("positive_per_match", "positive_cap", "negative_per_match", "negative_cap")}
+        signals = {k: {} for k in ("sector_signals", "location_signals", "size_signals")}
+        return signals | {
+            "name": p.name, "job_type": p.job_type, "sic_positive_prefixes": p.sic_positive, "sic_negative_prefixes": p.sic_negative, "keyword_positive": list(p.keyword_positive), "keyword_negative": list(p.keyword_negative),
+            "company_type_weights": p.type_weights, "keyword_weights": share, "company_status_scores": {"active": p.active, "inactive": p.inactive}, "bucket_thresholds": {"strong": p.strong, "possible": p.possible},
+            "company_age_scores": {"unknown": p.age_unknown, "bands": [{"min_years": a, "score": x} for a, x in p.age_bands]},
+        }
+
+    path = f"{shared_dir(spark).rstrip('/')}/tessera/files-{uuid.uuid4().hex}/catalogue.json"
+    snapshots.write_json(spark, path, {"schema_version": profiles.SCHEMA_VERSION, "default_profile": profiles.CARE.name, "profiles": [entry(profiles.TECH), entry(profiles.CARE)]})
+    p = profiles.resolve(*profiles.load(spark, path))
+    codes, name = values.sic_list(F.col("sic_codes")), F.col("company_name")
+    return _by_company(spark, d).select("company_number", scoring.sic_score(codes, p).alias("care_score"), scoring.keyword_score(name, p).alias("word_score"), scoring.type_score(F.col("company_type"), p).alias("type_score"), scoring.status_score(F.col("company_status"), p).alias("status_score"))
+
+
 def q_employees_as_of(spark: SparkSession, d: str) -> DataFrame:
     """Counts of two snapshots, the later one without some companies, on days before, between and after them."""
     number = F.col("company_number").cast("long")
@@ -388,6 +428,14 @@ def q_best_link(spark: SparkSession, d: str) -> DataFrame:
     return links.best_links(found, r"(?i)/[a-z]", {"the": 2, "on": 1, "en": 1}).select(F.col("key").alias("page_id"), F.col("score").cast("long").alias("score"), "n_tied")
 
 
+def q_archive_links(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as pages whose orders are links: dated archives, one without date, other archives, no archives."""
+    k, name = F.col("o_orderkey") % 4, "https://example.org/BasicCompanyDataAsOneFile"
+    dated = F.concat(F.lit(f"{name}-20"), F.date_format("o_orderdate", "yy-MM"), F.lit("-01.zip"))
+    href = F.when(k == 0, dated).when(k == 1, f"{name.lower()}.zip").when(k == 2, "https://example.org/other.ZIP").otherwise("https://example.org/")
+    return links.archive_links(_table(spark, d, "orders").select(F.col("o_custkey").alias("key"), href.alias("href")))
+
+
 def q_text_table(spark: SparkSession, d: str) -> DataFrame:
     """Missing-value cells, coerced to a fixed set of columns."""
     s = _table(spark, d, "part").select(F.when(F.col("p_size") % 7 == 0, "N/A").otherwise(F.col("p_type")).alias("kind"), F.col("p_brand").alias("brand"))

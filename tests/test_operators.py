@@ -272,6 +272,24 @@ def test_links(spark):
         links.the_best_link(spark.createDataFrame([(1, "a.csv", ""), (1, "b.csv", "")], "key long, href string, text string"))
 
 
+def test_archive_links_of_many_pages(spark):
+    """Each page against the rule for one page."""
+    deal, base = random.Random(9), "http://e/BasicCompanyDataAsOneFile"
+    some = [f"{base}-2026-01-01.zip", f"{base}-2026-02-01.zip", f"{base}-2026-02-01.ZIP?x", f"{base}.zip", "http://e/basiccompanydataasonefile.zip", "http://e/o.zip", "http://e/p.html", None]
+    pages = [(k, deal.choice(some)) for k in range(24) for _ in range(deal.randrange(1, 4))] + [(30, some[3])]
+    df = spark.createDataFrame(pages, "key long, href string")
+    got = {r["key"]: (r["href"], r["status"]) for r in links.archive_links(df).collect()}
+    seen = set()
+    for k in {p[0] for p in pages}:
+        try:
+            expect = (links.the_archive_link(df.filter(F.col("key") == k)), "found")
+        except (errors.AmbiguousLinkError, errors.LinkNotFoundError) as e:
+            expect = (None, "ambiguous" if isinstance(e, errors.AmbiguousLinkError) else "missing")
+        assert got[k] == expect, (k, [p for p in pages if p[0] == k])
+        seen.add(expect[1])
+    assert seen == {"found", "ambiguous", "missing"} and len(got) == len({p[0] for p in pages})
+
+
 def test_catalogue_of_ten_thousand_prefixes(spark):
     """Against the fold by hand, with codes that repeat, are empty, null, long or lists of many."""
     deal = random.Random(5)
