@@ -16,7 +16,8 @@ the total of tokens only.
 Defined results: null text has no tokens and costs nothing, so it is taken whenever its leaf's
 budget is positive and its place comes before the cut; null and empty path values are the same leaf;
 repeated rows each count; an empty table gives an empty one; leaves without a weight get
-`default`; columns of any name pass through; equal order keys (repeated rows) are ordered by doc_id and text.
+`default`; columns of any name pass through; equal order keys (repeated rows) are ordered by doc_id and text;
+rows without doc_id have their place by their text, so that they fall into all slices, too.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def choose(docs: DataFrame, path: Mapping[str, Column], *, weights: Mapping[tupl
     left = F.col("budget") - F.col("epoch") * F.col("tokens")  # what the epochs before left
     goal = goal.filter(left > 0).withColumn("budget", F.least(left, F.col("tokens"))).drop("tokens")
     goal = materialize(goal, "mix-budgets")
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("body_key").cast("string")))).cast("binary"))  # rows without doc_id are dealt by text
     placed = units.join(goal, names).withColumn("order_key", key)  # a row per leaf and epoch; its size decides how they meet
     placed = placed.withColumn("slice", F.conv(F.substring("order_key", 1, 3), 16, 10).cast("int"))  # three hex digits: SLICES
     group = [*names, "epoch"]

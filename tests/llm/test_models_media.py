@@ -1,5 +1,7 @@
 """Classifiers, media, extraction, mixing and the pipeline."""
 
+import hashlib
+import math
 import time
 import glob
 import os
@@ -215,7 +217,6 @@ def test_back_references_are_written_and_read():
 
 def test_media_query(spark, tmp_path):
     """Every column of the query by plain means, over the stored files themselves."""
-    import hashlib
     import math
 
     rows = [(1, None), (2, ""), (3, "é😀" * 50), (4, "plain text, " * 900), (4, "plain text, " * 900), (5, "x" * 64), (6, "\0")]
@@ -557,7 +558,6 @@ def test_mix_takes_prefixes(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 7)), "en" if i % 3 else "de", "src0" if i % 2 else f"src{i % 13}", 0) for i in range(400)] + [(400, None, None, None, 0), (0, "w", "de", "src0", 0), (0, "w", "de", "src0", 0)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
     got = mixing.choose(d, mixing.source_path(), weights=mixing.WEIGHTS, share=0.6, epochs=2).collect()
-    import hashlib
 
     units = defaultdict(int)
     for i, t, lang, source, _ in rows:
@@ -583,6 +583,24 @@ def test_mix_takes_prefixes(spark):
     assert whole.columns == d.columns and whole.count() > 0 and mixing.choose(d.filter("doc_id < 0"), mixing.source_path(), weights={}, share=1.0).count() == 0
 
 
+def test_mix_of_rows_without_doc_id(spark):
+    """They are dealt to all slices by their text, and the leaf's prefix is the one by hand."""
+    texts = [f"w{k} " * (1 + k % 5) for k in range(3000)] + [None, "", "w1 w1 "]
+    d = spark.createDataFrame([(None, t, "en", "s") for t in texts], "doc_id long, text string, lang string, source string").repartition(4)
+    got = mixing.choose(d, mixing.source_path(), weights={}, share=0.5).collect()
+    units = {r["k"]: r["n"] for r in d.selectExpr("xxhash64(text) AS k", "size(filter(split(coalesce(text, ''), '[ ]+'), w -> w <> '')) AS n").groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    place = {k: hashlib.md5(f"{mixing.SEED}:0:text:{k}".encode()).hexdigest() for k in units}
+    assert len({v[:3] for v in place.values()}) > 2000
+    budget, total, expect = math.floor(0.5 * sum(units.values()) + 1e-6), 0, set()
+    for k in sorted(units, key=place.get):
+        total += units[k]
+        if total > budget:
+            break
+        expect.add(k)
+    assert {r["body_key"] for r in got} == expect and 1000 < len(expect) < 2000
+
+
+
 # -- queries and the pipeline -----------------------------------------------------------------
 
 
