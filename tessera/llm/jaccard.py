@@ -20,16 +20,26 @@ The product is never taken whole:
 
 Rows that thousands of others are compared with are spread over several tasks (`CHUNK` rows each), and
 a block that is multiplied in full falls into tiles of `TILE` by `TILE` rows. Buckets of block keys
-grow in number with the shingles of the corpus. Links inside a component that its connection doesn't
-need are not computed.
+grow in number with the shingles of the corpus.
+
+jaccard_components() stops there: links inside a component that its connection doesn't need are not
+computed. jaccard_join() counts them all. Links lie within components and between neighbouring size
+classes, so each component's classes are dealt into tiles (`LINK_TILE` rows, fewer of long sets), and
+each pair of tiles is one block of the product: overlaps accumulate over runs of shared columns, what
+is below the bound is discarded, and only counts a row leave the task. Every pair is in one block, so
+nothing is counted twice; no pair is emitted. The work of a component of n different sets is n * n / 2
+products; rows sent to tasks are n * n / LINK_TILE, equal sets being one row with their number.
 
 Defined results: documents without words (null, empty, white space) have an empty set and are
 linked with nothing; equal sets are linked; rows that repeat a doc_id are treated as rows of their
-own that may link, also without doc_id, whose component's id is the least doc_id there is; an empty table gives an empty one; other columns are ignored.
+own that may link, also without doc_id, whose component's id is the least doc_id there is; a row's
+links are the other rows it links with, equal sets included; an empty table gives an empty one; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,7 +54,6 @@ from tessera.llm._text import LOWER, U64, Hasher, mix, pieces, words
 from tessera.llm.components import components
 
 
-
 @dataclass(frozen=True)
 class Rule:
     """Linked: shingles of `width` words with of * overlap >= number * union."""
@@ -57,6 +66,8 @@ class Rule:
 #: The rule that the query's contract states; stages take Rule()'s five words and 0.8.
 CONTRACT = Rule(4, 85, 100)
 CHUNK, TILE, BUCKET_SHINGLES = 128, 2048, 4_000_000
+#: Rows and shingles of a tile whose links are counted, shingles that one call takes, columns multiplied at once.
+LINK_TILE, LINK_SHINGLES, CALL_SHINGLES, COLUMNS = 256, 500_000, 2_000_000, 4096
 _RATIO = 1.5  # of neighbouring size classes; rules below 1 / _RATIO take wider ones
 
 
@@ -339,8 +350,8 @@ def _sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, rule: Rule) -
     return whole_texts(texts, "set_id").mapInArrow(look, "set_id long, size long, coarse binary, bits binary, shingles binary")
 
 
-def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, set_id, component_id for every row of docs."""
+def _connect(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row with its set, the wanted sets, and (node, label) of the sets that link with another."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = materialize(document_sets(docs, rule), "document-sets")
@@ -364,15 +375,114 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             merged = components(links)
-    grouped = known.join(merged, known["set_id"] == merged["node"], "left").select("doc_id", "n_shingles", "set_id", F.coalesce("label", "set_id").alias("label"))
+    return known, sets, merged
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+    """Shared elements of each row of left with each of right (None: of left with itself), as sums of
+    products of COLUMNS incidence columns; columns that only one side or one row has are left out."""
+    rows = left if right is None else left + right
+    size = np.array([len(x) for x in rows])
+    columns, at = np.unique(np.concatenate(rows), return_inverse=True)
+    row = np.repeat(np.arange(len(rows)), size)
+    on_left = row < len(left)
+    if right is None:
+        shared = np.bincount(at, minlength=len(columns)) > 1
+    else:
+        shared = (np.bincount(at[on_left], minlength=len(columns)) > 0) & (np.bincount(at[~on_left], minlength=len(columns)) > 0)
+    place = np.cumsum(shared) - 1
+    row, at = row[shared[at]], place[at[shared[at]]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((len(left), len(rows if right is None else right)), np.int64)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(at, (first, first + COLUMNS))
+        part = np.zeros((len(rows), COLUMNS), np.float32)
+        part[row[a:b], at[a:b] - first] = 1
+        out += (part[: len(left)] @ (part if right is None else part[len(left) :]).T).astype(np.int64)
+    return out
+
+
+def _linked_rows(known: DataFrame, sets: DataFrame, merged: DataFrame, rule: Rule) -> DataFrame:
+    """(node, linked): for sets within components, how many rows have another set that links with it."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        node, total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for (_, _, low, high, wide), tile in rows.groupby(["label", "tile_class", "low", "high", "wide"], sort=False):
+            ids, size, copies, side = (tile[c].to_numpy() for c in ("node", "size", "copies", "side"))
+            packed = [np.frombuffer(x, U64) for x in tile["shingles"]]
+            one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            alone = not wide and low == high
+            if alone:
+                two = one
+            if not len(one) or not len(two):
+                continue
+            common = overlaps([packed[i] for i in one], None if alone else [packed[i] for i in two])
+            hit = rule.of * common >= rule.number * (size[one][:, None] + size[two][None, :] - common)
+            if alone:
+                np.fill_diagonal(hit, False)
+            node.append(ids[one])
+            total.append(hit @ copies[two])
+            if not alone:
+                node.append(ids[two])
+                total.append(hit.T @ copies[one])
+        return pd.DataFrame({"node": np.concatenate(node), "linked": np.concatenate(total)})
+
+    copies = known.join(merged, known["set_id"] == merged["node"], "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.select(F.col("set_id").alias("copied"), "copies")
+    size = sets.select("set_id", "size")
+    geometric = math.log(max(_RATIO, 1.01 * rule.of / rule.number))  # linked sizes are in one class or in neighbours
+    rows = merged.join(size, merged["node"] == size["set_id"]).join(copies, F.col("node") == F.col("copied"))
+    rows = materialize(rows.select("label", "node", "copies", "size", F.floor(F.log("size") / geometric).cast("int").alias("class")), "linked-sets")
+    slots = rows.groupBy("label", "class").agg(F.count(F.lit(1)).alias("n"), F.greatest(F.ceil(F.count(F.lit(1)) / LINK_TILE), F.ceil(F.sum("size") / LINK_SHINGLES)).cast("int").alias("slots"))
+    slots = materialize(slots, "link-slots")
+    beside = lambda by, name: slots.select("label", (F.col("class") + by).alias("class"), F.col("slots").alias(name))
+    slots = slots.join(beside(-1, "above"), ["label", "class"], "left").join(beside(1, "below"), ["label", "class"], "left")
+    slots = materialize(slots.select(F.col("label").alias("of_label"), F.col("class").alias("of_class"), "n", "slots", "above", "below"), "link-slots")
+    dealt = rows.join(slots, (F.col("label") == F.col("of_label")) & (F.col("class") == F.col("of_class"))).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    tile = lambda cls, low, high, wide, side: F.struct(cls.cast("int").alias("tile_class"), low.cast("int").alias("low"), high.cast("int").alias("high"), F.lit(wide).alias("wide"), side.cast("int").alias("side"))
+    slot, cls = F.col("slot"), F.col("class")
+    own = F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: tile(cls, F.least(slot, o), F.greatest(slot, o), False, slot > o))
+    up = F.transform(F.sequence(F.lit(0), F.col("above") - 1), lambda o: tile(cls, slot, o, True, F.lit(0)))
+    down = F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda o: tile(cls - 1, o, slot, True, F.lit(1)))
+    none = F.filter(own, lambda _: F.lit(False))
+    tiles = F.concat(F.when(F.col("n") > 1, own).otherwise(none), F.coalesce(up, none), F.coalesce(down, none))
+    dealt = materialize(dealt.select("label", "node", "copies", F.explode(tiles).alias("t")).select("label", "node", "copies", "t.*"), "link-tiles")
+    load = dealt.join(size, dealt["node"] == size["set_id"]).agg(F.sum("size")).first()[0] or 0
+    parts = max(8 * shuffle_width(known.sparkSession), load // CALL_SHINGLES)
+    whole = dealt.join(sets.select(F.col("set_id").alias("node"), "size", "shingles"), "node")
+    part = F.pmod(F.xxhash64("label", "tile_class", "low", "high", "wide"), F.lit(parts)).alias("part")
+    counted = whole.select(part, *dealt.columns, "size", "shingles").groupBy("part").applyInPandas(count, "node long, linked long")
+    return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
+def _with_component(known: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
+    grouped = known.join(labels, known["set_id"] == labels["node"], "left").select("doc_id", "n_shingles", "set_id", F.coalesce("label", "set_id").alias("label"), *more)
     least = materialize(grouped.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least-ids")
     out = grouped.join(least, "label", "left")
-    return out.select("doc_id", "n_shingles", "set_id", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "n_shingles", "set_id", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), *more)
+
+
+def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles, set_id, component_id for every row of docs."""
+    known, _, merged = _connect(docs, rule)
+    return _with_component(known, merged)
+
+
+def jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles, set_id, component_id, n_links (other rows linked with it) for every row of docs."""
+    known, sets, merged = _connect(docs, rule)
+    linked = materialize(_linked_rows(known, sets, merged, rule), "linked-rows").withColumnRenamed("node", "linked_node")
+    copies = known.filter("n_shingles > 0").groupBy("set_id").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").withColumnRenamed("set_id", "copied")
+    nodes = merged.join(copies, F.col("node") == F.col("copied"), "full").select(F.coalesce("node", "copied").alias("node"), F.coalesce("label", "copied").alias("label"), F.coalesce("copies", F.lit(1)).alias("copies"))
+    nodes = nodes.join(linked, F.col("node") == F.col("linked_node"), "left").select("node", "label", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"))
+    out = _with_component(known, materialize(nodes, "set-links"), "links")
+    return out.select("doc_id", "n_shingles", "set_id", "component_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links)."""
-    return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"), CONTRACT).select("doc_id", "n_shingles", "component_id")
+    """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links), n_links."""
+    return jaccard_join(read(spark, sf_dir, "documents").select("doc_id", "text"), CONTRACT).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 OP5_SQL = r"""
@@ -384,6 +494,8 @@ WITH RECURSIVE word AS (
 ), link AS (
   SELECT a.doc_id AS x, b.doc_id AS y FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN size m ON m.doc_id = a.doc_id JOIN size n ON n.doc_id = b.doc_id
   GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
-), reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
-SELECT reach.x AS doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(reach.y) AS component_id FROM reach LEFT JOIN size ON size.doc_id = reach.x GROUP BY reach.x
+), reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y
+), degree AS (SELECT x, count(*) AS n_links FROM link GROUP BY x)
+SELECT reach.x AS doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(reach.y) AS component_id, coalesce(any_value(degree.n_links), 0) AS n_links
+FROM reach LEFT JOIN size ON size.doc_id = reach.x LEFT JOIN degree ON degree.x = reach.x GROUP BY reach.x
 """

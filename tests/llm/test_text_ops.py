@@ -126,6 +126,51 @@ def test_jaccard(spark, monkeypatch, rule, tile):
     assert got == brute_components(rows, rule)
 
 
+def brute_links(rows, rule):
+    s = sets_of(rows, rule.width)
+    return {i: sum(i != j and bool(s[i]) and bool(s[j]) and rule.of * len(s[i] & s[j]) >= rule.number * len(s[i] | s[j]) for j in s) for i in s}
+
+
+@pytest.mark.parametrize("rule", [jaccard.CONTRACT, jaccard.Rule(2, 60, 100)])
+@pytest.mark.parametrize(("tile", "shingles", "columns"), [(jaccard.LINK_TILE, jaccard.LINK_SHINGLES, jaccard.COLUMNS), (4, 900, 16)])
+def test_jaccard_links(spark, monkeypatch, rule, tile, shingles, columns):
+    """Links of every row, counted tile by tile; sizes on both sides of class borders, copies of many sets."""
+    for name, value in (("LINK_TILE", tile), ("LINK_SHINGLES", shingles), ("COLUMNS", columns)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = np.random.default_rng(8)
+    rows = list(EDGE)
+    base = [[f"w{x}" for x in rng.integers(0, 5000, n)] for n in (7, 20, 64, 300)]
+    for k in range(140):
+        w = list(base[k % 4])
+        for _ in range(int(rng.integers(0, 1 + len(w) // 14))):
+            w[int(rng.integers(len(w)))] = f"e{rng.integers(0, 20)}"
+        rows.append((100 + k, " ".join(w[: len(w) - int(rng.integers(0, 1 + len(w) // 7))])))
+    rows += [(300 + k, rows[-1 - k % 9][1]) for k in range(20)]
+    got = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in jaccard.jaccard_join(docs(spark, rows), rule).collect()}
+    links, placed = brute_links(rows, rule), brute_components(rows, rule)
+    assert got == {i: (links[i], placed[i][1]) for i in placed} and max(links.values()) > 9
+
+
+def test_jaccard_links_edges(spark):
+    assert jaccard.jaccard_join(empty(spark)).count() == 0
+    apart = jaccard.jaccard_join(docs(spark, [(1, "a b c d e f"), (2, "u v w x y z")])).collect()
+    assert sorted((r["doc_id"], r["n_links"]) for r in apart) == [(1, 0), (2, 0)]
+    some = jaccard.jaccard_join(docs(spark, [(5, "a b c d e"), (5, "a b c d e"), (3, "A b c d e"), (4, None), (None, "a b c d e"), (6, " ")])).collect()
+    assert sorted((r["doc_id"] or 0, r["n_links"]) for r in some) == [(0, 3), (3, 3), (4, 0), (5, 3), (5, 3), (6, 0)]
+
+
+@given(st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=30, unique=True), min_size=1, max_size=9), st.integers(0, 8))
+def test_overlaps(rows, cut):
+    sets = [np.sort(np.array(r, np.uint64)) for r in rows]
+    cut = min(cut, len(sets) - 1)
+    alone, both = jaccard.overlaps(sets, None), jaccard.overlaps(sets[: cut + 1], sets[cut:])
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows):
+            common = len(set(x) & set(y))
+            assert i == j or alone[i, j] == common
+            assert i > cut or j < cut or both[i, j - cut] == common
+
+
 def test_jaccard_edges(spark):
     assert jaccard.jaccard_components(empty(spark)).count() == 0
     twice = jaccard.jaccard_components(docs(spark, [(5, "a b c d e"), (5, "a b c d e"), (3, "A b c d e"), (4, None)])).collect()
