@@ -1,23 +1,64 @@
 """The corpus pipeline, stage by stage against brute force on its own input."""
 
+import hashlib
+import math
 import os
+import re
+import zlib
+from collections import defaultdict
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from tessera.llm import jaccard, lines, mixing, quality
+from tessera.llm import jaccard, lines, mixing, packing, quality
+from tests.llm.test_models_media import plain_budgets, plain_quality
 from tests.llm.test_text_ops import brute_components, brute_lines
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
+def brute_mix(rows):
+    """Ids that a tree dealt recursively takes, each leaf its longest prefix by seeded digest. rows: (doc_id, text, lang, source)."""
+    units, supply = {}, defaultdict(int)
+    for i, text, lang, source in rows:
+        number = re.search(r"([0-9]+)$", source or "")
+        number = int(number[1]) if number else 99
+        leaf = ("web" if number <= 9 else "books" if number <= 15 else "code", lang or "", source or "")
+        units[i] = (leaf, len([w for w in re.split(r"[ \t\n\x0B\f\r]+", text) if w]))
+        supply[leaf] += units[i][1]
+    out = set()
+    for leaf, budget in plain_budgets(dict(supply), mixing.SHARE * sum(supply.values()), mixing.WEIGHTS).items():
+        total = 0
+        for i in sorted((i for i in units if units[i][0] == leaf), key=lambda i: hashlib.md5(f"{mixing.SEED}:0:{i}".encode()).hexdigest()):
+            total += units[i][1]
+            if total <= budget:
+                out.add(i)
+    return out
+
+
+def brute_pieces(rows):
+    """doc_id, piece -> start, length, checksum, tokenized text by text."""
+    from tokenizers import Tokenizer
+
+    tokenizer, out = Tokenizer.from_file(packing.default_tokenizer()), {}
+    for i, text in rows:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        for k in range(math.ceil(len(ids) / 4096)):
+            part = ids[4096 * k : 4096 * (k + 1)]
+            out[i, k] = (4096 * k, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
+    return out
+
+
 def test_stages(spark):
     docs = cp.read(spark, SF, "documents")
     before = {r["doc_id"]: r for r in docs.collect()}
     out = cp.materialize(cp.quality_filter(spark, docs, SF), "t")
     field = quality.teach(docs, cp.read(spark, SF, "labels"))
-    good = {r["doc_id"] for r in quality.score_quality(docs, field, ["doc_id"]).collect() if r["score"] >= quality.KEEP_FROM}
+    score = {i: field.score(np.array([plain_quality(r["text"], field)]))[0] for i, r in before.items()}
+    good = {i for i, x in score.items() if x >= quality.KEEP_FROM}
+    assert min(abs(x - quality.KEEP_FROM) for x in score.values()) > 1e-4  # no rounding decides
     assert out.columns == cp.COLUMNS and {r["doc_id"] for r in out.collect()} == good and len(good) > 0.7 * len(before)
 
     rows = [(r["doc_id"], r["text"]) for r in out.collect()]
@@ -31,11 +72,16 @@ def test_stages(spark):
     assert out.columns == cp.COLUMNS and {r["doc_id"] for r in out.collect()} == keep
 
     mixed = cp.materialize(cp.mix(spark, out, SF), "t")
-    chosen = {r["doc_id"] for r in mixing.choose(out, mixing.source_path(), weights=mixing.WEIGHTS, share=mixing.SHARE).collect()}
+    chosen = brute_mix([(r["doc_id"], r["text"], r["lang"], r["source"]) for r in out.collect()])
     assert mixed.columns == cp.COLUMNS and {r["doc_id"] for r in mixed.collect()} == chosen and 0 < len(chosen) < len(keep)
 
     packed = cp.pack(spark, mixed, SF).toPandas()
-    assert set(packed["doc_id"]) == chosen and packed.groupby("sequence_id")["length"].sum().max() <= 4096
+    pieces = {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packed.itertuples()}
+    assert pieces == brute_pieces([(i, expect[i]) for i in chosen])
+    full = packed.groupby("sequence_id")["length"].sum()
+    assert full.max() <= 4096 and len(full) == math.ceil(packed["length"].sum() / 4096) + int(packed["gap"].max())
+    for _, row in packed.sort_values("offset").groupby("sequence_id"):
+        assert (row["offset"] == row["length"].cumsum() - row["length"]).all()
 
 
 def test_run_is_registered_and_agrees(spark):
