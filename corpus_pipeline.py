@@ -11,8 +11,8 @@ are near each other under one doc_id and so stay together, are mixed as one and
 equal texts the least doc_id stays in the third stage, and rows without doc_id do; an empty table
 passes through all stages.
 
-SQL can't express the classifier, the mix or the packing, so there is no ORACLE_SQL; tests/llm/test_pipeline.py holds line
-dedup and near duplicates against brute force, the other stages against their operators.
+SQL can't express the classifier, the mix or the packing, so there is no ORACLE_SQL; tests/llm/test_pipeline.py holds
+every stage against brute force on its own input (the classifier's scores for the weights it learnt).
 """
 
 from __future__ import annotations
