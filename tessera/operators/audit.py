@@ -11,6 +11,13 @@ from tessera.errors import AuditError
 from tessera.functions import names, values
 
 
+#: Metrics that have to be 0.
+STRUCTURE = (
+    "duplicate_org_enriched", "duplicate_org_unmatched", "overlap_org_between_sets",
+    "missing_ch_company_number", "missing_ch_company_name", "missing_match_score", "missing_score_name_similarity",
+)
+
+
 @dataclass(frozen=True)
 class Thresholds:
     low_similarity: float = 0.60
@@ -55,14 +62,27 @@ def check_structure(m: dict) -> None:
     for key, said in (("duplicate_org_enriched", "organisations repeat among the matched"), ("duplicate_org_unmatched", "organisations repeat among the unmatched"), ("overlap_org_between_sets", "organisations are matched and unmatched")):
         if m[key]:
             raise AuditError(said)
-    missing = [k.removeprefix("missing_") for k in ("missing_ch_company_number", "missing_ch_company_name", "missing_match_score", "missing_score_name_similarity") if m[k]]
+    missing = [k.removeprefix("missing_") for k in STRUCTURE if k.startswith("missing_") and m[k]]
     if missing:
         raise AuditError(f"key fields are missing: {missing}")
 
 
+def _limits(t: Thresholds) -> dict[str, int]:
+    return {"low_similarity_matches": t.max_low_similarity, "non_active_matches": t.max_non_active, "non_unique_company_number_rows": t.max_shared_numbers, "near_threshold_unmatched": t.max_near}
+
+
 def breaches(m: dict, t: Thresholds = Thresholds()) -> list[str]:
-    limits = {"low_similarity_matches": t.max_low_similarity, "non_active_matches": t.max_non_active, "non_unique_company_number_rows": t.max_shared_numbers, "near_threshold_unmatched": t.max_near}
-    return [f"{k}: {m[k]} > {most}" for k, most in limits.items() if m[k] > most]
+    return [f"{k}: {m[k]} > {most}" for k, most in _limits(t).items() if m[k] > most]
+
+
+def findings(m: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """check_structure() and breaches() as a relation, for the metrics of any number of runs: per row of m
+    and check the columns of m that name the run (run...), kind, name, value, the most that passes, and whether it failed."""
+    checks = [("structure", k, 0) for k in STRUCTURE] + [("threshold", k, most) for k, most in _limits(t).items()]
+    rows = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(k).alias("name"), F.col(k).cast("long").alias("value"), F.lit(most).cast("long").alias("most")) for kind, k, most in checks])
+    other = [c for c in m.columns if c.startswith("run")]
+    out = m.select(*other, F.explode(rows).alias("x")).select(*other, "x.*")
+    return out.withColumn("failed", F.col("value") > F.col("most"))
 
 
 def differences(a: DataFrame, b: DataFrame) -> DataFrame:

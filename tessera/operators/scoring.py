@@ -132,12 +132,18 @@ def attach_employees_as_of(rows: DataFrame, history: DataFrame, day: str) -> Dat
     return out.withColumns({c: values.text(F.col(c)) for c in counts})
 
 
+def bad_scores(rows: DataFrame, column: str = "match_score") -> DataFrame:
+    """(value, n_rows): what the column has beside numbers, blanks as '<empty>'."""
+    t = names.strip(values.text(F.col(column)))
+    bad = rows.filter(t.try_cast("double").isNull()).select(F.when(t == "", "<empty>").otherwise(t).alias("value"))
+    return bad.groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def check_scores(rows: DataFrame, column: str = "match_score") -> None:
     """Raise with up to five sorted samples if the column has anything but numbers."""
-    t = names.strip(values.text(F.col(column)))
-    bad = rows.filter(t.try_cast("double").isNull()).select(F.when(t == "", "<empty>").otherwise(t).alias("v")).distinct().orderBy("v").limit(5).collect()
+    bad = bad_scores(rows, column).orderBy("value").limit(5).collect()
     if bad:
-        raise InvalidValueError(column, [r["v"] for r in bad])
+        raise InvalidValueError(column, [r["value"] for r in bad])
 
 
 def scored(enriched: DataFrame, p: Profile, as_of: Column, lookup: DataFrame) -> DataFrame:

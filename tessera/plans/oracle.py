@@ -259,6 +259,22 @@ u AS (SELECT count(*) AS unmatched_rows, count(*) FILTER (WHERE best_candidate_s
 o AS (SELECT count(*) AS overlap_org_between_sets FROM (SELECT org_name FROM enriched INTERSECT SELECT org_name FROM unmatched)),
 n AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS non_unique_company_number_rows FROM (SELECT count(*) AS c FROM enriched WHERE ch_company_number <> '' GROUP BY ch_company_number HAVING count(*) > 1))
 SELECT *, enriched_rows + unmatched_rows AS total_rows FROM e, u, o, n""",
+    "q_audit_findings": f"""{_MATCH}, twice AS (SELECT * FROM enriched UNION ALL SELECT * FROM enriched WHERE length(org_name) % 7 = 0), v AS (
+SELECT 'structure' AS kind, 'duplicate_org_enriched' AS name, count(*) - count(DISTINCT org_name) AS value, 0 AS most FROM twice
+UNION ALL SELECT 'structure', 'duplicate_org_unmatched', count(*) - count(DISTINCT org_name), 0 FROM unmatched
+UNION ALL SELECT 'structure', 'overlap_org_between_sets', count(*), 0 FROM (SELECT org_name FROM twice INTERSECT SELECT org_name FROM unmatched)
+UNION ALL SELECT 'structure', 'missing_ch_company_number', count(*) FILTER (WHERE ch_company_number = ''), 0 FROM twice
+UNION ALL SELECT 'structure', 'missing_ch_company_name', count(*) FILTER (WHERE ch_company_name = ''), 0 FROM twice
+UNION ALL SELECT 'structure', 'missing_match_score', count(*) FILTER (WHERE match_score IS NULL), 0 FROM twice
+UNION ALL SELECT 'structure', 'missing_score_name_similarity', count(*) FILTER (WHERE score_name_similarity IS NULL), 0 FROM twice
+UNION ALL SELECT 'threshold', 'low_similarity_matches', count(*) FILTER (WHERE score_name_similarity < 0.6::DOUBLE), 1 FROM twice
+UNION ALL SELECT 'threshold', 'near_threshold_unmatched', count(*) FILTER (WHERE best_candidate_score >= 0.7::DOUBLE), 2 FROM unmatched
+UNION ALL SELECT 'threshold', 'non_active_matches', count(*) FILTER (WHERE ch_company_status <> 'active'), 3 FROM twice
+UNION ALL SELECT 'threshold', 'non_unique_company_number_rows', coalesce(sum(c), 0), 4 FROM (SELECT count(*) AS c FROM twice WHERE ch_company_number <> '' GROUP BY ch_company_number HAVING count(*) > 1))
+SELECT kind, name, CAST(value AS BIGINT) AS value, CAST(most AS BIGINT) AS most, value > most AS failed FROM v""",
+    "q_bad_scores": """WITH m AS (SELECT CASE c_custkey % 3 WHEN 0 THEN CAST(c_acctbal AS VARCHAR) WHEN 1 THEN c_mktsegment ELSE '' END AS v FROM customer)
+SELECT CASE WHEN v = '' THEN '<empty>' ELSE v END AS value, count(*) AS n_rows FROM m WHERE try_cast(v AS DOUBLE) IS NULL GROUP BY 1""",
+    "q_newest_file": "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey >= 10",
     "q_determinism": f"WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences FROM top",
     "q_differences": f"""WITH {_REG}, {_CLEAN}, {_VAR}, {_BLOCK}, {_POOL}, a AS (SELECT org_name, company_number, total FROM top), b AS (SELECT * FROM a WHERE company_number NOT LIKE '%3')
 (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",

@@ -350,6 +350,21 @@ def q_audit(spark: SparkSession, d: str) -> DataFrame:
     return audit.metrics(m.enriched, m.unmatched)
 
 
+def q_audit_findings(spark: SparkSession, d: str) -> DataFrame:
+    """Every check on the outputs with some organisations twice, under limits that some metrics exceed."""
+    m = _matched(spark, d)
+    enriched = stored(m.enriched, "audited")
+    twice = enriched.unionByName(enriched.filter(F.length("org_name") % 7 == 0))
+    return audit.findings(audit.metrics(twice, m.unmatched), audit.Thresholds(max_low_similarity=1, max_near=2, max_non_active=3, max_shared_numbers=4))
+
+
+def q_bad_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Customers' balances with words and blanks among them, read as scores."""
+    k = F.col("c_custkey") % 3
+    mixed = F.when(k == 0, F.col("c_acctbal").cast("string")).when(k == 1, F.concat(F.lit(" "), "c_mktsegment")).otherwise(" ")
+    return scoring.bad_scores(_table(spark, d, "customer").select(mixed.alias("match_score")))
+
+
 def q_determinism(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the ranking, and rows that differ once the inputs are dealt otherwise."""
     c = ["org_name", "company_number", "total"]
@@ -595,6 +610,15 @@ def q_quoted_breaks(spark: SparkSession, d: str) -> DataFrame:
     return _read_back(tables.read_csv(spark, f"{_texts(spark, d)}/csv", na_cells=False))
 
 
+def q_newest_file(spark: SparkSession, d: str) -> DataFrame:
+    """Of a folder's CSV files the one written last, whatever the names; its columns are required."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tessera/registers-{uuid.uuid4().hex}"
+    c = _table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    for name, part in (("b.csv", F.col("c_nationkey") < 10), ("a.csv", F.col("c_nationkey") >= 10), ("c.txt", F.lit(True))):
+        tables.write_csv(c.filter(part), f"{folder}/{name}")
+    return tables.read_register(spark, folder, ("c_custkey", "c_name")).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"))
+
+
 def q_archive(spark: SparkSession, d: str) -> DataFrame:
     """The same through an archive of several members."""
     folder = _texts(spark, d)

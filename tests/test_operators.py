@@ -209,6 +209,11 @@ def test_audit(spark):
     with pytest.raises(errors.AuditError):
         audit.check_structure(m)
     assert audit.breaches(m) == [] and audit.breaches(m, audit.Thresholds(max_non_active=0)) != []
+    rows = spark.createDataFrame([m]).withColumn("run", F.lit("r1"))
+    for t in (audit.Thresholds(), audit.Thresholds(max_non_active=0)):
+        found = audit.findings(rows, t).filter("failed AND kind = 'threshold'").collect()
+        assert [f"{r['name']}: {r['value']} > {r['most']}" for r in found] == audit.breaches(m, t) and all(r["run"] == "r1" for r in found)
+    assert audit.findings(rows).count() == len(audit.STRUCTURE) + 4 and audit.findings(rows.filter("false")).count() == 0
     assert audit.differences(e, e).count() == 0
 
 
