@@ -4,10 +4,15 @@ Blocking runs over distinct sets of words, not over companies, and never joins o
 frequent word: a company that has two of its words has one of the others. Each pair is made by the
 first other word that both have, so no pair is made twice and nothing is grouped after the join;
 hits are counted on the pair itself. Companies are joined in only after the minimum of hits.
+
+A set's numbers lie in blocks that double. Before any number is listed, the blocks of a variant are counted in
+order, and none is read that begins behind the place where enough numbers are complete: at most about twice
+as many numbers are listed as are kept, however many companies share a set or sets share words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,14 +44,22 @@ def query_variants(orgs: DataFrame) -> DataFrame:
 class Index:
     """What matching reads of a registry. postings: slot (a word, and which of its parts), words (a distinct set of
     words as text), title_tokens (the set), least (its least company number); frequency: token, n (sets that have it),
-    parts; numbers: words, company_number, nth (its place among the set's); companies: registry.companies(), best with registry.described()."""
+    parts; numbers: words, block (see _block), first, last, n, listed (company_number, same: the least number of the set whose company scores
+as this one does); companies: registry.companies(), best with registry.described(). most: numbers of a set beyond so many are left out. faces: same, and what scores need of such companies,
+each once; else companies are asked."""
 
     postings: DataFrame
     frequency: DataFrame
     numbers: DataFrame
     companies: DataFrame
+    most: int | None = None
+    faces: DataFrame | None = None
 
 
+#: What decides a company's scores beside its set of words.
+FACE = ("title_norm", "address_locality", "address_region", "company_status")
+#: Blocks of a set's numbers double up to so many.
+BLOCK = 1 << 12
 #: Up to so many words are looked up by value, which prunes the index's buckets.
 LOOKED_UP = 2000
 #: A word that more sets have is dealt to several slots of a stored index.
@@ -57,17 +70,44 @@ def _slot(token: Column, part: Column) -> Column:
     return F.concat_ws("/", token, part.cast("string"))
 
 
-def index(companies: DataFrame, per_part: int | None = None) -> Index:
+def _block(nth: Column) -> Column:
+    """The block of a set's nth number from 1: 1, 2, 3-4, 5-8 and so on up to BLOCK, then BLOCK each."""
+    doubling = F.when(nth == 1, 0).otherwise(F.length(F.bin((nth - 1).cast("long"))))
+    return F.when(nth <= BLOCK, doubling).otherwise(BLOCK.bit_length() - 2 + F.ceil(nth / BLOCK)).cast("int")
+
+
+def _last_block(n: int) -> int:
+    """_block() of one place."""
+    return (n - 1).bit_length() if n <= BLOCK else BLOCK.bit_length() - 2 - (-n // BLOCK)
+
+
+def index(companies: DataFrame, per_part: int | None = None, most: int | None = None, keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> Index:
     """The index of registry.companies(), derived as it is read. per_part: the most sets of a slot, for tables in
-    which a slot's rows lie together; without it a word is one slot, which joins can split as they run."""
-    worded = companies.select(F.array_join("title_tokens", " ").alias("words"), "company_number").filter("words <> ''")
-    sets = worded.groupBy("words").agg(F.min("company_number").alias("least")).withColumn("title_tokens", F.split("words", " "))
+    which a slot's rows lie together; without it a word is one slot, which joins can split as they run. most: how many
+    numbers of a set can be asked for. keep: what to do with sets and numbers, which are read several times."""
+    face = [c for c in FACE if c in companies.columns]  # blocking alone wants none
+    worded = companies.select(F.array_join("title_tokens", " ").alias("words"), "company_number", *face).filter("words <> ''")
+    sets = keep(worded.groupBy("words").agg(F.min("company_number").alias("least")), "sets").withColumn("title_tokens", F.split("words", " "))
     postings = sets.withColumn("token", F.explode("title_tokens"))
     parts = F.lit(1) if per_part is None else F.ceil(F.count(F.lit(1)) / per_part)
     frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), parts.cast("int").alias("parts"))
     placed = postings.withColumn("part", F.lit(0)) if per_part is None else postings.join(frequency, "token").withColumn("part", F.pmod(F.xxhash64("words"), F.col("parts")))
     nth = F.row_number().over(Window.partitionBy("words").orderBy("company_number"))
-    return Index(placed.select(_slot(F.col("token"), F.col("part")).alias("slot"), "words", "title_tokens", "least"), frequency, worded.withColumn("nth", nth), companies)
+    first = worded.withColumn("nth", nth)
+    first = (first if most is None else first.filter(F.col("nth") <= most)).withColumn("same", F.min("company_number").over(Window.partitionBy("words", *face)))
+    listed = F.array_sort(F.collect_list(F.struct("company_number", "same"))).alias("listed")
+    faces = keep(_faces(worded.groupBy("words", *face).agg(F.min("company_number").alias("company_number"))), "faces") if len(face) == len(FACE) else None
+    numbers = first.groupBy("words", _block(F.col("nth")).alias("block")).agg(F.min("company_number").alias("first"), F.max("company_number").alias("last"), F.count(F.lit(1)).alias("n"), listed)
+    return Index(placed.select(_slot(F.col("token"), F.col("part")).alias("slot"), "words", "title_tokens", "least"), frequency, keep(numbers, "numbers"), companies, most, faces)
+
+
+def _faces(companies: DataFrame) -> DataFrame:
+    return registry.described(companies).select(F.col("company_number").alias("same"), F.col("company_status").alias("face_status"), "locality_norm", "region_norm", "title_words", "title_letters")
+
+
+def _dealt(df: DataFrame, *key: str) -> DataFrame:
+    """df dealt by key over all partitions, where few rows become many: their size says nothing of the work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
 
 
 def restricted(known: Index, variants: DataFrame, most: int = LOOKED_UP) -> Index:
@@ -87,9 +127,16 @@ def candidates(variants: DataFrame, companies: DataFrame | Index, max_candidates
     max_candidates by (hits desc, number). Two hits are needed where a variant has two tokens.
     companies: those of registry.companies(), or an index of them.
 
-    Before any company is looked up, a variant keeps so many sets by (hits desc, least number), and a set so many
-    numbers: each set before another has a number that goes before all of the other's, so no more can come in."""
-    known = companies if isinstance(companies, Index) else index(companies)
+    Before any company is looked up, a variant keeps so many sets by (hits desc, least number): each set before another
+    has a number that goes before all of the other's, so no more can come in. Then it keeps the blocks of these that
+    begin before the first max_candidates numbers are complete."""
+    return _found(variants, companies if isinstance(companies, Index) else index(companies, most=max_candidates), max_candidates).drop("same")
+
+
+def _found(variants: DataFrame, known: Index, max_candidates: int) -> DataFrame:
+    """candidates() with `same`."""
+    if known.most is not None and known.most < max_candidates:
+        raise ValueError(f"the index holds {known.most} numbers of a set, {max_candidates} are asked for")
     asked = variants.select("variant").distinct().withColumn("asked", names.tokens(F.col("variant")))
     met_words = asked.select("variant", "asked", F.explode("asked").alias("token")).join(known.frequency, "token")
     usual = met_words.groupBy("variant", "asked").agg(F.max(F.struct("n", "token"))["token"].alias("usual"), F.collect_list(F.struct("token", "parts")).alias("had"))  # a name's words
@@ -98,15 +145,24 @@ def candidates(variants: DataFrame, companies: DataFrame | Index, max_candidates
     probes = usual.select("variant", "asked", F.when(several, F.array_remove("asked", F.col("usual"))).otherwise(F.col("asked")).alias("probes"), "had")
     probes = probes.select("variant", "asked", "probes", F.explode(F.filter("had", lambda x: F.array_contains("probes", x["token"]))).alias("x"))
     probes = probes.select("variant", "asked", "probes", F.col("x.token").alias("token"), F.explode(F.sequence(F.lit(0), F.col("x.parts") - 1)).alias("part"))
-    probes = probes.withColumn("slot", _slot(F.col("token"), F.col("part"))).drop("part")
+    probes = _dealt(probes.withColumn("slot", _slot(F.col("token"), F.col("part"))).drop("part"))
     common = F.size(F.array_intersect("asked", "title_tokens"))
     once = F.array_intersect("probes", "title_tokens")[0] == F.col("token")
     met = probes.join(known.postings, "slot").filter(once & (common >= F.when(several, 2).otherwise(1))).select("variant", "words", "least", common.cast("long").alias("hits"))
+    met = _dealt(met, "variant")
     nth_set = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "least"))
     met = met.withColumn("nth_set", nth_set).filter(F.col("nth_set") <= max_candidates).drop("nth_set", "least")
-    numbers = known.numbers.filter(F.col("nth") <= max_candidates).drop("nth")
+    blocks = known.numbers.filter(F.col("block") <= _last_block(max_candidates))
+    counted = met.join(blocks.drop("listed"), "words").withColumn("place", -F.col("hits"))
+    before = F.sum("n").over(Window.partitionBy("variant").orderBy("place", "last").rowsBetween(Window.unboundedPreceding, -1))
+    counted = counted.withColumn("needed", F.coalesce(before, F.lit(0)) < max_candidates)
+    end = F.max(F.when(F.col("needed"), F.struct("place", F.col("last").alias("number")))).over(Window.partitionBy("variant"))
+    read = counted.withColumn("end", end).filter(F.struct("place", F.col("first").alias("number")) <= F.col("end"))
+    read = read.groupBy("variant", "words", "hits").agg(F.max("block").alias("reach"))  # a set's first blocks
+    found = _dealt(read, "words").join(blocks.select("words", "block", "listed"), "words").filter(F.col("block") <= F.col("reach"))
+    found = _dealt(found.select("variant", "hits", F.inline("listed")), "variant")
     nth = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "company_number"))
-    return met.join(numbers, "words").withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits")
+    return found.withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits", "same")
 
 
 def name_similarities(pairs: DataFrame) -> DataFrame:
@@ -128,23 +184,40 @@ def confidence(total: Column) -> Column:
     return F.when(total >= HIGH, "high").when(total >= MEDIUM, "medium").otherwise("low")
 
 
-def _pool(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int) -> DataFrame:
-    """Every searched candidate of every variant with its scores. Names and places are normalised and
-    taken apart before any join."""
-    known = clean_registry if isinstance(clean_registry, Index) else index(registry.companies(clean_registry))
+def _pool(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int, top: int | None = None) -> tuple[DataFrame, Index]:
+    """Every searched candidate of every variant with its scores, and the index; with `top`, ranked() of them. Names and
+    places are taken apart before any join, those of companies that score alike once."""
+    known = clean_registry if isinstance(clean_registry, Index) else index(registry.companies(clean_registry), most=max_candidates)
     described = orgs.select("org_name", names.normalise(F.col("org_name")).alias("org_norm"), names.normalise(F.col("town")).alias("town_norm"), names.normalise(F.col("county")).alias("county_norm"))
     described = names.with_similarity_keys(described, "org_norm", "org_words", "org_letters")
     asked = _asked(described, *described.columns[1:])
-    found = candidates(query_variants(orgs), known, max_candidates)
-    places = registry.described(known.companies).select(
-        "company_number", "title_norm", F.col("company_name").alias("title"), F.col("company_status").alias("status"), F.col("address_locality").alias("locality"), F.col("address_region").alias("region"),
-        F.col("address_postcode").alias("postcode"), "locality_norm", "region_norm", "title_words", "title_letters",
-    )
-    pool = found.join(places, "company_number").join(asked, "variant")
+    found = _found(query_variants(orgs), known, max_candidates)
+    if top is not None:
+        alike = F.row_number().over(Window.partitionBy("variant", "same").orderBy("company_number"))
+        found = found.withColumn("alike", alike).filter(F.col("alike") <= top)
+    faces = known.faces if known.faces is not None else _faces(known.companies)
+    pool = _dealt(found.select("variant", "hits", "company_number", "same").join(asked, "variant"), "same").join(faces, "same")
     pool = pool.withColumn("name_similarity", names.similarity_of(F.col("org_words"), F.col("org_letters"), F.col("title_words"), F.col("title_letters")))
-    pool = pool.withColumns(bonuses(F.col("town_norm"), F.col("county_norm"), F.col("locality_norm"), F.col("region_norm"), F.col("status")))
+    pool = pool.withColumns(bonuses(F.col("town_norm"), F.col("county_norm"), F.col("locality_norm"), F.col("region_norm"), F.col("face_status")))
     pool = pool.withColumn("total", F.least(F.lit(1.0), F.col("name_similarity") + F.col("locality_bonus") + F.col("region_bonus") + F.col("status_bonus")))
-    return pool.select("org_name", "org_norm", "variant_index", "variant", "hits", "company_number", "title_norm", "title", "status", "locality", "region", "postcode", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", "total")
+    pool = _dealt(pool.select("org_name", "org_norm", "variant_index", "variant", "hits", "company_number", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", "total"), "org_name")
+    if top is not None:
+        each = Window.partitionBy("org_name", "variant_index").orderBy(F.desc("total"), F.desc("hits"), "company_number")
+        pool = _stopped(pool.withColumn("nth", F.row_number().over(each)).filter(F.col("nth") <= top).drop("nth"))
+        pool = ranked(pool, top)
+    return pool, known
+
+
+def _shown(pool: DataFrame, known: Index) -> DataFrame:
+    """pool with what a search shows of its companies."""
+    shown = known.companies.select(
+        "company_number", "title_norm", F.col("company_name").alias("title"), F.col("company_status").alias("status"), F.col("address_locality").alias("locality"),
+        F.col("address_region").alias("region"), F.col("address_postcode").alias("postcode"),
+    )
+    given = ["title_norm", "title", "status", "locality", "region", "postcode"]
+    found = pool.join(shown, "company_number")
+    at = pool.columns.index("company_number") + 1
+    return found.select(*pool.columns[:at], *given, *pool.columns[at:])
 
 
 def _stopped(pool: DataFrame) -> DataFrame:
@@ -156,15 +229,15 @@ def _stopped(pool: DataFrame) -> DataFrame:
 def scored_candidates(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int = MAX_CANDIDATES) -> DataFrame:
     """All searched candidates of every organisation with their scores; variants after the first
     that reaches EARLY_STOP are left out. orgs: org_name, town, county, and any other columns."""
-    return _stopped(_pool(orgs, clean_registry, max_candidates))
+    pool, known = _pool(orgs, clean_registry, max_candidates)
+    return _shown(_stopped(pool), known)
 
 
 def top_candidates(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: int = MAX_CANDIDATES, top: int = TOP) -> DataFrame:
     """ranked() of scored_candidates(). Only the best `top` of each variant can come in, and its best one
-    says whether it stops the search, so no others are dealt by organisation."""
-    each = Window.partitionBy("org_name", "variant_index").orderBy(F.desc("total"), F.desc("hits"), "company_number")
-    pool = _pool(orgs, clean_registry, max_candidates).withColumn("nth", F.row_number().over(each)).filter(F.col("nth") <= top).drop("nth")
-    return ranked(_stopped(pool), top)
+    says whether it stops the search. Of companies that score alike these are the first by number, and
+    only those that come in are looked up."""
+    return _shown(*_pool(orgs, clean_registry, max_candidates, top))
 
 
 def ranked(pool: DataFrame, top: int = TOP) -> DataFrame:

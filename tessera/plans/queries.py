@@ -39,9 +39,14 @@ def _clean(spark: SparkSession, d: str, strict: bool = True) -> DataFrame:
     return registry.clean(views.view(spark, d, views.REGISTRY), views.REGISTRY_COLUMNS, strict)
 
 
-def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _index(clean: DataFrame) -> matching.Index:
+    """Companies and what matching reads of them: written."""
+    return matching.index(stored(registry.companies(clean), "companies"), most=matching.MAX_CANDIDATES, keep=stored)
+
+
+def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, matching.Index]:
     """Organisations and companies as the steps before matching leave them: written."""
-    return stored(_orgs(spark, d), "register"), stored(registry.companies(_clean(spark, d)), "companies")
+    return stored(_orgs(spark, d), "register"), _index(_clean(spark, d))
 
 
 def _top(spark: SparkSession, d: str) -> DataFrame:

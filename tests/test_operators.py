@@ -352,3 +352,35 @@ def test_summaries_merge(spark, tmp_path):
     assert summaries.stats(spark, paths).first().asDict() == expect
     with pytest.raises(errors.MissingInputError):
         summaries.stats(spark, [])
+
+
+def test_candidates_list_few_numbers(spark):
+    """However many companies share a set of words, and sets share words, few more numbers are listed than are kept;
+    and of those that score alike only the first can be ranked."""
+    rows = [(f"{(k * 7919) % 6000:08d}", f"Alpha Beta Gamma{k % 20}", "active" if k % 40 < 20 else "closed", *["" for _ in registry.CLEAN[3:]]) for k in range(6000)]
+    all_ = registry.companies(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in registry.CLEAN)))
+    known = matching.index(all_, most=100)
+    got = matching.candidates(spark.createDataFrame([("Alpha Beta",)], "variant string"), known, 100)
+    assert sorted(r["company_number"] for r in got.collect()) == [f"{k:08d}" for k in range(100)]
+    nodes, listed = [got._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        x = nodes.pop()
+        if x.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(x.executedPlan())
+        elif x.nodeName().endswith("QueryStage"):
+            nodes.append(x.plan())
+        nodes += [x.children().apply(k) for k in range(x.children().size())]
+        if x.nodeName() == "Generate" and "listed" in x.toString():
+            listed.append(x.metrics().apply("numOutputRows").value())
+    assert listed and 100 <= max(listed) <= 2 * 100 + 20
+    orgs = spark.createDataFrame([("Alpha Beta Gamma3", "", "")], "org_name string, town string, county string")
+    key = lambda df: sorted(map(str, df.select("org_name", "rank", "variant", "company_number", "title", "status", "total").collect()))
+    assert key(matching.top_candidates(orgs, known, 100)) == key(matching.ranked(matching.scored_candidates(orgs, all_, 100)))
+    with pytest.raises(ValueError):
+        matching.candidates(spark.createDataFrame([("Alpha",)], "variant string"), known, 101)
+
+
+def test_blocks_of_numbers(spark):
+    nth = [1, 2, 3, 4, 5, 8, 9, 4095, 4096, 4097, 8192, 8193, 12288, 12289]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in nth], "n int").coalesce(1).select(matching._block(F.col("n"))).collect()]
+    assert got == [0, 1, 2, 2, 3, 3, 4, 12, 12, 13, 13, 14, 14, 15] == [matching._last_block(n) for n in nth]
