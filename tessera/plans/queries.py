@@ -599,10 +599,16 @@ def q_pipeline_files(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(spark, out, na_cells=False).select(F.col("Organisation Name").alias("org_name"), "ch_company_number", "role_fit_bucket")
 
 
+#: Bytes of text in a file, as one task writes it and one reads a member of an archive.
+PER_FILE = 1 << 26
+
+
 def _texts(spark: SparkSession, d: str) -> str:
-    """All documents as CSV files, with line breaks in cells; the folder."""
+    """All documents as CSV files, with line breaks in cells, four at least and of about PER_FILE; the folder."""
     folder = f"{shared_dir(spark).rstrip('/')}/tessera/texts-{uuid.uuid4().hex}"
-    tables.write_csv(_table(spark, d, "documents").select(F.col("doc_id").cast("string"), "text", "lang").repartition(4, "doc_id"), f"{folder}/csv")
+    docs = _table(spark, d, "documents")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tables.write_csv(docs.select(F.col("doc_id").cast("string"), "text", "lang").repartition(max(4, -(-size // PER_FILE)), "doc_id"), f"{folder}/csv")
     return folder
 
 

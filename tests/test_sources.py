@@ -568,3 +568,14 @@ def test_logs(capsys):
     with pytest.raises(ValueError), logs.progress("step"):
         raise ValueError
     assert logging.getLogger("tessera").handlers
+
+
+def test_texts_in_files_of_a_size(spark, tmp_path, monkeypatch):
+    """More text gives more files, not larger ones; every row is in them."""
+    from tessera.plans import queries
+
+    spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ä b\n"), 50).alias("text"), F.lit("en").alias("lang")).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "PER_FILE", 10_000)
+    folder = queries._texts(spark, str(tmp_path))
+    assert len(list((tmp_path.__class__(folder.removeprefix("file:")) / "csv").glob("part-*.csv"))) == 10
+    assert tables.read_csv(spark, f"{folder}/csv", na_cells=False).count() == 400
