@@ -374,7 +374,7 @@ def q_determinism(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the ranking, and rows that differ once the inputs are dealt otherwise."""
     c = ["org_name", "company_number", "total"]
     a = stored(_top(spark, d).select(*c), "ranking")
-    b = matching.top_candidates(_orgs(spark, d).repartition(7), _clean(spark, d).repartition(5, "company_name")).select(*c)
+    b = matching.top_candidates(stored(_orgs(spark, d).repartition("town"), "register"), _index(_clean(spark, d).repartition("company_name"))).select(*c)
     differ = audit.differences(a, b).agg(F.count(F.lit(1)).alias("n_differences"))
     return a.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(differ)  # one row each
 
@@ -400,7 +400,7 @@ def q_repeated_numbers(spark: SparkSession, d: str) -> DataFrame:
     pos = F.col("company_number").cast("long")
     twice = _clean(spark, d).withColumn("pos", pos)
     twice = twice.withColumn("company_number", F.when(F.col("pos") % 7 == 0, F.lpad((F.col("pos") - 1).cast("string"), 8, "0")).otherwise(F.col("company_number")))
-    return matching.top_candidates(_orgs(spark, d), twice).select("org_name", F.col("rank").cast("long").alias("cand_rank"), "company_number", "title", "hits", "total")
+    return matching.top_candidates(stored(_orgs(spark, d), "register"), _index(twice)).select("org_name", F.col("rank").cast("long").alias("cand_rank"), "company_number", "title", "hits", "total")
 
 
 def q_disjoint(spark: SparkSession, d: str) -> DataFrame:
