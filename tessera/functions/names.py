@@ -29,6 +29,13 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def strip_column(c: Column) -> Column:
+    """strip() of a column: a text that begins and ends in visible ASCII is left as it is, without a pattern.
+    The argument is used several times, so it should be a column."""
+    visible = lambda ch: (ch > " ") & (ch < "\x7f")
+    return F.when(visible(F.substring(c, 1, 1)) & visible(F.substring(c, -1, 1)), c).otherwise(strip(c))
+
+
 def normalise(name: Column) -> Column:
     """Lower case, punctuation as space, suffix words removed, single spaces. Null gives ''."""
     lowered = F.lower(F.coalesce(name, F.lit("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.names import strip
+from tessera.functions.names import strip, strip_column
 
 #: Cells that a register's reader takes as missing.
 NA_CELLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -30,7 +30,7 @@ def slug(c: Column) -> Column:
 
 def sic_codes(*cells: Column) -> Column:
     """The part before ' - ' of every cell that has one, joined by ';'."""
-    codes = F.transform(F.array(*[strip(text(c)) for c in cells]), lambda x: strip(F.substring_index(x, " - ", 1)))
+    codes = F.transform(F.array(*[strip_column(text(c)) for c in cells]), lambda x: strip_column(F.substring_index(x, " - ", 1)))
     return F.array_join(F.filter(codes, lambda x: x != ""), ";")
 
 
@@ -41,7 +41,7 @@ def sic_list(c: Column) -> Column:
 
 def parsed_date(c: Column) -> Column:
     """ISO or day/month/year as ISO text; blank stays blank; anything else is null."""
-    t = strip(text(c))
+    t = strip_column(text(c))
     iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.try_to_timestamp(t, F.lit("yyyy-MM-dd")).cast("date"))
     day_first = F.when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}\z"), F.try_to_timestamp(t, F.lit("d/M/yyyy")).cast("date"))
     return F.when(t == "", "").otherwise(F.date_format(F.coalesce(iso, day_first), "yyyy-MM-dd"))

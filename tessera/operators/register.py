@@ -23,7 +23,12 @@ def coerce(df: DataFrame, mapping: dict[str, str] | None = None, pos: str | None
     """Five stripped text columns under short names, and `pos`."""
     mapping = mapping or dict(zip(SHORT, COLUMNS))
     place = F.col(f"`{pos}`").cast("long") if pos else F.monotonically_increasing_id()
-    return df.select(*[names.strip(values.text(F.col(f"`{mapping[s]}`"))).alias(s) for s in SHORT], place.alias("pos"))
+    return df.select(*[names.strip_column(values.text(F.col(f"`{mapping[s]}`"))).alias(s) for s in SHORT], place.alias("pos"))
+
+
+def firsts(df: DataFrame, pos: str = "pos") -> DataFrame:
+    """df without rows that differ from an earlier one in position only: a rolled-up register is the same without."""
+    return df.groupBy(*[c for c in df.columns if c != pos]).agg(F.min(pos).alias(pos))
 
 
 def is_skilled_worker(route: Column) -> Column:
@@ -39,8 +44,9 @@ def eligible(rows: DataFrame) -> DataFrame:
 
 
 def rollup(rows: DataFrame, normalise: Callable[[Column], Column] = names.normalise) -> DataFrame:
-    """One row per normalised name, arrays in first-seen order, sorted by nobody yet."""
-    keyed = rows.withColumn("norm", normalise(F.col("name")))
+    """One row per normalised name, arrays in first-seen order, sorted by nobody yet. Rows that differ in
+    position only count by the first, before any name is normalised."""
+    keyed = firsts(rows.select(*SHORT, "pos")).withColumn("norm", normalise(F.col("name")))
     long_ = keyed.select("norm", F.inline(F.array(*[F.struct(F.lit(s).alias("field"), F.col(s).alias("value"), F.col("pos")) for s in SHORT])))
     once = long_.filter((F.col("value") != "") & (F.lower("value") != "nan")).groupBy("norm", "field", "value").agg(F.min("pos").alias("pos"))
     listed = once.groupBy("norm").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("field") == s, F.struct("pos", "value")))), lambda x: x["value"]).alias(f"{s}_list") for s in SHORT])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.errors import MissingColumnsError, RegistryUriMismatchError
 from tessera.functions import names, values
+from tessera.operators.dealing import dealt
 
 CLEAN = ("company_number", "company_name", "company_status", "company_type", "date_of_creation", "sic_codes", "address_locality", "address_region", "address_postcode", "uri")
 #: Where the cleaner finds its input; the headers of the bulk file, trimmed.
@@ -38,9 +39,11 @@ def uri_matches(uri: Column, number: Column) -> Column:
 def clean(raw: DataFrame, columns: dict[str, str] = BULK, strict: bool = True) -> DataFrame:
     """Ten canonical text columns, and `pos` where the rows have it. strict: a date or address that can't
     be right stops the job."""
-    c = {k: names.strip(values.text(F.col(f"`{v}`"))) for k, v in columns.items()}
+    kept = ["pos"] if "pos" in raw.columns else []
+    cells = raw.select(*[names.strip_column(values.text(F.col(f"`{v}`"))).alias(f"_{k}") for k, v in columns.items()], *kept)  # once a cell
+    c = {k: F.col(f"_{k}") for k in columns}
     sics = [c[k] for k in ("sic1", "sic2", "sic3", "sic4") if k in c]
-    out = raw.select(
+    out = cells.select(
         c["number"].alias("company_number"),
         c["name"].alias("company_name"),
         F.lower(c["status"]).alias("company_status"),
@@ -51,7 +54,7 @@ def clean(raw: DataFrame, columns: dict[str, str] = BULK, strict: bool = True) -
         c["county"].alias("address_region"),
         c["postcode"].alias("address_postcode"),
         c["uri"].alias("uri"),
-        *(["pos"] if "pos" in raw.columns else []),
+        *kept,
     )
     if strict:
         fine = uri_matches(F.col("uri"), F.col("company_number"))
@@ -75,10 +78,10 @@ def companies(clean_: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
         return clean_
     by = list(order) or ["pos"] if "pos" in clean_.columns else list(order)
     rest = [c for c in clean_.columns if c not in by and c != "company_number"]
-    keyed = clean_.filter(F.col("company_number") != "").withColumn("_tokens", names.tokens(F.col("company_name")))
-    one = keyed.groupBy("company_number").agg(F.min(F.struct(*by, *rest)).alias("_first"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_tokens")))).alias("title_tokens"))
-    one = one.select(*[F.col("company_number") if c == "company_number" else F.col("_first")[c].alias(c) for c in clean_.columns], "title_tokens")
-    return one.withColumn("title_norm", names.normalise(F.col("company_name")))
+    keyed = dealt(clean_.filter(F.col("company_number") != ""), "company_number").withColumn("_norm", names.normalise(F.col("company_name")))
+    tokens = F.collect_set(names.tokens_of_normalised(F.col("_norm")))
+    one = keyed.groupBy("company_number").agg(F.min(F.struct(*by, *rest, "_norm")).alias("_first"), F.array_sort(F.array_distinct(F.flatten(tokens))).alias("title_tokens"))
+    return one.select(*[F.col("company_number") if c == "company_number" else F.col("_first")[c].alias(c) for c in clean_.columns], "title_tokens", F.col("_first._norm").alias("title_norm"))
 
 
 def described(companies_: DataFrame) -> DataFrame:

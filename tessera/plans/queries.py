@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import names, values
-from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
+from tessera.operators import asof, audit, dealing, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
 from tessera.plans import refresh, steps, validate, views
 from tessera.sources import companies, config, digests, employees, ledger, payloads, profiles, snapshots, tables
 from tessera.stored import shared_dir, stored
@@ -27,16 +27,20 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _coerced(raw: DataFrame) -> DataFrame:
+    return register.coerce(dealing.spread(raw), dict(zip(register.SHORT, register.SHORT)), "pos")
+
+
 def _rows(spark: SparkSession, d: str) -> DataFrame:
-    return register.coerce(views.view(spark, d, views.REGISTER), dict(zip(register.SHORT, register.SHORT)), "pos")
+    return _coerced(views.view(spark, d, views.REGISTER))
 
 
 def _orgs(spark: SparkSession, d: str) -> DataFrame:
-    return register.register(_rows(spark, d)).drop("pos")
+    return register.register(_coerced(register.firsts(views.view(spark, d, views.REGISTER)))).drop("pos")
 
 
 def _clean(spark: SparkSession, d: str, strict: bool = True) -> DataFrame:
-    return registry.clean(views.view(spark, d, views.REGISTRY), views.REGISTRY_COLUMNS, strict)
+    return registry.clean(dealing.spread(views.view(spark, d, views.REGISTRY)), views.REGISTRY_COLUMNS, strict)
 
 
 def _index(clean: DataFrame) -> matching.Index:

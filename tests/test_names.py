@@ -96,3 +96,9 @@ def test_values(spark):
     assert [x[0] for x in got] == [round(x, 4) for x in some]
     df = spark.createDataFrame([(n,) for n in (1, 10, 11, 50, 250, 251, 999, 1000, None)], "n int")
     assert [r[0] for r in df.select(values.size_band(F.col("n"))).collect()] == ["micro", "micro", "small", "small", "medium", "large", "large", "mega", "unknown"]
+
+
+def test_strip_column(spark):
+    texts = ["", " ", "a", " a", "a ", "a b", "\u00a0a", "a\u2003", "\ta\n", "\u00e9t\u00e9", "\u00e9 ", "x\x7f", "\x7f ", "\u2003", "~", "!", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", names.strip(F.col("t")).alias("a"), names.strip_column(F.col("t")).alias("b"))
+    assert all(r["a"] == r["b"] for r in df.collect())

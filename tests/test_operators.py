@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera import errors
 from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
-from tessera.plans import steps
+from tessera.plans import queries, steps
 from tessera.sources import profiles
 
 RAW = [
@@ -384,3 +385,25 @@ def test_blocks_of_numbers(spark):
     nth = [1, 2, 3, 4, 5, 8, 9, 4095, 4096, 4097, 8192, 8193, 12288, 12289]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in nth], "n int").coalesce(1).select(matching._block(F.col("n"))).collect()]
     assert got == [0, 1, 2, 2, 3, 3, 4, 12, 12, 13, 13, 14, 14, 15] == [matching._last_block(n) for n in nth]
+
+
+def test_companies_of_one_file_are_many_tasks(spark):
+    """A file of short rows is one partition; its companies are taken apart in all of them."""
+    one = clean(spark).coalesce(1)
+    assert registry.companies(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r["title_norm"] for r in registry.companies(one).collect()) == ["acme", "acme alpha", "alpha"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_views_are_cleaned_in_many_tasks(spark):
+    for made in (queries._clean, queries._rows):
+        assert made(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_register_counts_equal_rows_once(spark):
+    """A row that comes again later, in other white space too, changes nothing of the register and goes before
+    names are normalised."""
+    again = RAW + [(f" {r[0]}", *r[1:]) for r in RAW[::-1]] + RAW[::-1]
+    a, b = ({tuple(map(str, r)) for r in register.rollup(rows(spark, x), F.lower).collect()} for x in (RAW, again))
+    assert a == b
+    assert sorted(r["pos"] for r in register.firsts(rows(spark, again)).collect()) == list(range(len(RAW)))
