@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.functions import names, values
 
@@ -20,9 +21,11 @@ OUTPUT = ("Organisation Name", "org_name_normalised", "has_multiple_towns", "has
 
 
 def coerce(df: DataFrame, mapping: dict[str, str] | None = None, pos: str | None = None) -> DataFrame:
-    """Five stripped text columns under short names, and `pos`."""
+    """Five stripped text columns under short names, and `pos`: what the column `pos` says, a number or any struct
+    that orders the rows, else their order as they are read."""
     mapping = mapping or dict(zip(SHORT, COLUMNS))
-    place = F.col(f"`{pos}`").cast("long") if pos else F.monotonically_increasing_id()
+    placed = pos is not None and isinstance(df.schema[pos].dataType, StructType)
+    place = F.col(f"`{pos}`") if placed else F.col(f"`{pos}`").cast("long") if pos else F.monotonically_increasing_id()
     return df.select(*[names.strip_column(values.text(F.col(f"`{mapping[s]}`"))).alias(s) for s in SHORT], place.alias("pos"))
 
 

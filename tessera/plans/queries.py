@@ -571,7 +571,7 @@ def _committed(spark: SparkSession, d: str) -> tuple[str, str]:
 def write_inputs(spark: SparkSession, d: str) -> config.Config:
     """Everything that the steps read, as files: committed snapshots and a raw register."""
     folder, _ = _committed(spark, d)
-    tables.write_csv(steps.long_names(views.view(spark, d, views.REGISTER).orderBy("pos").select(*[F.col(a).alias(b) for a, b in zip(register.SHORT, register.COLUMNS)])).coalesce(1), f"{folder}/raw/list.csv")
+    tables.write_csv(steps.long_names(views.view(spark, d, views.REGISTER).orderBy("pos").select(*[F.col(a).alias(b) for a, b in zip(register.SHORT, register.COLUMNS)])), f"{folder}/raw/list.csv")
     tables.write_csv(_employees(spark, d).distinct().coalesce(1), f"{folder}/employees")
     fs, p = tables.filesystem(spark, f"{folder}/employees")
     source = next(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
@@ -646,9 +646,9 @@ def q_match_runs(spark: SparkSession, d: str) -> DataFrame:
     its writes, the first register again, and all runs put into one."""
     cfg = write_inputs(spark, d)
     half = F.crc32(names.normalise(F.col("`Organisation Name`")).cast("binary")) % 2
-    raw = tables.read_csv(spark, cfg.register_path, na_cells=False)
+    raw = tables.read_csv(spark, cfg.register_path, na_cells=False, position="pos")
     for k in (0, 1):
-        tables.write_csv(raw.filter(half == k).coalesce(1), f"{cfg.register_path[:-4]}-{k}.csv")
+        tables.write_csv(raw.filter(half == k).orderBy("pos").drop("pos"), f"{cfg.register_path[:-4]}-{k}.csv")
     cfgs = [dataclasses.replace(cfg, register_path=f"{cfg.register_path[:-4]}-{k}.csv") for k in (0, 1)]
     for k in (0, 1, 0):
         steps.run_register(spark, cfgs[k])

@@ -124,7 +124,7 @@ def write_register(spark: SparkSession, rows: DataFrame, out: str, stats_path: s
 
 def run_register(spark: SparkSession, cfg: Config) -> str:
     """Raw register -> rolled-up register and its statistics."""
-    rows = register.coerce(tables.read_register(spark, cfg.register_path, register.COLUMNS))
+    rows = register.coerce(tables.read_register(spark, cfg.register_path, register.COLUMNS, "pos"), pos="pos")  # a folder's files in order of names
     out = f"{cfg.out_dir}/register"
     write_register(spark, rows, out, f"{cfg.out_dir}/register_stats.json", "overwrite")
     return out

@@ -188,5 +188,5 @@ def table_digest(df: DataFrame) -> str:
     return df.select(row.alias("h")).agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *sums), 256)).first()[0]
 
 
-def read_register(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
-    return require(read_csv(spark, newest_csv(spark, path)), columns, "register")
+def read_register(spark: SparkSession, path: str, columns: Iterable[str], position: str = "") -> DataFrame:
+    return require(read_csv(spark, newest_csv(spark, path), position=position), columns, "register")

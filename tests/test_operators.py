@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera import errors
 from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
 from tessera.plans import queries, steps
-from tessera.sources import profiles
+from tessera.sources import config, profiles, tables
 
 RAW = [
     ("Acme Ltd", "London", "Greater London", "A rating", "Skilled Worker"),
@@ -407,3 +407,14 @@ def test_register_counts_equal_rows_once(spark):
     a, b = ({tuple(map(str, r)) for r in register.rollup(rows(spark, x), F.lower).collect()} for x in (RAW, again))
     assert a == b
     assert sorted(r["pos"] for r in register.firsts(rows(spark, again)).collect()) == list(range(len(RAW)))
+
+
+def test_register_of_many_files_is_in_order_of_their_names(spark, tmp_path):
+    """Spark reads the largest file first; first-seen order follows the names."""
+    (tmp_path / "list.csv").mkdir()
+    head = ",".join(register.COLUMNS)
+    for k, names in enumerate((["Acme Ltd"], ["ACME Limited", "Beta plc", "Gamma and a longer name"])):
+        (tmp_path / "list.csv" / f"part-{k}.csv").write_text("\n".join([head, *[f"{n},London,,A rating,Skilled Worker" for n in names]]) + "\n")
+    out = steps.run_register(spark, config.Config(register_path=str(tmp_path / "list.csv"), out_dir=str(tmp_path / "out")))
+    got = {r["org_name_normalised"]: r["raw_name_variants"] for r in tables.read_csv(spark, out).collect()}
+    assert got["acme"] == "Acme Ltd | ACME Limited" and len(got) == 3
