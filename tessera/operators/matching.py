@@ -94,7 +94,8 @@ def index(companies: DataFrame, per_part: int | None = None, most: int | None =
     frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), parts.cast("int").alias("parts"))
     placed = postings.withColumn("part", F.lit(0)) if per_part is None else postings.join(frequency, "token").withColumn("part", F.pmod(F.xxhash64("words"), F.col("parts")))
     nth = F.row_number().over(Window.partitionBy("words").orderBy("company_number"))
-    first = worded.withColumn("nth", nth)
+    # all numbers of a set are dealt evenly; where few are kept, tasks leave out the others before they are sent
+    first = (dealt(worded, "words") if most is None else worded).withColumn("nth", nth)
     first = (first if most is None else first.filter(F.col("nth") <= most)).withColumn("same", F.min("company_number").over(Window.partitionBy("words", *face)))
     listed = F.array_sort(F.collect_list(F.struct("company_number", "same"))).alias("listed")
     faces = keep(_faces(worded.groupBy("words", *face).agg(F.min("company_number").alias("company_number"))), "faces") if len(face) == len(FACE) else None
