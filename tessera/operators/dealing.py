@@ -6,13 +6,23 @@ expressions on names, or a sort, then wait for a few tasks. A number of partitio
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: From so many partitions on, a file a partition and task is more than a sort by partition costs.
+MANY = 100
+
+
+def width(spark: SparkSession) -> int:
+    """The partitions that rows are dealt over: the shuffle partitions, but from MANY on more than the number up to
+    which each task of a shuffle opens a file per partition: 200 tasks open 40,000 by Spark's defaults."""
+    asked, by_file = int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    return by_file + 1 if MANY <= asked <= by_file else asked
+
 
 def dealt(df: DataFrame, *key: str) -> DataFrame:
     """df dealt by key over all partitions."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    return df.repartition(width(df.sparkSession), *key)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -88,7 +88,10 @@ def index(companies: DataFrame, per_part: int | None = None, most: int | None =
     numbers of a set can be asked for. keep: what to do with sets and numbers, which are read several times."""
     face = [c for c in FACE if c in companies.columns]  # blocking alone wants none
     worded = companies.select(F.array_join("title_tokens", " ").alias("words"), "company_number", *face).filter("words <> ''")
-    sets = keep(worded.groupBy("words").agg(F.min("company_number").alias("least")), "sets").withColumn("title_tokens", F.split("words", " "))
+    # companies that score alike are grouped once: sets and their least numbers come from these
+    alike = keep(_faces(worded.groupBy("words", *face).agg(F.min("company_number").alias("company_number")), "words"), "faces") if len(face) == len(FACE) else None
+    least = worded.groupBy("words").agg(F.min("company_number").alias("least")) if alike is None else alike.groupBy("words").agg(F.min("same").alias("least"))
+    sets = keep(least, "sets").withColumn("title_tokens", F.split("words", " "))
     postings = sets.withColumn("token", F.explode("title_tokens"))
     parts = F.lit(1) if per_part is None else F.ceil(F.count(F.lit(1)) / per_part)
     frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n"), parts.cast("int").alias("parts"))
@@ -98,13 +101,13 @@ def index(companies: DataFrame, per_part: int | None = None, most: int | None =
     first = (dealt(worded, "words") if most is None else worded).withColumn("nth", nth)
     first = (first if most is None else first.filter(F.col("nth") <= most)).withColumn("same", F.min("company_number").over(Window.partitionBy("words", *face)))
     listed = F.array_sort(F.collect_list(F.struct("company_number", "same"))).alias("listed")
-    faces = keep(_faces(worded.groupBy("words", *face).agg(F.min("company_number").alias("company_number"))), "faces") if len(face) == len(FACE) else None
+    faces = alike.drop("words") if alike is not None else None
     numbers = first.groupBy("words", _block(F.col("nth")).alias("block")).agg(F.min("company_number").alias("first"), F.max("company_number").alias("last"), F.count(F.lit(1)).alias("n"), listed)
     return Index(placed.select(_slot(F.col("token"), F.col("part")).alias("slot"), "words", "title_tokens", "least"), frequency, keep(numbers, "numbers"), companies, most, faces)
 
 
-def _faces(companies: DataFrame) -> DataFrame:
-    return registry.described(companies).select(F.col("company_number").alias("same"), F.col("company_status").alias("face_status"), "locality_norm", "region_norm", "title_words", "title_letters")
+def _faces(companies: DataFrame, *keep: str) -> DataFrame:
+    return registry.described(companies).select(*keep, F.col("company_number").alias("same"), F.col("company_status").alias("face_status"), "locality_norm", "region_norm", "title_words", "title_letters")
 
 
 def restricted(known: Index, variants: DataFrame, most: int = LOOKED_UP) -> Index:

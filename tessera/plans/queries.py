@@ -28,7 +28,7 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _coerced(raw: DataFrame) -> DataFrame:
-    return register.coerce(dealing.spread(raw), dict(zip(register.SHORT, register.SHORT)), "pos")
+    return register.coerce(raw, dict(zip(register.SHORT, register.SHORT)), "pos")
 
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
@@ -36,11 +36,11 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _orgs(spark: SparkSession, d: str) -> DataFrame:
-    return register.register(_coerced(register.firsts(views.view(spark, d, views.REGISTER)))).drop("pos")
+    return register.register(_coerced(dealing.spread(register.firsts(views.view(spark, d, views.REGISTER))))).drop("pos")
 
 
 def _clean(spark: SparkSession, d: str, strict: bool = True) -> DataFrame:
-    return registry.clean(dealing.spread(views.view(spark, d, views.REGISTRY)), views.REGISTRY_COLUMNS, strict)
+    return registry.clean(views.view(spark, d, views.REGISTRY), views.REGISTRY_COLUMNS, strict)
 
 
 def _index(clean: DataFrame) -> matching.Index:

@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import errors
-from tessera.operators import asof, audit, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
+from tessera.operators import asof, audit, dealing, links, matching, prefixes, register, registry, resume, scoring, shortlist, summaries
 from tessera.plans import queries, steps
 from tessera.sources import config, profiles, tables
+from tessera.stored import stored
 
 RAW = [
     ("Acme Ltd", "London", "Greater London", "A rating", "Skilled Worker"),
@@ -400,6 +401,39 @@ def test_views_are_cleaned_in_many_tasks(spark):
         assert made(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_views_are_dealt_before_they_are_wide(spark):
+    """The table's few columns go through the shuffle by its key, not the view's many texts."""
+    for made in (queries._clean, queries._rows):
+        plan = made(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression [p_partkey" in plan and plan.count("Repartition") == 1
+
+
+def test_no_file_per_partition_and_task(spark):
+    """As many partitions as Spark writes file by file are one more; few, or more than that, are left as they are."""
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for asked, dealt in ((before, int(before)), ("200", 201), ("300", 300)):
+            spark.conf.set(key, asked)
+            assert dealing.dealt(spark.range(10), "id").rdd.getNumPartitions() == dealt
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_sets_come_from_faces(spark):
+    """An index groups companies once: its sets are read from the stored faces and are those of all companies."""
+    read = {}
+
+    def keep(df, name):
+        read[name] = df.inputFiles()
+        return stored(df, name)
+
+    known = registry.companies(clean(spark).union(clean(spark).withColumn("company_number", F.concat(F.lit("0"), F.substring("company_number", 1, 7)))))
+    made = matching.index(known, most=10, keep=keep)
+    assert read["sets"] and all("/faces-" in f for f in read["sets"])
+    assert {(r["words"], r["least"]) for r in made.postings.select("words", "least").collect()} == {("acme", "01111111"), ("acme alpha", "02222222"), ("alpha", "03333333")}
+
+
 def test_register_counts_equal_rows_once(spark):
     """A row that comes again later, in other white space too, changes nothing of the register and goes before
     names are normalised."""
