@@ -219,6 +219,13 @@ def test_audit(spark):
     assert audit.differences(e, e).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_audit_joins_outputs_once(spark):
+    """All metrics read the outputs as written; none joins the ranking with companies again."""
+    read = queries.q_audit(spark, "/root/testdata/sf0.001").inputFiles()
+    assert read and all("/audited-" in f for f in read)
+
+
 def test_cap_keeps_the_first_numbers(spark):
     """With generic words the cap by sets and by numbers gives what ranking all pairs does."""
     rows = [(f"{(k * 7919) % 5000:08d}", f"Alpha Beta Gamma{k % 40}" if k % 3 else f"Alpha Beta {k % 2}x Delta") for k in range(600)]
