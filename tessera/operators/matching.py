@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import names, values
 from tessera.operators import registry
-from tessera.operators.dealing import dealt
+from tessera.operators.dealing import dealt, thinly
 
 MAX_CANDIDATES = 500
 TOP = 3
@@ -145,11 +145,11 @@ def _found(variants: DataFrame, known: Index, max_candidates: int) -> DataFrame:
     probes = usual.select("variant", "asked", F.when(several, F.array_remove("asked", F.col("usual"))).otherwise(F.col("asked")).alias("probes"), "had")
     probes = probes.select("variant", "asked", "probes", F.explode(F.filter("had", lambda x: F.array_contains("probes", x["token"]))).alias("x"))
     probes = probes.select("variant", "asked", "probes", F.col("x.token").alias("token"), F.explode(F.sequence(F.lit(0), F.col("x.parts") - 1)).alias("part"))
-    probes = dealt(probes.withColumn("slot", _slot(F.col("token"), F.col("part"))).drop("part"))
+    probes = thinly(probes.withColumn("slot", _slot(F.col("token"), F.col("part"))).drop("part"))
     common = F.size(F.array_intersect("asked", "title_tokens"))
     once = F.array_intersect("probes", "title_tokens")[0] == F.col("token")
     met = probes.join(known.postings, "slot").filter(once & (common >= F.when(several, 2).otherwise(1))).select("variant", "words", "least", common.cast("long").alias("hits"))
-    met = dealt(met, "variant")
+    met = thinly(met, "variant")
     nth_set = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "least"))
     met = met.withColumn("nth_set", nth_set).filter(F.col("nth_set") <= max_candidates).drop("nth_set", "least")
     blocks = known.numbers.filter(F.col("block") <= _last_block(max_candidates))
@@ -159,8 +159,8 @@ def _found(variants: DataFrame, known: Index, max_candidates: int) -> DataFrame:
     end = F.max(F.when(F.col("needed"), F.struct("place", F.col("last").alias("number")))).over(Window.partitionBy("variant"))
     read = counted.withColumn("end", end).filter(F.struct("place", F.col("first").alias("number")) <= F.col("end"))
     read = read.groupBy("variant", "words", "hits").agg(F.max("block").alias("reach"))  # a set's first blocks
-    found = dealt(read, "words").join(blocks.select("words", "block", "listed"), "words").filter(F.col("block") <= F.col("reach"))
-    found = dealt(found.select("variant", "hits", F.inline("listed")), "variant")
+    found = thinly(read, "words").join(blocks.select("words", "block", "listed"), "words").filter(F.col("block") <= F.col("reach"))
+    found = thinly(found.select("variant", "hits", F.inline("listed")), "variant")
     nth = F.row_number().over(Window.partitionBy("variant").orderBy(F.desc("hits"), "company_number"))
     return found.withColumn("nth", nth).filter(F.col("nth") <= max_candidates).select("variant", "company_number", "hits", "same")
 
@@ -196,11 +196,11 @@ def _pool(orgs: DataFrame, clean_registry: DataFrame | Index, max_candidates: in
         alike = F.row_number().over(Window.partitionBy("variant", "same").orderBy("company_number"))
         found = found.withColumn("alike", alike).filter(F.col("alike") <= top)
     faces = known.faces if known.faces is not None else _faces(known.companies)
-    pool = dealt(found.select("variant", "hits", "company_number", "same").join(asked, "variant"), "same").join(faces, "same")
+    pool = thinly(found.select("variant", "hits", "company_number", "same").join(asked, "variant"), "same").join(faces, "same")
     pool = pool.withColumn("name_similarity", names.similarity_of(F.col("org_words"), F.col("org_letters"), F.col("title_words"), F.col("title_letters")))
     pool = pool.withColumns(bonuses(F.col("town_norm"), F.col("county_norm"), F.col("locality_norm"), F.col("region_norm"), F.col("face_status")))
     pool = pool.withColumn("total", F.least(F.lit(1.0), F.col("name_similarity") + F.col("locality_bonus") + F.col("region_bonus") + F.col("status_bonus")))
-    pool = dealt(pool.select("org_name", "org_norm", "variant_index", "variant", "hits", "company_number", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", "total"), "org_name")
+    pool = thinly(pool.select("org_name", "org_norm", "variant_index", "variant", "hits", "company_number", "name_similarity", "locality_bonus", "region_bonus", "status_bonus", "total"), "org_name")
     if top is not None:
         each = Window.partitionBy("org_name", "variant_index").orderBy(F.desc("total"), F.desc("hits"), "company_number")
         pool = _stopped(pool.withColumn("nth", F.row_number().over(each)).filter(F.col("nth") <= top).drop("nth"))

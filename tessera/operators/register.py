@@ -48,15 +48,16 @@ def eligible(rows: DataFrame) -> DataFrame:
 
 def rollup(rows: DataFrame, normalise: Callable[[Column], Column] = names.normalise) -> DataFrame:
     """One row per normalised name, arrays in first-seen order, sorted by nobody yet. Rows that differ in
-    position only count by the first, before any name is normalised."""
+    position only count by the first, before any name is normalised, once: a row's position goes along as a
+    field of its own, without a name ("")."""
     keyed = firsts(rows.select(*SHORT, "pos")).withColumn("norm", normalise(F.col("name")))
-    long_ = keyed.select("norm", F.inline(F.array(*[F.struct(F.lit(s).alias("field"), F.col(s).alias("value"), F.col("pos")) for s in SHORT])))
+    field = lambda s, value: F.struct(F.lit(s).alias("field"), value.alias("value"), F.col("pos"))
+    long_ = keyed.select("norm", F.inline(F.array(field("", F.isnull("pos").cast("string")), *[field(s, F.col(s)) for s in SHORT])))
     once = long_.filter((F.col("value") != "") & (F.lower("value") != "nan")).groupBy("norm", "field", "value").agg(F.min("pos").alias("pos"))
-    listed = once.groupBy("norm").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("field") == s, F.struct("pos", "value")))), lambda x: x["value"]).alias(f"{s}_list") for s in SHORT])
-    every = keyed.groupBy("norm").agg(F.min(F.struct("pos", "name")).alias("first"))
-    joined = every.join(listed, "norm", "left")
-    empty = F.array().cast("array<string>")
-    return joined.select("norm", F.col("first.pos").alias("pos"), *[F.coalesce(f"{s}_list", empty).alias(f"{s}_list") for s in SHORT])
+    of = lambda s, x: F.when(F.col("field") == s, x)
+    lists = [F.transform(F.array_sort(F.collect_list(of(s, F.struct("pos", "value")))), lambda x: x["value"]).alias(f"{s}_list") for s in SHORT]
+    listed = once.groupBy("norm").agg(F.min(of("", F.struct("pos"))).alias("first"), *lists)
+    return listed.select("norm", F.col("first.pos").alias("pos"), *[f"{s}_list" for s in SHORT])
 
 
 def register(rows: DataFrame, normalise: Callable[[Column], Column] = names.normalise) -> DataFrame:

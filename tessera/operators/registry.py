@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import MissingColumnsError, RegistryUriMismatchError
@@ -79,9 +79,11 @@ def companies(clean_: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
     by = list(order) or ["pos"] if "pos" in clean_.columns else list(order)
     rest = [c for c in clean_.columns if c not in by and c != "company_number"]
     keyed = dealt(clean_.filter(F.col("company_number") != ""), "company_number").withColumn("_norm", names.normalise(F.col("company_name")))
-    tokens = F.collect_set(names.tokens_of_normalised(F.col("_norm")))
-    one = keyed.groupBy("company_number").agg(F.min(F.struct(*by, *rest, "_norm")).alias("_first"), F.array_sort(F.array_distinct(F.flatten(tokens))).alias("title_tokens"))
-    return one.select(*[F.col("company_number") if c == "company_number" else F.col("_first")[c].alias(c) for c in clean_.columns], "title_tokens", F.col("_first._norm").alias("title_norm"))
+    # one sort a number: its first row, and beside it the names of all its rows
+    rows = Window.partitionBy("company_number").orderBy(*by, *rest, "_norm")
+    every = F.collect_set("_norm").over(rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    one = keyed.withColumns({"_nth": F.row_number().over(rows), "_norms": F.array_join(every, " ")}).filter(F.col("_nth") == 1)
+    return one.select(*clean_.columns, names.tokens_of_normalised(F.col("_norms")).alias("title_tokens"), F.col("_norm").alias("title_norm"))
 
 
 def described(companies_: DataFrame) -> DataFrame:

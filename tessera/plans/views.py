@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators.dealing import dealt
+from tessera.operators.dealing import thinly
 
 REGISTER = """
 SELECT p.p_partkey AS pos,
@@ -51,7 +51,7 @@ def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """The rows of a view. Those of `part`, which may lie in a file or two, are dealt by their key as they are
     read, before each is made several times as wide."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES[text]}
-    return spark.sql(text, **{t: dealt(df, "p_partkey") if t == "part" else df for t, df in tables.items()})
+    return spark.sql(text, **{t: thinly(df, "p_partkey") if t == "part" else df for t, df in tables.items()})
 
 
 def sql(text: str) -> str:
