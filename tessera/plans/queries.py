@@ -638,6 +638,8 @@ def q_archive(spark: SparkSession, d: str) -> DataFrame:
     """The same through an archive of several members."""
     folder = _texts(spark, d)
     tables.write_zip(spark, f"{folder}/csv", f"{folder}/texts.zip")
+    fs, p = tables.filesystem(spark, f"{folder}/csv")
+    fs.delete(p, True)  # the archive has it all
     return _read_back(tables.read_zip(spark, f"{folder}/texts.zip", f"{folder}/staging", every=True))
 
 

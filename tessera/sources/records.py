@@ -43,7 +43,7 @@ def inside_after(line: str, inside: bool) -> bool:
     return _BETWEEN.match(line, at).end() != len(line)
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
+def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, start (of the split), value: the lines of every split, in their order within a task."""
     return spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 

@@ -87,8 +87,8 @@ def write_chunks(spark: SparkSession, target: str, chunks: Iterable[bytes]) -> i
 
 
 def unzip(spark: SparkSession, path: str, target: str) -> None:
-    """The first .csv member of an archive, streamed to target by the driver's JVM: for one file of a snapshot,
-    and for file systems that only Spark reads. read_zip() unpacks on the executors."""
+    """The first .csv member of an archive, streamed to target by the driver's JVM: for one file of a snapshot.
+    read_zip() unpacks on the executors."""
     fs, p = filesystem(spark, path)
     if not fs.exists(p):
         raise MissingInputError(path)
@@ -115,15 +115,12 @@ def read_zip(spark: SparkSession, path: str, staging: str, position: str = "", e
     if not exists(spark, path):
         raise MissingInputError(path)
     target = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
-    if archives.reachable(path):
-        lines = archives.zip_lines(spark, path, every).select(F.col("value").cast("string"))
-        lines.write.option("compression", "none").text(target)  # a file per member
-        fs, p = filesystem(spark, target)
-        if not any(s.getLen() and not s.getPath().getName().startswith("_") for s in fs.listStatus(p)):
-            raise MissingInputError(f"no .csv in {path}")
-    else:
-        target += ".csv"
-        unzip(spark, path, target)
+    found = archives.zip_lines if archives.reachable(path) else archives.spark_lines
+    lines = found(spark, path, every).select(F.col("value").cast("string"))
+    lines.write.options(compression="none", maxRecordsPerFile=0).text(target)  # a file per member, each with a header
+    fs, p = filesystem(spark, target)
+    if not any(s.getLen() and not s.getPath().getName().startswith("_") for s in fs.listStatus(p)):
+        raise MissingInputError(f"no .csv in {path}")
     return read_csv(spark, target, na_cells=False, position=position)
 
 

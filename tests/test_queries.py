@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import queries
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(k for k in entry.queries() if k.startswith("q_"))
@@ -35,3 +36,10 @@ def test_query(spark, oracle, name):
         assert got == table(oracle.sql(sql).df())
     else:
         assert got[1]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_archive_in_a_store_that_only_spark_reads(spark, oracle, tmp_path, monkeypatch):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.texts.link./shared", f"file://{tmp_path}")
+    monkeypatch.setattr(queries, "shared_dir", lambda spark: "viewfs://texts/shared")
+    assert table(entry.queries()["q_archive"](spark, SF).toPandas()) == table(oracle.sql(entry.oracle_sql()["q_archive"]).df())

@@ -2,6 +2,7 @@ import json
 import random
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from datetime import UTC, datetime
 
 import pytest
@@ -204,6 +205,45 @@ def test_archive_members_in_tasks_of_their_own(spark, tmp_path):
         tables.read_zip(spark, str(tmp_path / "none.zip"), str(tmp_path / "staging"))
 
 
+@pytest.mark.parametrize("store", ["file:", "viewfs://archives/in"])
+def test_every_member_in_any_store(spark, tmp_path, store):
+    names = ["a.csv", "a.csv", "B.CSV", "c.csv"]  # two of the same name
+    want = []
+    for name, method in (("x.zip", zipfile.ZIP_DEFLATED), ("y y.zip", zipfile.ZIP_STORED)):
+        with zipfile.ZipFile(tmp_path / name, "w", method) as z:
+            z.writestr("folder/", "")
+            z.writestr("read.me", "x\n" * 99)
+            for k, member in enumerate(names):
+                rows = [(f"{name}-{k}-{i}", f'a\n"b", {i}\r\n' * (i % 7)) for i in range(40 * (k + 1))]
+                with pytest.warns(UserWarning) if k == 1 else nullcontext():
+                    z.writestr(member, "id,note\r\n" + "".join('{},"{}"\r\n'.format(i, n.replace('"', '""')) for i, n in rows))
+                want += rows
+    root = f"{store}{tmp_path}"
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.archives.link./in", "file:///")
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.maxRecordsPerFile")}
+    try:
+        for k, v in zip(kept, ("999", "0", "50")):
+            spark.conf.set(k, v)
+        got = tables.read_zip(spark, root, f"{root}/staging", every=True).collect()
+        one = tables.read_zip(spark, f"{root}/y y.zip", f"{root}/staging", "pos", every=True).orderBy("pos").collect()
+        first = tables.read_zip(spark, f"{root}/x.zip", f"{root}/staging", "pos").orderBy("pos").collect()
+        dealt = archives.spark_lines(spark, root)
+        assert dealt.rdd.getNumPartitions() == 8 and sorted(map(tuple, dealt.select("value").collect())) == sorted(map(tuple, archives.zip_lines(spark, str(tmp_path)).select("value").collect()))
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted((r["id"], r["note"]) for r in got) == sorted(want)
+    assert [r["id"] for r in one] == [i for i, _ in want if i.startswith("y")] and [r["id"] for r in first] == [i for i, _ in want if i.startswith("x.zip-0-")]
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as z:
+        z.writestr("a.txt", "x")
+    with pytest.raises(errors.MissingInputError):
+        tables.read_zip(spark, f"{root}/none.zip", f"{root}/staging")
+    bad = (tmp_path / "y y.zip").read_bytes().replace(b"y y.zip-2-7,", b"y y.zip-2-8,")
+    (tmp_path / "none.zip").write_bytes(bad)
+    with pytest.raises(Exception, match="CRC-32"):
+        tables.read_zip(spark, f"{root}/none.zip", f"{root}/staging", every=True)
+
+
 def test_states_between_lines():
     after = records.inside_after
     assert not after('5" pipe,3', False) and after('a,"b', False) and after('"b""', False) and not after('"b"x,c', False)
